@@ -11,6 +11,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,3 +58,19 @@ def ship_package(spark: SparkSession) -> None:
             out.write(path, path.relative_to(root.parent))
     context.addPyFile(str(archive))
     context._framewright_shipped = True
+
+
+def open_out(uri: str) -> pa.NativeFile:
+    """A new file in the shared folder, from any process that mounts or reaches it."""
+    files, path = pafs.FileSystem.from_uri(uri)
+    files.create_dir(path.rpartition("/")[0], recursive=True)
+    return files.open_output_stream(path)
+
+
+def open_in(uri: str) -> pa.NativeFile:
+    files, path = pafs.FileSystem.from_uri(uri)
+    return files.open_input_file(path)
+
+
+def file_uri(path: str) -> str:
+    return path if "://" in path else "file://" + path.removeprefix("file:")
