@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from framewright.llm import quality_rules
+from framewright.llm import quality_rules, secret_scan, sentencepiece_codec, substring_dedup, token_binary
 
-QUERIES = {"op1_quality_rules": quality_rules.op1_quality_rules}
-ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
+QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+    "op3_sentencepiece": sentencepiece_codec.op3_sentencepiece,
+    "op9_token_binary": token_binary.op9_token_binary,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
+}
+ORACLES = {"op1_quality_rules": quality_rules.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE}
