@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-MOST_WORDS = 400_000
+MOST_WORDS = 600_000
 MOST_IDS = 4_000_000
 
 

@@ -34,6 +34,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -57,35 +58,52 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _SPACED.search(text) or text[:1] == " " else _WORDS.findall(text)
 
 
+# The pre-tokenisation pattern of byte-level BPE, and the bytes that its alphabet shows as themselves.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SHOWN = (*range(33, 127), *range(161, 173), *range(174, 256))
+_PLAIN = re.compile("[\0-\u024f]*")
+
+
+def byte_ranks(path: str) -> dict[bytes, int] | None:
+    """Merge ranks of a tokenizer file whose ids are in the order of its merges, else None."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    hidden = [b for b in range(256) if b not in SHOWN]
+    byte = {chr(b): b for b in SHOWN} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    merged = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    if any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(merged)):
+        return None
+    return {bytes(map(byte.__getitem__, token)): i for token, i in model["vocab"].items() if i < 256 + len(merged)}
+
+
 @lru_cache(maxsize=2)
 def word_memory(path: str) -> WordMemory:
+    """Ids of words.  New words in Latin letters without a special token are encoded together
+    by a faster library from the same merges; all others by the tokenizer itself."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-
+    tokenizer, ranks = Tokenizer.from_file(path), byte_ranks(path)
+    fast = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
     # every byte of a text lies in one token, so the tokens of words encoded together part at the words' bytes
     n_bytes = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab().items():
         n_bytes[i] = len(token)
 
-    def run(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def joins(word: str) -> bool:
+        return word[0] == " " and not word[-1].isspace() and "<|" not in word and _PLAIN.fullmatch(word) is not None
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = np.fromiter((w[0] == " " and not w[-1].isspace() for w in words), bool, len(words))
-        parts, sizes = [], np.zeros(len(words), np.int64)
-        if joins.any():
-            whole = "".join(compress(words, joins))
-            ids = run([whole])[0]
-            edge = offsets(np.fromiter((len(w.encode()) for w in compress(words, joins)), np.int64, int(joins.sum())))
-            at = np.searchsorted(offsets(n_bytes[ids]), edge)
-            sizes[joins] = np.diff(at)
-        alone = run(list(compress(words, ~joins)))
-        sizes[~joins] = list(map(len, alone))
-        out, at = np.zeros(sizes.sum(), np.uint32), np.repeat(joins, sizes)
-        if joins.any():
-            out[at] = ids
+        together = np.fromiter((fast is not None and joins(w) for w in words), bool, len(words))
+        data = [w.encode() for w in compress(words, together)]
+        ids = np.array(fast.encode_ordinary(b"".join(data).decode()) if data else [], np.uint32)
+        edge = offsets(np.fromiter(map(len, data), np.int64, len(data)))
+        sizes = np.zeros(len(words), np.int64)
+        sizes[together] = np.diff(np.searchsorted(offsets(n_bytes[ids]), edge))
+        alone = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(list(compress(words, ~together)), add_special_tokens=False)]
+        sizes[~together] = list(map(len, alone))
+        out, at = np.zeros(sizes.sum(), np.uint32), np.repeat(together, sizes)
+        out[at] = ids
         out[~at] = np.concatenate([np.zeros(0, np.uint32), *alone])
         return out, sizes
 
