@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from framewright.llm import quality_rules, secret_scan, sentencepiece_codec, substring_dedup, token_binary
+from framewright.llm import quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_sentencepiece": sentencepiece_codec.op3_sentencepiece,
+    "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
+    "op7_quality_classifier": quality_classifier.op7_quality_classifier,
     "op9_token_binary": token_binary.op9_token_binary,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
