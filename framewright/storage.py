@@ -64,7 +64,7 @@ def open_out(uri: str) -> pa.NativeFile:
     """A new file in the shared folder, from any process that mounts or reaches it."""
     files, path = pafs.FileSystem.from_uri(uri)
     files.create_dir(path.rpartition("/")[0], recursive=True)
-    return files.open_output_stream(path)
+    return files.open_output_stream(path, compression=None)
 
 
 def open_in(uri: str) -> pa.NativeFile:
