@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from framewright.llm import quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary
+from framewright.llm import chat_format, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_sentencepiece": sentencepiece_codec.op3_sentencepiece,
+    "op4_warc": warc_archive.op4_warc,
     "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
     "op7_quality_classifier": quality_classifier.op7_quality_classifier,
+    "op8_chat_format": chat_format.op8_chat_format,
     "op9_token_binary": token_binary.op9_token_binary,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
-ORACLES = {"op1_quality_rules": quality_rules.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE}
+ORACLES = {"op1_quality_rules": quality_rules.ORACLE, "op2_substring_dedup": substring_dedup.ORACLE, "op4_warc": warc_archive.ORACLE, "op8_chat_format": chat_format.ORACLE}
