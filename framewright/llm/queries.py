@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from framewright.llm import chat_format, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary, warc_archive
+from framewright.llm import chat_format, decontaminate, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_sentencepiece": sentencepiece_codec.op3_sentencepiece,
     "op4_warc": warc_archive.op4_warc,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op6_simhash_dedup": simhash_dedup.op6_simhash_dedup,
     "op7_quality_classifier": quality_classifier.op7_quality_classifier,
     "op8_chat_format": chat_format.op8_chat_format,
