@@ -44,6 +44,7 @@ RADIUS = 4
 SEED = 42
 BIN_ROWS = 30_000
 LONGEST_RUN = 512
+MOST_BROADCAST = 20_000
 BINS = 128
 NEAR = 0.72
 PAIRS = 1 << 15
@@ -244,6 +245,8 @@ def similar_edges(distinct: DataFrame, n: int, radius: int, longest_run: int = L
     keys = F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("t", "key")
     rows = distinct.select("fp", *extra, keys)
     hot = materialize(rows.groupBy("t", "key").count().where(F.col("count") > tile).select("t", "key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "hot-keys")
+    if hot.count() <= MOST_BROADCAST:  # else a shuffled join, whose hot keys adaptive execution splits
+        hot = F.broadcast(hot)
     rows = rows.join(hot, ["t", "key"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     rows = rows.select("fp", *extra, "t", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
