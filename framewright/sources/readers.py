@@ -1,0 +1,58 @@
+"""Inputs: pose tables, camera intrinsics, geo files, audit tables and run folders."""
+
+from __future__ import annotations
+
+import re
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from framewright.functions.geometry import Camera
+
+POSE_SCHEMA = "FrameNumber long, TimeUS long, easting double, northing double, altamsl double, utm_zone string, roll_rad double, pitch_rad double, yaw_rad double"
+
+
+def first_of_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in the given order."""
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_rn = 1").drop("_rn")
+
+
+def read_poses(spark: SparkSession, path: str, flight: str) -> DataFrame:
+    """A pose CSV with its flight; of repeated frame numbers the first in the file stays; NaN becomes null."""
+    have = spark.read.option("header", True).csv(path).columns
+    missing = [f.split()[0] for f in POSE_SCHEMA.split(", ") if f.split()[0] not in have]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    rows = spark.read.option("header", True).csv(path).withColumn("_at", F.monotonically_increasing_id())
+    typed = [F.nanvl(F.expr(f"try_cast({n} AS double)"), F.lit(None)).alias(n) if t == "double" else F.expr(f"try_cast({n} AS {t})").alias(n) for n, t in (f.split() for f in POSE_SCHEMA.split(", "))]
+    extra = [c for c in have if c not in {f.split()[0] for f in POSE_SCHEMA.split(", ")}]
+    return first_of_key(rows.select(F.lit(flight).alias("flight"), *typed, *extra, "_at"), ["FrameNumber"], ["_at"]).drop("_at")
+
+
+def read_intrinsics(path: str, width: int, height: int) -> Camera:
+    """A headerless CSV: a 3 x 3 matrix, then k1, k2, p1, p2, k3."""
+    rows = [[float(x) for x in line.split(",")] for line in Path(path).read_text().splitlines() if line.strip()]
+    if len(rows) < 4:
+        raise ValueError(f"{path} has {len(rows)} rows instead of 4")
+    return Camera(rows[0][0], rows[1][1], rows[0][2], rows[1][2], width, height, *rows[3][:5])
+
+
+def read_geo(spark: SparkSession, path: str) -> DataFrame:
+    """name, easting, northing of a geo file: one header line, then white-space parted fields."""
+    lines = spark.read.text(path).where("NOT value LIKE 'WGS84 %'").select(F.split(F.trim("value"), r"\s+").alias("f")).where("size(f) >= 3")
+    return lines.select(F.col("f")[0].alias("name"), F.col("f")[1].cast("double").alias("easting"), F.col("f")[2].cast("double").alias("northing"))
+
+
+def read_selected(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of an audit CSV whose ``selected`` means yes, with the frame's file name."""
+    rows = spark.read.option("header", True).csv(path).where("lower(trim(selected)) IN ('true', '1', 'yes')")
+    return rows.withColumn("name", F.format_string("%06d.png", F.col("FrameNumber").cast("long")))
+
+
+def latest_run(folder: str) -> Path:
+    """The run folder with the largest 14-digit name."""
+    runs = [p for p in Path(folder).iterdir() if p.is_dir() and re.fullmatch(r"\d{14}", p.name)] if Path(folder).is_dir() else []
+    if not runs:
+        raise FileNotFoundError(f"no run in {folder}")
+    return max(runs, key=lambda p: p.name)
