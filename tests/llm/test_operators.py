@@ -1,0 +1,297 @@
+"""The ten operators on awkward rows (nulls, empty, long and repeated texts, clashing columns)
+and on empty tables, against brute force."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import json
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from framewright.llm import chat_format, decontaminate, quality_classifier, quality_rules, secret_scan, sentencepiece_codec, simhash_dedup, substring_dedup, token_binary, warc_archive
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+PASSAGE = " ".join(f"word{i}" for i in range(50))
+TEXTS = [None, "", " \n\t ", "one", "a b c", PASSAGE, f"start {PASSAGE} end", "x y " * 400, "é🦄 ▁ héllo\n\nworld  two   spaces", "héllo <|endoftext|> <s>", "z" * 5000, "Same text here for all to see", "Same text here for all to see", "no break　space  \n x", f"{PASSAGE} {PASSAGE}"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, fp string, ids long, hits long, row long, component_id long, h long"
+
+
+def _rows():
+    ids = [*range(len(TEXTS) - 1), 3]  # an id twice
+    ids[2] = None
+    return [(i, t, None, "s", None, "clash", "clash", 1, 1, 1, 1, 1) for i, t in zip(ids, TEXTS, strict=True)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(_rows(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _same(got, want):
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def _repeats(words, width):
+    windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+    count = Counter(windows)
+    return {i + k for i, w in enumerate(windows) if count[w] > 1 for k in range(width)}
+
+
+def test_quality_rules(docs, none):
+    want = []
+    for r in _rows():
+        t = r[1] or ""
+        w, seen, dup = WORD.findall(t), set(), 0
+        for line in t.split("\n"):
+            if WORD.search(line):
+                dup += line in seen
+                seen.add(line)
+        n = len(_repeats(w, 5))
+        want.append((r[0], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, n, len(w) < 10 or 100 * n > 20 * len(w)))
+    ledger = quality_rules.rule_ledger(docs)
+    mask = quality_rules.BASE_POLICY.mask
+    _same(ledger.selectExpr("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", f"fail_bits & {mask} <> 0").collect(), want)
+    assert quality_rules.rule_ledger(none).count() == 0
+
+
+def test_ablations_agree_with_policies(docs):
+    ledger = quality_rules.rule_ledger(docs)
+    rules = ("too_few_words", "repeated_windows", "stutter")
+    for r in quality_rules.ablations(ledger, quality_rules.Policy("t", rules)).collect():
+        rest = quality_rules.Policy("u", tuple(x for x in rules if x != r.rule))
+        assert r.n_kept_without == quality_rules.apply_policy(ledger, rest).where("kept").count()
+
+
+def test_substring_dedup(docs, none):
+    split = [WORD.findall(r[1] or "") for r in _rows()]
+    count = Counter(tuple(w[i : i + 35]) for w in split for i in range(len(w) - 34))
+    want = []
+    for r, w in zip(_rows(), split, strict=True):
+        gone = {i + k for i in range(len(w) - 34) if count[tuple(w[i : i + 35])] > 1 for k in range(35)}
+        want.append((r[0], len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)))
+    _same(substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect(), want)
+    assert substring_dedup.remove_repeats(none).count() == 0
+
+
+def test_sentencepiece(docs, none):
+    import sentencepiece
+
+    path = sentencepiece_codec.model_file()
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    want = []
+    for r in _rows():
+        ids = sp.encode(r[1] or "", add_bos=True, add_eos=True)
+        want.append((r[0], ids, sp.decode(ids)))
+    encoded = sentencepiece_codec.encode_documents(docs, path)
+    _same(encoded.select("doc_id", "ids").collect(), [(a, b) for a, b, _ in want])
+    _same(sentencepiece_codec.decode_documents(encoded, path).collect(), [(a, c) for a, _, c in want])
+    digests = [(a, len(b), hashlib.sha256(np.array(b, "<u4").tobytes()).hexdigest(), hashlib.sha256(c.encode()).hexdigest()) for a, b, c in want]
+    _same(sentencepiece_codec.code_digests(docs, path).drop("spans_crc32").collect(), digests)
+    assert sentencepiece_codec.code_digests(none, path).count() == 0
+
+
+@pytest.mark.parametrize("text", ["plain words here", " two  spaces ", "é🦄 mixed ▁ text", "日本語"])
+def test_spans_tile_the_source(text):
+    sp = sentencepiece_codec.codec(sentencepiece_codec.model_file())
+    ids, _, first, last = sp.encode([text])
+    data = text.encode()
+    assert first[0] == 0 and last[-1] == len(data) and (first[1:] == last[:-1]).all()
+    for i, a, b in zip(ids, first, last, strict=True):
+        piece = sp.pieces[i]
+        if sp.types[i] == sentencepiece_codec.NORMAL:
+            assert data[a:b].decode().replace(" ", "▁") in (piece, piece[1:])
+
+
+def test_compiled_character_map():
+    # a double array for one key "a": root at 0, 'a' at 97 ^ offset, then the value
+    units = [0] * 300
+    units[0] = 1 << 10
+    node = 1 ^ ord("a")
+    units[node] = (2 << 10) | (1 << 8) | ord("a")
+    units[node ^ 2] = (1 << 31) | 0
+    compiled = (len(units) * 4).to_bytes(4, "little") + np.array(units, "<u4").tobytes() + b"xyz\0"
+    assert sentencepiece_codec.CharacterMap(compiled).normalise("bab")[0] == "bxyzb"
+    assert sentencepiece_codec.CharacterMap(compiled).normalise("bab")[1].tolist() == [0, 1, 1, 1, 2, 3]
+
+
+def _pages(spark):
+    big = "<p>" + "ö" * 200
+    rows = [(5, "u", big, 1), (2, "v\r\nX: y", big, 1), (7, None, big, 1), (2, "v", big, 1), (None, "n", big, 1), (1, "a", None, 1), (3, "b", "", 1), (4, "c", "short", 1), (6, "d", "short", 1), (8, "e", "\r\n\r\n" * 40, 1)]
+    return rows, spark.createDataFrame(rows, "page_id long, url string, html string, payload_digest int")
+
+
+def test_warc(spark):
+    rows, pages = _pages(spark)
+    firsts = {}
+    for i, _, h, _ in rows:
+        if i is not None:
+            firsts[h or ""] = min(i, firsts.get(h or "", i))
+    want = []
+    for i, _, h, _ in rows:
+        data = (h or "").encode()
+        again = len(data) >= 100 and i != firsts[h or ""]
+        want.append((None if i is None else str(i), len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", str(firsts[h or ""]) if again else None))
+    read = warc_archive.read_archives(warc_archive.write_archives(pages.repartition(2)), payloads=True)
+    _same(read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect(), want)
+    assert all(hashlib.sha256(r.payload).hexdigest() == r.payload_digest for r in read.where("record_type = 'response'").collect())
+    assert warc_archive.read_archives(warc_archive.write_archives(pages.limit(0))).count() == 0
+
+
+def test_warc_rejects_damage(tmp_path):
+    import pyarrow as pa
+
+    row = {"page_id": 1, "url": "u", "html": "hello", "payload_bytes": 5, "payload_digest": hashlib.sha256(b"hello").hexdigest(), "refers_to": None}
+    record = warc_archive.record_bytes(row)
+    assert warc_archive.parse_record(record)[1] == b"hello"
+    for bad in (record.replace(b"hello", b"hellO"), record[:-1], record.replace(b"WARC/1.1", b"WARC/9.9"), record.replace(b"WARC-Date", b"X-Date")):
+        with pytest.raises(ValueError):
+            warc_archive.parse_record(bad)
+    path = str(tmp_path / "a.bin")
+    with pa.OSFile(path, "wb") as out:
+        w = warc_archive.ArchiveWriter(out)
+        w.add(record)
+        w.close()
+    with pa.OSFile(path, "rb") as f:
+        data = f.read()
+    assert list(warc_archive.frames(pa.BufferReader(data))) == [record]
+    with pytest.raises(ValueError):
+        list(warc_archive.frames(pa.BufferReader(data[:-3])))
+
+
+def test_decontamination(spark, none):
+    item = "Yes Anna had 12 apples and gave 5 km to Bob while walking along the 12 old roads."
+    texts = [item, "so Anna had 15 apples and gave 7 miles to Tom while walking along the 15 old roads", "so Anna had 15 apples and gave 7 miles to Tom while walking along the 16 old roads", None, "", "w " * 9000 + item.upper(), item]
+    docs = spark.createDataFrame([(i if i != 6 else None, t, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, hits int, row int")
+    bench = spark.createDataFrame([(0, item), (1, "too short"), (2, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {(0, 0): True, (1, 0): False, (5, 0): True, (None, 0): True}
+    assert decontaminate.find_leaks(none, bench).count() == 0 == decontaminate.find_leaks(docs, bench.limit(0)).count()
+
+
+def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
+    items = [(i, " ".join(f"tok{chr(97 + i)}x{k}y" for k in "abcdefghijklmnop")) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(100 + i, f"before {t} after") for i, t in items], "doc_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 50)
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()) == [(100 + i, i) for i in range(20)]
+
+
+def _print(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash(docs, none):
+    prints = [(r[0], _print(r[1])) for r in _rows()]
+    group = list(range(len(prints)))
+    for i, (_, a) in enumerate(prints):
+        for j, (_, b) in enumerate(prints):
+            if (a ^ b).bit_count() <= 4:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {g: min((p[0] for p, h in zip(prints, group, strict=True) if h == g and p[0] is not None), default=None) for g in group}
+    want = [(i, f"{f:016x}", least[g]) for (i, f), g in zip(prints, group, strict=True)]
+    got = simhash_dedup.link_documents(docs).selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0'))", "component_id").collect()
+    _same(got, want)
+    assert simhash_dedup.link_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("radius", [4, 8])
+def test_bit_planes_find_all_pairs(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
+    fps = np.unique(np.array([int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 9), replace=False)) for b in base for _ in range(12)], np.uint64))
+    got = {(int(a), int(b)) for x, y in simhash_dedup.Planes(fps, np.array([0, 70, len(fps)])).links(radius) for a, b in zip(x, y, strict=True)}
+    assert got == {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if (i < 70) == (j < 70) and (int(fps[i]) ^ int(fps[j])).bit_count() <= radius}
+
+
+def test_every_near_pair_shares_a_key():
+    rng = np.random.default_rng(0)
+    for n, radius in ((100, 4), (10**7, 4), (10**5, 8), (10**9, 4)):
+        masks = simhash_dedup.blocking(n, radius)
+        for _ in range(50):
+            diff = sum(1 << int(k) for k in rng.choice(64, radius, replace=False))
+            assert any(diff & m == 0 for m in masks)
+
+
+def test_hot_keys_are_tiled(spark):
+    fps = spark.range(300).selectExpr("id as fp")  # all share their high bits
+    edges = simhash_dedup.similar_edges(fps, 300, 4, longest_run=8)
+    from framewright.llm.components import connected_components
+
+    got = {r.node: r.root for r in connected_components(edges).collect()}
+    assert len(got) == 300 and len(set(got.values())) == 1
+
+
+def test_quality_classifier(spark, docs, none):
+    good = [(i, " ".join(f"w{(i * 7 + k) % 50}ord" for k in range(60)), 1) for i in range(120)]
+    bad = [(1000 + i, " ".join(f"w{(i * 3 + k) % 50}ord$$$" for k in range(60)), 0) for i in range(40)]
+    rows = spark.createDataFrame(good + bad, "doc_id long, text string, quality int")
+    labels = rows.select("doc_id", "quality")
+    scored = quality_classifier.score(rows.select("doc_id", "text"), quality_classifier.fit(rows.select("doc_id", "text"), labels))
+    right = scored.join(labels, "doc_id").where(quality_classifier.held_out()).selectExpr("avg(cast((score >= 0.3) = (quality = 1) as int))").first()[0]
+    assert right > 0.95
+    out = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).collect()
+    assert len(out) == len(TEXTS) and all(0 <= r.score <= 1 for r in out)
+    assert {r.score for r in quality_classifier.score(docs, quality_classifier.fit(docs, labels.limit(0))).collect()} == {0.5}
+    assert quality_classifier.score(none, quality_classifier.fit(none, labels)).count() == 0
+
+
+def test_chat_format(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "bot", "yo"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "bot", "yo"), (4, 0, "user", "hi"), (4, 1, "bot", "no"), (5, 0, None, None), (None, None, "user", "hi"), (6, 0, "a", "b"), (6, 0, "a", "b")]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, place int")
+    got = {r.conv_id: (r.n_turns, r.n_equal) for r in chat_format.format_chats(table).collect()}
+    assert got == {1: (2, 2), 4: (2, 1), 5: (1, 1), 6: (2, 1)}
+    assert chat_format.format_chats(table.limit(0)).count() == 0
+
+
+def test_token_binary(docs, none):
+    from tokenizers import Tokenizer
+
+    path = token_binary.tokenizer_file()
+    t = Tokenizer.from_file(path)
+    want = Counter()
+    for r in _rows():
+        ids = t.encode(r[1] or "", add_special_tokens=False).ids + [2]
+        want[r[0], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    for bits in (False, True):
+        got = token_binary.read_token_files(token_binary.write_token_files(docs, path, bits=bits)).orderBy("start").collect()
+        assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+        assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+        assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda x: (x is not None, x))
+    assert token_binary.read_token_files(token_binary.write_token_files(none, path)).count() == 0
+
+
+def _der(tag, body):
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else b"\x82" + n.to_bytes(2, "big")) + body
+
+
+def test_secret_scan(spark, docs, none):
+    key = _der(0x30, _der(2, b"\0") + b"".join(_der(2, bytes([7]) * 20) for _ in range(8)))
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    jwt = f"{part({'alg': 'HS256'})}.{part({'sub': 'x'})}.c2lnbmF0dXJl"
+    blob = base64.b64encode(key).decode()
+    text = f"é PassWord = 'hunter22' token:abc AKIA{'A1' * 10} {'0123456789abcdef' * 2} {blob} {jwt} {blob[:-8]} eyJhbGciOiJ4In0.bm8.eA"
+    spans = {k: text[a:b] for a, k, b in secret_scan.all_spans(text)[1]}
+    assert spans == {"assign": "PassWord = 'hunter22", "access": f"AKIA{'A1' * 10}", "hex": "0123456789abcdef" * 2, "pkey": blob, "jwt": jwt}
+    masked = secret_scan.masked(text)
+    assert not any(v in masked for k, v in spans.items() if k != "pkey") and masked.count(secret_scan.MASK) == 5
+    assert secret_scan.scan_secrets(docs).count() == len(TEXTS) and secret_scan.scan_secrets(none).count() == 0
+    one = secret_scan.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (one.n_assign, one.n_access, one.n_hex) == (1, 1, 1)
+    base = ",".join(f"{k}:{text.index(spans[k])}:{text.index(spans[k]) + len(spans[k])}" for k in ("assign", "access", "hex"))
+    assert one.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
