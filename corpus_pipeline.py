@@ -30,14 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     linked = simhash_dedup.link_documents(docs, SHINGLE_WORDS, DUPLICATE_BITS, sketches=True, longest_run=LONGEST_RUN)
     kept = materialize(linked.select("component_id").where("component_id is not null").distinct(), "kept-ids")
-    named = docs.join(kept, docs["doc_id"] == kept["component_id"], "left_semi")
-    again = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialize(again, "repeated-ids")
-    single = named.join(again, "doc_id", "left_anti")
+    # one shuffle of the texts, by id and at every size; the rows of an id then lie together and sorted
+    named = docs.join(kept.hint("merge"), docs["doc_id"] == kept["component_id"], "left_semi")
     best = F.max_by(F.struct(*(c for c in docs.columns if c != "doc_id")), F.struct(F.length("text"), "text")).alias("best")
-    repeated = named.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(best).select("doc_id", "best.*")
     no_id = docs.where("doc_id is null").dropDuplicates(["text"])
-    return single.select(docs.columns).unionAll(repeated.select(docs.columns)).unionAll(no_id.select(docs.columns))
+    return named.groupBy("doc_id").agg(best).select("doc_id", "best.*").select(docs.columns).unionAll(no_id.select(docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
