@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from framewright.llm import decontaminate, quality_classifier, secret_scan, sentencepiece_codec, simhash_dedup
 from framewright.storage import materialize, ship_package, table
 
-#: Near duplicates: five-word shingles, candidates within this many bits, resembling by 0.8.
-SHINGLE_WORDS, DUPLICATE_BITS, LONGEST_RUN = 5, 8, 4096
+#: Near duplicates resemble by 0.8 in their shingles of this many words.
+SHINGLE_WORDS = 5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group: the one with the smallest doc_id, and of rows that share
     it one of the longest text.  Documents without an id are alone if no other is near."""
     ship_package(spark)
-    linked = simhash_dedup.link_documents(docs, SHINGLE_WORDS, DUPLICATE_BITS, sketches=True, longest_run=LONGEST_RUN)
+    linked = simhash_dedup.link_near(docs, SHINGLE_WORDS)
     kept = materialize(linked.select("component_id").where("component_id is not null").distinct(), "kept-ids")
     # one shuffle of the texts, by id and at every size; the rows of an id then lie together and sorted
     named = docs.join(kept.hint("merge"), docs["doc_id"] == kept["component_id"], "left_semi")

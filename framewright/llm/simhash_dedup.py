@@ -12,12 +12,17 @@
    XORs its bit with the word, full adders count 64 distances at once in carry-save
    form, and words all of whose lanes exceed the radius are abandoned.  A run longer than
    four times that is cut in tiles by hash, and every pair of tiles is a group of its own.
-4. Sketches (one-permutation minimum hashes of the same shingles) may be asked for; then
-   only links whose estimated similarity reaches ``NEAR`` count.  ``NEAR`` lies two standard
-   errors below a similarity of 0.8.
-5. Each group answers with the spanning edges of its links (at most one an entry), and
+4. Each group answers with the spanning edges of its links (at most one an entry), and
    the components of these edges are found by contraction.
 
+:func:`link_near` finds near duplicates by similarity instead: texts whose sets of shingles have a
+Jaccard similarity of 0.8.  Such fingerprints differ in about 10 bits, too many for keys of equal
+blocks, so keys come from a sketch (one-permutation minimum hashes of the same shingles): ``BANDS``
+hashes of ``BAND`` bins each, of which two texts of similarity 0.8 share one in 998 of 1000 cases.
+Those that share a key are compared by bit planes within ``NEAR_BITS`` (three standard deviations
+above the mean at 0.8), and of these the pairs whose estimated similarity reaches ``NEAR`` (two
+standard errors below 0.8) are linked.
+
 Null texts count as texts without a word, and all those link.  Repeated rows share their
 component.  Null doc_ids take part; component_id is the smallest doc_id that is not null.
 Columns other than doc_id and text are not read.
@@ -45,8 +50,12 @@ SEED = 42
 BIN_ROWS = 30_000
 LONGEST_RUN = 512
 MOST_BROADCAST = 20_000
-BINS = 128
-NEAR = 0.72
+BINS = 256
+BAND = 6
+BANDS = 21
+NEAR = 0.75
+NEAR_BITS = 18
+NEAR_RUN = 4096
 PAIRS = 1 << 15
 HASHES = 1 << 16
 
@@ -64,37 +73,65 @@ def shingle_hashes(text: bytes, width: int) -> list[int]:
     return [digest(flat[a:b], SEED) for a, b in zip(starts.tolist(), ends[width - 1 :].tolist(), strict=True)]
 
 
-def fingerprints(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """An unsigned 64-bit fingerprint and a sketch of each text.  The sketch holds, for each of
-    ``BINS`` ranges of hashes, a byte of the least hash that falls there; 0 if none does."""
-    each = [np.array(shingle_hashes(t, width), np.uint64) for t in texts]
+def fingerprints(each: list[np.ndarray]) -> np.ndarray:
+    """An unsigned 64-bit fingerprint of each array of hashes."""
     sizes = np.fromiter(map(len, each), np.int64, len(each))
     hashes = np.concatenate([np.zeros(0, np.uint64), *each])
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    ones = np.zeros((len(texts), 64), np.int64)
+    owner = np.repeat(np.arange(len(each)), sizes)
+    ones = np.zeros((len(each), 64), np.int64)
     for k in range(0, len(hashes), HASHES):
         bits = np.unpackbits(hashes[k : k + HASHES].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         own = owner[k : k + HASHES]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         ones[own[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-    least = np.full((len(texts), BINS), _ALL)
+    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+
+
+def sketches(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each array of hashes a byte of the least hash in each of ``BINS`` ranges, 0 if none falls
+    there, and ``BANDS`` keys, each over ``BAND`` bins; an empty bin borrows from the next one."""
+    hashes = np.concatenate([np.zeros(0, np.uint64), *each])
+    owner = np.repeat(np.arange(len(each)), np.fromiter(map(len, each), np.int64, len(each)))
+    least = np.full((len(each), BINS), _ALL)
     np.minimum.at(least, (owner, (hashes >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)), hashes)
-    sketch = np.where(least == _ALL, 0, 1 + least % 255).astype(np.uint8)
-    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view("<u8").reshape(-1), sketch
+    empty = least == _ALL
+    sketch = np.where(empty, 0, 1 + least % 255).astype(np.uint8)
+    twice = np.where(np.tile(empty, 2), 2 * BINS, np.arange(2 * BINS))
+    source = np.minimum.accumulate(twice[:, ::-1], axis=1)[:, ::-1][:, :BINS] % BINS
+    full = W.mix(np.take_along_axis(least, source, axis=1))[:, _BAND_BINS]
+    return sketch, W.mix((full * W.powers(W.WORD_BASE, BAND)).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
+
+
+#: Which bins each band takes: any choice does, as long as it stays the same.
+_BAND_BINS = np.random.default_rng(SEED).permutation(BINS)[: BANDS * BAND].reshape(BANDS, BAND)
+
+
+def fingerprint_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id and ``fp``, the fingerprint as a signed long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.blocks(batch, "text"):
+                each = [np.array(shingle_hashes((t or "").encode(), width), np.uint64) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fingerprints(each).view(np.int64))], ["doc_id", "fp"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def fingerprint_documents(docs: DataFrame, width: int = WIDTH, sketches: bool = False) -> DataFrame:
-    """doc_id, ``fp``, the fingerprint as a signed long, and ``sketch`` if asked for."""
+def sketch_documents(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, and ``fp``, ``sketch`` and ``bands`` of the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.blocks(batch, "text"):
-                fps, sketch = fingerprints([(t or "").encode() for t in part.column("text").to_pylist()], width)
-                columns = [part.column("doc_id"), pa.array(fps.view(np.int64)), *([pa.array([x.tobytes() for x in sketch], pa.binary())] if sketches else [])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "sketch"][: len(columns)])
+                each = [np.unique(np.array(shingle_hashes((t or "").encode(), width), np.uint64)) for t in part.column("text").to_pylist()]
+                sketch, bands = sketches(each)
+                columns = [part.column("doc_id"), pa.array(fingerprints(each).view(np.int64)), pa.array([x.tobytes() for x in sketch], pa.binary()), pa.array(list(bands.view(np.int64)), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "sketch", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long" + ", sketch binary" * sketches)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long, sketch binary, bands array<long>")
 
 
 def blocking(n: int, radius: int, longest_run: int = LONGEST_RUN) -> list[int]:
@@ -153,33 +190,31 @@ class Planes:
             yield from self._near(query, word, out, radius)
 
     def _near(self, query: np.ndarray, word: np.ndarray, out: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Counters of 1, 2, 4 and 8 differing bits in 64 lanes a word; ``out``: lanes that exceed."""
+        """Counters of 1, 2, 4, ... differing bits in 64 lanes a word; ``out``: lanes that exceed."""
         value = self.fps[query]
-        c1, c2, c4, c8 = (np.zeros(len(word), np.uint64) for _ in range(4))
+        c = [np.zeros(len(word), np.uint64) for _ in range(max(2, radius.bit_length()))]
         for b in range(0, 64, 4):
             d = [self.planes[i][word] ^ (np.uint64(0) - ((value >> np.uint64(i)) & np.uint64(1))) for i in range(b, b + 4)]
-            c1, t1 = _full_adder(c1, d[0], d[1])
-            c1, t2 = _full_adder(c1, d[2], d[3])
-            c2, u = _full_adder(c2, t1, t2)
-            v = c4 & u
-            c4 = c4 ^ u
-            out = out | (c8 & v)
-            c8 = c8 ^ v
-            out = out | _exceeds((c1, c2, c4, c8), radius)
+            c[0], t1 = _full_adder(c[0], d[0], d[1])
+            c[0], t2 = _full_adder(c[0], d[2], d[3])
+            c[1], carry = _full_adder(c[1], t1, t2)
+            for i in range(2, len(c)):
+                c[i], carry = c[i] ^ carry, c[i] & carry
+            out = out | carry | _exceeds(c, radius)
             if b % 8 == 4:
                 live = out != _ALL
                 if not live.all():
-                    query, word, value, out, c1, c2, c4, c8 = (x[live] for x in (query, word, value, out, c1, c2, c4, c8))
+                    query, word, value, out, *c = (x[live] for x in (query, word, value, out, *c))
                 if not len(word):
                     return
         hit = np.flatnonzero(np.unpackbits((~out).astype("<u8").view(np.uint8), bitorder="little"))
         yield query[hit // 64], self.word_row[word[hit // 64]] + hit % 64
 
 
-def _exceeds(counters: tuple[np.ndarray, ...], radius: int) -> np.ndarray:
-    """Lanes whose count of up to 15 is over the radius."""
+def _exceeds(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count, as far as the counters go, is over the radius."""
     over, same = np.zeros_like(counters[0]), np.full_like(counters[0], _ALL)
-    for i in (3, 2, 1, 0):
+    for i in reversed(range(len(counters))):
         if radius >> i & 1:
             same = same & counters[i]
         else:
@@ -211,7 +246,7 @@ def resembles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def group_edges(group: np.ndarray, fps: np.ndarray, radius: int, sketch: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect, within each group, the fingerprints that links connect; with
+    """Rows of edges that connect, within each group, the fingerprints that links connect; with
     sketches only links between texts that resemble each other count."""
     order = np.argsort(group, kind="stable")
     group, fps = group[order], fps[order]
@@ -219,7 +254,7 @@ def group_edges(group: np.ndarray, fps: np.ndarray, radius: int, sketch: np.ndar
     alone = np.repeat(np.diff(runs) == 1, np.diff(runs))
     order, group, fps = order[~alone], group[~alone], fps[~alone]
     if not len(fps):
-        return fps, fps
+        return order, order
     runs = np.append(np.flatnonzero(np.diff(group, prepend=group[0] - 1)), len(group))
     labels = np.arange(len(fps))
     for a, b in Planes(fps, runs).links(radius):
@@ -228,50 +263,80 @@ def group_edges(group: np.ndarray, fps: np.ndarray, radius: int, sketch: np.ndar
         if sketch is not None:
             for k in range(0, len(a), PAIRS):
                 i, j = a[k : k + PAIRS], b[k : k + PAIRS]
+                open_ = labels[i] != labels[j]
+                i, j = i[open_], j[open_]
                 near = resembles(sketch[order[i]], sketch[order[j]])
                 labels = join_labels(labels, i[near], j[near])
         else:
             labels = join_labels(labels, a, b)
     far = np.flatnonzero(labels != np.arange(len(fps)))
-    return fps[far], fps[labels[far]]
+    return order[far], order[labels[far]]
+
+
+def _compared(rows: DataFrame, n_rows: int, radius: int) -> DataFrame:
+    """Edges ``a``, ``b`` of rows ``node``, ``fp``, ``key``, ``tiles`` (and ``sketch``): those of a key
+    are cut in that many tiles by hash, and every pair of tiles is a group of its own."""
+    extra = ["sketch"] if "sketch" in rows.columns else []
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    rows = rows.select("node", "fp", *extra, "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    n_bins = max(16, -(-n_rows // BIN_ROWS))
+    rows = rows.select("node", "fp", *extra, group.alias("grp")).withColumn("bin", F.pmod("grp", F.lit(n_bins)))
+
+    def run(bin_rows: pa.Table) -> pa.Table:
+        sketch = np.frombuffer(b"".join(bin_rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS) if extra else None
+        node = bin_rows.column("node").to_numpy()
+        a, b = group_edges(bin_rows.column("grp").to_numpy(), bin_rows.column("fp").to_numpy().view(np.uint64), radius, sketch)
+        return pa.table({"a": node[a], "b": node[b]})
+
+    return rows.groupBy("bin").applyInArrow(run, "a long, b long").distinct()
 
 
 def similar_edges(distinct: DataFrame, n: int, radius: int, longest_run: int = LONGEST_RUN) -> DataFrame:
-    """Edges ``a``, ``b`` that connect what fingerprints ``fp``, n different ones, link within the
-    radius; if there is a column ``sketch``, only where these resemble each other too."""
+    """Edges ``a``, ``b`` that connect what fingerprints ``fp``, n different ones, link within the radius."""
     masks, tile = blocking(n, radius, longest_run), 4 * longest_run
-    extra = ["sketch"] if "sketch" in distinct.columns else []
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("t", "key")
-    rows = distinct.select("fp", *extra, keys)
-    hot = materialize(rows.groupBy("t", "key").count().where(F.col("count") > tile).select("t", "key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "hot-keys")
+    keys = F.explode(F.array(*(F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(F.lit(m))) for t, m in enumerate(signed)))).alias("key")
+    rows = distinct.select(F.col("fp").alias("node"), "fp", keys)
+    hot = materialize(rows.groupBy("key").count().where(F.col("count") > tile).select("key", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "hot-keys")
     if hot.count() <= MOST_BROADCAST:  # else a shuffled join, whose hot keys adaptive execution splits
         hot = F.broadcast(hot)
-    rows = rows.join(hot, ["t", "key"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    rows = rows.select("fp", *extra, "t", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    group = F.xxhash64("t", "key", F.least("own", "other"), F.greatest("own", "other"))
-    n_bins = max(16, -(-n * len(masks) // BIN_ROWS))
-    rows = rows.select("fp", *extra, group.alias("grp")).withColumn("bin", F.pmod("grp", F.lit(n_bins)))
+    return _compared(rows.join(hot, "key", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1))), n * len(masks), radius)
 
-    def run(bin_rows: pa.Table) -> pa.Table:
-        sketch = np.frombuffer(b"".join(bin_rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS) if extra else None
-        a, b = group_edges(bin_rows.column("grp").to_numpy(), bin_rows.column("fp").to_numpy().view(np.uint64), radius, sketch)
-        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return rows.groupBy("bin").applyInArrow(run, "a long, b long").distinct()
+def near_edges(distinct: DataFrame, radius: int = NEAR_BITS, longest_run: int = NEAR_RUN) -> DataFrame:
+    """Edges ``a``, ``b`` of ``node`` that connect what resembles, of node, ``fp``, ``sketch`` and ``bands``.
+    Most keys occur once, and rows of these go no further; sketches are fetched for the rest."""
+    tile = 4 * longest_run
+    keys = distinct.select("node", F.explode("bands").alias("key"))
+    shared = materialize(keys.groupBy("key").count().where("count > 1").select("key", "count", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "shared-keys")
+    n_rows = shared.agg(F.sum("count")).first()[0] or 0
+    rows = keys.join(shared.drop("count"), "key").join(distinct.select("node", "fp", "sketch"), "node")
+    return _compared(rows, n_rows, radius)
 
 
-def link_documents(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, sketches: bool = False, longest_run: int = LONGEST_RUN) -> DataFrame:
-    """doc_id, ``fp`` and ``component_id``, the smallest doc_id that links reach."""
-    prints = materialize(fingerprint_documents(docs, width, sketches), "fingerprints")
-    least = [F.min("doc_id").alias("first_id"), *([F.max("sketch").alias("sketch")] if sketches else [])]
-    distinct = materialize(prints.groupBy("fp").agg(*least), "distinct-fingerprints")
-    root = connected_components(similar_edges(distinct, distinct.count(), radius, longest_run)).withColumnRenamed("node", "fp")
-    member = materialize(distinct.join(root, "fp", "left").select("fp", "first_id", F.coalesce("root", F.xxhash64("fp")).alias("root")), "members")
+def _named(prints: DataFrame, distinct: DataFrame, edges: DataFrame, node: str) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id`` of documents with a node, given edges between nodes."""
+    root = connected_components(edges).withColumnRenamed("node", node)
+    member = materialize(distinct.join(root, node, "left").select(node, "first_id", F.coalesce("root", F.xxhash64(node)).alias("root")), "members")
     least = materialize(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
-    named = materialize(member.join(least, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = materialize(member.join(least, "root").select(node, "component_id"), "named")
+    return prints.join(named, node).select("doc_id", "fp", "component_id")
+
+
+def link_documents(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, longest_run: int = LONGEST_RUN) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id``, the smallest doc_id that links reach."""
+    prints = materialize(fingerprint_documents(docs, width), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    return _named(prints, distinct, similar_edges(distinct, distinct.count(), radius, longest_run), "fp")
+
+
+def link_near(docs: DataFrame, width: int = 5) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id``, the smallest doc_id that near duplicates reach."""
+    prints = materialize(sketch_documents(docs, width).withColumn("node", F.xxhash64("fp", "sketch")), "sketches")
+    each = [F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands"))]
+    distinct = materialize(prints.groupBy("node").agg(*each), "distinct-sketches")
+    return _named(prints.select("doc_id", "fp", "node"), distinct, near_edges(distinct), "node")
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

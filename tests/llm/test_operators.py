@@ -209,11 +209,11 @@ def test_simhash(docs, none):
     assert simhash_dedup.link_documents(none).count() == 0
 
 
-@pytest.mark.parametrize("radius", [4, 8])
+@pytest.mark.parametrize("radius", [2, 4, 8, 18])
 def test_bit_planes_find_all_pairs(radius):
     rng = np.random.default_rng(radius)
     base = rng.integers(0, 1 << 63, 30, dtype=np.uint64)
-    fps = np.unique(np.array([int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 9), replace=False)) for b in base for _ in range(12)], np.uint64))
+    fps = np.unique(np.array([int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 13), replace=False)) for b in base for _ in range(12)], np.uint64))
     got = {(int(a), int(b)) for x, y in simhash_dedup.Planes(fps, np.array([0, 70, len(fps)])).links(radius) for a, b in zip(x, y, strict=True)}
     assert got == {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if (i < 70) == (j < 70) and (int(fps[i]) ^ int(fps[j])).bit_count() <= radius}
 
@@ -236,6 +236,35 @@ def test_hot_keys_are_tiled(spark):
     assert len(got) == 300 and len(set(got.values())) == 1
 
 
+def test_near_documents_of_every_size_are_linked(spark, docs, none):
+    rng, rows, near = np.random.default_rng(3), [], []
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    for i in range(300):
+        words = [f"t{k}" for k in rng.integers(0, 30_000, rng.integers(12, 600))]
+        other = list(words)
+        for k in rng.integers(0, len(words), rng.integers(1, 1 + max(1, len(words) // 50))):
+            other[k] = f"t{rng.integers(0, 30_000)}"
+        a, b = shingles(words), shingles(other)
+        near.append(len(a & b) / len(a | b) >= 0.8)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    linked = {r.doc_id: r.component_id for r in simhash_dedup.link_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(linked[2 * i] == 2 * i for i in range(300))
+    found = [linked[2 * i + 1] == 2 * i for i, n in enumerate(near) if n]
+    assert len(found) > 100 and sum(found) >= 0.98 * len(found)
+    assert simhash_dedup.link_near(docs).count() == len(TEXTS)
+    assert simhash_dedup.link_near(none).count() == 0
+
+
+def test_hot_band_keys_are_tiled(spark):
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame([(i, " ".join([*words[:200], f"x{i}", *words[200:]])) for i in range(150)], "doc_id long, text string")
+    distinct = simhash_dedup.sketch_documents(docs, 5).selectExpr("doc_id as node", "fp", "sketch", "bands")
+    from framewright.llm.components import connected_components
+
+    got = {r.node: r.root for r in connected_components(simhash_dedup.near_edges(distinct, longest_run=8)).collect()}
+    assert len(got) == 150 and len(set(got.values())) == 1
+
+
 def test_quality_classifier(spark, docs, none):
     good = [(i, " ".join(f"w{(i * 7 + k) % 50}ord" for k in range(60)), 1) for i in range(120)]
     bad = [(1000 + i, " ".join(f"w{(i * 3 + k) % 50}ord$$$" for k in range(60)), 0) for i in range(40)]
