@@ -121,6 +121,42 @@ FINAL = {
     "health_report": "SELECT flight, n_selected, gap_m AS worst_gap_m, round(covered_share, 6) AS covered_share, CASE WHEN n_selected = 0 THEN 'no frames selected' WHEN n_mission > 0 AND covered_share < 0.5 THEN 'low coverage' END AS failure FROM (SELECT flight, count_if(selected) AS n_selected FROM labelled GROUP BY flight) LEFT JOIN metrics USING (flight) LEFT JOIN worst USING (flight)",
 }
 
+CHAIN |= {
+    "rimages": "SELECT o_custkey % 20 AS run, o_orderkey AS image FROM orders",
+    "rselected": "SELECT * FROM rimages WHERE image % 3 = 0 AND run < 15",
+    "rfeatures": "SELECT *, CASE WHEN image % 11 = 0 THEN 0 ELSE image % 1000 END AS num FROM rimages",
+    "rinscope": "SELECT * FROM rfeatures WHERE run NOT IN (SELECT run FROM rselected) OR (run, image) IN (SELECT (run, image) FROM rselected)",
+    "rshots": "SELECT * FROM rimages WHERE image % 4 <> 0 AND run <> 3",
+    "rmissing": "SELECT * FROM rimages WHERE image % 50 = 0",
+    "rgone": "SELECT * FROM rmissing UNION SELECT * FROM (SELECT * FROM rselected EXCEPT SELECT * FROM rshots) WHERE run IN (SELECT run FROM rshots UNION SELECT run FROM rmissing)",
+    "redges": "SELECT o_custkey % 20 AS run, l_orderkey AS a, l_orderkey + 3 * l_linenumber AS b, CASE WHEN l_orderkey % 17 <> 0 THEN l_quantity::BIGINT END AS weight FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    "rnodes": "SELECT run, image, count(*) AS degree, sum(weight) AS strength FROM (SELECT run, unnest([a, b]) AS image, weight FROM redges WHERE weight IS NOT NULL) GROUP BY ALL",
+    "rscoped": "SELECT coalesce(n.run, c.run) AS run, coalesce(n.image, c.image) AS image, degree, strength FROM rnodes n FULL JOIN rselected c ON n.run = c.run AND n.image = c.image WHERE c.image IS NOT NULL OR n.run NOT IN (SELECT run FROM rselected)",
+    "rweak": "SELECT run, image FROM rscoped WHERE (degree IS NULL AND run IN (SELECT run FROM redges)) OR degree <= 5 OR strength < 100",
+    "rflags": "SELECT run, image, CASE WHEN num = 0 THEN 'z' ELSE 'l' END AS flag FROM rinscope WHERE num < 100 UNION ALL SELECT *, 'n' FROM rgone UNION ALL SELECT *, 'w' FROM rweak",
+}
+
+
+def _spread(column: str, name: str) -> str:
+    return ", ".join(f"round(quantile_cont({column}, {q}), 6) AS {name}_{n}" for n, q in (("min", 0.0), ("p50", 0.5), ("max", 1.0)))
+
+
+FINAL |= {
+    "run_selection_metrics": f"""SELECT run, n_candidates, coalesce(n_selected, 0) AS n_selected, * EXCLUDE (run, n_candidates, n_selected) FROM (SELECT flight AS run, count(*) AS n_candidates FROM labelled GROUP BY flight) LEFT JOIN (
+        SELECT flight AS run, count(*) AS n_selected, min(frame) AS first_frame, max(frame) AS last_frame, {_spread("gap", "frame_gap")}, {_spread("altamsl", "altitude_m")}, {_spread("base", "baseline_m")}, count_if(coalesce(base <= 0.1, false)) AS n_near_repeats, count_if(coalesce(base < 1, false)) AS n_low_baselines
+        FROM (SELECT flight, frame, altamsl, frame - lag(frame) OVER (PARTITION BY flight ORDER BY (frame * 7) % 1000003) AS gap, sqrt(power(easting - lag(easting) OVER f, 2) + power(northing - lag(northing) OVER f, 2)) AS base FROM labelled WHERE selected WINDOW f AS (PARTITION BY flight ORDER BY frame)) GROUP BY flight) USING (run)""",
+    "run_feature_report": f"""SELECT * FROM (SELECT run, count(*) AS n_images FROM rfeatures GROUP BY run) LEFT JOIN (
+        SELECT run, {_spread("num", "feature_count")}, count_if(num = 0) AS n_zero_features, count_if(num > 0 AND num < 100) AS n_low_features FROM rinscope GROUP BY run) USING (run)""",
+    "run_reconstruction_report": """SELECT r.run, coalesce(n_shots, 0) AS n_shots, n_selected, coalesce(n_gone, 0) AS n_not_reconstructed, round(n_both / n_selected, 6) AS selected_ratio FROM (SELECT run FROM rshots UNION SELECT run FROM rmissing) r
+        LEFT JOIN (SELECT run, count(*) AS n_shots FROM rshots GROUP BY run) USING (run) LEFT JOIN (SELECT run, count(*) AS n_gone FROM rgone GROUP BY run) USING (run)
+        LEFT JOIN (SELECT run, count(*) AS n_selected, count_if((run, image) IN (SELECT (run, image) FROM rshots)) AS n_both FROM rselected GROUP BY run) USING (run)""",
+    "run_tracks_report": f"""SELECT e.*, n.* EXCLUDE (run), coalesce(n_weak, 0) AS n_weak FROM (SELECT run, count(*) AS n_edges, {_spread("weight", "edge_weight")} FROM redges GROUP BY run) e
+        LEFT JOIN (SELECT run, {_spread("degree", "node_degree")}, {_spread("strength", "node_strength")} FROM rscoped WHERE degree IS NOT NULL GROUP BY run) n USING (run) LEFT JOIN (SELECT run, count(*) AS n_weak FROM rweak GROUP BY run) USING (run)""",
+    "run_image_flags": "SELECT run, image, " + ", ".join(f"bool_or(flag = '{n[0]}') AS {n}" for n in ("zero_features", "low_features", "not_reconstructed", "weak_graph")) + " FROM rflags GROUP BY run, image",
+    "best_matcher_profile": """SELECT run, position, round(o, 6) AS objective FROM (SELECT p_brand AS run, p_partkey AS position, 2.0::DOUBLE * (p_size / 64) + (p_partkey % 16) / 16 + 0.2::DOUBLE * ((p_partkey % 5) * 5.0::DOUBLE) - 0.5::DOUBLE * ((p_partkey % 7) / 2) - 0.5::DOUBLE * greatest(p_partkey % 3 - 1, 0) AS o FROM part)
+        QUALIFY row_number() OVER (PARTITION BY run ORDER BY o DESC, position) = 1""",
+}
+
 
 def _needed(text: str, found: dict[str, None]) -> dict[str, None]:
     """The named subqueries that a text uses, in the order of the chain."""

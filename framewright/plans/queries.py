@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators import audit, coverage, footprints, matching, parallax, selection
+from framewright.operators import audit, coverage, footprints, matching, parallax, run_audit, selection
 from framewright.plans import adapter
 from framewright.sources.readers import first_of_key
 from framewright.sources.sinks import manifest
@@ -360,3 +360,71 @@ def terrain_sample(s, d):
 @query
 def raymarch_footprints(s, d):
     return footprints.footprints(adapter.frames(s, d), Camera(2275.0, 2275.0, 960.0, 540.0, 1920, 1080), _terrain(), BIN_M)
+
+
+def _run_images(s: SparkSession, d: str) -> DataFrame:
+    """Orders as images of runs."""
+    return table(s, d, "orders").select((F.col("o_custkey") % 20).alias("run"), F.col("o_orderkey").alias("image"))
+
+
+def _run_selected(s: SparkSession, d: str) -> DataFrame:
+    """Every third image of most runs; the last runs selected none."""
+    return _run_images(s, d).where("image % 3 = 0 AND run < 15")
+
+
+def _run_features(s: SparkSession, d: str) -> DataFrame:
+    return _run_images(s, d).withColumn("num_features", F.expr("CASE WHEN image % 11 = 0 THEN 0 ELSE image % 1000 END"))
+
+
+def _run_shots(s: SparkSession, d: str) -> DataFrame:
+    return _run_images(s, d).where("image % 4 <> 0 AND run <> 3")
+
+
+def _run_missing(s: SparkSession, d: str) -> DataFrame:
+    return _run_images(s, d).where("image % 50 = 0")
+
+
+def _run_edges(s: SparkSession, d: str) -> DataFrame:
+    """Lines that follow each other in an order's run as edges; some have no weight."""
+    line = table(s, d, "lineitem").join(table(s, d, "orders").select("o_orderkey", (F.col("o_custkey") % 20).alias("run")), F.col("l_orderkey") == F.col("o_orderkey"))
+    edge = line.select("run", F.col("l_orderkey").alias("a"), (F.col("l_orderkey") + 3 * F.col("l_linenumber")).cast("long").alias("b"), F.col("l_quantity").cast("long").alias("weight"))
+    return edge.withColumn("weight", F.expr("CASE WHEN a % 17 = 0 THEN NULL ELSE weight END"))
+
+
+def _flat(report: DataFrame) -> DataFrame:
+    """Quantile columns as three plain ones each: the least, the median and the largest."""
+    arrays = [c for c, t in report.dtypes if t.startswith("array")]
+    return report.select("*", *(F.col(c)[i].alias(f"{c}_{n}") for c in arrays for n, i in (("min", 0), ("p50", 3), ("max", 6)))).drop(*arrays)
+
+
+@query
+def run_selection_metrics(s, d):
+    named = _labelled(s, d).select(F.col("flight").alias("run"), F.expr("CAST((frame * 7) % 1000003 AS BIGINT)").alias("at"), F.col("frame").alias("FrameNumber"), "selected", "easting", "northing", "altamsl", F.lit(None).cast("double").alias("quality_score"))
+    return _flat(run_audit.selection_metrics(named).drop("quality"))
+
+
+@query
+def run_feature_report(s, d):
+    return _flat(run_audit.feature_report(_run_features(s, d), _run_selected(s, d)))
+
+
+@query
+def run_reconstruction_report(s, d):
+    return run_audit.reconstruction_report(_run_shots(s, d), _run_missing(s, d), _run_selected(s, d))
+
+
+@query
+def run_tracks_report(s, d):
+    return _flat(run_audit.tracks_report(_run_edges(s, d), _run_selected(s, d)))
+
+
+@query
+def run_image_flags(s, d):
+    return run_audit.image_flags(_run_features(s, d), _run_shots(s, d), _run_missing(s, d), _run_edges(s, d), _run_selected(s, d))
+
+
+@query
+def best_matcher_profile(s, d):
+    """Parts as results of runs: the best of each brand."""
+    results = table(s, d, "part").select(F.col("p_brand").alias("run"), F.col("p_partkey").alias("position"), (F.col("p_size") / 64).alias("cross_track_solid_ratio"), ((F.col("p_partkey") % 16) / 16).alias("algebraic_connectivity"), ((F.col("p_partkey") % 5) * 5.0).alias("track_len_mean"), ((F.col("p_partkey") % 7) / 2).alias("reproj_err_px"), (F.col("p_partkey") % 3).alias("match_graph_components"))
+    return run_audit.best_profiles(results).select("run", "position", F.round(run_audit.objective(), 6).alias("objective"))
