@@ -65,3 +65,14 @@ def test_best_profiles(spark):
     assert {(r.run, r.position) for r in run_audit.best_profiles(results).collect()} == {("r", 1), ("s", 4)}
     assert {(r.run, r.position) for r in run_audit.best_profiles(results, sweep=False).collect()} == {("r", 0), ("s", 4)}
     assert run_audit.best_profiles(results.limit(0)).count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from framewright import cli
+
+    _runs(tmp_path / "runs")
+    cli.main(["resolve-run", str(tmp_path / "runs")])
+    assert capsys.readouterr().out.strip().endswith("20240103000000")
+    cli.main(["audit-run", str(tmp_path / "runs"), str(tmp_path / "out")])
+    assert spark.read.json(str(tmp_path / "out/reports")).count() == 3
+    assert spark.read.option("header", True).csv(str(tmp_path / "out/bad_images")).count() == 4
