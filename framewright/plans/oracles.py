@@ -36,7 +36,7 @@ CHAIN = {
     "mission": "SELECT DISTINCT flight, cx, cy FROM cells WHERE footprint_valid",
     "status": f"SELECT flight, cx, cy, CASE WHEN views IS NULL THEN 0 WHEN views < {P.target_views} THEN 1 ELSE 2 END AS status FROM mission LEFT JOIN views USING (flight, cx, cy)",
     "metrics": f"""SELECT flight, n_mission, coalesce(n_covered, 0) AS n_covered, coalesce(n_at_target, 0) AS n_at_target, coalesce(n_at_double, 0) AS n_at_double, coalesce(n_covered, 0) / greatest(n_mission, 1)::DOUBLE AS covered_share, coalesce(mean_views, 0) AS mean_views, coalesce(max_views, 0) AS max_views
-                 FROM (SELECT flight, count(*) AS n_mission FROM mission GROUP BY flight) LEFT JOIN (SELECT flight, count(*) AS n_covered, count_if(views >= {P.target_views}) AS n_at_target, count_if(views >= {2 * P.target_views}) AS n_at_double, avg(views) AS mean_views, max(views) AS max_views FROM views GROUP BY flight) USING (flight)""",
+                 FROM (SELECT flight, count(*) AS n_mission FROM mission GROUP BY flight) LEFT JOIN (SELECT flight, count(*) AS n_covered, count(1) FILTER (WHERE views >= {P.target_views}) AS n_at_target, count(1) FILTER (WHERE views >= {2 * P.target_views}) AS n_at_double, avg(views) AS mean_views, max(views) AS max_views FROM views GROUP BY flight) USING (flight)""",
     "gaps": "SELECT * FROM (SELECT flight, frame, frame - lag(frame) OVER w AS gap_frames, round(sqrt((easting - lag(easting) OVER w) * (easting - lag(easting) OVER w) + (northing - lag(northing) OVER w) * (northing - lag(northing) OVER w)), 6) AS gap_m FROM chosen WINDOW w AS (PARTITION BY flight ORDER BY frame)) WHERE gap_frames IS NOT NULL",
     "worst": "SELECT flight, frame, gap_frames, gap_m FROM gaps WHERE gap_m > 0 QUALIFY row_number() OVER (PARTITION BY flight ORDER BY gap_m DESC, frame) = 1",
     "binned": f"SELECT *, floor((easting - min(easting) OVER f) / {AUDIT_BIN_M})::BIGINT AS cell_x, floor((northing - min(northing) OVER f) / {AUDIT_BIN_M})::BIGINT AS cell_y FROM scored WINDOW f AS (PARTITION BY flight)",
@@ -82,7 +82,7 @@ FINAL = {
     "thin_to_cap": f"SELECT flight, frame FROM (SELECT *, row_number() OVER (PARTITION BY flight, b ORDER BY quality_score DESC, frame) AS k FROM (SELECT *, count(*) OVER (PARTITION BY flight) AS n, ntile({P.max_frames}) OVER (PARTITION BY flight ORDER BY frame) AS b FROM (SELECT flight, frame, quality_score FROM scored WHERE quality_score IS NOT NULL))) WHERE n <= {P.max_frames} OR k = 1",
     "select_keyframes": "SELECT flight, frame, selected, reject_reason FROM labelled",
     "reject_reason_counts": "SELECT reject_reason, count(*) AS n FROM labelled GROUP BY 1",
-    "build_manifest": "SELECT flight, count(*) AS n_frames, count_if(selected) AS n_selected, '[' || coalesce(string_agg(frame::VARCHAR, ',' ORDER BY frame) FILTER (WHERE selected), '') || ']' AS selected_frames FROM labelled GROUP BY flight",
+    "build_manifest": "SELECT flight, count(*) AS n_frames, count(1) FILTER (WHERE selected) AS n_selected, '[' || coalesce(string_agg(frame::VARCHAR, ',' ORDER BY frame) FILTER (WHERE selected), '') || ']' AS selected_frames FROM labelled GROUP BY flight",
     "view_counts": "SELECT * FROM views",
     "mission_cells": "SELECT * FROM mission",
     "coverage_metrics": "SELECT * REPLACE (round(covered_share, 6) AS covered_share, round(mean_views, 6) AS mean_views) FROM metrics",
@@ -97,20 +97,20 @@ FINAL = {
     "local_density": f"SELECT flight, frame, n AS population FROM (SELECT a.flight, a.frame, count(*) AS n FROM frames a JOIN frames b ON a.flight = b.flight AND (a.easting - b.easting) * (a.easting - b.easting) + (a.northing - b.northing) * (a.northing - b.northing) <= {DENSITY_M**2} GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY flight ORDER BY n DESC, frame) = 1",
     "matcher_neighbors_radius": f"SELECT flight, CASE WHEN count(*) < 2 THEN 0 ELSE greatest(floor(quantile_cont(n, 0.5)), 1) END::BIGINT AS neighbours FROM (SELECT a.flight, a.frame, count(b.frame) AS n FROM chosen a LEFT JOIN chosen b ON a.flight = b.flight AND a.frame <> b.frame AND (a.easting - b.easting) * (a.easting - b.easting) + (a.northing - b.northing) * (a.northing - b.northing) <= {REACH_M**2} GROUP BY ALL) GROUP BY flight",
     "audit_quantiles": "SELECT flight, " + ", ".join(f"round(quantile_cont(quality_score, {q}), 6) AS {n}" for n, q in zip(("q_min", "p10", "p25", "p50", "p75", "p90", "q_max"), (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0), strict=True)) + " FROM scored GROUP BY flight",
-    "adjacent_baselines": "SELECT flight, count(*) AS n, count_if(gap_m <= 50) AS near_repeats, count_if(gap_m < 70) AS low, round(quantile_cont(gap_m, 0.5), 6) AS median_m FROM gaps GROUP BY flight",
+    "adjacent_baselines": "SELECT flight, count(*) AS n, count(1) FILTER (WHERE gap_m <= 50) AS near_repeats, count(1) FILTER (WHERE gap_m < 70) AS low, round(quantile_cont(gap_m, 0.5), 6) AS median_m FROM gaps GROUP BY flight",
     "footprint_jaccard": "SELECT flight, frame, round(len(list_intersect(c, b)) / (len(c) + len(b) - len(list_intersect(c, b)))::DOUBLE, 6) AS jaccard FROM (SELECT flight, frame, c, lag(c) OVER (PARTITION BY flight ORDER BY frame) AS b FROM (SELECT flight, frame, list(DISTINCT [cx, cy]) AS c FROM cells GROUP BY ALL)) WHERE b IS NOT NULL",
     "covis_edges": "SELECT flight, i, j, shared, round(iom, 6) AS iom, round(dist_m, 6) AS dist_m FROM edges",
     "covis_degrees": "SELECT * FROM degree",
     "covis_summary": """SELECT flight, n, coalesce(n_edges, 0) AS n_edges, coalesce(n_cross, 0) AS n_cross, round(degree_p50, 6) AS degree_p50, round(degree_p95, 6) AS degree_p95, degree_max, round(reach_max, 6) AS reach_max
         FROM (SELECT flight, count(*) AS n, quantile_cont(degree, 0.5) AS degree_p50, quantile_cont(degree, 0.95) AS degree_p95, max(degree) AS degree_max FROM degree GROUP BY flight)
-        LEFT JOIN (SELECT flight, count(*) AS n_edges, count_if(j - i > 16) AS n_cross, max(dist_m) AS reach_max FROM edges GROUP BY flight) USING (flight)""",
+        LEFT JOIN (SELECT flight, count(*) AS n_edges, count(1) FILTER (WHERE j - i > 16) AS n_cross, max(dist_m) AS reach_max FROM edges GROUP BY flight) USING (flight)""",
     "pair_budget": f"SELECT DISTINCT flight, i, j, iom FROM (SELECT flight, i, j, iom, row_number() OVER (PARTITION BY flight, node ORDER BY iom DESC, i, j) AS k FROM (SELECT flight, i, j, round(iom, 6) AS iom, unnest([i, j]) AS node FROM edges)) WHERE k <= {PAIR_BUDGET}",
     "matcher_profile": "SELECT flight, CASE WHEN m IS NULL THEN 8 ELSE least(greatest(ceil(p), 8), 64) END::BIGINT AS neighbours, coalesce(m, 0) AS distance_m FROM (SELECT flight, quantile_cont(degree, 0.95) AS p FROM degree GROUP BY flight) LEFT JOIN (SELECT flight, round(quantile_cont(dist_m, 0.95), 2) AS m FROM edges GROUP BY flight) USING (flight)",
     "optical_axis": "SELECT flight, frame, round(ax, 6) AS ax, round(ay, 6) AS ay, round(az, 6) AS az FROM axes",
     "rotation_delta": "SELECT flight, frame, round(degrees(sqrt(p * p + y * y)), 4) AS turn_deg FROM (SELECT flight, frame, " + ", ".join(f"(({c}_rad - {c}_rad_0 + pi()) - floor(({c}_rad - {c}_rad_0 + pi()) / (2 * pi())) * 2 * pi()) - pi() AS {c[0]}" for c in ("pitch", "yaw")) + " FROM steps)",
     "view_angle": "SELECT flight, frame, round(degrees(acos(greatest(-1, least(1, ax * ax_0 + ay * ay_0 + az * az_0)))), 4) AS angle_deg FROM steps",
     "convergence_by_cell": "SELECT * FROM conv",
-    "parallax_metrics": "SELECT flight, count(*) AS n_covered, count_if(views >= 3 AND angle >= 10) AS n_satisfied, count_if(views >= 3 AND angle < 10) AS n_low, " + ", ".join(f"round(quantile_cont(angle, {q}) FILTER (WHERE views >= 2), 2) AS {n}" for n, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))) + " FROM conv GROUP BY flight",
+    "parallax_metrics": "SELECT flight, count(*) AS n_covered, count(1) FILTER (WHERE views >= 3 AND angle >= 10) AS n_satisfied, count(1) FILTER (WHERE views >= 3 AND angle < 10) AS n_low, " + ", ".join(f"round(quantile_cont(angle, {q}) FILTER (WHERE views >= 2), 2) AS {n}" for n, q in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9))) + " FROM conv GROUP BY flight",
     "solid_pairs": f"SELECT * FROM solid{LEAST_INLIERS}",
     "graph_degree_strength": f"SELECT * FROM strength{LEAST_INLIERS}",
     "weak_nodes": "SELECT * FROM weak",
@@ -118,7 +118,7 @@ FINAL = {
     "pair_recall_precision": f"SELECT n_predicted, n_solid, n_both, round(n_both / n_solid::DOUBLE, 6) AS recall, round(n_both / n_predicted::DOUBLE, 6) AS precision FROM (SELECT (SELECT count(*) FROM predicted) AS n_predicted, (SELECT count(*) FROM solid{LEAST_INLIERS}) AS n_solid, (SELECT count(*) FROM predicted JOIN solid{LEAST_INLIERS} USING (a, b)) AS n_both)",
     "match_components": "SELECT a AS node, least(a, min(b)) AS component FROM reach58 GROUP BY a",
     "track_length_median": "SELECT min(length) AS median FROM (SELECT length, sum(n) OVER (ORDER BY length) AS cum, sum(n) OVER () AS total FROM (SELECT length, count(*) AS n FROM (SELECT count(*) AS length FROM lineitem GROUP BY l_orderkey) GROUP BY length)) WHERE 2 * cum >= total",
-    "health_report": "SELECT flight, n_selected, gap_m AS worst_gap_m, round(covered_share, 6) AS covered_share, CASE WHEN n_selected = 0 THEN 'no frames selected' WHEN n_mission > 0 AND covered_share < 0.5 THEN 'low coverage' END AS failure FROM (SELECT flight, count_if(selected) AS n_selected FROM labelled GROUP BY flight) LEFT JOIN metrics USING (flight) LEFT JOIN worst USING (flight)",
+    "health_report": "SELECT flight, n_selected, gap_m AS worst_gap_m, round(covered_share, 6) AS covered_share, CASE WHEN n_selected = 0 THEN 'no frames selected' WHEN n_mission > 0 AND covered_share < 0.5 THEN 'low coverage' END AS failure FROM (SELECT flight, count(1) FILTER (WHERE selected) AS n_selected FROM labelled GROUP BY flight) LEFT JOIN metrics USING (flight) LEFT JOIN worst USING (flight)",
 }
 
 CHAIN |= {
@@ -143,13 +143,13 @@ def _spread(column: str, name: str) -> str:
 
 FINAL |= {
     "run_selection_metrics": f"""SELECT run, n_candidates, coalesce(n_selected, 0) AS n_selected, * EXCLUDE (run, n_candidates, n_selected) FROM (SELECT flight AS run, count(*) AS n_candidates FROM labelled GROUP BY flight) LEFT JOIN (
-        SELECT flight AS run, count(*) AS n_selected, min(frame) AS first_frame, max(frame) AS last_frame, {_spread("gap", "frame_gap")}, {_spread("altamsl", "altitude_m")}, {_spread("base", "baseline_m")}, count_if(coalesce(base <= 0.1, false)) AS n_near_repeats, count_if(coalesce(base < 1, false)) AS n_low_baselines
+        SELECT flight AS run, count(*) AS n_selected, min(frame) AS first_frame, max(frame) AS last_frame, {_spread("gap", "frame_gap")}, {_spread("altamsl", "altitude_m")}, {_spread("base", "baseline_m")}, count(1) FILTER (WHERE coalesce(base <= 0.1, false)) AS n_near_repeats, count(1) FILTER (WHERE coalesce(base < 1, false)) AS n_low_baselines
         FROM (SELECT flight, frame, altamsl, frame - lag(frame) OVER (PARTITION BY flight ORDER BY (frame * 7) % 1000003) AS gap, sqrt(power(easting - lag(easting) OVER f, 2) + power(northing - lag(northing) OVER f, 2)) AS base FROM labelled WHERE selected WINDOW f AS (PARTITION BY flight ORDER BY frame)) GROUP BY flight) USING (run)""",
     "run_feature_report": f"""SELECT * FROM (SELECT run, count(*) AS n_images FROM rfeatures GROUP BY run) LEFT JOIN (
-        SELECT run, {_spread("num", "feature_count")}, count_if(num = 0) AS n_zero_features, count_if(num > 0 AND num < 100) AS n_low_features FROM rinscope GROUP BY run) USING (run)""",
+        SELECT run, {_spread("num", "feature_count")}, count(1) FILTER (WHERE num = 0) AS n_zero_features, count(1) FILTER (WHERE num > 0 AND num < 100) AS n_low_features FROM rinscope GROUP BY run) USING (run)""",
     "run_reconstruction_report": """SELECT r.run, coalesce(n_shots, 0) AS n_shots, n_selected, coalesce(n_gone, 0) AS n_not_reconstructed, round(n_both / n_selected, 6) AS selected_ratio FROM (SELECT run FROM rshots UNION SELECT run FROM rmissing) r
         LEFT JOIN (SELECT run, count(*) AS n_shots FROM rshots GROUP BY run) USING (run) LEFT JOIN (SELECT run, count(*) AS n_gone FROM rgone GROUP BY run) USING (run)
-        LEFT JOIN (SELECT run, count(*) AS n_selected, count_if((run, image) IN (SELECT (run, image) FROM rshots)) AS n_both FROM rselected GROUP BY run) USING (run)""",
+        LEFT JOIN (SELECT run, count(*) AS n_selected, count(1) FILTER (WHERE (run, image) IN (SELECT (run, image) FROM rshots)) AS n_both FROM rselected GROUP BY run) USING (run)""",
     "run_tracks_report": f"""SELECT e.*, n.* EXCLUDE (run), coalesce(n_weak, 0) AS n_weak FROM (SELECT run, count(*) AS n_edges, {_spread("weight", "edge_weight")} FROM redges GROUP BY run) e
         LEFT JOIN (SELECT run, {_spread("degree", "node_degree")}, {_spread("strength", "node_strength")} FROM rscoped WHERE degree IS NOT NULL GROUP BY run) n USING (run) LEFT JOIN (SELECT run, count(*) AS n_weak FROM rweak GROUP BY run) USING (run)""",
     "run_image_flags": "SELECT run, image, " + ", ".join(f"bool_or(flag = '{n[0]}') AS {n}" for n in ("zero_features", "low_features", "not_reconstructed", "weak_graph")) + " FROM rflags GROUP BY run, image",
