@@ -2,9 +2,10 @@
 
 1. A template: names (capitalised words inside a sentence), numbers and units behind a number
    become typed placeholders, everything else is lower-cased words without punctuation.
-2. Template windows: the hash of ``WIDTH`` tokens, at every place of an item and at every
-   ``STRIDE``-th place of a document, so each common stretch of ``WIDTH + STRIDE - 1`` tokens has a
-   window on both sides.  Item windows with under ``LEAST_LITERALS`` plain words are left out.
+2. Windows: the hash of ``WIDTH`` tokens (of all tokens of a shorter item) at every place of an
+   item and of a document, so each common stretch of that length has a window on both sides.  They
+   are taken of templates, and where an item's window has under ``LEAST_LITERALS`` plain words, of
+   the words and values themselves, which match as they are only.
 3. A document keeps the windows whose hash some item has (a set of at most ``BLOCK_WINDOWS``
    hashes, its size checked; a larger benchmark is taken in blocks of that size, each against all
    documents), with the tokens around them, and these are hash-joined with the item windows.
@@ -15,8 +16,8 @@
 Everything runs as built-in expressions; documents are read once a block and not shuffled, only the
 matches are.  Items longer than ``PART`` tokens are judged in parts, and one is enough.
 
-Null and empty texts match nothing, nor do items of fewer than ``WIDTH`` tokens.  Rows are judged
-one by one; those that share a doc_id (null too) or an item_id give one row, the best match.  Other columns than the ids and texts are not read.
+Null and empty texts match nothing.  An item of fewer than ``WIDTH`` tokens is found as a whole
+only, one of a single word in every document with this word.  Rows are judged one by one; those that share a doc_id (null too) or an item_id give one row, the best match.  Other columns than the ids and texts are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from framewright.storage import materialize, table
 
 WIDTH = 8
-STRIDE = 4
 LEAST_LITERALS = 4
 LEAST_SHARE = 0.5
 PART = 256
@@ -64,16 +64,15 @@ def templated(marked_text: Column) -> Column:
     return F.split(F.regexp_replace(marked_text, rf"({_SLOT})[^ ]+", "$1"), " ")
 
 
-def _windows(step: int) -> str:
-    """SQL for the windows of ``template``: their places p and hashes h."""
-    at = f"CASE WHEN size(template) >= {WIDTH} THEN sequence(0, size(template) - {WIDTH}, {step}) ELSE CAST(array() AS ARRAY<INT>) END"
-    return f"transform({at}, p -> struct(p AS p, xxhash64(slice(template, p + 1, {WIDTH})) AS h))"
+def bared(marked_text: Column) -> Column:
+    """The tokens without their marks."""
+    return F.split(F.regexp_replace(marked_text, _SLOT, ""), " ")
 
 
 def item_parts(benchmark: DataFrame) -> DataFrame:
     """pid, item_id, ``values`` and ``template``: the tokens of each part of each item; ``named``
     is the template with names left as words, for documents without capitals or all in them."""
-    items = benchmark.select("item_id", marked(F.col("text")).alias("marked"))
+    items = benchmark.select("item_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
     items = items.select("item_id", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), templated(F.regexp_replace("marked", NAME, "")).alias("w"))
     cuts = F.expr(f"sequence(0, greatest(0, size(v) - {WIDTH}), {PART})")
     parts = items.select("item_id", "v", "t", "w", F.explode(cuts).alias("part"))
@@ -82,24 +81,44 @@ def item_parts(benchmark: DataFrame) -> DataFrame:
 
 
 def item_windows(parts: DataFrame) -> DataFrame:
-    """pid, ``q`` and ``h``: place and hash of each window of each part."""
-    both = parts.select("pid", "template").union(parts.select("pid", "named"))
-    windows = both.select("pid", "template", F.explode(F.expr(_windows(1))).alias("w"))
-    literals = F.expr(f"size(filter(slice(template, w.p + 1, {WIDTH}), t -> t NOT IN ('{NAME}', '{NUMBER}', '{UNIT}')))")
-    return windows.where(literals >= LEAST_LITERALS).select("pid", F.col("w.p").alias("q"), F.col("w.h").alias("h")).distinct()
-
-
-def _hits(docs: DataFrame, hashes: list[int]) -> DataFrame:
-    """doc_id, row, p, h, and the tokens from ``start`` on around each window whose hash is listed."""
-    known = ", ".join(map(str, hashes))  # a list of plain numbers becomes one hashed set
-    found = docs.select("doc_id", marked(F.col("text")).alias("marked")).select("doc_id", "marked", templated(F.col("marked")).alias("template"))
+    """pid, place ``q``, ``kind`` (the tokens it is taken of), ``width`` and hash ``h`` of each window of
+    each part, and ``before``, the hash of the same kind one place before."""
+    bare = F.transform("values", lambda t: F.regexp_replace(t, "^" + _SLOT, "")).alias("bare")
+    both = parts.select("pid", "template", bare).union(parts.select("pid", "named", bare))
+    both = both.withColumn("width", F.least(F.size("template"), F.lit(WIDTH)))
+    slot = f"t IN ('{NAME}', '{NUMBER}', '{UNIT}')"
+    kind = f"CASE WHEN size(filter(slice(template, p + 1, width), t -> NOT {slot})) >= {LEAST_LITERALS} THEN 'template' ELSE 'bare' END"
+    window = f"transform(sequence(0, size(template) - width), p -> struct(p AS q, {kind} AS kind, xxhash64(slice(CASE {kind} WHEN 'bare' THEN bare ELSE template END, p + 1, width)) AS h))"
+    both = both.select("pid", "width", F.expr(window).alias("w"))
+    last = "get(w, k - 1)"
+    windows = both.select("pid", "width", F.explode(F.expr(f"transform(w, (x, k) -> struct(x.q AS q, x.kind AS kind, x.h AS h, CASE WHEN {last}.kind = x.kind THEN {last}.h END AS before))")).alias("x"))
+    return windows.select("pid", "width", "x.*").distinct()
+
+
+def _among(kind: str, width: int, block: list) -> str:
+    """SQL for the places p of a document whose window has one of the hashes of the block, with
+    the hash h, and ``before``, the hash one place before."""
+    at = lambda p: f"xxhash64(slice({kind}, {p} + 1, {width}))"
+    places = f"CASE WHEN size({kind}) >= {width} THEN sequence(0, size({kind}) - {width}) ELSE CAST(array() AS ARRAY<INT>) END"
+    known = ", ".join(str(r.h) for r in block)  # a list of plain numbers becomes one hashed set
+    return f"transform(filter({places}, p -> {at('p')} IN ({known})), p -> struct(p AS p, {at('p')} AS h, CASE WHEN p > 0 THEN {at('(p - 1)')} END AS before))"
+
+
+def _hits(docs: DataFrame, block: DataFrame) -> DataFrame:
+    """doc_id, row, p, h, ``last`` (the hash one place before), and the tokens from ``start`` on
+    around each window whose hash the block has."""
+    groups: dict[tuple[str, int], list] = {}
+    for r in block.select("kind", "width", "h").distinct().collect():
+        groups.setdefault((r.kind, r.width), []).append(r)
+    listed = [_among(kind, width, rows) for (kind, width), rows in sorted(groups.items())] or ["CAST(array() AS ARRAY<STRUCT<p: INT, h: BIGINT, before: BIGINT>>)"]
+    found = docs.select("doc_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
+    found = found.select("doc_id", "marked", templated(F.col("marked")).alias("template"), bared(F.col("marked")).alias("bare"))
     # the row number keeps the filter above from moving down, where it would work everything out twice
-    found = found.select("doc_id", "marked", F.monotonically_increasing_id().alias("row"), F.expr(f"filter({_windows(STRIDE)}, w -> w.h IN ({known}))").alias("hits"))
+    found = found.select("doc_id", "marked", F.monotonically_increasing_id().alias("row"), F.expr(f"concat({', '.join(listed)})").alias("hits"))
     found = found.where("size(hits) > 0").select("doc_id", "row", "hits", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"))
-    start = f"greatest(0, w.p - {PART})"
-    around = f"transform(hits, w -> struct(w.p AS p, w.h AS h, {start} AS start, slice(v, {start} + 1, {2 * PART}) AS v, slice(t, {start} + 1, {2 * PART}) AS t))"
-    found = found.select("doc_id", "row", F.expr(around).alias("around"))
-    return found.select("doc_id", "row", F.explode("around").alias("w")).select("doc_id", "row", "w.*")
+    found = found.select("doc_id", "row", "v", "t", F.explode("hits").alias("w")).withColumn("start", F.expr(f"greatest(0, w.p - {PART})"))
+    around = [F.expr(f"slice({c}, start + 1, {2 * PART})").alias(c) for c in ("v", "t")]
+    return found.select("doc_id", "row", "w.p", "w.h", F.col("w.before").alias("last"), "start", *around)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -111,10 +130,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     matches = []
     for k in range(n_blocks):
         block = windows.where(in_block(k))
-        hashes = [r[0] for r in block.select("h").distinct().collect()] or [0]
+        # a window whose predecessor matches too lays the item as that one does
         # a block has about BLOCK_WINDOWS windows, and so at most WIDTH times as many tokens: small enough to broadcast
         items = parts.where(in_block(k)).select("pid", "item_id", F.col("values").alias("item_v"), F.col("template").alias("item_t"))
-        matches.append(_hits(docs, hashes).join(F.broadcast(block), "h").join(F.broadcast(items), "pid"))
+        matches.append(_hits(docs, block).join(F.broadcast(block.drop("kind", "width")), "h").where("NOT coalesce(last = before, false)").join(F.broadcast(items), "pid"))
     both = reduce(DataFrame.unionAll, matches).withColumn("shift", F.expr("p - q"))
     # the tokens of the item, each with what lies under it
     pairs = F.expr("transform(sequence(0, size(item_t) - 1), k -> struct(item_t[k] AS a, get(t, shift + k - start) AS b, item_v[k] AS x, get(v, shift + k - start) AS y))")

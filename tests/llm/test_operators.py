@@ -179,6 +179,15 @@ def test_decontamination(spark, none):
     assert decontaminate.find_leaks(none, bench).count() == 0 == decontaminate.find_leaks(docs, bench.limit(0)).count()
 
 
+def test_short_items_are_found_at_every_place(spark):
+    items = ["who keeps all seven keys of that tower", "which river runs past these nine old mills", "where does grey slate come from", "7 8 9 10 11 12 13 14 15", "quartz?", "how did 6 hens cross over"]
+    said = [items[0], items[1], items[2], "7 8 9 10 11 12 13 14 15", "quartz", "how did 8 hens cross over"]
+    docs = [(100 * i + k, f"{'pad ' * k}{t} and more") for i, t in enumerate(said) for k in range(8)] + [(900, "17 8 9 10 11 12 13 14 16 of no item"), (901, "how did hens cross"), (902, "")]
+    bench = spark.createDataFrame([*enumerate(items), (99, ""), (98, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.verbatim for r in decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(100 * i + k, i): i != 5 for i in range(6) for k in range(8)}
+
+
 def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
     items = [(i, " ".join(f"tok{chr(97 + i)}x{k}y" for k in "abcdefghijklmnop")) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
