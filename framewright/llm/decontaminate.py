@@ -10,11 +10,14 @@
    hashes, its size checked; a larger benchmark is taken in blocks of that size, each against all
    documents), with the tokens around them, and these are hash-joined with the item windows.
 4. A match lays the item over the document; equal tokens (or equal words behind their marks) count.  The slots must be
-   consistent: one value of the item always meets the same value of the document.
-5. A document leaks an item if its consistent matches cover ``LEAST_SHARE`` of the item's tokens.
+   consistent: one value of the item always meets the same value of the document.  If they are not, slots
+   are judged within matching stretches of ``WIDTH`` tokens only; if those don't fit either, only what is
+   equal word for word counts.  Of such overlays runs of ``LEAST_LITERALS`` tokens and more are counted.
+5. A document leaks an item if its consistent matches cover ``LEAST_SHARE`` of the item's tokens, or
+   ``LEAST_RUN`` of them in a row.
 
 Everything runs as built-in expressions; documents are read once a block and not shuffled, only the
-matches are.  Items longer than ``PART`` tokens are judged in parts, and one is enough.
+matches are.  Items longer than ``PART`` tokens are judged in parts, which overlap, and one is enough.
 
 Null and empty texts match nothing.  An item of fewer than ``WIDTH`` tokens is found as a whole
 only, one of a single word in every document with this word.  Rows are judged one by one; those that share a doc_id (null too) or an item_id give one row, the best match.  Other columns than the ids and texts are not read.
@@ -32,6 +35,7 @@ from framewright.storage import materialize, table
 WIDTH = 8
 LEAST_LITERALS = 4
 LEAST_SHARE = 0.5
+LEAST_RUN = 50
 PART = 256
 BLOCK_WINDOWS = 20_000
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
@@ -74,7 +78,9 @@ def item_parts(benchmark: DataFrame) -> DataFrame:
     is the template with names left as words, for documents without capitals or all in them."""
     items = benchmark.select("item_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
     items = items.select("item_id", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), templated(F.regexp_replace("marked", NAME, "")).alias("w"))
-    cuts = F.expr(f"sequence(0, greatest(0, size(v) - {WIDTH}), {PART})")
+    # another part over each border, so that no stretch of LEAST_RUN tokens is cut
+    over = f"transform(filter(sequence({PART}, greatest({PART}, size(v)), {PART}), b -> b < size(v)), b -> least(b - {PART // 2}, size(v) - {PART}))"
+    cuts = F.expr(f"array_distinct(concat(sequence(0, greatest(0, size(v) - {WIDTH}), {PART}), {over}))")
     parts = items.select("item_id", "v", "t", "w", F.explode(cuts).alias("part"))
     tokens = [F.expr(f"slice({c}, part + 1, {PART})").alias(name) for c, name in (("v", "values"), ("t", "template"), ("w", "named"))]
     return parts.select(F.monotonically_increasing_id().alias("pid"), "item_id", *tokens)
@@ -121,6 +127,17 @@ def _hits(docs: DataFrame, block: DataFrame) -> DataFrame:
     return found.select("doc_id", "row", "w.p", "w.h", F.col("w.before").alias("last"), "start", *around)
 
 
+def _runs(holds: str) -> str:
+    """SQL for the runs of places k of ``same`` at which a condition holds: first place s and length n."""
+    ends = f"concat(array(-1), filter(sequence(0, size(same) - 1), k -> NOT ({holds})), array(size(same)))"
+    return f"flatten(transform(array({ends}), ends -> transform(sequence(1, size(ends) - 1), i -> struct(ends[i - 1] + 1 AS s, ends[i] - ends[i - 1] - 1 AS n))))"
+
+
+def _slots(tokens: str) -> Column:
+    """The distinct pairs of values that meet under slots of one kind."""
+    return F.expr(f"array_distinct(transform(filter({tokens}, m -> m.a IN ('{NAME}', '{NUMBER}', '{UNIT}') AND m.a = m.b), m -> struct(m.x AS x, m.y AS y)))")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, matched and n_tokens (of the best part), share, and verbatim (all slots as in the item)."""
     parts = materialize(item_parts(benchmark), "item-parts")
@@ -135,20 +152,26 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         items = parts.where(in_block(k)).select("pid", "item_id", F.col("values").alias("item_v"), F.col("template").alias("item_t"))
         matches.append(_hits(docs, block).join(F.broadcast(block.drop("kind", "width")), "h").where("NOT coalesce(last = before, false)").join(F.broadcast(items), "pid"))
     both = reduce(DataFrame.unionAll, matches).withColumn("shift", F.expr("p - q"))
-    # the tokens of the item, each with what lies under it
-    pairs = F.expr("transform(sequence(0, size(item_t) - 1), k -> struct(item_t[k] AS a, get(t, shift + k - start) AS b, item_v[k] AS x, get(v, shift + k - start) AS y))")
+    # the tokens of the item, each with what lies under it: 2 as it is, 1 the same kind of slot, 0 something else
+    tokens = F.expr("transform(sequence(0, size(item_t) - 1), k -> struct(item_t[k] AS a, get(t, shift + k - start) AS b, item_v[k] AS x, get(v, shift + k - start) AS y))")
     bare = lambda c: F.regexp_replace(c, "^" + _SLOT, "")
-    equal = lambda m: (m["a"] == m["b"]) | (bare(m["x"]) == bare(m["y"]))
-    laid = both.select("doc_id", "row", "item_id", "pid", "shift", F.size("item_t").cast("long").alias("n_tokens"), F.filter(pairs, equal).alias("same"))
-    slots = F.transform(F.filter("same", lambda m: m["a"].isin(NAME, NUMBER, UNIT) & (m["a"] == m["b"])), lambda m: F.struct(m["x"].alias("x"), m["y"].alias("y")))
-    laid = laid.select("doc_id", "row", "item_id", "pid", "shift", "n_tokens", F.size("same").cast("long").alias("matched"), F.array_distinct(slots).alias("slots"))
-    fits = F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["x"])))
-    laid = laid.where(fits).select("doc_id", "row", "item_id", "pid", "shift", "n_tokens", "matched", F.forall("slots", lambda s: s["x"] == s["y"]).alias("as_is"))
-    per_shift = laid.groupBy("doc_id", "row", "item_id", "pid", "shift").agg(F.max("matched").alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("as_is"))
-    per_part = per_shift.groupBy("doc_id", "row", "item_id", "pid").agg(F.least(F.sum("matched"), F.max("n_tokens")).alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("verbatim"))
+    same = F.transform("tok", lambda m: F.when(bare(m["x"]) == bare(m["y"]), 2).when(m["a"] == m["b"], 1).otherwise(0))
+    overlay = ["doc_id", "row", "item_id", "pid", "shift", "n_tokens"]
+    laid = both.select(*overlay[:-1], F.size("item_t").cast("long").alias("n_tokens"), tokens.alias("tok")).withColumn("same", same)
+    laid = laid.withColumn("stretches", F.expr(f"filter({_runs('same[k] > 0')}, r -> r.n >= least({WIDTH}, n_tokens))"))
+    fits = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda s: s["x"])))
+    laid = laid.withColumns({"fits": fits(_slots("tok")), "fits_within": fits(_slots("flatten(transform(stretches, r -> slice(tok, r.s + 1, r.n)))"))})
+    counted = "same[k] = 2 OR same[k] = 1 AND (fits OR fits_within AND exists(stretches, r -> k >= r.s AND k < r.s + r.n))"
+    laid = laid.select(*overlay, "same", "fits", F.expr(f"transform(sequence(0, size(same) - 1), k -> {counted})").alias("counted")).withColumn("runs", F.expr(_runs("counted[k]")))
+    pieces = f"aggregate(filter(runs, r -> r.n >= {LEAST_LITERALS}), 0, (n, r) -> n + r.n)"
+    matched = F.expr(f"CAST(CASE WHEN fits THEN size(filter(same, e -> e > 0)) ELSE {pieces} END AS BIGINT)")
+    laid = laid.select(*overlay, matched.alias("matched"), F.expr("array_max(transform(runs, r -> r.n))").alias("longest"), F.expr("NOT exists(sequence(0, size(same) - 1), k -> counted[k] AND same[k] = 1)").alias("as_is"))
+    per_shift = laid.where("matched > 0").groupBy(*overlay[:-1]).agg(F.max("matched").alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("as_is"), F.max("longest").alias("longest"))
+    per_part = per_shift.groupBy("doc_id", "row", "item_id", "pid").agg(F.least(F.sum("matched"), F.max("n_tokens")).alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("verbatim"), F.max("longest").alias("longest"))
     share = F.col("matched") / F.col("n_tokens")
     best = F.max(F.struct(share.alias("share"), "matched", "n_tokens", "verbatim"))
-    return per_part.where(share >= LEAST_SHARE).groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.matched", "b.n_tokens", "b.share", "b.verbatim")
+    leaks = per_part.where((share >= LEAST_SHARE) | (F.col("longest") >= LEAST_RUN))
+    return leaks.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.matched", "b.n_tokens", "b.share", "b.verbatim")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

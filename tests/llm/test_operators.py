@@ -188,6 +188,19 @@ def test_short_items_are_found_at_every_place(spark):
     assert got == {(100 * i + k, i): i != 5 for i in range(6) for k in range(8)}
 
 
+def test_long_passages_and_changed_numbers_are_leaks(spark):
+    word = lambda k: f"w{chr(97 + k // 26)}{chr(97 + k % 26)}"
+    long = [word(k) for k in range(400)]
+    count = "the mill sold 12 sacks on monday and as many as 12 sacks on tuesday before 30 guests came by and had 9 cakes".split()
+    part = [*count[:17], *["zz"] * 4, "7"]
+    texts = [long[20:120], long[230:285], long[20:60], [*count[:3], "15", *count[4:]], part]
+    docs = spark.createDataFrame([(i, " ".join(["pad", *t, "pad"])) for i, t in enumerate(texts)], "doc_id long, text string")
+    # document 3 has one number of two changed; document 4 has another number beyond the copied part, under a 12
+    bench = spark.createDataFrame([(0, " ".join(long)), (1, " ".join(count)), (2, " ".join([*count[:17], *["yy"] * 4, "12"]))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert {(0, 0), (1, 0), (3, 1), (4, 2)} <= got and not {d for d, i in got if i == 0} - {0, 1}
+
+
 def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
     items = [(i, " ".join(f"tok{chr(97 + i)}x{k}y" for k in "abcdefghijklmnop")) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
