@@ -9,7 +9,8 @@ again to try another policy.
 
 Null or empty texts have no words: every count is 0 and ``too_few_words`` fails.
 Repeated rows and equal ids are judged row by row; other columns are not read.
-Windows are compared by 64-bit hashes within one document.
+Words are compared by 128-bit digests; windows of one document by a hash, and where that is
+equal by the digests of all their words.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
     """The measures of each text."""
     buf, at = W.text_bytes(texts)
     first, last = at[:-1], at[1:] - 1
-    starts, ends, hashes = W.word_hashes(buf)
+    starts, ends, words = W.word_digests(buf)
     word_at = np.searchsorted(starts, at)
     n_words = np.diff(word_at)
 
@@ -93,22 +94,21 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), n_words)
     n_repeat = np.zeros(len(texts), np.int64)
-    windows = W.window_hashes(hashes, REPEAT_WIDTH)
+    windows, _ = W.window_hashes(words, REPEAT_WIDTH)
     if len(windows):
         inside = owner[: len(windows)] == owner[REPEAT_WIDTH - 1 :]
         place = np.flatnonzero(inside)
-        keys = W.mix(windows[place] + W.mix(owner[place].astype(np.uint64) + np.uint64(1)))
-        order = np.argsort(keys)
-        same = keys[order][1:] == keys[order][:-1]
-        twice = np.zeros(len(keys), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        hit = np.zeros(len(hashes), bool)
-        hit[place[twice]] = True
-        n_repeat = np.bincount(owner[W.covered(hit, REPEAT_WIDTH, len(hashes))], minlength=len(texts))
+        order = np.lexsort((windows[place], owner[place]))
+        place, keys = place[order], windows[place][order]
+        pair = np.flatnonzero((keys[1:] == keys[:-1]) & (owner[place[1:]] == owner[place[:-1]]))
+        for k in range(REPEAT_WIDTH):
+            pair = pair[(words[place[pair] + k] == words[place[pair + 1] + k]).all(axis=1)]
+        hit = np.zeros(len(words), bool)
+        hit[place[pair]] = hit[place[pair + 1]] = True
+        n_repeat = np.bincount(owner[W.covered(hit, REPEAT_WIDTH, len(words))], minlength=len(texts))
     alpha = W.running(_ALPHA[buf])
-    echo = np.zeros(len(hashes), bool)
-    echo[1:] = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
+    echo = np.zeros(len(words), bool)
+    echo[1:] = (words[1:] == words[:-1]).all(axis=1) & (owner[1:] == owner[:-1])
     lines = np.array([_lines(t) for t in texts], np.int64).reshape(-1, 2)
     return {
         "n_words": n_words,

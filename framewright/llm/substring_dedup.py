@@ -3,27 +3,28 @@
 A window is ``width`` consecutive words of one document.  Every word covered by
 a window that also starts anywhere else, in the same document or another, goes.
 
-1. Documents are packed into chunks of about ``CHUNK_BYTES`` of text, written once as a
-   table bucketed by chunk: both passes read the very same chunks.
-2. Each chunk sends its distinct window hashes (64-bit Rabin-Karp), split by their leading
-   bits into buckets: one row per chunk and bucket, 8 bytes a window.  A hash that the chunk
-   holds twice is marked, so a window that fills a third of the corpus still is one entry
-   for each chunk.
-3. A bucket, of about ``BUCKET_HASHES`` hashes whatever the size of the corpus, counts
-   its hashes and answers each chunk with one bit a hash.
+1. Documents are packed into chunks of text, written once as a table bucketed by chunk: both
+   passes read the very same chunks.
+2. Each chunk sends its distinct window hashes (Rabin-Karp) by buckets: one row per chunk and
+   bucket, 8 bytes a window.  One polynomial hash chooses the bucket and two others are the 8
+   bytes, so that 62 bits and those of the bucket tell windows apart: more bits the more windows
+   there are (86 at 10**13).  A hash that the chunk holds twice is marked, so a window that fills a
+   third of the corpus still is one entry for each chunk.
+3. A bucket counts its hashes and answers each chunk with one bit a hash.
 4. The answers meet the chunks where these lie (the table's buckets save the shuffle
    of the texts); repeated windows merge into maximal intervals and the words inside go.
 
 Null and empty texts have no words and come back as empty texts; texts shorter than
 a window lose nothing.  Repeated rows are documents of their own, so both lose what they
 share.  Equal ids are kept apart.  Columns other than doc_id and text are not read.
-Raise ``CHUNK_BYTES`` with the corpus: a row then still carries many hashes.
+The sizes of chunks and buckets follow the corpus (:func:`sizes`), so that a row carries many hashes.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import compress
 
 import numpy as np
@@ -35,63 +36,90 @@ from framewright.llm import words as W
 from framewright.storage import new_path, table
 
 WIDTH = 35
-CHUNK_BYTES = 4 << 20
-BUCKET_HASHES = 1 << 19
+#: Bytes of text in a chunk and hashes in a bucket: at first, and at most (a task holds one of them).
+CHUNK_BYTES, MOST_CHUNK = 4 << 20, 32 << 20
+BUCKET_HASHES, MOST_BUCKET = 1 << 19, 1 << 23
+ROW_HASHES = 64
 LEAST_BUCKETS = 64
 
 _INTERVALS = "array<struct<first:int,last:int>>"
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in W.blocks(batch, "text", CHUNK_BYTES):
-            texts = [t or "" for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int >> 65]), pa.array([sum(len(t.encode().split()) for t in texts)]), pa.array([part.column("doc_id").to_pylist()], pa.list_(part.schema.field("doc_id").type)), pa.array([texts])],
-                ["chunk", "n_words", "doc_ids", "texts"],
-            )
+def sizes(total: int) -> tuple[int, int]:
+    """Bytes in a chunk and hashes in a bucket for so many bytes of text: a row, one chunk's hashes
+    of one bucket, has about ``ROW_HASHES`` as long as both stay in their bounds (up to 4 TB)."""
+    chunk, bucket = CHUNK_BYTES, BUCKET_HASHES
+    while chunk * bucket < ROW_HASHES * total and (chunk < MOST_CHUNK or bucket < MOST_BUCKET):
+        chunk, bucket = min(2 * chunk, MOST_CHUNK), min(2 * bucket, MOST_BUCKET)
+    return chunk, bucket
 
 
-def pack_chunks(docs: DataFrame) -> DataFrame:
-    """The documents as rows of (chunk, n_words, doc_ids, texts), in a table bucketed by chunk."""
+def _packer(chunk_bytes: int):
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.blocks(batch, "text", chunk_bytes):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid.uuid4().int >> 65]), pa.array([sum(len(t.encode().split()) for t in texts)]), pa.array([part.column("doc_id").to_pylist()], pa.list_(part.schema.field("doc_id").type)), pa.array([texts])],
+                    ["chunk", "n_words", "doc_ids", "texts"],
+                )
+
+    return pack
+
+
+def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The documents as rows of (chunk, n_words, doc_ids, texts), in files bucketed by chunk."""
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     name = f"framewright_chunks_{uuid.uuid4().hex}"
-    chunks = docs.select("doc_id", "text").mapInArrow(_packed, f"chunk long, n_words long, doc_ids array<{kind}>, texts array<string>")
+    chunks = docs.select("doc_id", "text").mapInArrow(_packer(chunk_bytes), f"chunk long, n_words long, doc_ids array<{kind}>, texts array<string>")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks.write.bucketBy(buckets, "chunk").option("path", new_path(spark, name)).saveAsTable(name)
-    return spark.table(name)
+    chunks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, they are not the catalog's; it was only needed to bucket them
+    return chunks
 
 
-def chunk_windows(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words before each document (n+1), first word of each window, the distinct hashes in
-    ascending order, which of them occur twice here, and the place of each window's hash."""
+@dataclass
+class Windows:
+    """The windows of a chunk's texts."""
+
+    word_at: np.ndarray  #: words before each document (n+1)
+    first: np.ndarray  #: first word of each window
+    place: np.ndarray  #: where each window's hash is among the distinct ones
+    distinct: np.ndarray  #: the distinct hashes, by bucket
+    twice: np.ndarray  #: which of them occur twice here
+    buckets: np.ndarray  #: the buckets that have any
+    edges: np.ndarray  #: where those begin, and the end
+
+
+def chunk_windows(texts: list[str], width: int, bits: int) -> Windows:
     buf, at = W.text_bytes([t.encode() for t in texts])
-    starts, _, hashes = W.word_hashes(buf)
+    starts, _, words = W.word_digests(buf)
     word_at = np.searchsorted(starts, at)
-    windows = W.window_hashes(hashes, width)
+    hashes, other = W.window_hashes(words, width)
     owner = np.repeat(np.arange(len(texts)), np.diff(word_at))
-    first = np.flatnonzero(owner[: len(windows)] == owner[width - 1 :]) if len(windows) else np.zeros(0, np.int64)
-    distinct, place, times = np.unique(windows[first], return_inverse=True, return_counts=True)
-    return word_at, first, distinct, times > 1, place
-
-
-def _edges(distinct: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket's hashes begin, and the end."""
-    lows = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return np.append(np.searchsorted(distinct, lows), len(distinct))
+    first = np.flatnonzero(owner[: len(hashes)] == owner[width - 1 :]) if len(hashes) else np.zeros(0, np.int64)
+    hashes, bucket = hashes[first], (other[first] >> np.uint64(31 - bits)).astype(np.int32)
+    order = np.lexsort((hashes, bucket))
+    hashes, bucket = hashes[order], bucket[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (bucket[1:] != bucket[:-1])
+    begin = np.flatnonzero(new)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    edges = np.flatnonzero(np.diff(bucket[begin], prepend=-1))
+    return Windows(word_at, first, place, hashes[begin], np.diff(np.append(begin, len(order))) > 1, bucket[begin][edges], np.append(edges, len(begin)))
 
 
 def _sender(width: int, bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, texts in zip(batch.column("chunk").to_pylist(), batch.column("texts"), strict=True):
-                _, _, distinct, twice, _ = chunk_windows(texts.as_py(), width)
-                edges = _edges(distinct, bits)
-                full = np.flatnonzero(np.diff(edges))
-                spans = [slice(edges[b], edges[b + 1]) for b in full]
+                w = chunk_windows(texts.as_py(), width, bits)
+                spans = [slice(a, b) for a, b in zip(w.edges[:-1], w.edges[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), chunk)), pa.array([distinct[s].tobytes() for s in spans], pa.binary()), pa.array([np.packbits(twice[s]).tobytes() for s in spans], pa.binary())],
+                    [pa.array(w.buckets), pa.array(np.full(len(spans), chunk)), pa.array([w.distinct[s].tobytes() for s in spans], pa.binary()), pa.array([np.packbits(w.twice[s]).tobytes() for s in spans], pa.binary())],
                     ["bucket", "chunk", "hashes", "twice"],
                 )
 
@@ -121,15 +149,14 @@ def _remover(width: int, bits: int, doc_type: pa.DataType):
         by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("repeated"), strict=True))
         ids, kept, n_words, n_removed, removed = [], [], [], [], []
         for row in chunks.select(["doc_ids", "texts"]).to_pylist():
-            word_at, first, distinct, _, place = chunk_windows(row["texts"], width)
-            sizes = np.diff(_edges(distinct, bits))
-            flags = [np.unpackbits(np.frombuffer(by_bucket[b].as_buffer(), np.uint8), count=sizes[b]) for b in np.flatnonzero(sizes).tolist()]
-            hit = np.zeros(word_at[-1], bool)
+            w = chunk_windows(row["texts"], width, bits)
+            flags = [np.unpackbits(np.frombuffer(by_bucket[b].as_buffer(), np.uint8), count=n) for b, n in zip(w.buckets.tolist(), np.diff(w.edges).tolist(), strict=True)]
+            hit = np.zeros(w.word_at[-1], bool)
             if flags:
-                hit[first[np.concatenate(flags).astype(bool)[place]]] = True
+                hit[w.first[np.concatenate(flags).astype(bool)[w.place]]] = True
             gone = W.covered(hit, width, len(hit))
             for i, text in enumerate(row["texts"]):
-                own = gone[word_at[i] : word_at[i + 1]]
+                own = gone[w.word_at[i] : w.word_at[i + 1]]
                 split = text.encode().split()
                 n_words.append(len(split))
                 n_removed.append(int(own.sum()))
@@ -145,9 +172,10 @@ def _remover(width: int, bits: int, doc_type: pa.DataType):
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space) and ``removed``,
     the maximal intervals of removed words."""
-    chunks = pack_chunks(docs)
+    chunk_bytes, bucket_hashes = sizes(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    chunks = pack_chunks(docs, chunk_bytes)
     total = chunks.agg(F.sum("n_words")).first()[0] or 0
-    bits = max(LEAST_BUCKETS, -(-total // BUCKET_HASHES) - 1).bit_length() if total > LEAST_BUCKETS * BUCKET_HASHES else (LEAST_BUCKETS - 1).bit_length()
+    bits = (max(LEAST_BUCKETS, -(-total // bucket_hashes)) - 1).bit_length()
     hashes = chunks.select("chunk", "texts").mapInArrow(_sender(width, bits), "bucket int, chunk long, hashes binary, twice binary")
     answers = hashes.groupBy("bucket").applyInArrow(_count, "chunk long, bucket int, repeated binary")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -1,9 +1,10 @@
-"""Words, word hashes and window hashes of a block of texts, as numpy arrays.
+"""Words, word digests and window hashes of a block of texts, as numpy arrays.
 
 A word is a run of characters other than space and ``\\t\\n\\v\\f\\r``; in UTF-8
-those six are single bytes, so the work is done on the bytes of a whole block.
-Hashes are polynomials modulo 2**64, taken as differences of running sums
-(Rabin-Karp), with a final mix so that all bits count.
+those six are single bytes, so words are found on the bytes of a whole block.  Every
+different word of a block gets a 128-bit digest (XXH3).  Windows are hashed by
+Rabin-Karp: polynomials of the digests' parts modulo the prime 2**31 - 1, taken as
+differences of running sums, three of them with bases of their own (93 bits).
 """
 
 from __future__ import annotations
@@ -13,17 +14,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
-BYTE_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+PRIME = (1 << 31) - 1
+#: One base for each of the three polynomials, any numbers below the prime.
+BASES = (1_103_515_245, 1_664_525_013, 69_069_069)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 BLOCK_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-
-def inverse(odd: np.uint64) -> np.uint64:
-    return np.uint64(pow(int(odd), -1, 1 << 64))
+_P, _SHIFT = np.uint64(PRIME), np.uint64(31)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -57,44 +59,59 @@ def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-_POW = powers(BYTE_BASE, BLOCK_BYTES + 1)
-_INV = powers(inverse(BYTE_BASE), BLOCK_BYTES + 1)
-
-
-def _hash_block(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _digest_block(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = word_spans(buf)
-    n = len(buf)
-    pow_, inv = (_POW[:n], _INV[:n]) if n < len(_POW) else (powers(BYTE_BASE, n), powers(inverse(BYTE_BASE), n))
-    sums = running((buf.astype(np.uint64) + np.uint64(1)) * pow_)
-    if not len(starts):
-        return starts, ends, np.zeros(0, np.uint64)
-    return starts, ends, mix((sums[ends] - sums[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
+    flat, at = buf[~IS_SPACE[buf]], running(ends - starts)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(flat)]).dictionary_encode()
+    each = b"".join(map(xxhash.xxh3_128_digest, words.dictionary.to_pylist()))
+    return starts, ends, np.frombuffer(each, "<u8").reshape(-1, 2)[words.indices.to_numpy()]
 
 
-def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and 64-bit hash of each word, worked out in blocks that end at a space,
-    so that the memory beside the result does not grow with the text."""
+def word_digests(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and 128-bit digest (two columns) of each word, worked out in blocks that end at a
+    space, so that the memory beside the result does not grow with the text."""
     parts, at = [], 0
     while at < len(buf):
         stop = min(len(buf), at + BLOCK_BYTES)
         while stop < len(buf) and not IS_SPACE[buf[stop - 1]]:
             stop += 1
-        s, e, h = _hash_block(buf[at:stop])
-        parts.append((s + at, e + at, h))
+        s, e, d = _digest_block(buf[at:stop])
+        parts.append((s + at, e + at, d))
         at = stop
     if not parts:
         z = np.zeros(0, np.int64)
-        return z, z, np.zeros(0, np.uint64)
+        return z, z, np.zeros((0, 2), np.uint64)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of every ``width`` consecutive words; empty if there are fewer."""
-    n = len(hashes) - width + 1
+def residue(x: np.ndarray) -> np.ndarray:
+    """Values below 2**62 modulo the prime."""
+    x = (x & _P) + (x >> _SHIFT)
+    x = (x & _P) + (x >> _SHIFT)
+    return np.where(x >= _P, x - _P, x)
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo the prime."""
+    out = np.ones(max(n, 1), np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = residue(out[:more] * np.uint64(pow(base, done, PRIME)))
+        done += more
+    return out
+
+
+def window_hashes(digests: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of 62 and another of 31 bits of every ``width`` consecutive words; empty if there are fewer."""
+    n = len(digests) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64)
-    sums = running(hashes * powers(WORD_BASE, len(hashes)))
-    return mix((sums[width:] - sums[:-width]) * powers(inverse(WORD_BASE), n))
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    each = []
+    for base, part in zip(BASES, (digests[:, 0], digests[:, 0] >> np.uint64(32), digests[:, 1]), strict=True):
+        sums = running(residue((part & _P) * _prime_powers(base, len(digests))))
+        each.append(residue(residue(sums[width:] - sums[:-width]) * _prime_powers(pow(base, -1, PRIME), n)))
+    return mix(each[0] | each[1] << _SHIFT), each[2]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -65,6 +65,41 @@ def test_quality_rules(docs, none):
     assert quality_rules.rule_ledger(none).count() == 0
 
 
+def _self_similar(n):
+    """Two words whose polynomial hashes modulo a power of two are equal whatever the base."""
+    a = "a"
+    b = "b"
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_self_similar_words_are_different(spark):
+    a, b = _self_similar(1024)
+    texts = [f"{a} {b} " * 3, " ".join([*(f"w{i}" for i in range(34)), a]), " ".join([*(f"w{i}" for i in range(34)), b]), " ".join("xy"[i.bit_count() % 2] for i in range(128)), " ".join("yx"[i.bit_count() % 2] for i in range(128))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_stutter, r.n_repeat_words) for r in quality_rules.rule_ledger(docs).collect()}
+    assert got == {i: (sum(x == y for x, y in zip(t.split(), t.split()[1:])), len(_repeats(t.split(), 5))) for i, t in enumerate(texts)}
+    assert {r.n_removed for r in substring_dedup.remove_repeats(docs.where("doc_id in (1, 2)")).collect()} == {0}
+    assert {r.n_removed for r in substring_dedup.remove_repeats(docs.where("doc_id in (3, 4)")).collect()} == {len(_repeats([*texts[3].split(), "|", *texts[4].split()], 35)) // 2}
+
+
+def test_window_hashes_are_polynomials():
+    from framewright.llm import words as W
+
+    digests = np.random.default_rng(1).integers(0, 1 << 63, (300, 2), dtype=np.uint64)
+    _, last = W.window_hashes(digests, 7)
+    part = [int(x) & W.PRIME for x in digests[:, 1]]
+    assert last.tolist() == [sum(part[i + k] * pow(W.BASES[2], k, W.PRIME) for k in range(7)) % W.PRIME for i in range(294)]
+
+
+def test_chunks_follow_the_corpus():
+    for total in (0, 10**9, 10**12, 10**14):
+        chunk, bucket = substring_dedup.sizes(total)
+        assert chunk <= substring_dedup.MOST_CHUNK and bucket <= substring_dedup.MOST_BUCKET
+        assert chunk * bucket >= substring_dedup.ROW_HASHES * min(total, 4 * 10**12)
+
+
 def test_ablations_agree_with_policies(docs):
     ledger = quality_rules.rule_ledger(docs)
     rules = ("too_few_words", "repeated_windows", "stutter")
