@@ -5,7 +5,9 @@ and hex runs of 40 characters or more (with the line breaks of a PEM block) and
 triples, decodes them, and reports only what parses:
 
 * ``pkey``: DER of a private key.  The outer SEQUENCE must fill the blob, every nested length
-  must fit inside its parent, and the fields must be those of PKCS#1, PKCS#8 or SEC 1;
+  must fill its parent, and the fields must be those of PKCS#1, PKCS#8 (whose octets must hold a key
+  of the algorithm they name), encrypted PKCS#8 or SEC 1.  A PEM block with header lines is one if these
+  name a cipher and its start vector and the body fills whole cipher blocks;
 * ``openssh``: the OpenSSH private key container, by its magic and its nested string lengths;
 * ``jwt``: a signed token whose header is JSON with ``alg`` and whose body is a JSON object.
 
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from framewright.llm import words as W
 from framewright.storage import table
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -36,12 +39,19 @@ MASK = "[SECRET]"
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s([A-Za-z0-9+/=\s]{40,}?)-----END")
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s((?:[A-Za-z-]+:[^\n]*\n)*)([A-Za-z0-9+/=\s]{40,}?)-----END")
+_CIPHER = re.compile(r"^DEK-Info: *([A-Z0-9-]+), *([0-9A-Fa-f]{16,32})\s*$", re.M)
 _BLOB = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 _IS_HEX = re.compile(r"(?:[0-9A-Fa-f]{2})+")
 
 SEQUENCE, INTEGER, OCTETS, OID = 0x30, 0x02, 0x04, 0x06
+CONSTRUCTED = 0x20
+#: Object identifiers of key algorithms, as DER holds them: fixed values.
+RSA, EC, DSA = (bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401"))
+CURVES = tuple(bytes.fromhex(x) for x in ("2b656e", "2b656f", "2b6570", "2b6571"))
+#: What identifiers of password-based encryption begin with.
+ENCRYPTION = tuple(bytes.fromhex(x) for x in ("2a864886f70d0105", "2a864886f70d010c01"))
 
 Span = tuple[int, str, int]
 
@@ -76,20 +86,60 @@ def der_fields(data: bytes) -> list[tuple[int, bytes]] | None:
     return out
 
 
-def is_private_key(data: bytes) -> bool:
+def well_formed(fields: list[tuple[int, bytes]] | None) -> bool:
+    """Whether all lengths below the fields fit."""
+    return fields is not None and all(well_formed(der_fields(x)) for tag, x in fields if tag & CONSTRUCTED)
+
+
+def _sequence(data: bytes) -> list[tuple[int, bytes]] | None:
+    """The fields of a SEQUENCE that fills the data."""
     outer = der_fields(data)
-    if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
-        return False
-    fields = der_fields(outer[0][1])
-    if not fields or len(fields) < 2 or fields[0][0] != INTEGER or len(fields[0][1]) != 1:
+    return der_fields(outer[0][1]) if outer and len(outer) == 1 and outer[0][0] == SEQUENCE else None
+
+
+def _version(fields: list[tuple[int, bytes]]) -> int | None:
+    tag, value = fields[0]
+    return value[0] if tag == INTEGER and len(value) == 1 else None
+
+
+def _is_rsa(fields: list[tuple[int, bytes]] | None) -> bool:
+    """PKCS#1: a version and eight numbers."""
+    return bool(fields) and _version(fields) == 0 and [t for t, _ in fields[1:9]] == [INTEGER] * 8
+
+
+def _is_ec(fields: list[tuple[int, bytes]] | None) -> bool:
+    """SEC 1: version 1 and the private number as octets."""
+    return bool(fields) and len(fields) > 1 and _version(fields) == 1 and fields[1][0] == OCTETS and len(fields[1][1]) >= 16
+
+
+def _holds_key(algorithm: bytes, octets: bytes) -> bool:
+    """Whether the octets of PKCS#8 hold a key of the algorithm; of others, well-formed DER."""
+    if algorithm in (RSA, EC):
+        return (_is_rsa if algorithm == RSA else _is_ec)(_sequence(octets))
+    inner = der_fields(octets)
+    if algorithm == DSA or algorithm in CURVES:
+        return bool(inner) and [t for t, _ in inner] == [INTEGER if algorithm == DSA else OCTETS]
+    return bool(inner) and well_formed(inner)
+
+
+def is_private_key(data: bytes) -> bool:
+    fields = _sequence(data)
+    if not fields or len(fields) < 2 or not well_formed(fields):
         return False
-    version, tags = fields[0][1][0], [t for t, _ in fields]
-    if version == 0 and tags[1:9] == [INTEGER] * 8:
-        return True
-    if version in (0, 1) and len(tags) >= 3 and tags[1:3] == [SEQUENCE, OCTETS]:
+    tags = [t for t, _ in fields]
+    if tags == [SEQUENCE, OCTETS]:  # encrypted PKCS#8
+        scheme = der_fields(fields[0][1])
+        return bool(scheme) and scheme[0][0] == OID and scheme[0][1].startswith(ENCRYPTION) and len(fields[1][1]) > 0
+    if _version(fields) in (0, 1) and tags[1:3] == [SEQUENCE, OCTETS]:
         algorithm = der_fields(fields[1][1])
-        return bool(algorithm) and algorithm[0][0] == OID
-    return version == 1 and tags[1] == OCTETS and len(fields[1][1]) >= 16
+        return bool(algorithm) and algorithm[0][0] == OID and _holds_key(algorithm[0][1], fields[2][1])
+    return _is_rsa(fields) or _is_ec(fields)
+
+
+def is_encrypted_body(headers: str, data: bytes | None) -> bool:
+    """A PEM body in whole blocks of the cipher that its header lines name."""
+    cipher = _CIPHER.search(headers)
+    return bool(cipher and data) and len(data) % (len(cipher[2]) // 2) == 0
 
 
 def is_openssh_key(data: bytes) -> bool:
@@ -143,10 +193,14 @@ def structural_spans(text: str) -> list[Span]:
     out = []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if kind := _key_kind(decoded("".join(m[1].split()))):
-                out.append((m.start(1), kind, m.end(1)))
+            data = decoded("".join(m[2].split()))
+            if kind := "pkey" if m[1] and is_encrypted_body(m[1], data) else _key_kind(data):
+                out.append((m.start(2), kind, m.end(2)))
+    blocks, k = list(out), 0
     for m in _BLOB.finditer(text):
-        if not any(a <= m.start() < b for a, _, b in out) and (kind := _key_kind(decoded(m[0]))):
+        while k < len(blocks) and blocks[k][2] <= m.start():  # both go from left to right
+            k += 1
+        if (k == len(blocks) or m.start() < blocks[k][0]) and (kind := _key_kind(decoded(m[0]))):
             out.append((m.start(), kind, m.end()))
     if "eyJ" in text:
         out += [(m.start(), "jwt", m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
@@ -199,8 +253,9 @@ def redact(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.schema.get_field_index("text")
-            texts = [None if t is None else masked(t) for t in batch.column(place).to_pylist()]
-            yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+            for part in W.blocks(batch, "text"):
+                texts = [None if t is None else masked(t) for t in part.column(place).to_pylist()]
+                yield part.set_column(place, part.schema.field(place), pa.array(texts, part.schema.field(place).type))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -7,8 +7,9 @@
    prefix stands at source byte 0.
 2. No piece of the vocabulary may hold a U+2581 after another character (this is checked),
    so words can be merged apart from each other.  Byte-pair merging runs on all new words
-   of a block at once, best score first and leftmost on ties; a bounded memory holds words
-   seen before.  Characters without a piece become byte pieces.
+   of a block at once, best score first and leftmost on ties; words of over ``LONG_WORD``
+   characters take a heap of pairs instead, so that time stays near-linear in their length.  A
+   bounded memory holds words seen before.  Characters without a piece become byte pieces.
 3. Each piece projects through the record to its span of source bytes; byte pieces take
    one byte each.
 
@@ -24,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ from framewright.storage import table
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
+LONG_WORD = 128
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -159,6 +162,7 @@ class Codec:
         chars = sorted((ord(p), i) for p, i in self.symbol.items() if len(p) == 1)
         self.char = np.array([c for c, _ in chars] or [0], np.int64)
         self.char_id = np.array([i for _, i in chars] or [0], np.int64)
+        self.place: dict[int, int] | None = None
 
     def _surfaces(self) -> None:
         """What each id decodes to, as bytes."""
@@ -174,6 +178,36 @@ class Codec:
         at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
         return np.where(self.pair[at] == key, at, len(self.pair))
 
+    def _merge_long(self, sym: list[int], pair: list[int]) -> np.ndarray:
+        """The symbols of one word after all merges, by a heap of its pairs and links between symbols."""
+        if self.place is None:
+            self.place = {k: i for i, k in enumerate(self.pair.tolist())}
+        order, joined, none = self.order.tolist(), self.joined.tolist(), len(self.pair)
+        n = len(sym)
+        after, before, at = [*range(1, n), -1], list(range(-1, n - 1)), list(pair)
+        heap = [(order[p], i) for i, p in enumerate(at) if p != none]
+        heapify(heap)
+
+        def renew(i: int) -> None:
+            a, b = sym[i], sym[after[i]] if after[i] >= 0 else -1
+            at[i] = self.place.get(a << 32 | b, none) if a >= 0 and b >= 0 else none
+            if at[i] != none:
+                heappush(heap, (order[at[i]], i))
+
+        while heap:
+            o, i = heappop(heap)
+            if at[i] == none or order[at[i]] != o:
+                continue  # one of its symbols has been joined since
+            gone = after[i]
+            sym[i], sym[gone], at[gone] = joined[at[i]], None, none
+            after[i] = after[gone]
+            if after[i] >= 0:
+                before[after[i]] = i
+            renew(i)
+            if before[i] >= 0:
+                renew(before[i])
+        return np.array([s for s in sym if s is not None], np.int64)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, and how many each has.  Each round joins, in every word, its best
         pair: the highest score, leftmost among equals.  Symbols without a piece (below 0)
@@ -186,6 +220,14 @@ class Codec:
         pair = self._pairs(sym, np.append(sym[1:], -1))
         pair[first[1:] - 1] = len(self.pair)
         done = []
+        if len(long := np.flatnonzero(sizes > LONG_WORD)):
+            for k in long.tolist():
+                own = self._merge_long(sym[first[k] : first[k + 1]].tolist(), pair[first[k] : first[k + 1]].tolist())
+                done.append((np.array([k]), own, np.array([0, len(own)])))
+            rows = np.flatnonzero(sizes <= LONG_WORD)
+            pair, _ = gather(pair, first, rows)
+            sym, first = gather(sym, first, rows)
+            word = word[rows]
         while len(word):
             low = np.minimum.reduceat(self.order[pair] << 32 | np.arange(len(pair)), first[:-1])
             live = low < self.no_order << 32

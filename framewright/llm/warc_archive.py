@@ -26,6 +26,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -60,7 +61,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 
 def record_id(page_id: object) -> str:
-    return f"<urn:framewright:page:{'' if page_id is None else page_id}>"
+    """A null id and an empty one differ; what a header can't hold is percent-encoded."""
+    return "<urn:framewright:no-page>" if page_id is None else f"<urn:framewright:page:{quote(str(page_id), safe='')}>"
 
 
 def record_bytes(row: dict) -> bytes:
@@ -209,7 +211,7 @@ def parse_record(record: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _page(urn: str) -> str | None:
-    return urn.removeprefix(record_id(None)[:-1]).removesuffix(">") or None
+    return None if urn == record_id(None) else unquote(urn.removeprefix(record_id("")[:-1]).removesuffix(">"))
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
