@@ -6,21 +6,23 @@
    item and of a document, so each common stretch of that length has a window on both sides.  They
    are taken of templates, and where an item's window has under ``LEAST_LITERALS`` plain words, of
    the words and values themselves, which match as they are only.
-3. A document keeps the windows whose hash some item has (a set of at most ``BLOCK_WINDOWS``
-   hashes, its size checked; a larger benchmark is taken in blocks of that size, each against all
-   documents), with the tokens around them, and these are hash-joined with the item windows.
+3. Windows of documents and items are hash-joined, in one pass over the documents.  Up to
+   ``MOST_BROADCAST`` windows of items the join is a broadcast and the documents stay where they
+   are; beyond that hashes and places alone are shuffled, and documents with a match are fetched again.
 4. A match lays the item over the document; equal tokens (or equal words behind their marks) count.  The slots must be
    consistent: one value of the item always meets the same value of the document.  If they are not, slots
    are judged within matching stretches of ``WIDTH`` tokens only; if those don't fit either, only what is
    equal word for word counts.  Of such overlays runs of ``LEAST_LITERALS`` tokens and more are counted.
 5. A document leaks an item if its consistent matches cover ``LEAST_SHARE`` of the item's tokens, or
-   ``LEAST_RUN`` of them in a row.
+   ``LEAST_RUN`` of them in a row, whatever the item's length.  Long items are laid in parts of
+   ``STEP`` tokens with those around them (more before than such a run, a window behind); the counts of an
+   item's parts are added up.
 
-Everything runs as built-in expressions; documents are read once a block and not shuffled, only the
-matches are.  Items longer than ``PART`` tokens are judged in parts, which overlap, and one is enough.
+Everything runs as built-in expressions.  A row holds the tokens of one document, or those under one
+part of one item, never all matches of a document.
 
 Null and empty texts match nothing.  An item of fewer than ``WIDTH`` tokens is found as a whole
-only, one of a single word in every document with this word.  Rows are judged one by one; those that share a doc_id (null too) or an item_id give one row, the best match.  Other columns than the ids and texts are not read.
+only, one of a single word in every document with this word.  Texts are judged one by one; those that share a doc_id (null too) or an item_id give one row, the best match.  Other columns than the ids and texts are not read.
 """
 
 from __future__ import annotations
@@ -36,8 +38,9 @@ WIDTH = 8
 LEAST_LITERALS = 4
 LEAST_SHARE = 0.5
 LEAST_RUN = 50
-PART = 256
-BLOCK_WINDOWS = 20_000
+STEP, LEAD, TAIL = 184, 64, WIDTH
+#: Windows of items (and tokens of their parts) that may be broadcast: some 100 bytes each in memory.
+MOST_BROADCAST = 500_000
 NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres "
@@ -74,57 +77,76 @@ def bared(marked_text: Column) -> Column:
 
 
 def item_parts(benchmark: DataFrame) -> DataFrame:
-    """pid, item_id, ``values`` and ``template``: the tokens of each part of each item; ``named``
+    """pid, item (a row of the benchmark), item_id, n_tokens of the item, ``lead`` (tokens before those that the
+    part counts), ``own`` (how many it counts), ``item_v`` and ``item_t``: values and template; ``named``
     is the template with names left as words, for documents without capitals or all in them."""
     items = benchmark.select("item_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
-    items = items.select("item_id", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), templated(F.regexp_replace("marked", NAME, "")).alias("w"))
-    # another part over each border, so that no stretch of LEAST_RUN tokens is cut
-    over = f"transform(filter(sequence({PART}, greatest({PART}, size(v)), {PART}), b -> b < size(v)), b -> least(b - {PART // 2}, size(v) - {PART}))"
-    cuts = F.expr(f"array_distinct(concat(sequence(0, greatest(0, size(v) - {WIDTH}), {PART}), {over}))")
-    parts = items.select("item_id", "v", "t", "w", F.explode(cuts).alias("part"))
-    tokens = [F.expr(f"slice({c}, part + 1, {PART})").alias(name) for c, name in (("v", "values"), ("t", "template"), ("w", "named"))]
-    return parts.select(F.monotonically_increasing_id().alias("pid"), "item_id", *tokens)
+    items = items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), templated(F.regexp_replace("marked", NAME, "")).alias("w"))
+    last = f"greatest(0, size(v) - {TAIL + 1}) DIV {STEP} * {STEP}"
+    parts = items.select("item", "item_id", "v", "t", "w", F.explode(F.expr(f"sequence(0, CAST({last} AS INT), {STEP})")).alias("at"))
+    parts = parts.withColumns({"lead": F.expr(f"least(at, {LEAD})"), "own": F.expr(f"CAST(IF(at = {last}, size(v) - at, {STEP}) AS INT)")})
+    tokens = [F.expr(f"slice({c}, at - lead + 1, lead + own + {TAIL})").alias(name) for c, name in (("v", "item_v"), ("t", "item_t"), ("w", "named"))]
+    return parts.select(F.monotonically_increasing_id().alias("pid"), "item", "item_id", F.size("v").cast("long").alias("n_tokens"), "lead", "own", *tokens)
+
+
+def window_hash(kind: int, width: int, tokens: str, at: str) -> str:
+    """SQL for the hash of ``width`` tokens from a place on: plain compiled code, no lambda a place."""
+    return f"xxhash64({kind}, {width}, {', '.join(f'get({tokens}, {at} + {i})' for i in range(width))})"
 
 
 def item_windows(parts: DataFrame) -> DataFrame:
-    """pid, place ``q``, ``kind`` (the tokens it is taken of), ``width`` and hash ``h`` of each window of
-    each part, and ``before``, the hash of the same kind one place before."""
-    bare = F.transform("values", lambda t: F.regexp_replace(t, "^" + _SLOT, "")).alias("bare")
-    both = parts.select("pid", "template", bare).union(parts.select("pid", "named", bare))
-    both = both.withColumn("width", F.least(F.size("template"), F.lit(WIDTH)))
-    slot = f"t IN ('{NAME}', '{NUMBER}', '{UNIT}')"
-    kind = f"CASE WHEN size(filter(slice(template, p + 1, width), t -> NOT {slot})) >= {LEAST_LITERALS} THEN 'template' ELSE 'bare' END"
-    window = f"transform(sequence(0, size(template) - width), p -> struct(p AS q, {kind} AS kind, xxhash64(slice(CASE {kind} WHEN 'bare' THEN bare ELSE template END, p + 1, width)) AS h))"
-    both = both.select("pid", "width", F.expr(window).alias("w"))
-    last = "get(w, k - 1)"
-    windows = both.select("pid", "width", F.explode(F.expr(f"transform(w, (x, k) -> struct(x.q AS q, x.kind AS kind, x.h AS h, CASE WHEN {last}.kind = x.kind THEN {last}.h END AS before))")).alias("x"))
-    return windows.select("pid", "width", "x.*").distinct()
-
-
-def _among(kind: str, width: int, block: list) -> str:
-    """SQL for the places p of a document whose window has one of the hashes of the block, with
-    the hash h, and ``before``, the hash one place before."""
-    at = lambda p: f"xxhash64(slice({kind}, {p} + 1, {width}))"
-    places = f"CASE WHEN size({kind}) >= {width} THEN sequence(0, size({kind}) - {width}) ELSE CAST(array() AS ARRAY<INT>) END"
-    known = ", ".join(str(r.h) for r in block)  # a list of plain numbers becomes one hashed set
-    return f"transform(filter({places}, p -> {at('p')} IN ({known})), p -> struct(p AS p, {at('p')} AS h, CASE WHEN p > 0 THEN {at('(p - 1)')} END AS before))"
-
-
-def _hits(docs: DataFrame, block: DataFrame) -> DataFrame:
-    """doc_id, row, p, h, ``last`` (the hash one place before), and the tokens from ``start`` on
-    around each window whose hash the block has."""
-    groups: dict[tuple[str, int], list] = {}
-    for r in block.select("kind", "width", "h").distinct().collect():
-        groups.setdefault((r.kind, r.width), []).append(r)
-    listed = [_among(kind, width, rows) for (kind, width), rows in sorted(groups.items())] or ["CAST(array() AS ARRAY<STRUCT<p: INT, h: BIGINT, before: BIGINT>>)"]
-    found = docs.select("doc_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
-    found = found.select("doc_id", "marked", templated(F.col("marked")).alias("template"), bared(F.col("marked")).alias("bare"))
-    # the row number keeps the filter above from moving down, where it would work everything out twice
-    found = found.select("doc_id", "marked", F.monotonically_increasing_id().alias("row"), F.expr(f"concat({', '.join(listed)})").alias("hits"))
-    found = found.where("size(hits) > 0").select("doc_id", "row", "hits", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"))
-    found = found.select("doc_id", "row", "v", "t", F.explode("hits").alias("w")).withColumn("start", F.expr(f"greatest(0, w.p - {PART})"))
-    around = [F.expr(f"slice({c}, start + 1, {2 * PART})").alias(c) for c in ("v", "t")]
-    return found.select("doc_id", "row", "w.p", "w.h", F.col("w.before").alias("last"), "start", *around)
+    """pid, place ``q``, ``kind`` (0: of the template, 1: of the words themselves), ``width`` and hash ``h`` of
+    each window of each part, and ``before``, the hash of the same kind one place before."""
+    bare = F.transform("item_v", lambda t: F.regexp_replace(t, "^" + _SLOT, "")).alias("bare")
+    both = parts.select("pid", F.col("item_t").alias("t"), bare).union(parts.select("pid", "named", bare))
+    both = both.withColumn("width", F.least(F.size("t"), F.lit(WIDTH)))
+    each = both.select("pid", "t", "bare", "width", F.explode(F.expr("sequence(0, size(t) - width)")).alias("q"))
+    slot = f"x IN ('{NAME}', '{NUMBER}', '{UNIT}')"
+    kind = lambda q: f"IF(size(filter(slice(t, {q} + 1, width), x -> NOT {slot})) >= {LEAST_LITERALS}, 0, 1)"
+    each = each.withColumns({"kind": F.expr(kind("q")), "kind_before": F.expr(f"IF(q > 0, {kind('greatest(q - 1, 0)')}, NULL)")})
+    hashed = lambda q: "CASE " + " ".join(f"WHEN kind = {k} AND width = {w} THEN {window_hash(k, w, c, q)}" for k, c in ((0, "t"), (1, "bare")) for w in range(1, WIDTH + 1)) + " END"
+    return each.select("pid", "width", "q", "kind", F.expr(hashed("q")).alias("h"), F.expr(f"IF(kind_before = kind, {hashed('q - 1')}, NULL)").alias("before")).distinct()
+
+
+def _tokens(docs: DataFrame) -> DataFrame:
+    """doc_id, ``row`` (a hash of the text), and the tokens: as they are, as a template and bare."""
+    found = docs.select("doc_id", F.xxhash64("text").alias("row"), marked(F.col("text")).alias("marked"))
+    return found.select("doc_id", "row", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), bared(F.col("marked")).alias("b"))
+
+
+def document_windows(tokens: DataFrame, kinds: list[tuple[int, int]], carried: list[str]) -> DataFrame:
+    """The carried columns and the place ``p``, the hash ``h`` and, in ``last``, the hash one place
+    before of every window of each (kind, width)."""
+    # the outer form keeps the optimiser from testing for empty arrays first, where it would work everything out again
+    places = tokens.select("*", F.posexplode_outer("t").alias("p", "_"))
+    at = lambda k, w, p: window_hash(k, w, "tb"[k], p)
+    each = ", ".join(f"IF(p + {w} <= size(t), {at(k, w, 'p')}, NULL)" for k, w in kinds)
+    windows = places.select(*dict.fromkeys([*carried, "t", "b", "p"]), F.posexplode_outer(F.expr(f"array({each})")).alias("i", "h"))
+    last = "CASE i " + " ".join(f"WHEN {i} THEN IF(p > 0, {at(k, w, '(p - 1)')}, NULL)" for i, (k, w) in enumerate(kinds)) + " END"
+    return windows.select(*carried, "p", "h", F.expr(last).alias("last"))
+
+
+def _hits(docs: DataFrame, windows: DataFrame, broadcast: bool) -> DataFrame:
+    """doc_id, row, pid, ``shift`` of the part against the document, and the tokens from ``start``
+    on under and around it, for each match of a window whose predecessors don't match too."""
+    kinds = [(r.kind, r.width) for r in windows.select("kind", "width").distinct().orderBy("kind", "width").collect()]  # at most 2 x WIDTH
+    if not kinds:
+        kinds = [(0, WIDTH)]
+    tokens = _tokens(docs)
+    fresh = "NOT coalesce(last = before, false)"  # else the window before lays the item just so
+    if broadcast:
+        found = document_windows(tokens, kinds, ["doc_id", "row", "v", "t"]).join(F.broadcast(windows), "h").where(fresh)
+    else:
+        slim = document_windows(tokens, kinds, ["doc_id", "row"]).join(windows, "h").where(fresh)
+        slim = materialize(slim.select("doc_id", "row", "p", "pid", "q"), "hits")
+        again = docs.select("doc_id", "text").distinct()
+        have = slim.select(F.col("doc_id").alias("d"), F.col("row").alias("r")).distinct()
+        again = again.join(have, F.col("doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("text") == F.col("r")), "left_semi")
+        whole = _tokens(again).select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "v", "t")
+        found = slim.join(whole, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    found = found.withColumn("shift", F.expr("p - q")).withColumn("start", F.greatest(F.col("shift"), F.lit(0)))
+    around = [F.expr(f"slice({c}, start + 1, {LEAD + STEP + 2 * TAIL})").alias(c) for c in ("v", "t")]
+    return found.select("doc_id", "row", "pid", "shift", "start", *around)
 
 
 def _runs(holds: str) -> str:
@@ -139,38 +161,37 @@ def _slots(tokens: str) -> Column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, matched and n_tokens (of the best part), share, and verbatim (all slots as in the item)."""
+    """doc_id, item_id, matched and n_tokens (of the item), share, and verbatim (all slots as in the item)."""
     parts = materialize(item_parts(benchmark), "item-parts")
     windows = materialize(item_windows(parts), "item-windows")
-    n_blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
-    in_block = lambda k: F.pmod(F.xxhash64("pid"), F.lit(n_blocks)) == k
-    matches = []
-    for k in range(n_blocks):
-        block = windows.where(in_block(k))
-        # a window whose predecessor matches too lays the item as that one does
-        # a block has about BLOCK_WINDOWS windows, and so at most WIDTH times as many tokens: small enough to broadcast
-        items = parts.where(in_block(k)).select("pid", "item_id", F.col("values").alias("item_v"), F.col("template").alias("item_t"))
-        matches.append(_hits(docs, block).join(F.broadcast(block.drop("kind", "width")), "h").where("NOT coalesce(last = before, false)").join(F.broadcast(items), "pid"))
-    both = reduce(DataFrame.unionAll, matches).withColumn("shift", F.expr("p - q"))
+    parts = parts.drop("named").join(windows.select("pid").distinct(), "pid", "left_semi")
+    n_windows, n_tokens = windows.count(), parts.agg(F.sum(F.size("item_v"))).first()[0] or 0
+    hits = _hits(docs, windows, n_windows <= MOST_BROADCAST)
+    both = hits.join(F.broadcast(parts) if n_tokens <= MOST_BROADCAST else parts, "pid")
     # the tokens of the item, each with what lies under it: 2 as it is, 1 the same kind of slot, 0 something else
-    tokens = F.expr("transform(sequence(0, size(item_t) - 1), k -> struct(item_t[k] AS a, get(t, shift + k - start) AS b, item_v[k] AS x, get(v, shift + k - start) AS y))")
+    under = lambda c: f"IF(shift + k < 0, NULL, get({c}, shift + k - start))"
+    tokens = F.expr(f"transform(sequence(0, size(item_t) - 1), k -> struct(item_t[k] AS a, {under('t')} AS b, item_v[k] AS x, {under('v')} AS y))")
     bare = lambda c: F.regexp_replace(c, "^" + _SLOT, "")
     same = F.transform("tok", lambda m: F.when(bare(m["x"]) == bare(m["y"]), 2).when(m["a"] == m["b"], 1).otherwise(0))
-    overlay = ["doc_id", "row", "item_id", "pid", "shift", "n_tokens"]
-    laid = both.select(*overlay[:-1], F.size("item_t").cast("long").alias("n_tokens"), tokens.alias("tok")).withColumn("same", same)
+    overlay = ["doc_id", "row", "item", "item_id", "pid", "shift", "n_tokens", "lead", "own"]
+    laid = both.select(*overlay, tokens.alias("tok")).withColumn("same", same)
     laid = laid.withColumn("stretches", F.expr(f"filter({_runs('same[k] > 0')}, r -> r.n >= least({WIDTH}, n_tokens))"))
     fits = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda s: s["x"])))
     laid = laid.withColumns({"fits": fits(_slots("tok")), "fits_within": fits(_slots("flatten(transform(stretches, r -> slice(tok, r.s + 1, r.n)))"))})
     counted = "same[k] = 2 OR same[k] = 1 AND (fits OR fits_within AND exists(stretches, r -> k >= r.s AND k < r.s + r.n))"
     laid = laid.select(*overlay, "same", "fits", F.expr(f"transform(sequence(0, size(same) - 1), k -> {counted})").alias("counted")).withColumn("runs", F.expr(_runs("counted[k]")))
-    pieces = f"aggregate(filter(runs, r -> r.n >= {LEAST_LITERALS}), 0, (n, r) -> n + r.n)"
-    matched = F.expr(f"CAST(CASE WHEN fits THEN size(filter(same, e -> e > 0)) ELSE {pieces} END AS BIGINT)")
-    laid = laid.select(*overlay, matched.alias("matched"), F.expr("array_max(transform(runs, r -> r.n))").alias("longest"), F.expr("NOT exists(sequence(0, size(same) - 1), k -> counted[k] AND same[k] = 1)").alias("as_is"))
-    per_shift = laid.where("matched > 0").groupBy(*overlay[:-1]).agg(F.max("matched").alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("as_is"), F.max("longest").alias("longest"))
-    per_part = per_shift.groupBy("doc_id", "row", "item_id", "pid").agg(F.least(F.sum("matched"), F.max("n_tokens")).alias("matched"), F.max("n_tokens").alias("n_tokens"), F.min("as_is").alias("verbatim"), F.max("longest").alias("longest"))
+    pieces = f"aggregate(filter(runs, r -> r.n >= {LEAST_LITERALS}), 0, (n, r) -> n + greatest(0, least(r.s + r.n, lead + own) - greatest(r.s, lead)))"
+    matched = F.expr(f"CAST(CASE WHEN fits THEN size(filter(slice(same, lead + 1, own), e -> e > 0)) ELSE {pieces} END AS BIGINT)")
+    as_is = F.expr("NOT exists(sequence(0, size(same) - 1), k -> counted[k] AND same[k] = 1)")
+    laid = laid.select(*overlay, matched.alias("matched"), F.expr("array_max(transform(runs, r -> r.n))").alias("longest"), as_is.alias("as_is"))
+    most = [F.max("longest").alias("longest"), F.min("as_is").alias("as_is"), F.max("n_tokens").alias("n_tokens")]
+    item = ["doc_id", "row", "item", "item_id"]
+    per_shift = laid.groupBy(*item, "pid", "shift").agg(F.max("matched").alias("matched"), F.max("own").alias("own"), *most)
+    per_part = per_shift.groupBy(*item, "pid").agg(F.least(F.sum("matched"), F.max("own")).alias("matched"), *most)
+    per_item = per_part.groupBy(*item).agg(F.sum("matched").alias("matched"), *most)
     share = F.col("matched") / F.col("n_tokens")
-    best = F.max(F.struct(share.alias("share"), "matched", "n_tokens", "verbatim"))
-    leaks = per_part.where((share >= LEAST_SHARE) | (F.col("longest") >= LEAST_RUN))
+    best = F.max(F.struct(share.alias("share"), "matched", "n_tokens", F.col("as_is").alias("verbatim")))
+    leaks = per_item.where((share >= LEAST_SHARE) | (F.col("longest") >= LEAST_RUN))
     return leaks.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.matched", "b.n_tokens", "b.share", "b.verbatim")
 
 

@@ -295,11 +295,54 @@ def test_long_passages_and_changed_numbers_are_leaks(spark):
     assert {(0, 0), (1, 0), (3, 1), (4, 2)} <= got and not {d for d, i in got if i == 0} - {0, 1}
 
 
-def test_large_benchmarks_go_in_blocks(spark, monkeypatch):
+def _token_overlap(item, doc):
+    """Most tokens of an item of plain words that stand in a document at one shift, and the longest run, by brute force."""
+    best = run = 0
+    for shift in range(-len(item), len(doc)):
+        same = [0 <= shift + k < len(doc) and doc[shift + k] == t for k, t in enumerate(item)]
+        runs = "".join(" x"[x] for x in same).split()
+        if max(map(len, runs), default=0) >= min(decontaminate.WIDTH, len(item)):
+            best, run = max(best, sum(same)), max(run, max(map(len, runs)))
+    return best, run
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_items_of_every_length_at_every_offset(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    word = lambda k: "w" + "".join(chr(97 + (k // 26**i) % 26) for i in range(4))
+    rng, items, docs = np.random.default_rng(9), [], []
+    for i, n in enumerate((4, 5, 6, 8, 9, 10, 16, 60, 255, 256, 257, 300, 700)):
+        items.append((i, [word(1000 * i + k) for k in range(n)]))
+        for at in range(8):
+            docs.append([*[f"pad{chr(97 + x)}" for x in rng.integers(0, 26, at)], *items[-1][1], "and", "more"])
+        for share in (0.3, 0.45, 0.55, 0.8):
+            docs.append(items[-1][1][int(n * (1 - share) / 2) : int(n * (1 + share) / 2)])
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    want = set()
+    for d, t in enumerate(docs):
+        for i, item in items:
+            if set(t) & set(item):
+                n, run = _token_overlap(item, t)
+                if 2 * n >= len(item) or run >= decontaminate.LEAST_RUN:
+                    want.add((d, i, n, len(item)))
+    assert {(r.doc_id, r.item_id, r.matched, r.n_tokens) for r in decontaminate.find_leaks(frame, bench).collect()} == want
+    assert len(want) > 8 * len(items)
+
+
+def test_one_long_text_of_repeated_items(spark):
+    item = "Yes Anna had 12 apples and gave 5 km to Bob while walking along the 12 old roads. "
+    docs = spark.createDataFrame([(1, item * 12_000)], "doc_id long, text string")
+    got = decontaminate.find_leaks(docs, spark.createDataFrame([(0, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.verbatim) for r in got] == [(1, 0, True)]
+
+
+def test_large_benchmarks_are_shuffled(spark, monkeypatch):
     items = [(i, " ".join(f"tok{chr(97 + i)}x{k}y" for k in "abcdefghijklmnop")) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = spark.createDataFrame([(100 + i, f"before {t} after") for i, t in items], "doc_id long, text string")
-    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 50)
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 50)
     assert sorted((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()) == [(100 + i, i) for i in range(20)]
 
 
