@@ -160,8 +160,9 @@ def _slots(tokens: str) -> Column:
     return F.expr(f"array_distinct(transform(filter({tokens}, m -> m.a IN ('{NAME}', '{NUMBER}', '{UNIT}') AND m.a = m.b), m -> struct(m.x AS x, m.y AS y)))")
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, matched and n_tokens (of the item), share, and verbatim (all slots as in the item)."""
+def leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, row (a hash of the text), item_id, matched and n_tokens (of the item), share, and verbatim (all
+    slots as in the item) of each text and item that it leaks."""
     parts = materialize(item_parts(benchmark), "item-parts")
     windows = materialize(item_windows(parts), "item-windows")
     parts = parts.drop("named").join(windows.select("pid").distinct(), "pid", "left_semi")
@@ -190,9 +191,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     per_part = per_shift.groupBy(*item, "pid").agg(F.least(F.sum("matched"), F.max("own")).alias("matched"), *most)
     per_item = per_part.groupBy(*item).agg(F.sum("matched").alias("matched"), *most)
     share = F.col("matched") / F.col("n_tokens")
-    best = F.max(F.struct(share.alias("share"), "matched", "n_tokens", F.col("as_is").alias("verbatim")))
     leaks = per_item.where((share >= LEAST_SHARE) | (F.col("longest") >= LEAST_RUN))
-    return leaks.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.matched", "b.n_tokens", "b.share", "b.verbatim")
+    return leaks.select("doc_id", "row", "item_id", "matched", "n_tokens", share.alias("share"), F.col("as_is").alias("verbatim"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, and the best match: matched, n_tokens, share and verbatim."""
+    best = F.max(F.struct("share", "matched", "n_tokens", "verbatim"))
+    leaks = leaking_texts(docs, benchmark).groupBy("doc_id", "item_id").agg(best.alias("b"))
+    return leaks.select("doc_id", "item_id", "b.matched", "b.n_tokens", "b.share", "b.verbatim")
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents whose text leaks no item, all their columns; others of the same id stay."""
+    leaks = materialize(leaking_texts(docs, benchmark).select("doc_id", "row").distinct(), "leaking-texts")
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]) & (F.xxhash64(docs["text"]) == leaks["row"]), "left_anti")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

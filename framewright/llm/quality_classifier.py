@@ -1,32 +1,38 @@
 """A text quality score learned from positives and unlabelled text.
 
 Trusted positives are labelled 1 and lie outside the held-out fold (crc32 of the doc_id as
-text, modulo 5, is 0 there); unlabelled rows are any documents outside it, their labels unread.
-With the class prior p, estimated as the share of positives over all labels outside the fold,
-training minimises the non-negative unbiased risk
+text, modulo 5, is 0 there); unlabelled rows are all documents outside it, their labels unread.
+With the class prior p, training minimises the non-negative unbiased risk
 
     p * L(positives, 1) + max(0, L(unlabelled, 0) - p * L(positives, 0))
 
-of a linear model with the logistic loss by full-batch gradient steps; while the part in
-max() is below zero, its gradient is followed the other way (Kiryo et al., 2017).
+of a linear model with the logistic loss (Kiryo et al., 2017).
 
-Inputs of a score are measures of the text alone (:func:`quality_rules.measure`), never labels,
-lang, source or doc_id.  Only training is sampled: at most ``most`` positives and ``most``
-unlabelled rows, those with the smallest hashes of their id and text.  Every document is scored.
+1. One pass over the texts writes their inputs as a table: shares and sizes of the text
+   (:func:`quality_rules.measure`), and hashed counts of its words, word pairs and byte triples,
+   a byte each.  Labels, lang, source and doc_id are never inputs.
+2. Means, scales and every gradient over the unlabelled rows are sums over the whole table; the driver holds the
+   weights, the sums and at most ``most`` positives (those with the smallest hashes of id and
+   text), and takes L-BFGS steps.
+3. The prior is estimated without negatives: a model that tells positives from unlabelled rows is
+   fitted on half of the positives, and of all thresholds the least ratio of unlabelled to other positive
+   rows above it, with a margin for chance, bounds the prior (best-bin estimate; Garg et al., 2021).
 
-Null and empty texts have all measures 0 and get a score like any other.  Repeated rows are
-scored row by row and count once in training; a doc_id with labels 0 and 1 is no positive.
+Null and empty texts have all inputs 0 and get a score like any other.  Repeated rows are
+scored row by row, and count as often as they occur in the sums; a doc_id with labels 0 and 1 is no positive.
 Without positives or without documents outside the fold every score is 0.5.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from framewright.llm import words as W
 from framewright.llm.quality_rules import measure
@@ -35,96 +41,264 @@ from framewright.storage import materialize, table
 MOST_ROWS = 10_000
 THRESHOLD = 0.3
 FOLDS = 5
-STEPS = 600
-RATE = 0.05
-RIDGE = 1e-4
+#: Steps of the model behind the prior, and from there on of the score's.
+PRIOR_STEPS, STEPS = 20, 20
+SHARES, WORD_BINS, BYTE_BINS = 10, 256, 128
+INPUTS = SHARES + WORD_BINS + BYTE_BINS
+#: Weight of the squared weights of shares and of hashed counts.
+RIDGE = np.repeat([1e-4, 10.0, 0.0], [SHARES, WORD_BINS + BYTE_BINS, 1])
+#: Deviations after which an input is cut.
+FARTHEST = np.repeat(np.float32([20, 5]), [SHARES, WORD_BINS + BYTE_BINS])
+MEMORY = 8
+SCORE_BINS = 1000
 
 
-def features(texts: list[bytes]) -> np.ndarray:
+def shares(m: dict[str, np.ndarray]) -> np.ndarray:
     """One row of shares and sizes for each text."""
-    m = {k: v.astype(np.float64) for k, v in measure(texts).items()}
+    m = {k: v.astype(np.float64) for k, v in m.items()}
     words, letters, lines = (np.maximum(m[k], 1) for k in ("n_words", "n_letters", "n_lines"))
-    shares = [m["n_symbols"] / words, m["n_marks"] / words, m["n_stutter"] / words, m["n_repeat_words"] / words, m["n_dup_lines"] / lines, m["n_upper"] / letters, 1 - m["n_alpha_words"] / words, m["n_letters"] / np.maximum(m["word_chars"], 1)]
-    return np.stack([*(np.log1p(20 * s) for s in shares), np.log1p(m["n_words"]), np.log1p(m["word_chars"] / words)], axis=1)
+    each = [m["n_symbols"] / words, m["n_marks"] / words, m["n_stutter"] / words, m["n_repeat_words"] / words, m["n_dup_lines"] / lines, m["n_upper"] / letters, 1 - m["n_alpha_words"] / words, m["n_letters"] / np.maximum(m["word_chars"], 1)]
+    return np.stack([*(np.log1p(20 * s) for s in each), np.log1p(m["n_words"]), np.log1p(m["word_chars"] / words)], axis=1)
+
+
+def _hashed_counts(owner: np.ndarray, hashes: np.ndarray, n: int, bins: int) -> np.ndarray:
+    """Roots of each bin's share of a text's hashes, as bytes."""
+    at = owner * bins + (hashes >> np.uint64(65 - bins.bit_length())).astype(np.int64)
+    count = np.bincount(at, minlength=n * bins).reshape(n, bins)
+    return np.round(255 * np.sqrt(count / np.maximum(count.sum(axis=1, keepdims=True), 1))).astype(np.uint8)
+
+
+def inputs(texts: list[bytes]) -> list[bytes]:
+    """The inputs of each text: ``SHARES`` 32-bit numbers and a byte for each bin."""
+    buf, at = W.text_bytes(texts)
+    found = W.word_digests(buf)
+    starts, words = found[0], found[2][:, 0]
+    n, owner = len(texts), np.searchsorted(at, found[0], side="right") - 1
+    pair = owner[1:] == owner[:-1]
+    both = np.concatenate([W.mix(words), W.mix(words[1:] * W.WORD_BASE + words[:-1])[pair]])
+    of_words = _hashed_counts(np.concatenate([owner, owner[1:][pair]]), both, n, WORD_BINS)
+    low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint64)
+    triple = W.mix(low[:-2] << np.uint64(16) | low[1:-1] << np.uint64(8) | low[2:]) if len(low) > 2 else np.zeros(0, np.uint64)
+    byte_owner = np.repeat(np.arange(n), np.diff(at))[: len(triple)]
+    inside = np.arange(len(triple)) + 2 < at[1:][byte_owner] - 1
+    of_bytes = _hashed_counts(byte_owner[inside], triple[inside], n, BYTE_BINS)
+    dense = shares(measure(texts, found)).astype("<f4") if len(starts) else np.zeros((n, SHARES), "<f4")
+    return [a.tobytes() + b.tobytes() + c.tobytes() for a, b, c in zip(dense, of_words, of_bytes, strict=True)]
+
+
+def matrix(rows: list[bytes]) -> np.ndarray:
+    """Rows of inputs as numbers."""
+    flat = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), 4 * SHARES + WORD_BINS + BYTE_BINS)
+    return np.concatenate([np.ascontiguousarray(flat[:, : 4 * SHARES]).view("<f4"), flat[:, 4 * SHARES :] / np.float32(255)], axis=1)
 
 
 def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def _risk_gradient(x: np.ndarray, w: np.ndarray, label: int) -> tuple[float, np.ndarray]:
-    """Mean logistic loss of rows as if all had the label, and its gradient."""
-    z = x @ w * (1 if label else -1)
-    slope = -1 / (1 + np.exp(np.clip(z, -500, 500)))
-    return float(np.logaddexp(0, -z).mean()), (slope[:, None] * x).mean(axis=0) * (1 if label else -1)
+def with_inputs(docs: DataFrame) -> DataFrame:
+    """doc_id, ``h`` (a hash of id and text) and ``x``, the inputs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.blocks(batch, "text"):
+                x = inputs([(t or "").encode() for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(x, pa.binary())], ["doc_id", "h", "x"])
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mean and scale of the inputs, and the weights (the last one is the intercept)."""
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-6
-    p, u = (np.column_stack([(x - mean) / scale, np.ones(len(x))]) for x in (positive, unlabelled))
-    w, m, v = (np.zeros(p.shape[1]) for _ in range(3))
-    for step in range(1, STEPS + 1):
-        _, as_one = _risk_gradient(p, w, 1)
-        p_zero, p_grad = _risk_gradient(p, w, 0)
-        u_zero, u_grad = _risk_gradient(u, w, 0)
-        rest = u_grad - prior * p_grad
-        grad = prior * as_one + rest if u_zero - prior * p_zero >= 0 else -rest
-        grad = grad + RIDGE * np.append(w[:-1], 0)
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w = w - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return mean, scale, w
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(run, f"doc_id {kind}, h long, x binary")
 
 
-def _feature_rows(docs: DataFrame) -> DataFrame:
+def _summed(rows: DataFrame, part) -> np.ndarray:
+    """The sum over all rows' inputs of what ``part`` gives for a batch of them (an array of fixed length)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
         for batch in batches:
-            for part in W.blocks(batch, "text"):
-                x = features([(t or "").encode() for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(list(x), pa.list_(pa.float64()))], ["h", "x"])
+            if batch.num_rows:
+                one = part(matrix(batch.column("x").to_pylist()))
+                total = one if total is None else total + one
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "v"])
+
+    found = rows.select("x").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas()  # twice as many as inputs
+    return found.sort_values("k")["v"].to_numpy()
+
+
+@dataclass
+class Scale:
+    """Brings inputs to mean 0 and deviation 1, far ones cut, and appends the constant 1."""
+
+    mean: np.ndarray
+    deviation: np.ndarray
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        z = np.clip((x - self.mean) / self.deviation, -FARTHEST, FARTHEST)
+        return np.concatenate([z, np.ones((len(x), 1), z.dtype)], axis=1)
+
+
+def scale_of(rows: DataFrame) -> tuple[Scale, int] | None:
+    """The scale of all rows, and their number."""
+    sums = _summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0, dtype=np.float64), (x.astype(np.float64) ** 2).sum(axis=0)]))
+    if not len(sums):
+        return None
+    n, first, second = sums[0], sums[1 : 1 + INPUTS], sums[1 + INPUTS :]
+    mean = first / n
+    return Scale(mean.astype(np.float32), (np.sqrt(np.maximum(second / n - mean**2, 0)) + 0.01).astype(np.float32)), int(n)
+
+
+def _loss(z: np.ndarray, sign: int, x: np.ndarray) -> np.ndarray:
+    """Summed logistic loss of rows as if all had the label of that sign, and its gradient."""
+    slope = -sign / (1 + np.exp(np.clip(sign * z, -500, 500)))
+    return np.concatenate([[np.logaddexp(0, -sign * z).sum()], slope @ x])
+
+
+def minimise(objective, w: np.ndarray, steps: int) -> np.ndarray:
+    """Weights after so many L-BFGS steps with halved step lengths; ``objective`` gives value and gradient."""
+    value, grad = objective(w)
+    history: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(steps):
+        d, alphas = grad.copy(), []
+        for s, y in reversed(history):
+            alphas.append((s @ d) / (s @ y))
+            d -= alphas[-1] * y
+        if history:
+            s, y = history[-1]
+            d *= (s @ y) / (y @ y)
+        else:
+            d /= max(np.linalg.norm(d), 1e-12)
+        for (s, y), a in zip(history, reversed(alphas), strict=True):
+            d += (a - (y @ d) / (s @ y)) * s
+        length, slope = 1.0, -(grad @ d)
+        for _ in range(8):
+            new_value, new_grad = objective(w - length * d)
+            if new_value <= value + 1e-4 * length * slope:
+                break
+            length /= 2
+        else:
+            break
+        s, y = -length * d, new_grad - grad
+        if s @ y > 1e-12:
+            history = [*history, (s, y)][-MEMORY:]
+        done = value - new_value < 1e-6 * max(abs(value), 1e-6)
+        w, value, grad = w + s, new_value, new_grad
+        if done:
+            break
+    return w
+
 
-    return docs.select("h", "text").mapInArrow(run, "h long, x array<double>")
+def _unlabelled_loss(rows: DataFrame, scale: Scale, w: np.ndarray, n: int) -> tuple[float, np.ndarray]:
+    """Mean loss of all rows as negatives, and its gradient."""
 
+    def part(x: np.ndarray) -> np.ndarray:
+        x = scale(x)
+        return _loss(x @ w, -1, x)
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """The model, or None if there is nothing to learn from."""
-    known = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = materialize(known.where("quality is not null"), "labels")
-    prior = known.agg(F.avg("quality")).first()[0]
-    if not prior:
+    sums = _summed(rows, part) / n
+    return sums[0], sums[1:]
+
+
+def pu_risk(positive: np.ndarray, unlabelled, prior: float):
+    """The non-negative risk of weights, and its gradient; ``unlabelled`` gives its loss as negatives."""
+
+    def risk(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = positive @ w
+        as_one, as_zero = (_loss(z, sign, positive) / len(positive) for sign in (1, -1))
+        u_value, u_grad = unlabelled(w)
+        rest = u_value - prior * as_zero[0]
+        value, grad = prior * as_one[0] + max(0.0, rest), prior * as_one[1:]
+        if rest > 0:
+            grad = grad + u_grad - prior * as_zero[1:]
+        return value + (RIDGE * w * w).sum() / 2, grad + RIDGE * w
+
+    return risk
+
+
+def told_apart(positive: np.ndarray, unlabelled):
+    """The mean loss of telling positives from unlabelled rows, both with weight a half."""
+
+    def risk(w: np.ndarray) -> tuple[float, np.ndarray]:
+        own = _loss(positive @ w, 1, positive) / len(positive)
+        u_value, u_grad = unlabelled(w)
+        return (own[0] + u_value + (RIDGE * w * w).sum()) / 2, (own[1:] + u_grad) / 2 + RIDGE * w
+
+    return risk
+
+
+def best_bin(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The estimate of the prior from counts of scores in bins, of positives and of unlabelled rows."""
+    p, u = (np.cumsum(c[::-1]) for c in (positive, unlabelled))
+    enough = p > 0
+    margin = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(p[-1]) + 1 / np.sqrt(u[-1]))
+    q_p, q_u = p[enough] / p[-1], u[enough] / u[-1]
+    k = np.argmin((q_u + margin) / q_p)
+    return float(np.clip(q_u[k] / q_p[k], 0.01, 0.99))
+
+
+@dataclass
+class Model:
+    scale: Scale
+    weights: np.ndarray
+    prior: float
+
+    def score(self, rows: list[bytes]) -> np.ndarray:
+        return _sigmoid(self.scale(matrix(rows)) @ self.weights) if rows else np.zeros(0)
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(-z, -500, 500)))
+
+
+def fit(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model | None:
+    """The model from rows with inputs (:func:`with_inputs`), or None if there is nothing to learn from."""
+    known = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
+    unlabelled = rows.where(~held_out())
+    found = scale_of(unlabelled)
+    chosen = unlabelled.join(known.select("doc_id"), "doc_id", "left_semi").groupBy("h").agg(F.first("x").alias("x")).orderBy("h").limit(most).select("x").toPandas()
+    if found is None or not len(chosen):
         return None
-    hashed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).where(~held_out())
-    positive = hashed.select("doc_id", "h").join(known.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    picks = [materialize(ids.select("h").distinct().orderBy("h").limit(most), "sample") for ids in (positive, hashed)]
-    # both samples have at most `most` rows of one long, so they may be broadcast
-    chosen = hashed.join(F.broadcast(picks[0].union(picks[1]).distinct()), "h", "left_semi")
-    rows = _feature_rows(chosen).groupBy("h").agg(F.first("x").alias("x"))
-    found = [rows.join(F.broadcast(p), "h", "left_semi") for p in picks]
-    both = found[0].select(F.lit(True).alias("positive"), "x").union(found[1].select(F.lit(False), "x")).toPandas()
-    xs = [np.array(both["x"][both["positive"] == kind].tolist()) for kind in (True, False)]
-    return train(*xs, float(prior)) if all(len(x) for x in xs) else None
+    scale, n = found
+    positive = scale(matrix(chosen["x"].tolist()))
+    loss = lambda w: _unlabelled_loss(unlabelled, scale, w, n)
+    half = positive[::2], positive[1::2] if len(positive) > 1 else positive
+    apart = minimise(told_apart(half[0], loss), np.zeros(INPUTS + 1), PRIOR_STEPS)
+    binned = lambda x: np.bincount(np.minimum((_sigmoid(x @ apart) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1), minlength=SCORE_BINS).astype(np.float64)
+    prior = best_bin(binned(half[1]), _summed(unlabelled, lambda x: binned(scale(x))))
+    return Model(scale, minimise(pu_risk(positive, loss, prior), apart, STEPS), prior)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | None) -> DataFrame:
-    """The documents with a ``score`` from 0 to 1."""
+def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """The documents with a score from 0 to 1 in the column ``name``, which replaces one of that name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.blocks(batch, "text"):
-                x = features([(t or "").encode() for t in part.column("text").to_pylist()])
-                z = np.zeros(len(x))
-                if model is not None:
-                    mean, scale, w = model
-                    z = (x - mean) / scale @ w[:-1] + w[-1]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(np.clip(-z, -500, 500))))], [*part.schema.names, "score"])
+                found = np.full(part.num_rows, 0.5) if model is None else model.score(inputs([(t or "").encode() for t in part.column("text").to_pylist()]))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.astype(np.float64))], [*part.schema.names, name])
+
+    plain = docs.drop(name)
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField(name, DoubleType())]))
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
 
-    plain = docs.drop("score") if "score" in docs.columns else docs
-    return plain.mapInArrow(run, StructType([*plain.schema.fields, StructField("score", DoubleType())]))
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose score reaches the threshold, all their columns as they were."""
+    rows = materialize(with_inputs(docs), "inputs")
+    name = "_" + max(docs.columns, key=len)  # longer than any of theirs
+    return score(docs, fit(rows, labels), name).where(F.col(name) >= THRESHOLD).select(docs.columns)
+
+
+def score_rows(rows: DataFrame, model: Model | None) -> DataFrame:
+    """doc_id and ``score`` of rows with inputs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.full(batch.num_rows, 0.5) if model is None else model.score(batch.column("x").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.astype(np.float64))], ["doc_id", "score"])
+
+    return rows.select("doc_id", "x").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    rows = materialize(with_inputs(table(spark, sf_dir, "documents")), "inputs")
+    scored = score_rows(rows, fit(rows, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

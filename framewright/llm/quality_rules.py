@@ -80,11 +80,11 @@ def _lines(text: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
-    """The measures of each text."""
+def measure(texts: list[bytes], words: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> dict[str, np.ndarray]:
+    """The measures of each text; ``words``: what :func:`words.word_digests` found in them, if known."""
     buf, at = W.text_bytes(texts)
     first, last = at[:-1], at[1:] - 1
-    starts, ends, words = W.word_digests(buf)
+    starts, ends, words = words or W.word_digests(buf)
     word_at = np.searchsorted(starts, at)
     n_words = np.diff(word_at)
 

@@ -338,6 +338,16 @@ def test_one_long_text_of_repeated_items(spark):
     assert [(r.doc_id, r.item_id, r.verbatim) for r in got] == [(1, 0, True)]
 
 
+def test_leaking_texts_go_and_others_of_their_id_stay(spark, none):
+    item = "Yes Anna had 12 apples and gave 5 km to Bob while walking along the 12 old roads."
+    rows = [(1, item, "a"), (1, "another text", "b"), (None, item + " more", "c"), (None, "no id", None), (2, None, "d"), (3, "", "e"), (3, item, "f"), (3, item, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    bench = spark.createDataFrame([(0, item), (0, item), (None, None)], "item_id long, text string")
+    kept = decontaminate.drop_leaks(docs, bench)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4], rows[5]], key=str) and kept.columns == docs.columns
+    assert decontaminate.drop_leaks(none, bench).count() == 0 and decontaminate.drop_leaks(docs, bench.limit(0)).count() == len(rows)
+
+
 def test_large_benchmarks_are_shuffled(spark, monkeypatch):
     items = [(i, " ".join(f"tok{chr(97 + i)}x{k}y" for k in "abcdefghijklmnop")) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -395,47 +405,124 @@ def test_hot_keys_are_tiled(spark):
     assert len(got) == 300 and len(set(got.values())) == 1
 
 
-def test_near_documents_of_every_size_are_linked(spark, docs, none):
-    rng, rows, near = np.random.default_rng(3), [], []
-    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
-    for i in range(300):
-        words = [f"t{k}" for k in rng.integers(0, 30_000, rng.integers(12, 600))]
-        other = list(words)
-        for k in rng.integers(0, len(words), rng.integers(1, 1 + max(1, len(words) // 50))):
-            other[k] = f"t{rng.integers(0, 30_000)}"
-        a, b = shingles(words), shingles(other)
-        near.append(len(a & b) / len(a | b) >= 0.8)
-        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
-    linked = {r.doc_id: r.component_id for r in simhash_dedup.link_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(linked[2 * i] == 2 * i for i in range(300))
-    found = [linked[2 * i + 1] == 2 * i for i, n in enumerate(near) if n]
-    assert len(found) > 100 and sum(found) >= 0.98 * len(found)
+def _shingles(text, n=5):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def _near_groups_by_hand(texts):
+    """The least index of each text's component under similarity 0.8, every pair compared."""
+    sets, group = [_shingles(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) >= 0.8 * len(a | b):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    return group
+
+
+def _edited(rng, words, n):
+    out = list(words)
+    for k in rng.integers(0, len(words), n):
+        out[k] = f"t{rng.integers(0, 30_000)}"
+    return out
+
+
+def test_near_groups_equal_brute_force(spark, docs, none):
+    """Pairs of every size around the threshold, chains of edits, and edits of one base that are similar
+    to it and not to each other."""
+    rng, texts = np.random.default_rng(3), [t or "" for t in TEXTS]
+    for _ in range(60):
+        words = [f"t{k}" for k in rng.integers(0, 30_000, int(rng.choice([6, 9, 12, 15, 20, 30, 60, 120, 400])))]
+        texts += [" ".join(words), " ".join(_edited(rng, words, 1 + int(len(words) * rng.choice([0.005, 0.01, 0.02, 0.03]))))]
+    for _ in range(3):
+        words = [f"t{k}" for k in rng.integers(0, 30_000, 150)]
+        texts += [" ".join(_edited(rng, words, 3)) for _ in range(12)] + [" ".join(words)]
+        for _ in range(8):
+            words = _edited(rng, words, 3)
+            texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.link_near(frame).collect()}
+    want = dict(enumerate(_near_groups_by_hand(texts)))
+    assert len({*want.values()}) < len(texts) - 60 and got == want
     assert simhash_dedup.link_near(docs).count() == len(TEXTS)
     assert simhash_dedup.link_near(none).count() == 0
 
 
+def test_one_row_of_each_near_group_stays(spark, none):
+    words = [f"w{i}x" for i in range(120)]
+    base, near, other = " ".join(words), " ".join([*words[:60], "changed", *words[61:]]), " ".join(reversed(words))
+    rows = [(1, base), (2, base), (3, near), (4, other), (4, "other text of the same id, which no one else has"), (4, other), (None, base), (None, "no id but a text"), (None, "no id but a text"), (9, None), (None, ""), (10, "x " * 30_000)]
+    table = [(i, t, "clash", None, "1", k % 2) for k, (i, t) in enumerate(rows)]
+    frame = spark.createDataFrame(table, "doc_id long, text string, node string, root long, component_id string, n int")
+    kept = simhash_dedup.drop_near(frame)
+    assert kept.columns == frame.columns
+    want = [(1, base, 0), (4, other, 1), (4, rows[4][1], 0), (None, "no id but a text", 0), (9, None, 1), (10, "x " * 30_000, 1)]
+    assert sorted(((r.doc_id, r.text, r.n) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert simhash_dedup.drop_near(none).count() == 0
+
+
 def test_hot_band_keys_are_tiled(spark):
     words = [f"w{i}" for i in range(400)]
     docs = spark.createDataFrame([(i, " ".join([*words[:200], f"x{i}", *words[200:]])) for i in range(150)], "doc_id long, text string")
-    distinct = simhash_dedup.sketch_documents(docs, 5).selectExpr("doc_id as node", "fp", "sketch", "bands")
+    rows = simhash_dedup.with_row(docs)
+    distinct = simhash_dedup.sketch_documents(rows, 5)
     from framewright.llm.components import connected_components
 
-    got = {r.node: r.root for r in connected_components(simhash_dedup.near_edges(distinct, longest_run=8)).collect()}
+    edges = simhash_dedup.near_edges(rows, distinct, 5, longest_run=8)
+    got = {r.node: r.root for r in connected_components(edges).collect()}
     assert len(got) == 150 and len(set(got.values())) == 1
 
 
-def test_quality_classifier(spark, docs, none):
+@pytest.fixture(scope="module")
+def graded(spark):
     good = [(i, " ".join(f"w{(i * 7 + k) % 50}ord" for k in range(60)), 1) for i in range(120)]
     bad = [(1000 + i, " ".join(f"w{(i * 3 + k) % 50}ord$$$" for k in range(60)), 0) for i in range(40)]
-    rows = spark.createDataFrame(good + bad, "doc_id long, text string, quality int")
-    labels = rows.select("doc_id", "quality")
-    scored = quality_classifier.score(rows.select("doc_id", "text"), quality_classifier.fit(rows.select("doc_id", "text"), labels))
+    return spark.createDataFrame(good + bad, "doc_id long, text string, quality int")
+
+
+def test_quality_classifier(spark, docs, none, graded):
+    labels = graded.select("doc_id", "quality")
+    rows = quality_classifier.with_inputs(graded)
+    model = quality_classifier.fit(rows, labels.where("doc_id < 60 OR doc_id > 1000"))
+    scored = quality_classifier.score_rows(rows, model)
     right = scored.join(labels, "doc_id").where(quality_classifier.held_out()).selectExpr("avg(cast((score >= 0.3) = (quality = 1) as int))").first()[0]
-    assert right > 0.95
-    out = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).collect()
+    assert right > 0.95 and abs(model.prior - 0.75) < 0.1
+    again = {r.doc_id: r.score for r in quality_classifier.score(graded, model).collect()}
+    assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in scored.collect())
+    out = quality_classifier.score(docs, model).collect()
     assert len(out) == len(TEXTS) and all(0 <= r.score <= 1 for r in out)
-    assert {r.score for r in quality_classifier.score(docs, quality_classifier.fit(docs, labels.limit(0))).collect()} == {0.5}
-    assert quality_classifier.score(none, quality_classifier.fit(none, labels)).count() == 0
+    assert {r.score for r in quality_classifier.score(docs, quality_classifier.fit(rows, labels.limit(0))).collect()} == {0.5}
+    assert quality_classifier.score(none, quality_classifier.fit(quality_classifier.with_inputs(none), labels)).count() == 0
+
+
+def test_kept_documents_keep_their_columns(spark, docs, none, graded):
+    rows = graded.select("doc_id", "text", (graded["doc_id"] % 3).cast("string").alias("score"), graded["quality"].alias("_doc_id"))
+    kept = quality_classifier.keep_good(rows, graded.select("doc_id", "quality"))
+    assert kept.schema == rows.schema
+    got = {tuple(r) for r in kept.collect()}
+    assert got <= {tuple(r) for r in rows.collect()} and sum(i < 1000 for i, *_ in got) == 120 and sum(i >= 1000 for i, *_ in got) <= 1
+    assert quality_classifier.keep_good(none, graded.select("doc_id", "quality")).count() == 0
+    # nothing to learn from: 0.5 keeps all
+    assert quality_classifier.keep_good(docs, graded.select("doc_id", "quality").limit(0)).count() == len(TEXTS)
+
+
+def test_risk_gradients_and_prior():
+    rng = np.random.default_rng(2)
+    size = quality_classifier.INPUTS + 1
+    x = np.concatenate([rng.normal(0.5, 1, (40, size)), rng.normal(-0.5, 1, (60, size))])
+    mean_loss = lambda w: (lambda v: (v[0], v[1:]))(quality_classifier._loss(x @ w, -1, x) / len(x))
+    for objective in (quality_classifier.pu_risk(x[:20], mean_loss, 0.4), quality_classifier.told_apart(x[:20], mean_loss)):
+        w = rng.normal(0, 0.01, size)
+        value, grad = objective(w)
+        for k in (0, 50, size - 1):
+            step = np.eye(size)[k] * 1e-6
+            assert abs((objective(w + step)[0] - objective(w - step)[0]) / 2e-6 - grad[k]) < 1e-4 * max(1, abs(grad[k]))
+        assert objective(quality_classifier.minimise(objective, w, 10))[0] < value
+    positive = np.histogram(rng.normal(0.8, 0.05, 2000), 1000, (0, 1))[0].astype(float)
+    other = np.histogram(rng.normal(0.3, 0.1, 14_000), 1000, (0, 1))[0].astype(float)
+    mixed = np.histogram(rng.normal(0.8, 0.05, 6000), 1000, (0, 1))[0] + other
+    assert abs(quality_classifier.best_bin(positive, mixed) - 0.3) < 0.03
 
 
 def test_chat_format(spark):
