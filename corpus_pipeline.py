@@ -11,47 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm import decontaminate, quality_classifier, secret_scan, sentencepiece_codec, simhash_dedup
-from framewright.storage import materialize, ship_package, table
+from framewright.storage import intermediates, materialize, ship_package, table
 
 #: Near duplicates resemble by 0.8 in their shingles of this many words.
 SHINGLE_WORDS = 5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose learned quality reaches the threshold."""
+    """Documents whose learned quality reaches the threshold.  Null and empty texts are scored like any
+    other; repeated rows stay or go together; without labels all stay; a column ``score`` stays the user's."""
     ship_package(spark)
-    scored = quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
-    return scored.where(F.col("score") >= quality_classifier.THRESHOLD).select(docs.columns)
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, and of rows that share
-    it one of the longest text.  Documents without an id are alone if no other is near."""
+    """One document of each group of near duplicates: that of the smallest doc_id, nulls last.  Different
+    texts of one id (null too) are judged apart; texts without a word form one group; of repeated rows one stays."""
     ship_package(spark)
-    linked = simhash_dedup.link_near(docs, SHINGLE_WORDS)
-    kept = materialize(linked.select("component_id").where("component_id is not null").distinct(), "kept-ids")
-    # one shuffle of the texts, by id and at every size; the rows of an id then lie together and sorted
-    named = docs.join(kept.hint("merge"), docs["doc_id"] == kept["component_id"], "left_semi")
-    best = F.max_by(F.struct(*(c for c in docs.columns if c != "doc_id")), F.struct(F.length("text"), "text")).alias("best")
-    no_id = docs.where("doc_id is null").dropDuplicates(["text"])
-    return named.groupBy("doc_id").agg(best).select("doc_id", "best.*").select(docs.columns).unionAll(no_id.select(docs.columns))
+    return simhash_dedup.drop_near(docs, SHINGLE_WORDS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, as it is or with other values."""
-    leaks = materialize(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaking-ids")
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["doc_id"]), "left_anti")
+    """Documents that hold no benchmark item, as it is or with other values.  Null and empty texts stay; other
+    texts of a leaking document's id (null too) stay; an empty benchmark drops nothing."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts masked and n_chars counted anew."""
+    """All documents, secrets in their texts masked and n_chars counted anew (null for null texts)."""
     ship_package(spark)
     masked = secret_scan.redact(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number and digest of the token ids, digest of the decoded text, checksum of the spans."""
+    """doc_id, number and digest of the token ids, digest of the decoded text, checksum of the spans, a row
+    for each row; null texts count as empty."""
     ship_package(spark)
     return sentencepiece_codec.code_digests(docs, sentencepiece_codec.model_file())
 
@@ -71,5 +66,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with intermediates(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+            made.keep(docs)
     return docs

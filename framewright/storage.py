@@ -9,6 +9,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -28,9 +30,43 @@ def shared_dir(spark: SparkSession) -> str:
     return root
 
 
+class Intermediates:
+    """The paths that :func:`new_path` gave out in a block."""
+
+    def __init__(self) -> None:
+        self.paths: set[str] = set()
+
+    def keep(self, table_: DataFrame) -> None:
+        """Keep what a written table reads."""
+        read = {f.rpartition("/")[0].partition(":")[2].lstrip("/") for f in table_.inputFiles()}
+        self.paths = {p for p in self.paths if p.partition(":")[2].lstrip("/") not in read}
+
+
+_OPEN: list[Intermediates] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[Intermediates]:
+    """Deletes at the end what was written in the block below :func:`new_path` and not kept; for blocks
+    whose results are written tables, since whatever is still to be computed needs its intermediates."""
+    made = Intermediates()
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+        hadoop = spark._jsc.hadoopConfiguration()
+        for path in made.paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/framewright/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/framewright/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.paths.add(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
