@@ -48,7 +48,7 @@ class Camera:
     def normalised(self) -> dict[str, float]:
         """Focal lengths and principal point over the longer side, as reconstruction tools store them."""
         m = max(self.width, self.height)
-        return {"focal_x": self.fx / m, "focal_y": self.fy / m, "c_x": (self.cx - (self.width - 1) / 2) / m, "c_y": (self.cy - (self.height - 1) / 2) / m}
+        return {"focal_x": self.fx / m, "focal_y": self.fy / m, "c_x": (self.cx - self.width / 2) / m, "c_y": (self.cy - self.height / 2) / m}
 
 
 def rotation(roll: float, pitch: float, yaw: float) -> np.ndarray:
@@ -84,42 +84,46 @@ class Terrain:
         fc, fr = np.where(inside, c - c0, 0), np.where(inside, r - r0, 0)
         corner = [self.z[r0 + i, c0 + j].astype(np.float64) for i in (0, 1) for j in (0, 1)]
         value = (corner[0] * (1 - fc) + corner[1] * fc) * (1 - fr) + (corner[2] * (1 - fc) + corner[3] * fc) * fr
-        missing = np.any([x == self.nodata for x in corner], axis=0)
+        missing = np.any([(x == self.nodata) | ~np.isfinite(x) for x in corner], axis=0)
         return np.where(inside & ~missing, value + self.datum, np.nan)
 
     def bounds(self) -> tuple[float, float]:
-        good = self.z[self.z != self.nodata]
+        good = self.z[(self.z != self.nodata) & np.isfinite(self.z)]
         return (float(good.min()) + self.datum, float(good.max()) + self.datum) if good.size else (-np.inf, np.inf)
 
 
 def first_hits(terrain: Terrain, origins: np.ndarray, rays: np.ndarray, step: float = 10.0, reach: float = 800.0) -> np.ndarray:
     """Where each ray first meets the ground, in steps anchored at its origin and one
     secant refinement; NaN rows for rays that start below it, leave it or never meet it.
-    Missing heights neither hit nor stop a ray."""
+    A step hits if both its ends have known heights, above and not above the ground;
+    missing heights neither hit nor stop a ray."""
     hits = np.full((len(rays), 3), np.nan)
     height = lambda p: p[:, 2] - terrain.sample(p[:, 0], p[:, 1])
-    before = height(origins)
-    low = terrain.bounds()[0]
-    live = np.flatnonzero((rays[:, 2] < 0) & ~(before <= 0))
-    t_before = np.zeros(len(rays))
-    for t in np.arange(step, reach + step, step):
+    low, high = terrain.bounds()
+    down = rays[:, 2] < 0
+    # above the highest ground no step can hit, so the first ones are skipped
+    first = np.min((origins[down, 2] - high) / -rays[down, 2], initial=reach) if np.isfinite(high) else 0.0
+    first = max(0.0, np.floor(first / step) * step)
+    before = height(origins + first * rays)
+    live = np.flatnonzero(down & ~(before <= 0))
+    t_before = np.full(len(rays), first)
+    for t in np.arange(first + step, reach + step, step):
         if not len(live):
             break
         point = origins[live] + t * rays[live]
         now = height(point)
-        crossed = now <= 0
+        crossed = (now <= 0) & (before[live] > 0)
         if crossed.any():
             k = live[crossed]
             t0, h0, t1, h1 = t_before[k], before[k], np.full(len(k), t), now[crossed]
-            at = np.where(np.isnan(h0), t1, t0 + (t1 - t0) * h0 / (h0 - h1))
+            at = t0 + (t1 - t0) * h0 / (h0 - h1)
             mid = height(origins[k] + at[:, None] * rays[k])
             below = mid <= 0
             t0, h0, t1, h1 = np.where(below, t0, at), np.where(below, h0, mid), np.where(below, at, t1), np.where(below, mid, h1)
             refined = t0 + (t1 - t0) * h0 / np.where(h0 == h1, 1, h0 - h1)
             at = np.where(np.isfinite(refined), refined, at)
             hits[k] = origins[k] + at[:, None] * rays[k]
-        known = ~np.isnan(now)
-        before[live[known]], t_before[live[known]] = now[known], t
+        before[live], t_before[live] = now, t
         live = live[~crossed & (point[:, 2] >= low - step)]
     return hits
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from framewright.storage import materialize
 
 
 def by_frame() -> WindowSpec:
@@ -18,10 +19,10 @@ def selection_gaps(selected: DataFrame) -> DataFrame:
     return gaps.where("gap_frames IS NOT NULL")
 
 
-def worst_gap(gaps: DataFrame) -> DataFrame:
-    """The first longest gap of each flight, if any is over 0."""
-    rank = F.row_number().over(Window.partitionBy("flight").orderBy(F.col("gap_m").desc(), "frame"))
-    return gaps.where("gap_m > 0").withColumn("rn", rank).where("rn = 1").drop("rn")
+def worst_gap(gaps: DataFrame, by: str = "gap_m") -> DataFrame:
+    """The first longest gap of each flight (in metres, or by ``gap_frames``), if any is over 0."""
+    rank = F.row_number().over(Window.partitionBy("flight").orderBy(F.col(by).desc(), "frame"))
+    return gaps.where(F.col(by) > 0).withColumn("rn", rank).where("rn = 1").drop("rn")
 
 
 def bin_rank(binned: DataFrame) -> DataFrame:
@@ -46,10 +47,15 @@ def neighbour_counts(points: DataFrame, radius: float) -> DataFrame:
     return points.select("flight", "frame").join(n, ["flight", "frame"], "left").select("flight", "frame", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def local_density(points: DataFrame, radius: float) -> DataFrame:
-    """The fullest ball of each flight (its centre counts): the first frame that has it."""
+def local_density(points: DataFrame, radius: float, members: int = 10) -> DataFrame:
+    """The fullest ball of each flight (its centre counts): the first frame that has it, how many it holds and its
+    first ``members``, in frame order."""
     rank = F.row_number().over(Window.partitionBy("flight").orderBy(F.col("n").desc(), "frame"))
-    return neighbour_counts(points, radius).withColumn("rn", rank).where("rn = 1").select("flight", "frame", (F.col("n") + 1).alias("population"))
+    best = neighbour_counts(points, radius).withColumn("rn", rank).where("rn = 1").select("flight", "frame", (F.col("n") + 1).alias("population"))
+    inside = radius_pairs(points, radius).join(best, ["flight", "frame"], "left_semi").select("flight", "other").union(best.select("flight", "frame"))
+    order = F.row_number().over(Window.partitionBy("flight").orderBy("other"))
+    listed = inside.withColumn("rn", order).where(F.col("rn") <= members).groupBy("flight").agg(F.array_sort(F.collect_list("other")).alias("members"))
+    return best.join(listed, "flight")
 
 
 def matcher_neighbours(points: DataFrame, radius: float) -> DataFrame:
@@ -61,8 +67,6 @@ def matcher_neighbours(points: DataFrame, radius: float) -> DataFrame:
 def nearest_selected(frames: DataFrame, first_radius: float = 64.0) -> DataFrame:
     """Distance of each frame to the nearest selected one; for selected frames distances of 0
     don't count.  Rings of buckets double until every frame that can has an answer."""
-    from framewright.storage import materialize
-
     frames = materialize(frames.select("flight", "frame", "easting", "northing", "selected"), "frames")
     chosen = frames.where("selected").select("flight", F.col("easting").alias("e2"), F.col("northing").alias("n2")).distinct()
     open_, done, radius = frames, None, first_radius
@@ -85,6 +89,13 @@ def nearest_selected(frames: DataFrame, first_radius: float = 64.0) -> DataFrame
     return never if done is None else done.union(never)
 
 
+def audit_table(labelled: DataFrame) -> DataFrame:
+    """Labelled frames with cell_x and cell_y, ``bin_rank`` and ``dist_to_nearest_selected_m``."""
+    ranked = bin_rank(labelled)
+    near = nearest_selected(labelled).withColumnRenamed("dist_m", "dist_to_nearest_selected_m")
+    return ranked.join(near, ["flight", "frame"], "left")
+
+
 def quantiles(column: str) -> Column:
     """min, p10 .. p90, max by linear interpolation."""
     return F.percentile(column, F.array(*(F.lit(q) for q in (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0))))

@@ -11,8 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain, first_hits, hull_wkt, rotation
+from framewright.operators import coverage
+
+#: Bytes of terrain that travel with a function.
+MOST_TERRAIN = 256 << 20
 
 
 def terrain_window(terrain: Terrain, box: tuple[float, float, float, float], margin: float) -> Terrain:
@@ -34,14 +39,47 @@ def sample_terrain(points: DataFrame, terrain: Terrain) -> DataFrame:
     return points.mapInPandas(run, points.schema.simpleString()[7:-1] + ",ground_z:double")
 
 
-def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: float, grid: tuple[int, int] = (24, 14), least_valid: float = 0.25) -> DataFrame:
-    """flight, frame, valid, valid_frac, area_m2, centroid, hull, reject_detail and ``cells``."""
+def mission_box(frames: DataFrame) -> DataFrame:
+    """flight and the least and largest easting and northing."""
+    return frames.groupBy("flight").agg(*(f(c).alias(f"{n}_{c}") for c in ("easting", "northing") for n, f in (("min", F.min), ("max", F.max))))
+
+
+def with_agl(frames: DataFrame, terrain: Terrain) -> DataFrame:
+    """``agl_m``: the altitude above the terrain under the frame, null outside it."""
+    return sample_terrain(frames.drop("agl_m", "ground_z"), terrain).withColumn("agl_m", F.col("altamsl") - F.col("ground_z")).drop("ground_z")
+
+
+def cell_ground(cells: DataFrame, terrain: Terrain) -> DataFrame:
+    """flight, cx, cy and ``ground_z`` under the centres ``center_e``, ``center_n`` of cells, null outside the terrain."""
+    at = cells.select("flight", "cx", "cy", F.col("center_e").alias("easting"), F.col("center_n").alias("northing"))
+    return sample_terrain(at, terrain).select("flight", "cx", "cy", "ground_z")
+
+
+def long_cells(footprints_: DataFrame) -> DataFrame:
+    """flight, frame, cx, cy and footprint_valid: a row for each cell of a footprint."""
+    return footprints_.select("flight", "frame", F.explode("cells").alias("c"), F.col("valid").alias("footprint_valid")).select("flight", "frame", "c.cx", "c.cy", "footprint_valid")
+
+
+def with_footprints(frames: DataFrame, footprints_: DataFrame) -> DataFrame:
+    """Frames with what is known of their footprints: footprint_valid (false if absent), footprint_valid_frac,
+    footprint_area_m2, footprint_cell_count and footprint_polygon_wkt."""
+    named = footprints_.select("flight", "frame", F.col("valid").alias("footprint_valid"), F.col("valid_frac").alias("footprint_valid_frac"), F.col("area_m2").alias("footprint_area_m2"), F.size("cells").cast("long").alias("footprint_cell_count"), F.col("hull_wkt").alias("footprint_polygon_wkt"))
+    joined = frames.drop(*(c for c in named.columns if c.startswith("footprint_"))).join(named, ["flight", "frame"], "left")
+    return joined.withColumn("footprint_valid", F.coalesce("footprint_valid", F.lit(False)))
+
+
+def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: float, margin_m: float = 500.0, grid: tuple[int, int] = (48, 27), least_valid: float = 0.25) -> DataFrame:
+    """flight, frame, valid, valid_frac, area_m2, centroid, hull, reject_detail and ``cells``, counted from
+    the origin of the flight's ground grid (:func:`coverage.ground_grid`)."""
+    if terrain.z.nbytes > MOST_TERRAIN:
+        raise ValueError(f"clip the terrain to the mission: {terrain.z.nbytes} bytes go to every task, {MOST_TERRAIN} may")
     rays = camera.rays(camera.sample_grid(*grid))
+    frames = frames.join(coverage.ground_grid(frames, cell_m, margin_m), "flight")
 
     def one(f, hits: np.ndarray) -> tuple:
         hits = hits[~np.isnan(hits[:, 0])]
         share = len(hits) / len(rays)
-        cells = np.unique(np.floor(hits[:, :2] / cell_m).astype(np.int64), axis=0).tolist()
+        cells = np.unique(np.floor((hits[:, :2] - [f.origin_e, f.origin_n]) / cell_m).astype(np.int64), axis=0).tolist()
         detail = "too_few_rays" if share < least_valid else "no_cells" if not cells else "ok"
         center = hits.mean(axis=0).tolist() if len(hits) else [None, None]
         return f.flight, f.frame, detail == "ok", share, len(cells) * cell_m**2, center[0], center[1], hull_wkt(hits), detail, [{"cx": x, "cy": y} for x, y in cells]
@@ -61,4 +99,4 @@ def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: floa
     kinds = "flight long, frame long, valid boolean, valid_frac double, area_m2 double, centroid_e double, centroid_n double, hull_wkt string, reject_detail string, cells array<struct<cx:bigint,cy:bigint>>"
     # frames are small rows with much work each: spread them whatever the partitions before
     n = 4 * frames.sparkSession.sparkContext.defaultParallelism
-    return frames.select("flight", "frame", "easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad").repartition(n, "flight", "frame").mapInPandas(run, kinds)
+    return frames.select("flight", "frame", "easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad", "origin_e", "origin_n").repartition(n, "flight", "frame").mapInPandas(run, kinds)

@@ -5,19 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.operators.parallax import angle_deg, with_axis
+from framewright.storage import materialize
 
-def covis_edges(cells: DataFrame, frames: DataFrame, min_iom: float = 0.10) -> DataFrame:
-    """Pairs i < j of one flight that share cells: shared, iom (over the smaller footprint), dist_m.
-    An equi-join on the cell, so only frames that meet are ever paired."""
+#: Nodes of a component whose matrix one task may solve (32 MB).
+MOST_DENSE = 2_000
+
+
+def covis_vertices(frames: DataFrame, cells: DataFrame) -> DataFrame:
+    """The frames that have a cell of a valid footprint: what the graph is made of."""
+    return frames.join(cells.where("footprint_valid").select("flight", "frame").distinct(), ["flight", "frame"], "left_semi")
+
+
+def covis_edges(cells: DataFrame, frames: DataFrame, min_iom: float = 0.10, max_angle_deg: float | None = 45.0) -> DataFrame:
+    """Pairs i < j of one flight that share cells: shared, iom (over the smaller footprint), dist_m and
+    view_angle_deg between the optical axes (null if one is unknown), at most ``max_angle_deg`` where known.
+    An equi-join on the cell, so only frames that meet are ever paired; frames: flight, frame, easting,
+    northing, pitch_rad, yaw_rad."""
+    cells = cells.join(frames.select("flight", "frame"), ["flight", "frame"], "left_semi")
     a = cells.select("flight", "cx", "cy", F.col("frame").alias("i"))
     b = cells.select("flight", "cx", "cy", F.col("frame").alias("j"))
     shared = a.join(b, ["flight", "cx", "cy"]).where("i < j").groupBy("flight", "i", "j").agg(F.count("*").alias("shared"))
     size = cells.groupBy("flight", "frame").agg(F.count("*").alias("n"))
-    at = size.join(frames.select("flight", "frame", "easting", "northing"), ["flight", "frame"])
-    side = lambda k: at.select("flight", F.col("frame").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in ("n", "easting", "northing")))
+    known = ("n", "easting", "northing", "ax", "ay", "az")
+    at = size.join(with_axis(frames).select("flight", "frame", *known[1:]), ["flight", "frame"])
+    side = lambda k: at.select("flight", F.col("frame").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in known))
     iom = F.col("shared") / F.least("n_i", "n_j")
     dist = F.hypot(F.col("easting_i") - F.col("easting_j"), F.col("northing_i") - F.col("northing_j"))
-    return shared.join(side("i"), ["flight", "i"]).join(side("j"), ["flight", "j"]).select("flight", "i", "j", "shared", iom.alias("iom"), dist.alias("dist_m")).where(F.col("iom") >= min_iom)
+    angle = angle_deg(*(tuple(F.col(f"{c}_{k}") for c in ("ax", "ay", "az")) for k in "ij"))
+    found = shared.join(side("i"), ["flight", "i"]).join(side("j"), ["flight", "j"])
+    found = found.select("flight", "i", "j", "shared", iom.alias("iom"), dist.alias("dist_m"), angle.alias("view_angle_deg")).where(F.col("iom") >= min_iom)
+    return found if max_angle_deg is None else found.where(F.coalesce(F.col("view_angle_deg") <= max_angle_deg, F.lit(True)))
 
 
 def degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -27,13 +45,16 @@ def degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def covis_summary(vertices: DataFrame, edges: DataFrame, far_rank: int = 16) -> DataFrame:
-    """Per flight: vertices, edges, edges whose ranks lie over ``far_rank`` apart, degree quantiles."""
+    """Per flight: vertices, edges, edges whose ranks lie over ``far_rank`` apart and their share, quantiles of
+    degrees and edge lengths (0 without edges)."""
     rank = vertices.select("flight", "frame").distinct().withColumn("r", F.row_number().over(Window.partitionBy("flight").orderBy("frame")))
     e = edges.join(rank.select("flight", F.col("frame").alias("i"), F.col("r").alias("ri")), ["flight", "i"]).join(rank.select("flight", F.col("frame").alias("j"), F.col("r").alias("rj")), ["flight", "j"])
-    e = e.groupBy("flight").agg(F.count("*").alias("n_edges"), F.count_if(F.col("rj") - F.col("ri") > far_rank).alias("n_cross"), F.max("dist_m").alias("reach_max"))
+    reach = [F.percentile("dist_m", F.lit(q)).alias(n) for q, n in ((0.5, "reach_p50"), (0.95, "reach_p95"))]
+    e = e.groupBy("flight").agg(F.count("*").alias("n_edges"), F.count_if(F.col("rj") - F.col("ri") > far_rank).alias("n_cross"), *reach, F.max("dist_m").alias("reach_max"))
     d = degrees(vertices, edges).groupBy("flight").agg(F.count("*").alias("n"), F.percentile("degree", F.lit(0.5)).alias("degree_p50"), F.percentile("degree", F.lit(0.95)).alias("degree_p95"), F.max("degree").alias("degree_max"))
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return d.join(e, "flight", "left").select("flight", "n", zero("n_edges"), zero("n_cross"), "degree_p50", "degree_p95", "degree_max", "reach_max")
+    zero = lambda c, t="long": F.coalesce(c, F.lit(0)).cast(t).alias(c)
+    share = F.coalesce(F.col("n_cross") / F.col("n_edges"), F.lit(0.0)).alias("cross_share")
+    return d.join(e, "flight", "left").select("flight", "n", zero("n_edges"), zero("n_cross"), share, "degree_p50", "degree_p95", "degree_max", *(zero(c, "double") for c in ("reach_p50", "reach_p95", "reach_max")))
 
 
 def pair_budget(edges: DataFrame, budget: int) -> DataFrame:
@@ -64,6 +85,17 @@ def solid_pairs(matches: DataFrame, min_inliers: int) -> DataFrame:
     return matches.where((F.col("inliers") >= min_inliers) & (F.col("a") != F.col("b"))).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("inliers").alias("inliers"))
 
 
+def match_images(matches: DataFrame) -> DataFrame:
+    """``node``: every image that has matches or is a partner, solid or not; a partner may be null."""
+    return matches.select(F.explode(F.array("a", "b")).alias("node")).where("node IS NOT NULL").distinct()
+
+
+def components_of(images: DataFrame, pairs: DataFrame) -> DataFrame:
+    """node and component; images without a pair are components of their own."""
+    found = components(pairs)
+    return images.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
 def degree_strength(pairs: DataFrame) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "inliers")
     return ends.groupBy("node").agg(F.count("*").alias("degree"), F.sum("inliers").cast("long").alias("strength"))
@@ -76,10 +108,11 @@ def weak_nodes(scope: DataFrame, pairs: DataFrame, degree: int = 5, strength: in
 
 
 def recall_precision(predicted: DataFrame, solid: DataFrame) -> DataFrame:
-    """One row: pairs predicted, found, both, and their ratios."""
+    """One row: pairs predicted, solid and both; recall is the share of the predicted pairs that are solid,
+    precision that of the solid ones that were predicted (so named by those who read these scores)."""
     both = predicted.select("a", "b").join(solid.select("a", "b"), ["a", "b"]).agg(F.count("*").alias("n_both"))
     one = predicted.agg(F.count("*").alias("n_predicted")).crossJoin(solid.agg(F.count("*").alias("n_solid"))).crossJoin(both)  # three rows of one
-    return one.select("*", (F.col("n_both") / F.nullif("n_solid", F.lit(0))).alias("recall"), (F.col("n_both") / F.nullif("n_predicted", F.lit(0))).alias("precision"))
+    return one.select("*", (F.col("n_both") / F.nullif("n_predicted", F.lit(0))).alias("recall"), (F.col("n_both") / F.nullif("n_solid", F.lit(0))).alias("precision"))
 
 
 def weighted_median(histogram: DataFrame, value: str, weight: str) -> DataFrame:
@@ -92,8 +125,6 @@ def weighted_median(histogram: DataFrame, value: str, weight: str) -> DataFrame:
 
 def components(pairs: DataFrame) -> DataFrame:
     """node and component (its least node) by repeated minimum over edges and pointers."""
-    from framewright.storage import materialize
-
     both = materialize(pairs.select("a", "b").union(pairs.select("b", "a")).distinct(), "edges")
     label = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")), "labels")
     while True:
@@ -105,10 +136,8 @@ def components(pairs: DataFrame) -> DataFrame:
         label = jump.select("a", F.col("n").alias("c"))
 
 
-def fiedler_value(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Second least eigenvalue of the normalised Laplacian of the largest component."""
-    top = comp.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "component").limit(1)
-    inside = pairs.join(comp.select(F.col("node").alias("a"), "component"), "a").join(F.broadcast(top), "component").select("component", "a", "b")
+def _dense_fiedler(edges: DataFrame) -> DataFrame:
+    """Of one small component, by its whole matrix."""
 
     def solve(group):
         import numpy as np
@@ -122,4 +151,80 @@ def fiedler_value(pairs: DataFrame, comp: DataFrame) -> DataFrame:
         values = np.linalg.eigvalsh(np.eye(len(nodes)) - d[:, None] * m * d)
         return pd.DataFrame({"component": [group["component"].iloc[0]], "n": [len(nodes)], "fiedler": [float(values[1])]})
 
-    return inside.groupBy("component").applyInPandas(solve, "component long, n long, fiedler double")
+    kind = edges.schema["component"].dataType.simpleString()
+    return edges.groupBy("component").applyInPandas(solve, f"component {kind}, n long, fiedler double")
+
+
+def fiedler_value(pairs: DataFrame, comp: DataFrame, rounds: int = 200, tolerance: float = 1e-9, dense: int = MOST_DENSE) -> DataFrame:
+    """component, n and fiedler: the second least eigenvalue of the normalised Laplacian of the largest component
+    (the first of equals); 0 of a lone node, no row without nodes.
+
+    Up to ``dense`` nodes the matrix is solved in one task.  Beyond that it is never built: Lanczos steps multiply a vector, a table of one number a node, by the edges in a join
+    and keep it orthogonal to the known eigenvector (roots of degrees); the driver holds the two
+    numbers of each step.  A round is two shuffles of the edges; rounds end when the value stays."""
+    import numpy as np
+
+    top = comp.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "component").limit(1).collect()
+    kinds = f"component {comp.schema['component'].dataType.simpleString()}, n long, fiedler double"
+    if not top or top[0].n < 2:
+        return comp.sparkSession.createDataFrame([(r.component, r.n, 0.0) for r in top], kinds)
+    inside = comp.where(F.col("component") == top[0].component)
+    edges = pairs.join(inside.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b")
+    if top[0].n <= dense:
+        return _dense_fiedler(edges.withColumn("component", F.lit(top[0].component)))
+    both = edges.union(edges.select("b", "a")).distinct()
+    degree = both.groupBy("a").agg(F.count("*").alias("d"))
+    weight = both.join(degree, "a").join(degree.select(F.col("a").alias("b"), F.col("d").alias("e")), "b").select("a", "b", (1 / F.sqrt(F.col("d") * F.col("e"))).alias("w"))
+    weight, degree = materialize(weight, "weights"), materialize(degree.select("a", F.sqrt("d").alias("root")), "degrees")
+    total = weight.count()
+    # a vector that no symmetry of the graph makes orthogonal to the wanted one
+    x = degree.select("a", "root", (F.pmod(F.xxhash64("a"), F.lit(1_000_003)) / 1_000_003 - 0.5).alias("x"), F.lit(0.0).alias("before"))
+    away = lambda t, c: F.col(c) - F.lit(t.agg(F.sum(F.col(c) * F.col("root"))).first()[0] / total) * F.col("root")
+    x = materialize(x.withColumn("x", away(x, "x")), "vector")
+    norm = float(np.sqrt(x.agg(F.sum(F.col("x") * F.col("x"))).first()[0]))
+    alphas, betas, last = [], [norm], 2.0
+    for k in range(min(rounds, top[0].n - 1)):
+        x = x.withColumn("x", F.col("x") / betas[-1]) if k == 0 else x
+        moved = weight.join(x.select(F.col("a").alias("b"), F.col("x").alias("y")), "b").groupBy("a").agg(F.sum(F.col("w") * F.col("y")).alias("ax"))
+        step = materialize(x.join(moved, "a"), "vector")
+        alphas.append(step.agg(F.sum(F.col("ax") * F.col("x"))).first()[0])
+        back = betas[-1] if k else 0.0
+        rest = step.select("a", "root", "x", (F.col("ax") - alphas[-1] * F.col("x") - back * F.col("before")).alias("r"))
+        rest = materialize(rest.withColumn("r", away(rest, "r")), "vector")
+        beta = float(np.sqrt(rest.agg(F.sum(F.col("r") * F.col("r"))).first()[0]))
+        side = betas[1:]
+        value = 1 - float(np.linalg.eigvalsh(np.diag(alphas) + np.diag(side, 1) + np.diag(side, -1))[-1])
+        if beta < 1e-10 or abs(value - last) < tolerance:
+            break
+        last = value
+        betas.append(beta)
+        x = rest.select("a", "root", (F.col("r") / beta).alias("x"), F.col("x").alias("before"))
+    return comp.sparkSession.createDataFrame([(top[0].component, top[0].n, value)], kinds)
+
+
+def scoreboard(matches: DataFrame, named: DataFrame, histogram: DataFrame, stats: DataFrame, predicted: DataFrame, min_inliers: int = 20, far_rank: int = 16) -> DataFrame:
+    """One row over one run: images, solid pairs and those across tracks, components, algebraic connectivity, track
+    lengths, errors, and recall and precision of the predicted pairs (null where there is nothing to divide by).
+
+    ``matches``: a, b, inliers of images by file name, b null for an image without partner; ``named``: node, the images of
+    the geo file; ``histogram``: length, n; ``stats``: one row of average_track_length, reprojection_error_pixels,
+    initial_shots, reconstructed_shots, ce90, le90, nulls where unknown; ``predicted``: a < b."""
+    pairs = materialize(solid_pairs(matches, min_inliers), "solid-pairs")
+    images = match_images(matches).union(named.select("node")).distinct()
+    number = F.coalesce(F.split_part("node", F.lit("."), F.lit(1)).try_cast("long"), F.lit(0))
+    rank = images.select("node", F.row_number().over(Window.orderBy(number, "node")).alias("r"))  # images of one run
+    comp = materialize(components_of(images, pairs), "components")
+    ranked = pairs.join(rank.select(F.col("node").alias("a"), F.col("r").alias("ra")), "a").join(rank.select(F.col("node").alias("b"), F.col("r").alias("rb")), "b")
+    of_pairs = ranked.agg(F.count("*").alias("solid_pairs"), F.coalesce(F.avg("inliers"), F.lit(0.0)).alias("mean_inliers"), F.count_if(F.abs(F.col("ra") - F.col("rb")) > far_rank).alias("cross_track_solid_pairs"))
+    of_comp = comp.agg(F.count("*").alias("n_images"), F.countDistinct("component").alias("match_graph_components"))
+    fiedler = fiedler_value(pairs, comp).agg(F.coalesce(F.max("fiedler"), F.lit(0.0)).alias("algebraic_connectivity"))
+    median = weighted_median(histogram, "length", "n").select(F.coalesce(F.col("median").cast("double"), F.lit(0.0)).alias("track_len_median"))
+    found = recall_precision(predicted, pairs).select("recall", "precision")
+    one = of_comp.crossJoin(of_pairs).crossJoin(fiedler).crossJoin(median).crossJoin(found).crossJoin(stats)  # rows of one each
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    share = lambda a, b: F.coalesce(F.col(a) / F.nullif(b, F.lit(0)), F.lit(0.0))
+    return one.select(
+        "n_images", "solid_pairs", "mean_inliers", "cross_track_solid_pairs", share("cross_track_solid_pairs", "solid_pairs").alias("cross_track_solid_ratio"), "match_graph_components", "algebraic_connectivity",
+        zero("average_track_length").alias("track_len_mean"), "track_len_median", zero("reprojection_error_pixels").alias("reproj_err_px"), share("reconstructed_shots", "initial_shots").alias("recon_shot_frac"),
+        F.col("ce90").alias("gps_ce90"), F.col("le90").alias("gps_le90"), F.col("recall").alias("covis_recall"), F.col("precision").alias("covis_precision"),
+    )

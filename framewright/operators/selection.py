@@ -6,8 +6,11 @@ Everything is keyed by flight.  Undefined numbers must be null, not NaN.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
@@ -24,15 +27,47 @@ def by_frame() -> WindowSpec:
 
 @dataclass(frozen=True)
 class SelectionParams:
-    spacing_m: float = 60.0
-    max_frames: int = 20
+    """What a selection depends on; the numbers are fixed values that results must agree on."""
+
+    bin_m: float = 5.0
+    datum_m: float = 0.0
+    ray_grid: tuple[int, int] = (48, 27)
+    least_valid_rays: float = 0.25
+    margin_m: float = 500.0
     min_altitude_m: float = 0.0
     rise_m: float = 2.0
+    spacing_m: float = 4.0
     gsd_ratio: float = 3.0
+    max_views: int = 0
+    cluster_m: float = 10.0
+    warn_gap_m: float = 15.0
+    max_gap_m: float = 60.0
+    max_frames: int = 15000
+    target_views: int = 5
+    parallax_views: int = 3
+    parallax_deg: float = 10.0
+    least_covered: float = 0.5
     feature_weight: float = 0.6
-    target_views: int = 3
     min_island: int = 60
-    coverage_floor: int = 2
+
+    def constants(self) -> dict:
+        return asdict(self)
+
+    @classmethod
+    def from_constants(cls, constants: dict) -> SelectionParams:
+        """Of a manifest's constants; names that are unknown are left out."""
+        known = {f.name: constants[f.name] for f in fields(cls) if f.name in constants}
+        return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in known.items()})
+
+    def digest(self) -> str:
+        """Of all values, for results that are stored beside them."""
+        return hashlib.sha256(json.dumps(self.constants(), sort_keys=True).encode()).hexdigest()
+
+
+def init_candidates(poses: DataFrame) -> DataFrame:
+    """Poses with the columns of scores and of a selection, all null, and ``selected`` false."""
+    kinds = {"feature_count": "double", "sharpness": "double", "quality_score": "double", "cell_x": "long", "cell_y": "long", "reject_reason": "string", "selection_reason": "string"}
+    return poses.withColumns({**{c: F.lit(None).cast(t) for c, t in kinds.items()}, "selected": F.lit(False)})
 
 
 def quality_score(frames: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
@@ -105,15 +140,24 @@ def thin_to_cap(frames: DataFrame, cap: int) -> DataFrame:
     return binned.withColumn("rn", F.row_number().over(best)).where(f"n <= {cap} OR rn = 1").select("flight", "frame")
 
 
-def select_keyframes(frames: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
-    """Scored frames with reject_reason and ``selected``."""
+def select_keyframes(frames: DataFrame, p: SelectionParams = SelectionParams(), cells: DataFrame | None = None) -> DataFrame:
+    """Scored frames with reject_reason, selection_reason and ``selected``.  With ``max_views`` over 0 frames
+    all of whose ``cells`` (flight, frame, cx, cy) have more views than that are culled before the budget."""
     gated = gate(quality_score(frames, p), p)
     pool = gated.where("reject_reason IS NULL")
-    spaced = spacing_superset(pool, p.spacing_m).withColumn("_spaced", F.lit(True))
-    kept = thin_to_cap(pool.join(spaced, ["flight", "frame"], "left_semi"), p.max_frames).withColumn("_kept", F.lit(True))
-    marked = gated.join(spaced, ["flight", "frame"], "left").join(kept, ["flight", "frame"], "left")
-    reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")).when(F.col("_kept"), None).when(F.col("_spaced"), "thinned_by_budget").otherwise("redundant_spacing")
-    return marked.withColumns({"selected": F.coalesce("_kept", F.lit(False)), "reject_reason": reason}).drop("_spaced", "_kept")
+    key = ["flight", "frame"]
+    stages = [spacing_superset(pool, p.spacing_m)]
+    if p.max_views > 0 and cells is not None:
+        stages.append(coverage_cull(pool.join(stages[0], key, "left_semi"), cells, p.max_views))
+    stages.append(thin_to_cap(pool.join(stages[-1], key, "left_semi"), p.max_frames))
+    reached = reduce(DataFrame.unionAll, [k.select(*key, F.lit(i + 1).alias("stage")) for i, k in enumerate(stages)])
+    marked = gated.join(reached.groupBy(*key).agg(F.max("stage").alias("_stage")), key, "left")
+    labels = ["redundant_spacing", *["over_covered"] * (len(stages) - 2), "thinned_by_budget"]
+    selected = F.coalesce(F.col("_stage") == len(stages), F.lit(False))
+    reason = F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason")).when(selected, None)
+    for i, label in enumerate(labels):
+        reason = reason.when(F.coalesce("_stage", F.lit(0)) == i, label)
+    return marked.withColumns({"selected": selected, "reject_reason": reason, "selection_reason": F.when(selected, "keyframe")}).drop("_stage")
 
 
 def coverage_cull(frames: DataFrame, cells: DataFrame, floor: int) -> DataFrame:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from framewright.operators.selection import SelectionParams
 from framewright.storage import table
 
 CELL_E, CELL_N = 50, 10
+#: Fits the sample flights, whose frames lie some 50 m apart.
+P = SelectionParams(bin_m=10.0, spacing_m=60.0, max_frames=20, target_views=3, warn_gap_m=150.0, max_gap_m=200.0, cluster_m=120.0)
+CULL_VIEWS = 2
 
 FRAMES = """
 WITH o AS (
@@ -36,6 +40,12 @@ FROM {{frames}} CROSS JOIN (SELECT CAST(-1 AS BIGINT) AS d UNION ALL SELECT 0 UN
               CROSS JOIN (SELECT CAST(-1 AS BIGINT) AS d UNION ALL SELECT 0 UNION ALL SELECT 1) y
 """
 
+#: Height of the ground in each cell, unknown in some.
+GROUND = """
+SELECT flight, cx, cy, CASE WHEN (cx + 3 * cy) % 13 <> 0 THEN CAST(20 + (cx * 7 + cy * 3) % 11 AS DOUBLE) END AS ground_z
+FROM (SELECT DISTINCT flight, cx, cy FROM {cells}) c
+"""
+
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FRAMES, events=table(spark, sf_dir, "events"))
@@ -43,3 +53,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(FOOTPRINTS, frames=frames(spark, sf_dir))
+
+
+def ground(spark: SparkSession, cells: DataFrame) -> DataFrame:
+    return spark.sql(GROUND, cells=cells)

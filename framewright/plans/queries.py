@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators import audit, coverage, footprints, matching, parallax, run_audit, selection
+from framewright.operators import audit, coverage, footprints, matching, parallax, reports, run_audit, selection
 from framewright.plans import adapter
 from framewright.sources.readers import first_of_key
+from framewright.sources.readers import missing_frames as missing_pose_frames
 from framewright.sources.sinks import manifest
-from framewright.storage import table
+from framewright.storage import materialize, table
 
-P = selection.SelectionParams()
-BIN_M, MARGIN_M = 10.0, 500.0
-AUDIT_BIN_M, WARN_GAP_M = 200.0, 150.0
-DENSITY_M, REACH_M = 40.0, 120.0
+P = adapter.P
+BIN_M, MARGIN_M = P.bin_m, P.margin_m
+CELL_M2 = float(adapter.CELL_E * adapter.CELL_N)
+AUDIT_BIN_M, WARN_GAP_M = 200.0, P.warn_gap_m
+DENSITY_M, REACH_M = P.cluster_m, 120.0
 PAIR_BUDGET = 3
 LEAST_INLIERS = 20
+TOP_HOLES = 10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +45,12 @@ def _selected(s: SparkSession, d: str) -> DataFrame:
     return _labelled(s, d).where("selected")
 
 
+def _stored(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled frames, written once, and their cells: for reports that use both many times."""
+    labelled = materialize(_labelled(s, d), "labelled")
+    return labelled, s.sql(adapter.FOOTPRINTS, frames=labelled)
+
+
 def _views(s: SparkSession, d: str) -> DataFrame:
     return coverage.view_counts(_selected(s, d), adapter.footprints(s, d))
 
@@ -49,6 +59,16 @@ def _mission(s: SparkSession, d: str) -> DataFrame:
     return coverage.mission_cells(adapter.footprints(s, d))
 
 
+def _views_and_mission(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    labelled, cells = _stored(s, d)
+    return coverage.view_counts(labelled.where("selected"), cells), coverage.mission_cells(cells)
+
+
+def _text(map_column: str) -> Column:
+    """A map as key:value pairs in order of the keys."""
+    return F.concat_ws(",", F.transform(F.map_entries(map_column), lambda e: F.concat_ws(":", e["key"], e["value"])))
+
+
 @query
 def frames_adapter(s, d):
     return adapter.frames(s, d)
@@ -132,8 +152,9 @@ def mission_cells(s, d):
 
 @query
 def coverage_metrics(s, d):
-    m = coverage.coverage_metrics(_mission(s, d), _views(s, d), P.target_views)
-    return m.withColumns({c: F.round(c, 6) for c in ("covered_share", "mean_views")})
+    views, mission = _views_and_mission(s, d)
+    m = coverage.coverage_metrics(mission, views, P.target_views, CELL_M2)
+    return m.withColumns({c: F.round(c, 6) for c in ("covered_share", "covered_at_target", "mission_at_target", "mean_views")})
 
 
 @query
@@ -148,7 +169,14 @@ def mission_status(s, d):
 
 @query
 def coverage_holes(s, d):
-    return coverage.coverage_holes(_mission(s, d), _views(s, d), P.target_views)
+    views, mission = _views_and_mission(s, d)
+    return coverage.coverage_holes(mission, views, P.target_views, adapter.CELL_E, adapter.CELL_N)
+
+
+@query
+def hole_totals(s, d):
+    found = coverage.hole_totals(coverage_holes(s, d), TOP_HOLES)
+    return found.withColumn("largest", F.concat_ws(",", F.col("largest").cast("array<string>")))
 
 
 @query
@@ -178,7 +206,8 @@ def nearest_selected(s, d):
 
 @query
 def local_density(s, d):
-    return audit.local_density(adapter.frames(s, d), DENSITY_M)
+    found = audit.local_density(materialize(_selected(s, d), "selected"), DENSITY_M)
+    return found.withColumn("members", F.concat_ws(",", F.col("members").cast("array<string>")))
 
 
 @query
@@ -203,33 +232,49 @@ def footprint_jaccard(s, d):
     return matching.footprint_jaccard(adapter.footprints(s, d)).withColumn("jaccard", F.round("jaccard", 6))
 
 
-def _edges(s: SparkSession, d: str) -> DataFrame:
-    return matching.covis_edges(adapter.footprints(s, d).where("footprint_valid"), adapter.frames(s, d))
+def _graph(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges of the selected frames' co-visibility."""
+    labelled, cells = _stored(s, d)
+    chosen = labelled.where("selected")
+    return matching.covis_vertices(chosen, cells), matching.covis_edges(cells.where("footprint_valid"), chosen)
+
+
+_EDGE_DIGITS = {"iom": 6, "dist_m": 6, "view_angle_deg": 4}
 
 
 @query
 def covis_edges(s, d):
-    return _edges(s, d).withColumns({"iom": F.round("iom", 6), "dist_m": F.round("dist_m", 6)})
+    return _graph(s, d)[1].withColumns({c: F.round(c, n) for c, n in _EDGE_DIGITS.items()})
+
+
+@query
+def covis_edges_of_all_frames(s, d):
+    """Without the angle gate."""
+    edges = matching.covis_edges(adapter.footprints(s, d).where("footprint_valid"), adapter.frames(s, d), max_angle_deg=None)
+    return edges.withColumns({c: F.round(c, n) for c, n in _EDGE_DIGITS.items()})
 
 
 @query
 def covis_degrees(s, d):
-    return matching.degrees(adapter.frames(s, d), _edges(s, d))
+    return matching.degrees(*_graph(s, d))
 
 
 @query
 def covis_summary(s, d):
-    return matching.covis_summary(adapter.frames(s, d), _edges(s, d)).withColumns({c: F.round(c, 6) for c in ("degree_p50", "degree_p95", "reach_max")})
+    vertices, edges = _graph(s, d)
+    return matching.covis_summary(vertices, materialize(edges, "edges")).withColumns({c: F.round(c, 6) for c in ("cross_share", "degree_p50", "degree_p95", "reach_p50", "reach_p95", "reach_max")})
 
 
 @query
 def pair_budget(s, d):
-    return matching.pair_budget(_edges(s, d).withColumn("iom", F.round("iom", 6)), PAIR_BUDGET)
+    edges = matching.covis_edges(adapter.footprints(s, d).where("footprint_valid"), adapter.frames(s, d))
+    return matching.pair_budget(edges.withColumn("iom", F.round("iom", 6)), PAIR_BUDGET)
 
 
 @query
 def matcher_profile(s, d):
-    return matching.matcher_profile(adapter.frames(s, d), _edges(s, d))
+    vertices, edges = _graph(s, d)
+    return matching.matcher_profile(vertices, materialize(edges, "edges"))
 
 
 @query
@@ -258,8 +303,8 @@ def view_angle(s, d):
 
 
 def _convergence(s: SparkSession, d: str) -> DataFrame:
-    seen = adapter.footprints(s, d).join(_selected(s, d).select("flight", "frame", "easting", "northing", "altamsl"), ["flight", "frame"])
-    return parallax.convergence_by_cell(parallax.cell_directions(seen, adapter.CELL_E, adapter.CELL_N)).withColumn("angle", F.round("angle", 4))
+    labelled, cells = _stored(s, d)
+    return reports.convergence(labelled, cells, adapter.CELL_E, adapter.CELL_N, adapter.ground(s, cells)).withColumn("angle", F.round("angle", 4))
 
 
 @query
@@ -269,7 +314,70 @@ def convergence_by_cell(s, d):
 
 @query
 def parallax_metrics(s, d):
-    return parallax.parallax_metrics(_convergence(s, d)).withColumns({c: F.round(c, 2) for c in ("p10", "p50", "p90")})
+    return parallax.parallax_metrics(_convergence(s, d), P.parallax_views, P.parallax_deg).withColumns({c: F.round(c, 2) for c in ("p10", "p50", "p90")} | {"satisfied_share": F.round("satisfied_share", 6)})
+
+
+def _flat_angles(labelled: DataFrame, cells: DataFrame) -> DataFrame:
+    """Over flat ground at the median altitude."""
+    return materialize(reports.convergence(labelled, cells, adapter.CELL_E, adapter.CELL_N).withColumn("angle", F.round("angle", 4)), "angles")
+
+
+@query
+def audit_table(s, d):
+    found = audit.audit_table(coverage.assign_bins(materialize(_labelled(s, d), "labelled"), AUDIT_BIN_M))
+    return found.select("flight", "frame", "cell_x", "cell_y", "bin_rank", F.round("dist_to_nearest_selected_m", 6).alias("dist_m"), "selected", "selection_reason")
+
+
+@query
+def selection_decisions(s, d):
+    audited = audit.bin_rank(coverage.assign_bins(_labelled(s, d), AUDIT_BIN_M)).withColumn("coverage_gain_cells", F.col("event_id") % 3)
+    found = reports.decisions(audited, 3)
+    return found.withColumns({"selection_reason_counts": _text("selection_reason_counts"), "marginal_frames": F.concat_ws(",", F.col("marginal_frames").cast("array<string>"))})
+
+
+@query
+def selection_summary(s, d):
+    found = reports.summary(*_stored(s, d), P)
+    return found.withColumns({c: _text(c) for c in ("reject_counts", "views_histogram")} | {c: F.round(c, 6) for c in ("covered_share", "covered_at_target", "mission_at_target", "mean_views")})
+
+
+@query
+def selection_insight(s, d):
+    labelled, cells = _stored(s, d)
+    found = reports.insight(labelled, cells, P, _flat_angles(labelled, cells), adapter.CELL_E, adapter.CELL_N)
+    return found.select("flight", "n_holes", "n_under_target", "hole_area_m2", "n_satisfied", F.col("n_low").alias("n_multi_view_low"), F.round("p50", 2).alias("p50"))
+
+
+@query
+def mission_box(s, d):
+    return footprints.mission_box(adapter.frames(s, d))
+
+
+@query
+def cell_ground_heights(s, d):
+    """What the angles of each viewed cell are taken over: known ground, or the first viewer's altitude."""
+    labelled, cells = _stored(s, d)
+    seen = parallax.ground_or_viewer(reports.viewed(labelled, cells), adapter.ground(s, cells))
+    return seen.select("flight", "cx", "cy", "ground_z").distinct()
+
+
+@query
+def missing_frames(s, d):
+    frames = adapter.frames(s, d)
+    return missing_pose_frames(frames, frames.where("event_id % 29 <> 0"))
+
+
+@query
+def init_candidates(s, d):
+    made = selection.init_candidates(adapter.frames(s, d).select("flight", "frame", "easting"))
+    return made.select("flight", "frame", "selected", "reject_reason", "selection_reason", "quality_score", "cell_x")
+
+
+@query
+def rotation_axes(s, d):
+    """Axis-angle rotations made of the yaw and pitch of frames."""
+    shots = adapter.frames(s, d).select("flight", "frame", F.col("pitch_rad").alias("rx"), (F.col("yaw_rad") / 2).alias("ry"), F.expr("CASE WHEN frame % 7 = 0 THEN 0D ELSE yaw_rad / 3 END").alias("rz"))
+    return parallax.axes_of_rotations(shots).select("flight", "frame", *(F.round(c, 6).alias(c) for c in ("ax", "ay", "az")))
 
 
 def _matches(s: SparkSession, d: str) -> DataFrame:
@@ -319,6 +427,31 @@ def match_components(s, d):
     return matching.components(matching.solid_pairs(_matches(s, d), 58))
 
 
+@query
+def components_of_images(s, d):
+    return matching.components_of(_scope(s, d), matching.solid_pairs(_matches(s, d), 58)).groupBy("component").agg(F.count("*").alias("n"))
+
+
+@query
+def match_images(s, d):
+    return matching.match_images(_matches(s, d).where("inliers >= 58").union(s.createDataFrame([(7001, None, 0)], "a long, b long, inliers long")))
+
+
+@query
+def scoreboard(s, d):
+    """Suppliers as images of one run, by file name."""
+    name = lambda c: F.concat(F.col(c), F.lit(".png")).alias(c)
+    matches = _matches(s, d).select(name("a"), name("b"), "inliers")
+    named = s.range(0, 210).select(F.concat("id", F.lit(".png")).alias("node"))
+    lengths = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("length")).groupBy("length").agg(F.count("*").alias("n"))
+    stats = s.range(1).select(F.lit(5.5).alias("average_track_length"), F.lit(None).cast("double").alias("reprojection_error_pixels"), F.lit(210).alias("initial_shots"), F.lit(147).alias("reconstructed_shots"), F.lit(0.5).alias("ce90"), F.lit(None).cast("double").alias("le90"))
+    predicted = matching.solid_pairs(matches, 56).select("a", "b").union(s.createDataFrame([("800.png", "801.png")], "a string, b string"))
+    found = matching.scoreboard(matches, named, lengths, stats, predicted, 55)
+    digits = [c for c, t in found.dtypes if t == "double"]
+    # the connectivity has no SQL form; tests hold it against the whole matrix
+    return found.withColumns({c: F.round(c, 6) for c in digits}).drop("algebraic_connectivity")
+
+
 @query
 def track_length_median(s, d):
     tracks = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("length"))
@@ -327,16 +460,21 @@ def track_length_median(s, d):
 
 @query
 def health_report(s, d):
-    cov = coverage.coverage_metrics(_mission(s, d), _views(s, d), P.target_views)
-    n = _labelled(s, d).groupBy("flight").agg(F.count_if("selected").alias("n_selected"))
-    gap = audit.worst_gap(audit.selection_gaps(_selected(s, d)).withColumn("gap_m", F.round("gap_m", 6))).select("flight", F.col("gap_m").alias("worst_gap_m"))
-    failure = F.when(F.col("n_selected") == 0, "no frames selected").when((F.col("n_mission") > 0) & (F.col("covered_share") < 0.5), "low coverage")
-    return n.join(cov, "flight", "left").join(gap, "flight", "left").select("flight", "n_selected", "worst_gap_m", F.round("covered_share", 6).alias("covered_share"), failure.alias("failure"))
+    labelled, cells = _stored(s, d)
+    found = reports.health(labelled, cells, P, _flat_angles(labelled, cells))
+    texts = {c: F.concat_ws(",", F.col(c).cast("array<string>")) for c in ("largest_cluster", "failures", "warnings")}
+    return found.withColumns(texts | {c: F.round(c, n) for c, n in (("covered_share", 6), ("covered_at_target", 6), ("mission_at_target", 6), ("mean_views", 6), ("satisfied_share", 6), ("median_convergence_deg", 2))})
 
 
 @query
 def coverage_cull(s, d):
-    return selection.coverage_cull(_scored(s, d).where("quality_score IS NOT NULL"), adapter.footprints(s, d).where("footprint_valid"), P.coverage_floor)
+    return selection.coverage_cull(_scored(s, d).where("quality_score IS NOT NULL"), adapter.footprints(s, d).where("footprint_valid"), adapter.CULL_VIEWS)
+
+
+@query
+def select_keyframes_culled(s, d):
+    p = replace(P, max_views=adapter.CULL_VIEWS)
+    return selection.select_keyframes(adapter.frames(s, d), p, adapter.footprints(s, d)).select("flight", "frame", "selected", "reject_reason", "selection_reason")
 
 
 @query
@@ -357,9 +495,21 @@ def terrain_sample(s, d):
     return footprints.sample_terrain(adapter.frames(s, d).select("flight", "frame", "easting", "northing"), _terrain())
 
 
+CAMERA = Camera(2275.0, 2275.0, 960.0, 540.0, 1920, 1080)
+
+
 @query
 def raymarch_footprints(s, d):
-    return footprints.footprints(adapter.frames(s, d), Camera(2275.0, 2275.0, 960.0, 540.0, 1920, 1080), _terrain(), BIN_M)
+    return footprints.footprints(adapter.frames(s, d), CAMERA, _terrain(), BIN_M, MARGIN_M)
+
+
+@query
+def footprint_views(s, d):
+    """From rays to views: footprints of all frames decide the gate, and their cells the views of the selection."""
+    frames = adapter.frames(s, d)
+    found = materialize(footprints.footprints(frames, CAMERA, _terrain(), BIN_M, MARGIN_M), "footprints")
+    labelled = selection.select_keyframes(footprints.with_footprints(footprints.with_agl(frames, _terrain()), found), P)
+    return coverage.view_counts(labelled.where("selected"), footprints.long_cells(found))
 
 
 def _run_images(s: SparkSession, d: str) -> DataFrame:

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera
+from framewright.operators import audit, coverage, matching, reports
+from framewright.operators.selection import SelectionParams
+from framewright.sources.readers import Record, load_scored, scores_are_current
 
 
 def geo_lines(selected: DataFrame) -> DataFrame:
@@ -39,3 +44,70 @@ def write_camera(camera: Camera, path: str) -> None:
 
 def write_audit(labelled: DataFrame, path: str) -> None:
     labelled.write.mode("errorifexists").option("header", True).csv(path)
+
+
+def save_scored(candidates: DataFrame, folder: str, record: Record) -> None:
+    """Scores without the columns of a selection, and what they were made of."""
+    scores = candidates.drop("cell_x", "cell_y", "selected", "reject_reason", "selection_reason")
+    path = Path(folder) / "candidates_scored"
+    scores.write.mode("overwrite").parquet(str(path))
+    n = candidates.sparkSession.read.parquet(str(path)).count()
+    manifest = {"scored_at": datetime.now(timezone.utc).isoformat(), "n_candidates": n, "fingerprint": record.fingerprint()}
+    (Path(folder) / "scoring.json").write_text(json.dumps(manifest, indent=2) + "\n")
+
+
+def load_or_score(spark: SparkSession, record: Record, folder: str, score: Callable[[Record], DataFrame], rescore: bool = False) -> DataFrame:
+    """Stored scores if they are of this video, else those that ``score`` gives, which are stored."""
+    if rescore or not scores_are_current(folder, record):
+        save_scored(score(record), folder, record)
+    return load_scored(spark, folder)
+
+
+def save_footprints(footprints: DataFrame, path: str, digest: str) -> None:
+    """Footprints with the digest of the parameters they were made under."""
+    footprints.withColumn("params", F.lit(digest)).write.mode("errorifexists").parquet(path)
+
+
+def write_manifest(labelled: DataFrame, record: Record, run: Path, params: SelectionParams) -> None:
+    """``run``/build.json of one flight; its selected frames are bounded by the budget."""
+    counts = labelled.agg(F.count("*").alias("n"), F.count_if("selected").alias("k")).first()
+    frames = [r.frame for r in labelled.where("selected").select("frame").orderBy("frame").toLocalIterator()]
+    body = {"record_path": str(record.path), "slug": record.slug, "stream_id": record.stream_id, "video": str(record.video), "poses_path": str(record.poses_path), "intrinsics": str(record.intrinsics), "run_ts": run.name, "run_dir": f"runs/{run.name}"}
+    body |= {"n_candidates": counts.n, "n_selected": counts.k, "selected_frame_numbers": frames, "selection_constants": params.constants()}
+    run.mkdir(parents=True, exist_ok=True)
+    (run / "build.json").write_text(json.dumps(body, indent=2) + "\n")
+
+
+def write_odm_options(folder: str, cameras_path: str, neighbours: int = 0) -> None:
+    """``folder``/odm_options.json; the values are fixed ones."""
+    body = {"fast_orthophoto": True, "matcher_neighbors": neighbours, "gps_accuracy": 3, "orthophoto_resolution": 5, "use_fixed_camera_params": True, "cameras": cameras_path, "cli_args_if_empty": ["--fast-orthophoto"]}
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    (Path(folder) / "odm_options.json").write_text(json.dumps(body, indent=2) + "\n")
+
+
+def write_matcher_profile(folder: str, cameras_path: str, vertices: DataFrame, edges: DataFrame, reach_m: float = 33.0) -> int:
+    """Options of one flight with the matcher neighbours that co-visibility recommends and matching_profile.json beside
+    them, or, without an edge, with the number of frames within reach.  Returns the neighbours."""
+    write_odm_options(folder, cameras_path)
+    options = Path(folder) / "odm_options.json"
+    if edges.isEmpty():
+        found = audit.matcher_neighbours(vertices, reach_m).first()
+        neighbours = found.neighbours if found else 0
+    else:
+        profile, about = matching.matcher_profile(vertices, edges).first(), matching.covis_summary(vertices, edges).drop("flight").first()
+        neighbours = profile.neighbours
+        body = {"profile": {"gps_neighbors": neighbours, "gps_distance_m": profile.distance_m}, "covisibility": about.asDict()}
+        (Path(folder) / "matching_profile.json").write_text(json.dumps(body, indent=2) + "\n")
+    options.write_text(json.dumps(json.loads(options.read_text()) | {"matcher_neighbors": neighbours}, indent=2) + "\n")
+    return neighbours
+
+
+def write_report(labelled: DataFrame, cells: DataFrame, angles: DataFrame, params: SelectionParams, folder: str) -> DataFrame:
+    """``folder``/selection_audit as CSV, /summary and /health as JSON lines; returns the health that was written."""
+    spark = labelled.sparkSession
+    audited = audit.audit_table(coverage.assign_bins(labelled, params.bin_m))
+    write_audit(audited, f"{folder}/selection_audit")
+    reports.summary(labelled, cells, params).write.json(f"{folder}/summary")
+    found = reports.health(labelled, cells, params, angles)
+    found.write.json(f"{folder}/health")
+    return spark.read.schema(found.schema).json(f"{folder}/health")
