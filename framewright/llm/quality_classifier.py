@@ -12,7 +12,7 @@ of a linear model with the logistic loss (Kiryo et al., 2017).
    (:func:`quality_rules.measure`), and hashed counts of its words, word pairs and byte triples,
    a byte each.  Labels, lang, source and doc_id are never inputs.
 2. Means, scales and every gradient over the unlabelled rows are sums over the whole table; the driver holds the
-   weights, the sums and at most ``most`` positives (those with the smallest hashes of id and
+   weights, the sums and at most ``most`` positives (chosen by hashes of id and
    text), and takes L-BFGS steps.
 3. The prior is estimated without negatives: a model that tells positives from unlabelled rows is
    fitted on half of the positives, and of all thresholds the least ratio of unlabelled to other positive
@@ -42,13 +42,13 @@ MOST_ROWS = 10_000
 THRESHOLD = 0.3
 FOLDS = 5
 #: Steps of the model behind the prior, and from there on of the score's.
-PRIOR_STEPS, STEPS = 20, 20
+PRIOR_STEPS, STEPS = 14, 16
 SHARES, WORD_BINS, BYTE_BINS = 10, 256, 128
 INPUTS = SHARES + WORD_BINS + BYTE_BINS
 #: Weight of the squared weights of shares and of hashed counts.
 RIDGE = np.repeat([1e-4, 10.0, 0.0], [SHARES, WORD_BINS + BYTE_BINS, 1])
-#: Deviations after which an input is cut.
-FARTHEST = np.repeat(np.float32([20, 5]), [SHARES, WORD_BINS + BYTE_BINS])
+#: Most tasks of a pass; the driver adds up one row of sums (3 KB) for each.
+MOST_TASKS = 4096
 MEMORY = 8
 SCORE_BINS = 1000
 
@@ -86,10 +86,18 @@ def inputs(texts: list[bytes]) -> list[bytes]:
     return [a.tobytes() + b.tobytes() + c.tobytes() for a, b, c in zip(dense, of_words, of_bytes, strict=True)]
 
 
-def matrix(rows: list[bytes]) -> np.ndarray:
+def matrix(rows: pa.Array | list[bytes]) -> np.ndarray:
     """Rows of inputs as numbers."""
-    flat = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), 4 * SHARES + WORD_BINS + BYTE_BINS)
-    return np.concatenate([np.ascontiguousarray(flat[:, : 4 * SHARES]).view("<f4"), flat[:, 4 * SHARES :] / np.float32(255)], axis=1)
+    if isinstance(rows, list):
+        rows = pa.array(rows, pa.binary())
+    size = 4 * SHARES + WORD_BINS + BYTE_BINS
+    flat = np.frombuffer(rows.buffers()[2] or b"", np.uint8)
+    at = np.frombuffer(rows.buffers()[1], np.int32)[rows.offset]
+    flat = flat[at : at + size * len(rows)].reshape(len(rows), size)
+    out = np.empty((len(rows), INPUTS), np.float32)
+    out[:, :SHARES] = np.ascontiguousarray(flat[:, : 4 * SHARES]).view("<f4")
+    out[:, SHARES:] = flat[:, 4 * SHARES :]
+    return out
 
 
 def held_out() -> Column:
@@ -116,41 +124,51 @@ def _summed(rows: DataFrame, part) -> np.ndarray:
         total = None
         for batch in batches:
             if batch.num_rows:
-                one = part(matrix(batch.column("x").to_pylist()))
+                one = part(matrix(batch.column("x"))).astype(np.float64)
                 total = one if total is None else total + one
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    found = rows.select("x").mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).toPandas()  # twice as many as inputs
-    return found.sort_values("k")["v"].to_numpy()
+    found = rows.select("x").coalesce(MOST_TASKS).mapInArrow(run, "sums binary").collect()
+    return sum((np.frombuffer(r["sums"]) for r in found), np.zeros(1)) if found else np.zeros(0)
 
 
 @dataclass
 class Scale:
-    """Brings inputs to mean 0 and deviation 1, far ones cut, and appends the constant 1."""
+    """Brings inputs to mean 0 and deviation 1.  Batches stay as they are: weights of scaled inputs, with that of the
+    constant 1 at the end, become weights of plain ones, and gradients the other way."""
 
     mean: np.ndarray
     deviation: np.ndarray
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.deviation, -FARTHEST, FARTHEST)
-        return np.concatenate([z, np.ones((len(x), 1), z.dtype)], axis=1)
+    def plain(self, w: np.ndarray) -> tuple[np.ndarray, float]:
+        v = w[:-1] / self.deviation
+        return v.astype(np.float32), float(w[-1] - v @ self.mean)
+
+    def logits(self, x: np.ndarray, w: np.ndarray) -> np.ndarray:
+        v, b = self.plain(w)
+        return (x @ v).astype(np.float64) + b
+
+    def scaled(self, sums: np.ndarray) -> np.ndarray:
+        """Value and gradient by the scaled weights, of value, gradient by the plain ones and by their constant."""
+        grad, b = sums[1:-1], sums[-1]
+        return np.concatenate([sums[:1], (grad - b * self.mean) / self.deviation, [b]])
 
 
 def scale_of(rows: DataFrame) -> tuple[Scale, int] | None:
     """The scale of all rows, and their number."""
-    sums = _summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0, dtype=np.float64), (x.astype(np.float64) ** 2).sum(axis=0)]))
+    sums = _summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0, dtype=np.float64), np.einsum("ij,ij->j", x, x, dtype=np.float64)]))
     if not len(sums):
         return None
     n, first, second = sums[0], sums[1 : 1 + INPUTS], sums[1 + INPUTS :]
     mean = first / n
-    return Scale(mean.astype(np.float32), (np.sqrt(np.maximum(second / n - mean**2, 0)) + 0.01).astype(np.float32)), int(n)
+    return Scale(mean, np.sqrt(np.maximum(second / n - mean**2, 0)) + np.repeat([0.01, 2.5], [SHARES, WORD_BINS + BYTE_BINS])), int(n)
 
 
 def _loss(z: np.ndarray, sign: int, x: np.ndarray) -> np.ndarray:
-    """Summed logistic loss of rows as if all had the label of that sign, and its gradient."""
+    """Summed logistic loss of rows as if all had the label of that sign, and its gradient by weights and constant."""
     slope = -sign / (1 + np.exp(np.clip(sign * z, -500, 500)))
-    return np.concatenate([[np.logaddexp(0, -sign * z).sum()], slope @ x])
+    return np.concatenate([[np.logaddexp(0, -sign * z).sum()], slope.astype(x.dtype) @ x, [slope.sum()]])
 
 
 def minimise(objective, w: np.ndarray, steps: int) -> np.ndarray:
@@ -187,40 +205,30 @@ def minimise(objective, w: np.ndarray, steps: int) -> np.ndarray:
     return w
 
 
-def _unlabelled_loss(rows: DataFrame, scale: Scale, w: np.ndarray, n: int) -> tuple[float, np.ndarray]:
+def _unlabelled_loss(rows: DataFrame, scale: Scale, w: np.ndarray, n: int) -> np.ndarray:
     """Mean loss of all rows as negatives, and its gradient."""
+    return scale.scaled(_summed(rows, lambda x: _loss(scale.logits(x, w), -1, x))) / n
 
-    def part(x: np.ndarray) -> np.ndarray:
-        x = scale(x)
-        return _loss(x @ w, -1, x)
-
-    sums = _summed(rows, part) / n
-    return sums[0], sums[1:]
 
-
-def pu_risk(positive: np.ndarray, unlabelled, prior: float):
+def pu_risk(positive: np.ndarray, scale: Scale, unlabelled, prior: float):
     """The non-negative risk of weights, and its gradient; ``unlabelled`` gives its loss as negatives."""
 
     def risk(w: np.ndarray) -> tuple[float, np.ndarray]:
-        z = positive @ w
-        as_one, as_zero = (_loss(z, sign, positive) / len(positive) for sign in (1, -1))
-        u_value, u_grad = unlabelled(w)
-        rest = u_value - prior * as_zero[0]
-        value, grad = prior * as_one[0] + max(0.0, rest), prior * as_one[1:]
-        if rest > 0:
-            grad = grad + u_grad - prior * as_zero[1:]
-        return value + (RIDGE * w * w).sum() / 2, grad + RIDGE * w
+        z = scale.logits(positive, w)
+        as_one, as_zero = (scale.scaled(_loss(z, sign, positive)) / len(positive) for sign in (1, -1))
+        rest = unlabelled(w) - prior * as_zero
+        total = prior * as_one + (rest if rest[0] > 0 else 0)
+        return total[0] + (RIDGE * w * w).sum() / 2, total[1:] + RIDGE * w
 
     return risk
 
 
-def told_apart(positive: np.ndarray, unlabelled):
+def told_apart(positive: np.ndarray, scale: Scale, unlabelled):
     """The mean loss of telling positives from unlabelled rows, both with weight a half."""
 
     def risk(w: np.ndarray) -> tuple[float, np.ndarray]:
-        own = _loss(positive @ w, 1, positive) / len(positive)
-        u_value, u_grad = unlabelled(w)
-        return (own[0] + u_value + (RIDGE * w * w).sum()) / 2, (own[1:] + u_grad) / 2 + RIDGE * w
+        total = (scale.scaled(_loss(scale.logits(positive, w), 1, positive)) / len(positive) + unlabelled(w)) / 2
+        return total[0] + (RIDGE * w * w).sum() / 2, total[1:] + RIDGE * w
 
     return risk
 
@@ -241,8 +249,8 @@ class Model:
     weights: np.ndarray
     prior: float
 
-    def score(self, rows: list[bytes]) -> np.ndarray:
-        return _sigmoid(self.scale(matrix(rows)) @ self.weights) if rows else np.zeros(0)
+    def score(self, rows: pa.Array | list[bytes]) -> np.ndarray:
+        return _sigmoid(self.scale.logits(matrix(rows), self.weights)) if len(rows) else np.zeros(0)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -254,17 +262,23 @@ def fit(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model | No
     known = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
     unlabelled = rows.where(~held_out())
     found = scale_of(unlabelled)
-    chosen = unlabelled.join(known.select("doc_id"), "doc_id", "left_semi").groupBy("h").agg(F.first("x").alias("x")).orderBy("h").limit(most).select("x").toPandas()
-    if found is None or not len(chosen):
+    trusted = unlabelled.join(known.select("doc_id"), "doc_id", "left_semi")
+    n_trusted = trusted.count()
+    if found is None or not n_trusted:
         return None
+    # by hash, a few more than wanted, so that no task sends the driver as many
+    low = F.pmod(F.xxhash64("h"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.2 * most / n_trusted))
+    chosen = trusted.where(low).groupBy("h").agg(F.first("x").alias("x")).orderBy("h").limit(most).select("x").toPandas()
     scale, n = found
-    positive = scale(matrix(chosen["x"].tolist()))
+    positive = matrix(chosen["x"].tolist())
+    if not len(positive):
+        return None
     loss = lambda w: _unlabelled_loss(unlabelled, scale, w, n)
     half = positive[::2], positive[1::2] if len(positive) > 1 else positive
-    apart = minimise(told_apart(half[0], loss), np.zeros(INPUTS + 1), PRIOR_STEPS)
-    binned = lambda x: np.bincount(np.minimum((_sigmoid(x @ apart) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1), minlength=SCORE_BINS).astype(np.float64)
-    prior = best_bin(binned(half[1]), _summed(unlabelled, lambda x: binned(scale(x))))
-    return Model(scale, minimise(pu_risk(positive, loss, prior), apart, STEPS), prior)
+    apart = minimise(told_apart(half[0], scale, loss), np.zeros(INPUTS + 1), PRIOR_STEPS)
+    binned = lambda x: np.bincount(np.minimum((_sigmoid(scale.logits(x, apart)) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1), minlength=SCORE_BINS)
+    prior = best_bin(binned(half[1]), _summed(unlabelled, binned))
+    return Model(scale, minimise(pu_risk(positive, scale, loss, prior), apart, STEPS), prior)
 
 
 def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
@@ -292,7 +306,7 @@ def score_rows(rows: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.full(batch.num_rows, 0.5) if model is None else model.score(batch.column("x").to_pylist())
+            found = np.full(batch.num_rows, 0.5) if model is None else model.score(batch.column("x"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.astype(np.float64))], ["doc_id", "score"])
 
     return rows.select("doc_id", "x").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
