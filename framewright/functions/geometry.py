@@ -103,7 +103,7 @@ def first_hits(terrain: Terrain, origins: np.ndarray, rays: np.ndarray, step: fl
     down = rays[:, 2] < 0
     # above the highest ground no step can hit, so the first ones are skipped
     first = np.min((origins[down, 2] - high) / -rays[down, 2], initial=reach) if np.isfinite(high) else 0.0
-    first = max(0.0, np.floor(first / step) * step)
+    first = max(0.0, (np.ceil(first / step) - 1) * step)
     before = height(origins + first * rays)
     live = np.flatnonzero(down & ~(before <= 0))
     t_before = np.full(len(rays), first)

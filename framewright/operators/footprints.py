@@ -96,7 +96,7 @@ def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: floa
             rows = list(b.itertuples())
             yield pd.DataFrame([r for k in range(0, len(rows), 32) for r in several(rows[k : k + 32])], columns=names)
 
-    kinds = "flight long, frame long, valid boolean, valid_frac double, area_m2 double, centroid_e double, centroid_n double, hull_wkt string, reject_detail string, cells array<struct<cx:bigint,cy:bigint>>"
+    kinds = ", ".join(f"{c} {frames.schema[c].dataType.simpleString()}" for c in ("flight", "frame")) + ", valid boolean, valid_frac double, area_m2 double, centroid_e double, centroid_n double, hull_wkt string, reject_detail string, cells array<struct<cx:bigint,cy:bigint>>"
     # frames are small rows with much work each: spread them whatever the partitions before
     n = 4 * frames.sparkSession.sparkContext.defaultParallelism
     return frames.select("flight", "frame", "easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad", "origin_e", "origin_n").repartition(n, "flight", "frame").mapInPandas(run, kinds)

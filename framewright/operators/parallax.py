@@ -23,9 +23,9 @@ def optical_axis(pitch: Column, yaw: Column) -> tuple[Column, Column, Column]:
 
 
 def angle_deg(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Between unit vectors."""
+    """Between unit vectors; null if one is unknown."""
     dot = a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot))))
+    return F.when(dot.isNotNull(), F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))))
 
 
 def with_axis(frames: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def convergence_by_cell(directions: DataFrame, most: int = 256) -> DataFrame:
 
     kinds = ", ".join(f"{k} {directions.schema[k].dataType.simpleString()}" for k in key)
     hot = tiled.groupBy(*key, "low", "high").applyInPandas(product, f"{kinds}, dot double").groupBy(*key).agg(F.min("dot").alias("dot"))
-    angle = F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("dot")))))
+    angle = F.when(F.col("dot").isNotNull(), F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("dot"))))))
     return views.join(least.union(hot), key, "left").select(*key, "views", F.coalesce(angle, F.lit(0.0)).alias("angle"))
 
 

@@ -176,4 +176,4 @@ def coverage_cull(frames: DataFrame, cells: DataFrame, floor: int) -> DataFrame:
                 gone.add(f)
         return group.loc[~group["frame"].isin(gone), ["flight", "frame"]]
 
-    return seen.groupBy("flight").applyInPandas(cull, "flight long, frame long")
+    return seen.groupBy("flight").applyInPandas(cull, ", ".join(f"{c} {frames.schema[c].dataType.simpleString()}" for c in ("flight", "frame")))

@@ -81,7 +81,7 @@ def cameras(spark: SparkSession, root: str) -> DataFrame:
 
 
 def presence(spark: SparkSession, root: str) -> DataFrame:
-    """run and a flag for each artefact; ``opensfm`` if any file lies in that folder."""
+    """run and a flag for each artefact; ``opensfm`` if any file lies in that folder.  Empty files count as absent."""
     paths = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
     places = "|".join([*(p.replace(".", "[.]") for p in PLACES.values()), "odm_input/opensfm/.*"])
     found = paths.select(F.regexp_extract("path", rf"([^/]+)/(?:{places})$", 1).alias("run"), "path").where("run <> ''")
