@@ -17,7 +17,6 @@ def test_stages(spark):
         assert docs.columns == columns
         assert 0 < docs.count() <= n
         n = docs.count()
-    assert corpus_pipeline.run(spark, SF).count() == n
 
 
 def test_near_duplicates_leave_one_of_each_group(spark):
