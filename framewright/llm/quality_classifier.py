@@ -50,6 +50,8 @@ RIDGE = np.repeat([1e-4, 10.0, 0.0], [SHARES, WORD_BINS + BYTE_BINS, 1])
 #: Most tasks of a pass; the driver adds up one row of sums (3 KB) for each.
 MOST_TASKS = 4096
 MEMORY = 8
+#: Rows of a matrix and bytes of text worked on at once.
+MATRIX_ROWS, TEXT_BYTES = 2000, 1 << 18
 SCORE_BINS = 1000
 
 
@@ -109,7 +111,7 @@ def with_inputs(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.blocks(batch, "text"):
+            for part in W.blocks(batch, "text", TEXT_BYTES):
                 x = inputs([(t or "").encode() for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(x, pa.binary())], ["doc_id", "h", "x"])
 
@@ -123,8 +125,8 @@ def _summed(rows: DataFrame, part) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                one = part(matrix(batch.column("x"))).astype(np.float64)
+            for k in range(0, batch.num_rows, MATRIX_ROWS):
+                one = part(matrix(batch.column("x").slice(k, MATRIX_ROWS))).astype(np.float64)
                 total = one if total is None else total + one
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
@@ -286,7 +288,7 @@ def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.blocks(batch, "text"):
+            for part in W.blocks(batch, "text", TEXT_BYTES):
                 found = np.full(part.num_rows, 0.5) if model is None else model.score(inputs([(t or "").encode() for t in part.column("text").to_pylist()]))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found.astype(np.float64))], [*part.schema.names, name])
 
