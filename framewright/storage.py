@@ -37,9 +37,10 @@ class Intermediates:
         self.paths: set[str] = set()
 
     def keep(self, table_: DataFrame) -> None:
-        """Keep what a written table reads."""
-        read = {f.rpartition("/")[0].partition(":")[2].lstrip("/") for f in table_.inputFiles()}
-        self.paths = {p for p in self.paths if p.partition(":")[2].lstrip("/") not in read}
+        """Keep what a written table reads.  Folders are told apart by their own names, which hold a random
+        number: Spark writes the rest of a path (scheme, host, spaces) in its own way."""
+        read = {part for f in table_.inputFiles() for part in f.split("/")}
+        self.paths = {p for p in self.paths if p.rpartition("/")[2] not in read}
 
 
 _OPEN: list[Intermediates] = []
