@@ -35,6 +35,8 @@ BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "pkey", "openssh", "jwt")
 LEAST = {"access": 20, "hex": 24}
 MASK = "[SECRET]"
+#: Levels of nested DER that are followed; keys have fewer than ten.
+MOST_LEVELS = 64
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -87,8 +89,16 @@ def der_fields(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def well_formed(fields: list[tuple[int, bytes]] | None) -> bool:
-    """Whether all lengths below the fields fit."""
-    return fields is not None and all(well_formed(der_fields(x)) for tag, x in fields if tag & CONSTRUCTED)
+    """Whether all lengths below the fields fit, in at most ``MOST_LEVELS`` levels; deeper nesting is no key."""
+    level = fields
+    for _ in range(MOST_LEVELS):
+        if level is None:
+            return False
+        inner = [der_fields(x) for tag, x in level if tag & CONSTRUCTED]
+        if not inner:
+            return True
+        level = None if None in inner else [f for x in inner for f in x]
+    return False
 
 
 def _sequence(data: bytes) -> list[tuple[int, bytes]] | None:

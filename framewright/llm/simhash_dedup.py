@@ -427,9 +427,9 @@ def link_documents(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, lo
 ROW = ["__row", "__text"]
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """The documents with the columns ``ROW``: equal for equal ids and texts only."""
-    return docs.withColumns({"__row": F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()), "__text": F.xxhash64(F.lit("text"), "text")})
+def with_row(docs: DataFrame, names: list[str] = ROW) -> DataFrame:
+    """The documents with what ``ROW`` holds in columns of these names: equal for equal ids and texts only."""
+    return docs.withColumns(dict(zip(names, (F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()), F.xxhash64(F.lit("text"), "text")), strict=True)))
 
 
 def near_groups(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -452,13 +452,18 @@ def link_near(docs: DataFrame, width: int = 5) -> DataFrame:
 
 def drop_near(docs: DataFrame, width: int = 5) -> DataFrame:
     """One document of each group, all its columns: that of the smallest id (nulls last), of the smallest
-    hash of the text among those; of rows with its id and text that of the least other columns."""
+    hash of the text among those; of rows with its id and text that of the least other columns, of which those
+    that hold maps are compared as JSON.  Columns of any name stay the user's."""
     grouped = near_groups(docs, width)
     best = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__text", "__row")).alias("best"))
-    kept = materialize(best.select("best.__row", "best.__text"), "kept-rows")
-    # rows of one id and text meet in a shuffle of the texts by ROW, which the join uses too
-    others = F.min(F.struct(*docs.columns)).alias("all")
-    return with_row(docs).join(kept, ROW, "left_semi").groupBy(*ROW).agg(others).select("all.*")
+    free = max(docs.columns, key=len)  # longer than any of theirs
+    names = [f"{free}{c}" for c in ROW]
+    kept = materialize(best.select(*(F.col("best")[c].alias(n) for c, n in zip(ROW, names, strict=True))), "kept-rows")
+    # rows of one id and text meet in a shuffle of the texts by these names, which the join uses too
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    order = [F.to_json(f"`{c}`") if "map<" in t else F.col(f"`{c}`") for c, t in docs.dtypes]
+    one = F.min_by(whole, F.struct(*order)) if any("map<" in t for _, t in docs.dtypes) else F.min(whole)
+    return with_row(docs, names).join(kept, names, "left_semi").groupBy(*names).agg(one.alias("all")).select("all.*")
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

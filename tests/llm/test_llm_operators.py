@@ -652,3 +652,29 @@ def test_secret_scan(spark, docs, none):
     assert (one.n_assign, one.n_access, one.n_hex) == (1, 1, 1)
     base = ",".join(f"{k}:{text.index(spans[k])}:{text.index(spans[k]) + len(spans[k])}" for k in ("assign", "access", "hex"))
     assert one.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+
+
+def _tlv(tag, data):
+    n = len(data)
+    size = bytes([n]) if n < 128 else bytes([0x80 | (n.bit_length() + 7) // 8]) + n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return bytes([tag]) + size + data
+
+
+@pytest.mark.parametrize("levels", [10, 1_000, 20_000])
+def test_deep_nesting_is_no_key_and_no_crash(levels):
+    """The fields of a key of a foreign algorithm around nested sequences: well formed, but too deep to be a key."""
+    nested = b""
+    for _ in range(levels):
+        nested = _tlv(0x30, nested)
+    algorithm = _tlv(0x30, _tlv(6, b"\x2a\x03\x04\x05"))
+    for fields in (_tlv(2, b"\0") + algorithm + _tlv(4, nested), _tlv(2, b"\0") + algorithm + _tlv(4, _tlv(4, b"octets")) + _tlv(0xA0, nested)):
+        text = f"see {base64.b64encode(_tlv(0x30, fields)).decode()} here"
+        assert [k for _, k, _ in secret_scan.all_spans(text)[1] if k == "pkey"] == ["pkey"] * (levels == 10)
+
+
+def test_near_duplicates_leave_the_users_columns(spark):
+    rows = [(1, "a text of words that repeat", "mine", 7, {"k": 1}), (1, "a text of words that repeat", "mine", 7, {"k": 0}), (2, "other words entirely in this one", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __text string, __row long, `m.p` map<string, int>")
+    got = simhash_dedup.drop_near(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(1, "a text of words that repeat", "mine", 7, {"k": 0}), (2, "other words entirely in this one", None, None, None)]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import corpus_pipeline
 import pytest
 
+from framewright import storage
 from framewright.llm import decontaminate, quality_classifier, secret_scan, sentencepiece_codec
 from framewright.storage import intermediates, materialize
 
@@ -28,8 +29,10 @@ def test_near_duplicates_leave_one_of_each_group(spark):
     assert sorted((r.doc_id for r in kept), key=str) == sorted([1, 4, 4, None], key=str)
 
 
-def test_rows_equal_the_stages_one_by_one(spark):
-    """The pipeline against a plain composition: every stage's decision taken per document in Python."""
+def test_rows_equal_the_stages_one_by_one(spark, tmp_path, monkeypatch):
+    """The pipeline, in a shared folder without scheme and with a space, against a plain composition: every stage's
+    decision taken per document in Python."""
+    monkeypatch.setattr(storage, "shared_dir", lambda _: f"{tmp_path}/shared folder")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
     model = quality_classifier.fit(quality_classifier.with_inputs(docs), labels)
