@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
 from framewright.llm import words as W
 from framewright.llm.quality_rules import measure
@@ -47,8 +47,8 @@ SHARES, WORD_BINS, BYTE_BINS = 10, 256, 128
 INPUTS = SHARES + WORD_BINS + BYTE_BINS
 #: Weight of the squared weights of shares and of hashed counts.
 RIDGE = np.repeat([1e-4, 10.0, 0.0], [SHARES, WORD_BINS + BYTE_BINS, 1])
-#: Most tasks of a pass; the driver adds up one row of sums (3 KB) for each.
-MOST_TASKS = 4096
+#: The driver adds up one row of sums (3 KB) for each of so many tasks; of more, as many as gather them.
+MOST_TASKS, GATHERERS = 4096, 64
 MEMORY = 8
 #: Rows of a matrix and bytes of text worked on at once.
 MATRIX_ROWS, TEXT_BYTES = 2000, 1 << 18
@@ -106,21 +106,35 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def with_inputs(docs: DataFrame) -> DataFrame:
-    """doc_id, ``h`` (a hash of id and text) and ``x``, the inputs."""
+def with_inputs(docs: DataFrame, h: str = "h", x: str = "x", whole: bool = False) -> DataFrame:
+    """doc_id (with ``whole`` all columns), a hash of id and text in the column ``h``, and the inputs in ``x``."""
+    kept = docs.columns if whole else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.blocks(batch, "text", TEXT_BYTES):
-                x = inputs([(t or "").encode() for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("h"), pa.array(x, pa.binary())], ["doc_id", "h", "x"])
+                found = inputs([(t or "").encode() for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), part.column(h), pa.array(found, pa.binary())], [*kept, h, x])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h")).mapInArrow(run, f"doc_id {kind}, h long, x binary")
+    read = docs if whole else docs.select("doc_id", "text")
+    schema = StructType([*(docs.schema[c] for c in kept), StructField(h, LongType()), StructField(x, BinaryType())])
+    return read.withColumn(h, F.xxhash64("doc_id", "text")).mapInArrow(run, schema)
 
 
-def _summed(rows: DataFrame, part) -> np.ndarray:
-    """The sum over all rows' inputs of what ``part`` gives for a batch of them (an array of fixed length)."""
+def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of the sum of rows of sums, if there are any."""
+    total = None
+    for batch in batches:
+        for row in batch.column("sums"):
+            one = np.frombuffer(row.as_py())
+            total = one.copy() if total is None else total + one
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+
+def _summed(rows: DataFrame, part, many: bool = False) -> np.ndarray:
+    """The sum over all rows' inputs of what ``part`` gives for a batch of them (an array of fixed length).  With
+    ``many`` tasks their sums meet in a few before they reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -131,7 +145,10 @@ def _summed(rows: DataFrame, part) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
 
-    found = rows.select("x").coalesce(MOST_TASKS).mapInArrow(run, "sums binary").collect()
+    sums = rows.select("x").mapInArrow(run, "sums binary")
+    if many:
+        sums = sums.repartition(GATHERERS).mapInArrow(gather, "sums binary")
+    found = sums.collect()
     return sum((np.frombuffer(r["sums"]) for r in found), np.zeros(1)) if found else np.zeros(0)
 
 
@@ -157,9 +174,9 @@ class Scale:
         return np.concatenate([sums[:1], (grad - b * self.mean) / self.deviation, [b]])
 
 
-def scale_of(rows: DataFrame) -> tuple[Scale, int] | None:
+def scale_of(rows: DataFrame, many: bool = False) -> tuple[Scale, int] | None:
     """The scale of all rows, and their number."""
-    sums = _summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0, dtype=np.float64), np.einsum("ij,ij->j", x, x, dtype=np.float64)]))
+    sums = _summed(rows, lambda x: np.concatenate([[len(x)], x.sum(axis=0, dtype=np.float64), np.einsum("ij,ij->j", x, x, dtype=np.float64)]), many)
     if not len(sums):
         return None
     n, first, second = sums[0], sums[1 : 1 + INPUTS], sums[1 + INPUTS :]
@@ -207,9 +224,9 @@ def minimise(objective, w: np.ndarray, steps: int) -> np.ndarray:
     return w
 
 
-def _unlabelled_loss(rows: DataFrame, scale: Scale, w: np.ndarray, n: int) -> np.ndarray:
+def _unlabelled_loss(rows: DataFrame, scale: Scale, w: np.ndarray, n: int, many: bool) -> np.ndarray:
     """Mean loss of all rows as negatives, and its gradient."""
-    return scale.scaled(_summed(rows, lambda x: _loss(scale.logits(x, w), -1, x))) / n
+    return scale.scaled(_summed(rows, lambda x: _loss(scale.logits(x, w), -1, x), many)) / n
 
 
 def pu_risk(positive: np.ndarray, scale: Scale, unlabelled, prior: float):
@@ -263,7 +280,8 @@ def fit(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model | No
     """The model from rows with inputs (:func:`with_inputs`), or None if there is nothing to learn from."""
     known = labels.where(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1")
     unlabelled = rows.where(~held_out())
-    found = scale_of(unlabelled)
+    many = unlabelled.rdd.getNumPartitions() > MOST_TASKS
+    found = scale_of(unlabelled, many)
     trusted = unlabelled.join(known.select("doc_id"), "doc_id", "left_semi")
     n_trusted = trusted.count()
     if found is None or not n_trusted:
@@ -275,11 +293,11 @@ def fit(rows: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model | No
     positive = matrix(chosen["x"].tolist())
     if not len(positive):
         return None
-    loss = lambda w: _unlabelled_loss(unlabelled, scale, w, n)
+    loss = lambda w: _unlabelled_loss(unlabelled, scale, w, n, many)
     half = positive[::2], positive[1::2] if len(positive) > 1 else positive
     apart = minimise(told_apart(half[0], scale, loss), np.zeros(INPUTS + 1), PRIOR_STEPS)
     binned = lambda x: np.bincount(np.minimum((_sigmoid(scale.logits(x, apart)) * SCORE_BINS).astype(np.int64), SCORE_BINS - 1), minlength=SCORE_BINS)
-    prior = best_bin(binned(half[1]), _summed(unlabelled, binned))
+    prior = best_bin(binned(half[1]), _summed(unlabelled, binned, many))
     return Model(scale, minimise(pu_risk(positive, scale, loss, prior), apart, STEPS), prior)
 
 
@@ -297,10 +315,21 @@ def score(docs: DataFrame, model: Model | None, name: str = "score") -> DataFram
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose score reaches the threshold, all their columns as they were."""
-    rows = materialize(with_inputs(docs), "inputs")
-    name = "_" + max(docs.columns, key=len)  # longer than any of theirs
-    return score(docs, fit(rows, labels), name).where(F.col(name) >= THRESHOLD).select(docs.columns)
+    """The documents whose score reaches the threshold, all their columns as they were.  They are written once
+    with their inputs, which are worked out once."""
+    free = "_" + max(docs.columns, key=len)  # longer than any of theirs
+    h, x = f"{free}h", f"{free}x"
+    wide = materialize(with_inputs(docs, h, x, whole=True), "inputs")
+    columns, model = docs.columns, fit(wide.select("doc_id", F.col(f"`{h}`").alias("h"), F.col(f"`{x}`").alias("x")), labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, MATRIX_ROWS):
+                part = batch.slice(k, MATRIX_ROWS)
+                good = np.full(part.num_rows, 0.5) if model is None else model.score(part.column(x))
+                yield part.filter(pa.array(good >= THRESHOLD)).select(columns)
+
+    return wide.drop(h).mapInArrow(run, docs.schema)
 
 
 def score_rows(rows: DataFrame, model: Model | None) -> DataFrame:

@@ -678,3 +678,45 @@ def test_near_duplicates_leave_the_users_columns(spark):
     got = simhash_dedup.drop_near(docs)
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect())) == [(1, "a text of words that repeat", "mine", 7, {"k": 0}), (2, "other words entirely in this one", None, None, None)]
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_scores_equal_a_plain_fit(spark, monkeypatch, many):
+    """op7's rows against the same risk in plain numpy: whole matrices, standardised, in 64 bits."""
+    if many:
+        monkeypatch.setattr(quality_classifier, "MOST_TASKS", 0)
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in quality_classifier.op7_quality_classifier(spark, sf).collect()}
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_classifier.with_inputs(docs).toPandas()
+    x = quality_classifier.matrix(rows["x"].tolist()).astype(np.float64)
+    out = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in rows["doc_id"]])
+    good = {r.doc_id for r in labels.collect() if r.quality == 1} - {r.doc_id for r in labels.collect() if r.quality != 1}
+    known = rows[np.array([i in good for i in rows["doc_id"]]) & ~out].drop_duplicates("h").sort_values("h").index
+    shares = quality_classifier.SHARES
+    dev = np.sqrt(((x[~out] - x[~out].mean(0)) ** 2).mean(0)) + np.where(np.arange(x.shape[1]) < shares, 0.01, 2.5)
+    z = np.c_[(x - x[~out].mean(0)) / dev, np.ones(len(x))]
+    ridge = np.r_[np.full(shares, 1e-4), np.full(x.shape[1] - shares, 10.0), 0]
+
+    def loss(w, rows, sign):
+        m = sign * (rows @ w)
+        return np.logaddexp(0, -m).mean(), -(sign / (1 + np.exp(m))) @ rows / len(rows)
+
+    def apart(w, one):
+        (a, ga), (b, gb) = loss(w, one, 1), loss(w, z[~out], -1)
+        return (a + b) / 2 + (ridge * w * w).sum() / 2, (ga + gb) / 2 + ridge * w
+
+    def risk(w, prior):
+        (a, ga), (b, gb), (u, gu) = loss(w, z[known], 1), loss(w, z[known], -1), loss(w, z[~out], -1)
+        rest, grad = (u - prior * b, gu - prior * gb) if u - prior * b > 0 else (0, 0)
+        return prior * a + rest + (ridge * w * w).sum() / 2, prior * ga + grad + ridge * w
+
+    sigmoid = lambda w, rows: 1 / (1 + np.exp(-(rows @ w)))
+    first = quality_classifier.minimise(lambda w: apart(w, z[known[::2]]), np.zeros(z.shape[1]), quality_classifier.PRIOR_STEPS)
+    counts = [np.histogram(sigmoid(first, r), 1000, (0, 1))[0] for r in (z[known[1::2]], z[~out])]
+    prior = quality_classifier.best_bin(*counts)
+    w = quality_classifier.minimise(lambda w: risk(w, prior), first, quality_classifier.STEPS)
+    want = dict(zip(rows["doc_id"], sigmoid(w, z), strict=True))
+    assert set(got) == set(want) and all(got[i].held_out == o for i, o in zip(rows["doc_id"], out, strict=True))
+    assert max(abs(got[i].score - want[i]) for i in want) < 1e-5  # matrices of the query are in 32 bits
+    assert all(r.predicted == (r.score >= 0.3) for r in got.values())
