@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from framewright.storage import materialize
 
+#: Comparisons of spots that two squares may cost before they are quartered.
+MOST_COMPARED = 65_536
+
 
 def by_frame() -> WindowSpec:
     return Window.partitionBy("flight").orderBy("frame")
@@ -41,10 +46,66 @@ def radius_pairs(points: DataFrame, radius: float) -> DataFrame:
     return p.join(q, ["flight", "bx", "by"]).where("frame <> other").select("flight", "frame", "other", d2.alias("d2")).where(F.col("d2") <= radius * radius)
 
 
-def neighbour_counts(points: DataFrame, radius: float) -> DataFrame:
-    """flight, frame and how many other frames are within the radius, zeros included."""
-    n = radius_pairs(points, radius).groupBy("flight", "frame").agg(F.count("*").alias("n"))
-    return points.select("flight", "frame").join(n, ["flight", "frame"], "left").select("flight", "frame", F.coalesce("n", F.lit(0)).alias("n"))
+def _boxes(spots: DataFrame, radius: float, level: int) -> DataFrame:
+    """The squares of ``radius`` / 2**level that hold spots: flight, x, y, how many frames and spots, and their extents."""
+    at = lambda c: F.floor(F.col(c) / radius * 2**level).cast("long")
+    extents = [f(c).alias(f"{c[0]}{k}") for c in ("easting", "northing") for k, f in enumerate((F.min, F.max))]
+    return spots.groupBy("flight", at("easting").alias("x"), at("northing").alias("y")).agg(F.sum("w").alias("n"), F.count("*").alias("spots"), *extents)
+
+
+def _side(boxes: DataFrame, name: str, more: tuple[str, ...] = ()) -> DataFrame:
+    return boxes.select("flight", *(F.col(c).alias(f"{c}_{name}") for c in (*more, "x", "y", "n", "spots", "e0", "e1", "n0", "n1")))
+
+
+def _judged(pairs: DataFrame, radius: float, most: int) -> DataFrame:
+    """Pairs of boxes, ordered, that are not wholly apart, with ``way``: inside (all of b lies within the radius of all of a),
+    spots (few enough to compare) or split.  The distances of boxes are worked out like those of
+    points, and rounding keeps order, so no point is judged otherwise than by itself."""
+    far, near = F.lit(0.0), F.lit(0.0)
+    for c in ("e", "n"):
+        up, down = F.col(f"{c}1_a") - F.col(f"{c}0_b"), F.col(f"{c}1_b") - F.col(f"{c}0_a")
+        most_apart, least_apart = F.greatest(up, down), F.greatest(-up, -down, F.lit(0.0))
+        far, near = far + most_apart * most_apart, near + least_apart * least_apart
+    r2 = radius * radius
+    way = F.when(far <= r2, "inside").when(F.col("spots_a") * F.col("spots_b") <= most, "spots").otherwise("split")
+    return pairs.where(near <= r2).withColumn("way", way)
+
+
+def neighbour_counts(points: DataFrame, radius: float, most: int = MOST_COMPARED) -> DataFrame:
+    """flight, frame and how many other frames are within the radius, zeros and frames without a position included.
+
+    Frames of one spot count as one with a weight.  Spots lie in squares as wide as the radius; a square wholly
+    within the radius of another one gives it its count as a whole, and only spots of squares that may be on the edge are
+    compared, where both hold few (``most`` comparisons).  Of fuller ones the quarters are judged in the same way, until none is left."""
+    spots = points.where("easting IS NOT NULL AND northing IS NOT NULL").groupBy("flight", "easting", "northing").agg(F.count("*").alias("w"))
+    spots = materialize(spots, "spots")
+    boxes = materialize(_boxes(spots, radius, 0), "boxes")
+    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("d")
+    near = _side(boxes, "a").select("*", around).withColumns({"x_b": F.col("x_a") + F.col("d.i"), "y_b": F.col("y_a") + F.col("d.j")}).drop("d")
+    pairs, level, found = near.join(_side(boxes, "b"), ["flight", "x_b", "y_b"]), 0, []
+    while True:
+        judged = materialize(_judged(pairs, radius, most), "judged")
+        whole = judged.where("way = 'inside'").groupBy("flight", F.col("x_a").alias("x"), F.col("y_a").alias("y")).agg(F.sum("n_b").alias("n"))
+        at = {c: F.floor(F.col(f"{d}ing") / radius * 2**level).cast("long") for c, d in (("x", "east"), ("y", "north"))}
+        placed = spots.withColumns(at)
+        a = placed.select("flight", "easting", "northing", F.col("x").alias("x_a"), F.col("y").alias("y_a"))
+        b = placed.select("flight", F.col("easting").alias("e2"), F.col("northing").alias("n2"), "w", F.col("x").alias("x_b"), F.col("y").alias("y_b"))
+        de, dn = F.col("easting") - F.col("e2"), F.col("northing") - F.col("n2")
+        edge = judged.where("way = 'spots'").select("flight", "x_a", "y_a", "x_b", "y_b").join(a, ["flight", "x_a", "y_a"]).join(b, ["flight", "x_b", "y_b"])
+        compared = edge.where(de * de + dn * dn <= radius * radius).groupBy("flight", "easting", "northing").agg(F.sum("w").alias("n"))
+        found += [placed.join(whole, ["flight", "x", "y"]).select("flight", "easting", "northing", "n"), compared]
+        split = judged.where("way = 'split'").select("flight", "x_a", "y_a", "x_b", "y_b")
+        if split.isEmpty():
+            break
+        level += 1
+        boxes = _boxes(spots, radius, level).withColumns({"px": F.shiftright("x", 1), "py": F.shiftright("y", 1)})
+        inner = split.select("flight", F.explode(F.array(F.struct("x_a", "y_a"), F.struct(F.col("x_b").alias("x_a"), F.col("y_b").alias("y_a")))).alias("p")).select("flight", F.col("p.x_a").alias("px"), F.col("p.y_a").alias("py")).distinct()
+        boxes = materialize(boxes.join(inner, ["flight", "px", "py"], "left_semi"), "boxes")
+        child = lambda k: _side(boxes, k, ("px", "py"))  # noqa: B023, E731
+        over = split.select("flight", *(F.col(f"{c}_{k}").alias(f"p{c}_{k}") for k in "ab" for c in "xy"))
+        pairs = over.join(child("a"), ["flight", "px_a", "py_a"]).join(child("b"), ["flight", "px_b", "py_b"]).drop("px_a", "py_a", "px_b", "py_b")
+    counts = reduce(DataFrame.unionAll, found).groupBy("flight", "easting", "northing").agg((F.sum("n") - 1).alias("n"))
+    return points.select("flight", "frame", "easting", "northing").join(counts, ["flight", "easting", "northing"], "left").select("flight", "frame", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def local_density(points: DataFrame, radius: float, members: int = 10) -> DataFrame:
@@ -52,9 +113,12 @@ def local_density(points: DataFrame, radius: float, members: int = 10) -> DataFr
     first ``members``, in frame order."""
     rank = F.row_number().over(Window.partitionBy("flight").orderBy(F.col("n").desc(), "frame"))
     best = neighbour_counts(points, radius).withColumn("rn", rank).where("rn = 1").select("flight", "frame", (F.col("n") + 1).alias("population"))
-    inside = radius_pairs(points, radius).join(best, ["flight", "frame"], "left_semi").select("flight", "other").union(best.select("flight", "frame"))
-    order = F.row_number().over(Window.partitionBy("flight").orderBy("other"))
-    listed = inside.withColumn("rn", order).where(F.col("rn") <= members).groupBy("flight").agg(F.array_sort(F.collect_list("other")).alias("members"))
+    best = materialize(best, "fullest")
+    centre = points.join(best.select("flight", "frame"), ["flight", "frame"], "left_semi").select("flight", F.col("frame").alias("centre"), F.col("easting").alias("e2"), F.col("northing").alias("n2"))
+    de, dn = F.col("easting") - F.col("e2"), F.col("northing") - F.col("n2")
+    inside = points.join(centre, "flight").where((F.col("frame") == F.col("centre")) | (de * de + dn * dn <= radius * radius))  # one centre a flight
+    order = F.row_number().over(Window.partitionBy("flight").orderBy("frame"))
+    listed = inside.select("flight", "frame").withColumn("rn", order).where(F.col("rn") <= members).groupBy("flight").agg(F.array_sort(F.collect_list("frame")).alias("members"))
     return best.join(listed, "flight")
 
 

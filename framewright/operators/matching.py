@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from framewright.storage import materialize
 
 #: Nodes of a component whose matrix one task may solve (32 MB).
 MOST_DENSE = 2_000
+#: Frames that see one block of ground and are paired by a join; of more, those of a tile.
+MOST_IN_BLOCK = 512
 
 
 def covis_vertices(frames: DataFrame, cells: DataFrame) -> DataFrame:
@@ -17,15 +20,55 @@ def covis_vertices(frames: DataFrame, cells: DataFrame) -> DataFrame:
     return frames.join(cells.where("footprint_valid").select("flight", "frame").distinct(), ["flight", "frame"], "left_semi")
 
 
+def block_overlaps(cells: DataFrame, most: int = MOST_IN_BLOCK) -> DataFrame:
+    """flight, i < j and ``shared``: for every two frames and every block of ground that both see, how many cells of it.
+
+    A flight's blocks are squares as wide as its footprints are on average, so a pair meets in a few blocks (4, if
+    no footprint is wider) and not in each of its cells.  Blocks of up to ``most`` frames are an equi-join on the block.
+    In fuller ones (hovering) the frames are dealt into tiles of ``most``, and each pair of tiles is a product of
+    two matrices of frames by cells in a task of its own."""
+    key = ["flight", "bx", "by"]
+    wide = cells.groupBy("flight", "frame").agg(F.greatest(F.max("cx") - F.min("cx"), F.max("cy") - F.min("cy")).alias("width"))
+    side = wide.groupBy("flight").agg((F.ceil(F.avg("width")) + 1).alias("side"))
+    at = cells.select("flight", "frame", "cx", "cy").join(side, "flight")
+    within = lambda c: F.pmod(c, "side")
+    placed = at.select("flight", F.floor(F.col("cx") / F.col("side")).alias("bx"), F.floor(F.col("cy") / F.col("side")).alias("by"), "frame", (within("cx") * F.col("side") + within("cy")).alias("cell"))
+    parts = materialize(placed.groupBy(*key, "frame").agg(F.collect_set("cell").alias("seen")), "block-parts")
+    full = parts.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > most)
+    full = full.select(*key, F.ceil(F.col("n") / most).cast("int").alias("tiles"))
+    few = parts.join(full, key, "left_anti")
+    pairs = few.withColumnRenamed("frame", "i").join(few.select(*key, F.col("frame").alias("j"), F.col("seen").alias("also")), key).where("i < j")
+    pairs = pairs.select("flight", "i", "j", F.size(F.array_intersect("seen", "also")).cast("long").alias("shared")).where("shared > 0")
+    own = F.pmod(F.xxhash64("frame"), F.col("tiles")).cast("int").alias("own")
+    tiled = parts.join(full, key).select(*key, "frame", "seen", own, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    tiled = tiled.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other")
+
+    def product(rows: pa.Table) -> pa.Table:
+        import numpy as np
+
+        seen = rows.column("seen").combine_chunks()
+        at, cell = np.unique(seen.flatten().to_numpy(), return_inverse=True)
+        m = np.zeros((rows.num_rows, len(at)), np.float32)
+        m[np.repeat(np.arange(rows.num_rows), seen.value_lengths().to_numpy()), cell] = 1
+        frame, tile = (rows.column(c).to_numpy() for c in ("frame", "own"))
+        first, second = (np.flatnonzero(tile == rows.column(c)[0].as_py()) for c in ("low", "high"))
+        shared = (m[first] @ m[second].T).astype(np.int64)
+        a, b = np.nonzero(shared * (frame[first][:, None] < frame[second] if rows.column("low")[0] == rows.column("high")[0] else 1))
+        i, j = frame[first][a], frame[second][b]
+        flight = rows.column("flight").take(pa.array(np.zeros(len(a), np.int64)))
+        return pa.table([flight, pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j)), pa.array(shared[a, b])], names=["flight", "i", "j", "shared"])
+
+    kinds = {c: cells.schema[c].dataType.simpleString() for c in ("flight", "frame")}
+    return pairs.union(tiled.groupBy(*key, "low", "high").applyInArrow(product, f"flight {kinds['flight']}, i {kinds['frame']}, j {kinds['frame']}, shared long"))
+
+
 def covis_edges(cells: DataFrame, frames: DataFrame, min_iom: float = 0.10, max_angle_deg: float | None = 45.0) -> DataFrame:
     """Pairs i < j of one flight that share cells: shared, iom (over the smaller footprint), dist_m and
     view_angle_deg between the optical axes (null if one is unknown), at most ``max_angle_deg`` where known.
-    An equi-join on the cell, so only frames that meet are ever paired; frames: flight, frame, easting,
+    Only frames that see the same block of ground are ever paired (:func:`block_overlaps`); frames: flight, frame, easting,
     northing, pitch_rad, yaw_rad."""
     cells = cells.join(frames.select("flight", "frame"), ["flight", "frame"], "left_semi")
-    a = cells.select("flight", "cx", "cy", F.col("frame").alias("i"))
-    b = cells.select("flight", "cx", "cy", F.col("frame").alias("j"))
-    shared = a.join(b, ["flight", "cx", "cy"]).where("i < j").groupBy("flight", "i", "j").agg(F.count("*").alias("shared"))
+    shared = block_overlaps(cells).groupBy("flight", "i", "j").agg(F.sum("shared").alias("shared"))
     size = cells.groupBy("flight", "frame").agg(F.count("*").alias("n"))
     known = ("n", "easting", "northing", "ax", "ay", "az")
     at = size.join(with_axis(frames).select("flight", "frame", *known[1:]), ["flight", "frame"])
