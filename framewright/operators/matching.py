@@ -6,11 +6,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.components import connected_components
+from framewright.functions.spectrum import ERROR, algebraic_connectivity
 from framewright.operators.parallax import angle_deg, with_axis
 from framewright.storage import materialize
 
-#: Nodes of a component whose matrix one task may solve (32 MB).
-MOST_DENSE = 2_000
+#: Nodes of a component whose matrix one task may solve (32 MB), and edges of one that it may hold (some 500 MB).
+MOST_DENSE, MOST_EDGES = 2_000, 2_000_000
 #: Frames that see one block of ground and are paired by a join; of more, those of a tile.
 MOST_IN_BLOCK = 512
 
@@ -167,16 +169,18 @@ def weighted_median(histogram: DataFrame, value: str, weight: str) -> DataFrame:
 
 
 def components(pairs: DataFrame) -> DataFrame:
-    """node and component (its least node) by repeated minimum over edges and pointers."""
-    both = materialize(pairs.select("a", "b").union(pairs.select("b", "a")).distinct(), "edges")
-    label = materialize(both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")), "labels")
-    while True:
-        near = both.join(label.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("c").alias("m"))
-        step = label.join(near, "a").select("a", F.least("c", "m").alias("n"), "c")
-        jump = materialize(step.join(label.select(F.col("a").alias("n"), F.col("c").alias("up")), "n").select("a", F.least("n", "up").alias("n"), "c"), "labels")
-        if jump.where("n <> c").isEmpty():
-            return label.select(F.col("a").alias("node"), F.col("c").alias("component"))
-        label = jump.select("a", F.col("n").alias("c"))
+    """node and component (its least node) of the nodes that have a pair, by contraction."""
+    edges = pairs.select("a", "b")
+    if edges.schema["a"].dataType.simpleString() == "bigint":
+        found = connected_components(edges)
+    else:  # contraction is over longs
+        nodes = edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("node"), F.monotonically_increasing_id().alias("id"))
+        nodes = materialize(nodes, "nodes")
+        of = lambda c: nodes.select(F.col("node").alias(c), F.col("id").alias(f"id_{c}"))
+        numbered = edges.join(of("a"), "a").join(of("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+        found = connected_components(numbered).withColumnRenamed("node", "id").join(nodes, "id").select("node", "root")
+    found = materialize(found, "roots")
+    return found.join(found.groupBy("root").agg(F.min("node").alias("component")), "root").select("node", "component")
 
 
 def _dense_fiedler(edges: DataFrame) -> DataFrame:
@@ -198,13 +202,30 @@ def _dense_fiedler(edges: DataFrame) -> DataFrame:
     return edges.groupBy("component").applyInPandas(solve, f"component {kind}, n long, fiedler double")
 
 
-def fiedler_value(pairs: DataFrame, comp: DataFrame, rounds: int = 200, tolerance: float = 1e-9, dense: int = MOST_DENSE) -> DataFrame:
+def _sparse_fiedler(edges: DataFrame) -> DataFrame:
+    """Of one component whose edges fit one task."""
+
+    def solve(group):
+        import numpy as np
+        import pandas as pd
+
+        nodes, at = np.unique(group[["a", "b"]].to_numpy(), return_inverse=True)
+        i, j = at.reshape(-1, 2).T
+        return pd.DataFrame({"component": group["component"].iloc[:1], "n": [len(nodes)], "fiedler": [algebraic_connectivity(i, j, len(nodes))]})
+
+    kind = edges.schema["component"].dataType.simpleString()
+    return edges.groupBy("component").applyInPandas(solve, f"component {kind}, n long, fiedler double")
+
+
+def fiedler_value(pairs: DataFrame, comp: DataFrame, rounds: int = 200, dense: int = MOST_DENSE, sparse: int = MOST_EDGES) -> DataFrame:
     """component, n and fiedler: the second least eigenvalue of the normalised Laplacian of the largest component
     (the first of equals); 0 of a lone node, no row without nodes.
 
-    Up to ``dense`` nodes the matrix is solved in one task.  Beyond that it is never built: Lanczos steps multiply a vector, a table of one number a node, by the edges in a join
-    and keep it orthogonal to the known eigenvector (roots of degrees); the driver holds the two
-    numbers of each step.  A round is two shuffles of the edges; rounds end when the value stays."""
+    Up to ``dense`` nodes the matrix is solved in one task, and up to ``sparse`` edges the graph is
+    (:func:`algebraic_connectivity`).  Beyond that it is never in one place: Lanczos steps multiply a vector, a table of one
+    number a node, by the edges in a join and keep it orthogonal to the known eigenvector (roots of degrees); the
+    driver holds the two numbers of each step.  A value is returned only when the residual bounds its relative error by
+    ``ERROR``; else, after ``rounds`` steps, it raises."""
     import numpy as np
 
     top = comp.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "component").limit(1).collect()
@@ -212,10 +233,14 @@ def fiedler_value(pairs: DataFrame, comp: DataFrame, rounds: int = 200, toleranc
     if not top or top[0].n < 2:
         return comp.sparkSession.createDataFrame([(r.component, r.n, 0.0) for r in top], kinds)
     inside = comp.where(F.col("component") == top[0].component)
-    edges = pairs.join(inside.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b")
+    edges = pairs.join(inside.select(F.col("node").alias("a")), "a", "left_semi").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    named = edges.withColumn("component", F.lit(top[0].component))
     if top[0].n <= dense:
-        return _dense_fiedler(edges.withColumn("component", F.lit(top[0].component)))
-    both = edges.union(edges.select("b", "a")).distinct()
+        return _dense_fiedler(named)
+    edges = materialize(edges, "edges")
+    if edges.count() <= sparse:
+        return _sparse_fiedler(edges.withColumn("component", F.lit(top[0].component)))
+    both = edges.union(edges.select("b", "a"))
     degree = both.groupBy("a").agg(F.count("*").alias("d"))
     weight = both.join(degree, "a").join(degree.select(F.col("a").alias("b"), F.col("d").alias("e")), "b").select("a", "b", (1 / F.sqrt(F.col("d") * F.col("e"))).alias("w"))
     weight, degree = materialize(weight, "weights"), materialize(degree.select("a", F.sqrt("d").alias("root")), "degrees")
@@ -225,24 +250,21 @@ def fiedler_value(pairs: DataFrame, comp: DataFrame, rounds: int = 200, toleranc
     away = lambda t, c: F.col(c) - F.lit(t.agg(F.sum(F.col(c) * F.col("root"))).first()[0] / total) * F.col("root")
     x = materialize(x.withColumn("x", away(x, "x")), "vector")
     norm = float(np.sqrt(x.agg(F.sum(F.col("x") * F.col("x"))).first()[0]))
-    alphas, betas, last = [], [norm], 2.0
-    for k in range(min(rounds, top[0].n - 1)):
-        x = x.withColumn("x", F.col("x") / betas[-1]) if k == 0 else x
+    x, alphas, betas = x.withColumn("x", F.col("x") / norm), [], [0.0]
+    for _ in range(rounds):
         moved = weight.join(x.select(F.col("a").alias("b"), F.col("x").alias("y")), "b").groupBy("a").agg(F.sum(F.col("w") * F.col("y")).alias("ax"))
         step = materialize(x.join(moved, "a"), "vector")
         alphas.append(step.agg(F.sum(F.col("ax") * F.col("x"))).first()[0])
-        back = betas[-1] if k else 0.0
-        rest = step.select("a", "root", "x", (F.col("ax") - alphas[-1] * F.col("x") - back * F.col("before")).alias("r"))
+        rest = step.select("a", "root", "x", (F.col("ax") - alphas[-1] * F.col("x") - betas[-1] * F.col("before")).alias("r"))
         rest = materialize(rest.withColumn("r", away(rest, "r")), "vector")
         beta = float(np.sqrt(rest.agg(F.sum(F.col("r") * F.col("r"))).first()[0]))
-        side = betas[1:]
-        value = 1 - float(np.linalg.eigvalsh(np.diag(alphas) + np.diag(side, 1) + np.diag(side, -1))[-1])
-        if beta < 1e-10 or abs(value - last) < tolerance:
-            break
-        last = value
+        each, vectors = np.linalg.eigh(np.diag(alphas) + np.diag(betas[1:], 1) + np.diag(betas[1:], -1))
+        value, residual = 1 - float(each[-1]), beta * abs(float(vectors[-1, -1]))
+        if residual <= max(ERROR * value, 1e-14):
+            return comp.sparkSession.createDataFrame([(top[0].component, top[0].n, value)], kinds)
         betas.append(beta)
         x = rest.select("a", "root", (F.col("r") / beta).alias("x"), F.col("x").alias("before"))
-    return comp.sparkSession.createDataFrame([(top[0].component, top[0].n, value)], kinds)
+    raise ValueError(f"the algebraic connectivity of {top[0].n} images is not known to {ERROR:g} after {rounds} steps: residual {residual:g} of {value:g}")
 
 
 def scoreboard(matches: DataFrame, named: DataFrame, histogram: DataFrame, stats: DataFrame, predicted: DataFrame, min_inliers: int = 20, far_rank: int = 16) -> DataFrame:

@@ -144,14 +144,31 @@ def _fiedler_by_hand(edges, nodes):
     return np.linalg.eigvalsh(np.eye(len(nodes)) - d[:, None] * a * d)[1]
 
 
+def test_fiedler_value_of_large_graphs(spark):
+    """Chains have a closed form: 1 - cos(pi / (n - 1)); a grid is held against its whole matrix."""
+    chain = spark.range(9_999).selectExpr("id AS a", "id + 1 AS b")
+    r = matching.fiedler_value(chain, matching.components(chain)).first()
+    want = 1 - np.cos(np.pi / 9_999)
+    assert (r.component, r.n) == (0, 10_000) and abs(r.fiedler / want - 1) < 1e-6
+    side = 20
+    across = spark.range(side * side).where(f"id % {side} < {side - 1}").selectExpr("id AS a", "id + 1 AS b")
+    down = spark.range(side * (side - 1)).selectExpr("id AS a", f"id + {side} AS b")
+    grid = across.union(down)
+    comp = matching.components(grid)
+    want = _fiedler_by_hand([tuple(e) for e in grid.collect()], list(range(side * side)))
+    assert abs(matching.fiedler_value(grid, comp, dense=2).first().fiedler / want - 1) < 1e-6
+    with pytest.raises(ValueError, match="not known"):  # three steps don't reach across the chain
+        matching.fiedler_value(chain.where("a < 40"), matching.components(chain.where("a < 40")), rounds=3, dense=2, sparse=0)
+
+
 def test_fiedler_value_with_and_without_the_matrix(spark):
     edges = [(i, i + 1) for i in range(1, 8)] + [(1, 5), (2, 7), (20, 21)]
     pairs = spark.createDataFrame(edges, "a long, b long")
     comp = matching.components_of(spark.range(1, 9).union(spark.range(20, 23)).toDF("node"), pairs)
     assert comp.select("component").distinct().count() == 3
     want = _fiedler_by_hand(edges[:-1], list(range(1, 9)))
-    for dense in (100, 0):
-        r = matching.fiedler_value(pairs, comp, dense=dense).first()
+    for dense, sparse in ((100, 100), (0, 100), (0, 0)):
+        r = matching.fiedler_value(pairs, comp, dense=dense, sparse=sparse).first()
         assert (r.component, r.n) == (1, 8) and abs(r.fiedler - want) < 1e-6
     alone = matching.components_of(spark.range(3).toDF("node"), pairs.limit(0))
     assert matching.fiedler_value(pairs.limit(0), alone).first().fiedler == 0
