@@ -16,6 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from framewright.storage import materialize
+
+
+#: What is known of a frame during a cull.
+OPEN, GONE, STAYS = 0, 1, 2
+
 
 def by_flight() -> WindowSpec:
     return Window.partitionBy("flight")
@@ -80,31 +86,39 @@ def quality_score(frames: DataFrame, p: SelectionParams = SelectionParams()) ->
     return frames.withColumn("quality_score", p.feature_weight * share("feature_count") + (1 - p.feature_weight) * share("sharpness"))
 
 
+def with_span(frames: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
+    """Frames with ``first_frame`` and ``last_frame`` of their flight (:func:`airborne_span`).  All windows share one
+    exchange by flight."""
+    part, stretch = by_flight(), Window.partitionBy("flight", "_run")
+    known = frames.withColumn("_p5", F.percentile("altamsl", F.lit(0.05)).over(part))
+    noise = F.coalesce(F.stddev_pop(F.when(F.col("altamsl") < F.col("_p5"), F.col("altamsl"))).over(part), F.lit(0.0))
+    risen = F.coalesce(F.col("altamsl") > F.min("altamsl").over(part) + F.greatest(F.lit(p.rise_m), 5 * noise), F.lit(False))
+    up = known.withColumns({"_up": risen, "_n": F.count("*").over(part)})
+    # frames of one run have as many frames that are not up before them
+    before = F.count_if(~F.col("_up")).over(by_frame().rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = up.withColumn("_run", F.when(F.col("_up"), before))
+    runs = runs.withColumn("_long", F.col("_up") & (F.count("*").over(stretch) >= F.least(F.lit(p.min_island), F.col("_n"))))
+    counts = runs.withColumn("_counts", F.col("_long") | F.col("_up") & ~F.max("_long").over(part))
+    edge = lambda f: F.coalesce(f(F.when(F.col("_counts"), F.col("frame"))).over(part), f("frame").over(part))
+    return counts.withColumns({"first_frame": edge(F.min), "last_frame": edge(F.max)}).drop("_p5", "_up", "_n", "_run", "_long", "_counts")
+
+
 def airborne_span(frames: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
     """flight, first_frame and last_frame between the first and the last airborne run; the
     whole flight if it never rises.  Runs shorter than ``min_island`` count only if all are."""
-    low = F.percentile("altamsl", F.lit(0.05)).over(by_flight())
-    known = frames.select("flight", "frame", "altamsl", low.alias("p5"), F.row_number().over(by_frame()).alias("rn"))
-    noise = F.coalesce(F.stddev_pop(F.when(F.col("altamsl") < F.col("p5"), F.col("altamsl"))), F.lit(0.0))
-    stats = known.groupBy("flight").agg(F.min("altamsl").alias("rest"), noise.alias("noise"), F.min("frame").alias("lo"), F.max("frame").alias("hi"), F.count("*").alias("n"))
-    up = known.join(stats.select("flight", "rest", "noise", "n"), "flight").where(F.col("altamsl") > F.col("rest") + F.greatest(F.lit(p.rise_m), 5 * F.col("noise")))
-    runs = up.withColumn("island", F.col("rn") - F.row_number().over(by_frame())).groupBy("flight", "island").agg(F.count("*").alias("len"), F.min("frame").alias("a"), F.max("frame").alias("b"), F.max("n").alias("n"))
-    runs = runs.withColumn("long_enough", F.col("len") >= F.least(F.lit(p.min_island), F.col("n")))
-    kept = runs.withColumn("any_long", F.max("long_enough").over(by_flight())).where("long_enough OR NOT any_long")
-    span = kept.groupBy("flight").agg(F.min("a").alias("a"), F.max("b").alias("b"))
-    return stats.join(span, "flight", "left").select("flight", F.coalesce("a", "lo").alias("first_frame"), F.coalesce("b", "hi").alias("last_frame"))
+    spans = with_span(frames.select("flight", "frame", "altamsl"), p)
+    return spans.groupBy("flight").agg(F.first("first_frame").alias("first_frame"), F.first("last_frame").alias("last_frame"))
 
 
 def gate(frames: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
     """``reject_reason`` of scored frames with agl_m and footprint_valid, in order of precedence; null if usable."""
-    spanned = frames.join(airborne_span(frames, p), "flight")
     first = (
         F.when(~F.coalesce(F.col("altamsl") >= p.min_altitude_m, F.lit(False)), "below_altitude")
         .when(~F.col("frame").between(F.col("first_frame"), F.col("last_frame")), "on_ground")
         .when(F.col("quality_score").isNull(), "missing_quality_score")
         .when(~F.coalesce("footprint_valid", F.lit(False)), "invalid_footprint")
     )
-    early = spanned.withColumn("_early", first)
+    early = with_span(frames, p).withColumn("_early", first)
     floor = F.percentile(F.when(F.col("_early").isNull(), F.col("agl_m")), F.lit(0.5)).over(by_flight()) / p.gsd_ratio
     early = early.withColumn("gsd_floor", floor)
     fine = F.col("_early").isNull() & F.coalesce(F.col("agl_m") < F.col("gsd_floor"), F.lit(False))
@@ -142,8 +156,9 @@ def thin_to_cap(frames: DataFrame, cap: int) -> DataFrame:
 
 def select_keyframes(frames: DataFrame, p: SelectionParams = SelectionParams(), cells: DataFrame | None = None) -> DataFrame:
     """Scored frames with reject_reason, selection_reason and ``selected``.  With ``max_views`` over 0 frames
-    all of whose ``cells`` (flight, frame, cx, cy) have more views than that are culled before the budget."""
-    gated = gate(quality_score(frames, p), p)
+    all of whose ``cells`` (flight, frame, cx, cy) have more views than that are culled before the budget.
+    Frames are scored and gated once, and written."""
+    gated = materialize(gate(quality_score(frames, p), p), "gated")
     pool = gated.where("reject_reason IS NULL")
     key = ["flight", "frame"]
     stages = [spacing_superset(pool, p.spacing_m)]
@@ -162,18 +177,33 @@ def select_keyframes(frames: DataFrame, p: SelectionParams = SelectionParams(),
 
 def coverage_cull(frames: DataFrame, cells: DataFrame, floor: int) -> DataFrame:
     """flight and frame left after dropping, from the worst quality up, frames all of whose
-    cells have more than ``floor`` views left.  Sequential in a flight by definition."""
-    seen = frames.join(cells, ["flight", "frame"], "left").groupBy("flight", "frame", "quality_score").agg(F.collect_list(F.when(F.col("cx").isNotNull(), F.struct("cx", "cy"))).alias("cells"))
-
-    def cull(group):
-        from collections import Counter
-
-        each = [(q, f, [(c["cx"], c["cy"]) for c in cs]) for q, f, cs in zip(group["quality_score"], group["frame"], group["cells"], strict=True)]
-        count, gone = Counter(c for _, _, cs in each for c in cs), set()
-        for _, f, cs in sorted(each, key=lambda x: x[:2]):
-            if cs and all(count[c] > floor for c in cs):
-                count.subtract(cs)
-                gone.add(f)
-        return group.loc[~group["frame"].isin(gone), ["flight", "frame"]]
-
-    return seen.groupBy("flight").applyInPandas(cull, ", ".join(f"{c} {frames.schema[c].dataType.simpleString()}" for c in ("flight", "frame")))
+    cells have more than ``floor`` views left; frames without cells stay."""
+    gone, _ = culled(frames, cells, floor)
+    return frames.select("flight", "frame").join(gone, ["flight", "frame"], "left_anti")
+
+
+def culled(frames: DataFrame, cells: DataFrame, floor: int) -> tuple[DataFrame, int]:
+    """The frames that :func:`coverage_cull` drops, and the rounds it took.
+
+    When a frame's turn comes, a cell has all its views but for the frames dropped before.  So a frame that
+    has a cell with at most ``floor`` views beside those known to be dropped stays, and one whose cells all
+    keep more even if every frame before it that is still open were dropped goes.  Each round decides all such frames of
+    all flights at once; the first open frame of a flight is always one of them.  Cells whose frames are all
+    decided are left out of later rounds."""
+    key, cell = ["flight", "frame"], ["flight", "cx", "cy"]
+    rows = cells.select(*key, "cx", "cy").distinct().join(frames.select(*key, "quality_score"), key)
+    rows = rows.withColumns({"views": F.count("*").over(Window.partitionBy(*cell)), "state": F.lit(OPEN)})
+    rows, gone, rounds = materialize(rows, "cull"), [], 0
+    before = Window.partitionBy(*cell).orderBy("quality_score", "frame").rowsBetween(Window.unboundedPreceding, -1)
+    count = lambda state: F.coalesce(F.count_if(F.col("state") == state).over(before), F.lit(0))
+    while True:
+        left = F.col("views") - F.col("gone")
+        seen = rows.withColumns({"gone": count(GONE), "open": count(OPEN)}).where(F.col("state") == OPEN)
+        turn = seen.groupBy(*key).agg(F.max(left <= floor).alias("stays"), F.min(left - F.col("open") > floor).alias("goes"))
+        turn = materialize(turn.select(*key, F.when(F.col("stays"), STAYS).when(F.col("goes"), GONE).otherwise(OPEN).alias("now")), "turn")
+        gone.append(turn.where(F.col("now") == GONE).select(*key))
+        if turn.where(F.col("now") == OPEN).isEmpty():
+            return reduce(DataFrame.unionAll, gone), rounds + 1
+        rows = rows.join(turn, key, "left").withColumn("state", F.coalesce("now", "state")).drop("now")
+        still = rows.where(F.col("state") == OPEN).select(*cell).distinct()
+        rows, rounds = materialize(rows.join(still, cell, "left_semi"), "cull"), rounds + 1
