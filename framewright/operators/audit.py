@@ -79,7 +79,7 @@ def neighbour_counts(points: DataFrame, radius: float, most: int = MOST_COMPARED
     compared, where both hold few (``most`` comparisons).  Of fuller ones the quarters are judged in the same way, until none is left."""
     spots = points.where("easting IS NOT NULL AND northing IS NOT NULL").groupBy("flight", "easting", "northing").agg(F.count("*").alias("w"))
     spots = materialize(spots, "spots")
-    boxes = materialize(_boxes(spots, radius, 0), "boxes")
+    boxes = _boxes(spots, radius, 0)
     around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("d")
     near = _side(boxes, "a").select("*", around).withColumns({"x_b": F.col("x_a") + F.col("d.i"), "y_b": F.col("y_a") + F.col("d.j")}).drop("d")
     pairs, level, found = near.join(_side(boxes, "b"), ["flight", "x_b", "y_b"]), 0, []
@@ -128,29 +128,35 @@ def matcher_neighbours(points: DataFrame, radius: float) -> DataFrame:
     return neighbour_counts(points, radius).groupBy("flight").agg(F.when(F.count("*") < 2, 0).otherwise(m).cast("long").alias("neighbours"))
 
 
-def nearest_selected(frames: DataFrame, first_radius: float = 64.0) -> DataFrame:
-    """Distance of each frame to the nearest selected one; for selected frames distances of 0
-    don't count.  Rings of buckets double until every frame that can has an answer."""
+def nearest_selected(frames: DataFrame) -> DataFrame:
+    """Distance of each frame to the nearest selected one, null if there is none; for selected frames distances of 0 don't count.
+
+    One plan without rounds, over grids of doubling squares from a flight's width divided by its selected positions up to
+    its width.  A frame's level is the first at which its square and the eight around it hold a position that counts, so one
+    lies within 2.9 squares, and the nearest one in or around the frame's square two levels further up."""
     frames = materialize(frames.select("flight", "frame", "easting", "northing", "selected"), "frames")
-    chosen = frames.where("selected").select("flight", F.col("easting").alias("e2"), F.col("northing").alias("n2")).distinct()
-    open_, done, radius = frames, None, first_radius
-    # frames in flights with no other selected position never get an answer
-    spots = chosen.groupBy("flight").agg(F.count("*").alias("spots"))
-    able = frames.join(spots, "flight").where("spots > 1 OR NOT selected")
-    open_ = able.drop("spots")
-    never = frames.join(able.select("flight", "frame"), ["flight", "frame"], "left_anti").select("flight", "frame", F.lit(None).cast("double").alias("dist_m"))
-    while not open_.isEmpty():
-        at = lambda c: F.floor(F.col(c) / radius).cast("long")  # noqa: B023, E731
-        ring = F.explode(F.array(*(F.struct((at("e2") + i).alias("bx"), (at("n2") + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
-        near = chosen.select("flight", "e2", "n2", ring.alias("b")).select("flight", "e2", "n2", "b.bx", "b.by")
-        d = F.hypot(F.col("easting") - F.col("e2"), F.col("northing") - F.col("n2"))
-        found = open_.withColumns({"bx": at("easting"), "by": at("northing")}).join(near, ["flight", "bx", "by"]).withColumn("d", d)
-        found = found.where(f"d <= {radius!r} AND NOT (selected AND d = 0)").groupBy("flight", "frame").agg(F.min("d").alias("dist_m"))
-        found = materialize(found, "nearest")
-        done = found if done is None else done.union(found)
-        open_ = materialize(open_.join(found, ["flight", "frame"], "left_anti"), "open")
-        radius *= 4
-    return never if done is None else done.union(never)
+    at = frames.where("easting IS NOT NULL AND northing IS NOT NULL")
+    chosen = at.where("selected").select("flight", F.col("easting").alias("e2"), F.col("northing").alias("n2")).distinct()
+    wide = F.greatest(F.max("easting") - F.min("easting"), F.max("northing") - F.min("northing"))
+    grids = at.groupBy("flight").agg(wide.alias("width")).join(chosen.groupBy("flight").agg(F.count("*").alias("spots")), "flight")
+    grids = grids.select("flight", "spots", F.when(F.col("width") > 0, F.col("width") / F.col("spots")).otherwise(1.0).alias("least"), (F.ceil(F.log2("spots")) + 1).cast("int").alias("top"))
+
+    def square(c: str) -> Column:
+        return F.floor(F.col(c) / F.col("least") / F.pow(F.lit(2.0), F.col("level"))).cast("long")
+
+    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("d")
+    levels = F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level")
+    spread = chosen.join(grids, "flight").select("flight", "e2", "n2", "least", levels).select("*", around)
+    spread = spread.select("flight", "level", (square("e2") + F.col("d.i")).alias("x"), (square("n2") + F.col("d.j")).alias("y"), "e2", "n2")
+    full = spread.groupBy("flight", "level", "x", "y").agg(F.count("*").alias("n"))
+    able = at.join(grids, "flight").where("spots > 1 OR NOT selected")
+    looking = able.select("flight", "frame", "easting", "northing", "selected", "least", "top", levels)
+    looking = looking.withColumns({"x": square("easting"), "y": square("northing")}).join(full, ["flight", "level", "x", "y"]).where(F.col("n") > F.col("selected").cast("int"))
+    found = looking.groupBy("flight", "frame", "easting", "northing", "selected").agg(F.min("level").alias("level"), F.first("least").alias("least"), F.first("top").alias("top"))
+    found = found.withColumn("level", F.least(F.col("level") + 2, F.col("top"))).withColumns({"x": square("easting"), "y": square("northing")})
+    d = F.hypot(F.col("easting") - F.col("e2"), F.col("northing") - F.col("n2"))
+    near = found.join(spread, ["flight", "level", "x", "y"]).withColumn("d", d).where("NOT (selected AND d = 0)").groupBy("flight", "frame").agg(F.min("d").alias("dist_m"))
+    return frames.select("flight", "frame").join(near, ["flight", "frame"], "left").select("flight", "frame", "dist_m")
 
 
 def audit_table(labelled: DataFrame) -> DataFrame:

@@ -58,3 +58,20 @@ def test_density_lists_the_first_members(spark):
         e, m = at[flight, frame]
         inside = sorted(k[1] for k, p in at.items() if k[0] == flight and None not in p and (p[0] - e) ** 2 + (p[1] - m) ** 2 <= 25.0)
         assert (r.frame, r.population, r.members) == (frame, 1 - n, inside[:4])
+
+
+def test_nearest_keyframes_equal_all_pairs(spark):
+    rng = np.random.default_rng(6)
+    rows = [(*r, bool(rng.random() < {"spot": 0.1, "disc": 0.5, "line": 0.05, "grid": 0.02}.get(r[0], 1.0))) for r in _points()]
+    rows += [("far", k, *map(float, rng.normal(0, 1, 2)), False) for k in range(50)] + [("far", 50 + k, 1e6 + k, 1e6, True) for k in range(40)]
+    rows += [("none", k, float(k), 0.0, False) for k in range(5)] + [("one", 0, 0.0, 0.0, True), ("one", 1, 0.0, 0.0, True), ("one", 2, 3.0, 4.0, False)]
+    frames = spark.createDataFrame(rows, f"{SCHEMA}, selected boolean")
+    want = {}
+    for flight in {r[0] for r in rows}:
+        chosen = np.array([r[2:4] for r in rows if r[0] == flight and r[4] and None not in r]).reshape(-1, 2)
+        for _, frame, e, n, selected in (r for r in rows if r[0] == flight):
+            d = [] if e is None or n is None else [x for x in np.hypot(chosen[:, 0] - e, chosen[:, 1] - n) if x > 0 or not selected]
+            want[flight, frame] = round(float(min(d)), 6) if len(d) else None
+    got = audit.nearest_selected(frames).collect()
+    assert len(got) == len(rows)
+    assert [(r, want[r.flight, r.frame]) for r in got if (None if r.dist_m is None else round(r.dist_m, 6)) != want[r.flight, r.frame]] == []
