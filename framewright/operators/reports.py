@@ -106,6 +106,45 @@ def summary(labelled: DataFrame, cells: DataFrame, p: SelectionParams) -> DataFr
     return n.na.fill(0, ["n_gaps", "n_coverage_gaps"])
 
 
+def gap_lists(labelled: DataFrame, p: SelectionParams) -> DataFrame:
+    """Per flight the gaps between its selected frames as arrays, in order: all of them (their number is bounded by the
+    budget) in ``temporal_gaps``, and those over ``warn_gap_m`` in ``coverage_gaps``."""
+    gaps = audit.selection_gaps(labelled.where("selected"))
+    gaps = gaps.select("flight", (F.col("frame") - F.col("gap_frames")).alias("from_frame"), F.col("frame").alias("to_frame"), "gap_frames", F.round("gap_m", 2).alias("gap_m"), (F.col("gap_m") > p.warn_gap_m).alias("wide"))
+    each = F.array_sort(F.collect_list(F.struct("from_frame", "to_frame", "gap_frames", "gap_m")))
+    wide = F.array_sort(F.collect_list(F.when(F.col("wide"), F.struct("from_frame", "to_frame", "gap_m"))))
+    return gaps.groupBy("flight").agg(each.alias("temporal_gaps"), wide.alias("coverage_gaps"))
+
+
+def hole_lists(holes: DataFrame, grid: DataFrame | None = None, top: int = 10) -> DataFrame:
+    """Per flight its largest holes as an array, with centres on the map if ``grid`` has the flights' origins."""
+    placed = holes.where(F.col("rank") <= top)
+    if grid is not None:
+        placed = placed.join(grid, "flight").withColumns({"centroid_e": F.col("centroid_e") + F.col("origin_e"), "centroid_n": F.col("centroid_n") + F.col("origin_n")})
+    listed = F.array_sort(F.collect_list(F.struct("rank", "size", "area_m2", "centroid_e", "centroid_n")))
+    return placed.groupBy("flight").agg(listed.alias("largest_holes"))
+
+
+def whole_summary(audited: DataFrame, cells: DataFrame, p: SelectionParams, angles: DataFrame, found: DataFrame, cell_e: float, cell_n: float, grid: DataFrame | None = None) -> DataFrame:
+    """All that is known of a selection, a row a flight: the columns of :func:`summary`, and the blocks ``constants``,
+    ``decisions``, ``temporal_gaps``, ``coverage_gaps``, ``insight`` (coverage_holes and, with a selected frame, parallax) and ``health``.
+
+    ``audited``: labelled frames with bin_rank (:func:`audit.audit_table`); ``angles``: of :func:`convergence`; ``found``: their
+    :func:`health`; ``grid``: flight, origin_e, origin_n of the cells."""
+    mission, views = coverage.mission_cells(cells), coverage.view_counts(audited.where("selected"), cells)
+    holes = materialize(coverage.coverage_holes(mission, views, p.target_views, cell_e, cell_n), "holes")
+    totals = mission.select("flight").distinct().join(coverage.hole_totals(holes).drop("largest"), "flight", "left").na.fill(0, ["n_holes", "n_under_target", "hole_area_m2"])
+    lacks = totals.join(hole_lists(holes, grid), "flight", "left")
+    seen = parallax.parallax_metrics(angles, p.parallax_views, p.parallax_deg)
+    block = lambda df, name: df.select("flight", F.struct(*(c for c in df.columns if c != "flight")).alias(name))
+    lacks = block(lacks, "coverage_holes").join(block(seen, "parallax"), "flight", "left")
+    constants = F.struct(*((F.array(*map(F.lit, v)) if isinstance(v, tuple) else F.lit(v)).alias(k) for k, v in p.constants().items()))
+    out = summary(audited, cells, p).withColumn("constants", constants)
+    for part in (block(decisions(audited), "decisions"), gap_lists(audited, p), block(lacks, "insight"), block(found, "health")):
+        out = out.join(part, "flight", "left")
+    return out
+
+
 def insight(labelled: DataFrame, cells: DataFrame, p: SelectionParams, angles: DataFrame, cell_e: float, cell_n: float, origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
     """One row a flight with mission cells: holes in numbers, and parallax if anything is selected."""
     mission, views = coverage.mission_cells(cells), coverage.view_counts(labelled.where("selected"), cells)

@@ -65,14 +65,17 @@ class SelectionParams:
         known = {f.name: constants[f.name] for f in fields(cls) if f.name in constants}
         return cls(**{k: tuple(v) if isinstance(v, list) else v for k, v in known.items()})
 
-    def digest(self) -> str:
-        """Of all values, for results that are stored beside them."""
-        return hashlib.sha256(json.dumps(self.constants(), sort_keys=True).encode()).hexdigest()
+    def digest(self, *made_of: str) -> str:
+        """Of the values that footprints depend on, and of what else they are made of (camera, terrain), for footprints
+        that are stored."""
+        own = {k: v for k, v in self.constants().items() if k in ("bin_m", "datum_m", "ray_grid", "least_valid_rays", "margin_m")}
+        return hashlib.sha256(json.dumps([own, made_of], sort_keys=True).encode()).hexdigest()
 
 
-def init_candidates(poses: DataFrame) -> DataFrame:
-    """Poses with the columns of scores and of a selection, all null, and ``selected`` false."""
-    kinds = {"feature_count": "double", "sharpness": "double", "quality_score": "double", "cell_x": "long", "cell_y": "long", "reject_reason": "string", "selection_reason": "string"}
+def init_candidates(poses: DataFrame, scores: bool = True) -> DataFrame:
+    """Poses with the columns of scores (unless these are there to stay) and of a selection, all null, and ``selected`` false."""
+    kinds = {"feature_count": "double", "sharpness": "double", "quality_score": "double"} if scores else {}
+    kinds |= {"cell_x": "long", "cell_y": "long", "reject_reason": "string", "selection_reason": "string"}
     return poses.withColumns({**{c: F.lit(None).cast(t) for c, t in kinds.items()}, "selected": F.lit(False)})
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
 from framewright.operators.footprints import terrain_window
+from framewright.operators.selection import init_candidates
 
 POSE_SCHEMA = "FrameNumber long, TimeUS long, easting double, northing double, altamsl double, utm_zone string, roll_rad double, pitch_rad double, yaw_rad double"
 
@@ -108,13 +109,18 @@ def scores_are_current(folder: str, record: Record) -> bool:
 
 def load_scored(spark: SparkSession, folder: str) -> DataFrame:
     """Stored scores as candidates of a new selection."""
-    return init_selection(spark.read.parquet(str(Path(folder) / "candidates_scored")))
+    return init_candidates(spark.read.parquet(str(Path(folder) / "candidates_scored")), scores=False)
 
 
-def init_selection(scored: DataFrame) -> DataFrame:
-    """The columns of a selection anew: nothing selected, no reasons, no cells."""
-    kinds = {"cell_x": "long", "cell_y": "long", "reject_reason": "string", "selection_reason": "string"}
-    return scored.withColumns({**{c: F.lit(None).cast(t) for c, t in kinds.items()}, "selected": F.lit(False)})
+#: Types of the columns of an audit table; those of other names are read as text.
+AUDIT_TYPES = dict.fromkeys(("easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad", "agl_m", "feature_count", "sharpness", "quality_score", "gsd_floor", "dist_to_nearest_selected_m"), "double")
+AUDIT_TYPES |= dict.fromkeys(("frame", "cell_x", "cell_y", "bin_rank"), "long") | dict.fromkeys(("selected", "footprint_valid"), "boolean")
+
+
+def load_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The labelled frames of an audit table (:func:`sinks.write_audit`), with their types."""
+    text = spark.read.option("header", True).csv(path)
+    return text.select(*(F.col(f"`{c}`").cast(AUDIT_TYPES.get(c, "string")).alias(c) for c in text.columns))
 
 
 def load_footprints(spark: SparkSession, path: str, digest: str) -> DataFrame:

@@ -14,6 +14,7 @@ from framewright.functions.geometry import Camera
 from framewright.operators import audit, coverage, matching, reports
 from framewright.operators.selection import SelectionParams
 from framewright.sources.readers import Record, load_scored, scores_are_current
+from framewright.storage import materialize
 
 
 def geo_lines(selected: DataFrame) -> DataFrame:
@@ -68,12 +69,13 @@ def save_footprints(footprints: DataFrame, path: str, digest: str) -> None:
     footprints.withColumn("params", F.lit(digest)).write.mode("errorifexists").parquet(path)
 
 
-def write_manifest(labelled: DataFrame, record: Record, run: Path, params: SelectionParams) -> None:
-    """``run``/build.json of one flight; its selected frames are bounded by the budget."""
+def write_manifest(labelled: DataFrame, record: Record, run: Path, params: SelectionParams, made_of: tuple[str, ...] = ()) -> None:
+    """``run``/build.json of one flight; its selected frames are bounded by the budget.  ``made_of``: what its
+    footprints depend on beside the parameters."""
     counts = labelled.agg(F.count("*").alias("n"), F.count_if("selected").alias("k")).first()
     frames = [r.frame for r in labelled.where("selected").select("frame").orderBy("frame").toLocalIterator()]
     body = {"record_path": str(record.path), "slug": record.slug, "stream_id": record.stream_id, "video": str(record.video), "poses_path": str(record.poses_path), "intrinsics": str(record.intrinsics), "run_ts": run.name, "run_dir": f"runs/{run.name}"}
-    body |= {"n_candidates": counts.n, "n_selected": counts.k, "selected_frame_numbers": frames, "selection_constants": params.constants()}
+    body |= {"n_candidates": counts.n, "n_selected": counts.k, "selected_frame_numbers": frames, "selection_constants": params.constants(), "footprints_made_of": list(made_of)}
     run.mkdir(parents=True, exist_ok=True)
     (run / "build.json").write_text(json.dumps(body, indent=2) + "\n")
 
@@ -85,13 +87,13 @@ def write_odm_options(folder: str, cameras_path: str, neighbours: int = 0) -> No
     (Path(folder) / "odm_options.json").write_text(json.dumps(body, indent=2) + "\n")
 
 
-def write_matcher_profile(folder: str, cameras_path: str, vertices: DataFrame, edges: DataFrame, reach_m: float = 33.0) -> int:
+def write_matcher_profile(folder: str, cameras_path: str, vertices: DataFrame, edges: DataFrame, reach_m: float = 33.0, selected: DataFrame | None = None) -> int:
     """Options of one flight with the matcher neighbours that co-visibility recommends and matching_profile.json beside
-    them, or, without an edge, with the number of frames within reach.  Returns the neighbours."""
+    them, or, without an edge, with the number of ``selected`` frames (else vertices) within reach.  Returns the neighbours."""
     write_odm_options(folder, cameras_path)
     options = Path(folder) / "odm_options.json"
     if edges.isEmpty():
-        found = audit.matcher_neighbours(vertices, reach_m).first()
+        found = audit.matcher_neighbours(vertices if selected is None else selected, reach_m).first()
         neighbours = found.neighbours if found else 0
     else:
         profile, about = matching.matcher_profile(vertices, edges).first(), matching.covis_summary(vertices, edges).drop("flight").first()
@@ -102,12 +104,14 @@ def write_matcher_profile(folder: str, cameras_path: str, vertices: DataFrame, e
     return neighbours
 
 
-def write_report(labelled: DataFrame, cells: DataFrame, angles: DataFrame, params: SelectionParams, folder: str) -> DataFrame:
-    """``folder``/selection_audit as CSV, /summary and /health as JSON lines; returns the health that was written."""
+def write_report(labelled: DataFrame, cells: DataFrame, angles: DataFrame, params: SelectionParams, folder: str, grid: DataFrame | None = None) -> DataFrame:
+    """``folder``/selection_audit as CSV, /health and /summary as JSON lines, a line a flight; returns the health that was
+    written.  The summary holds all blocks of :func:`reports.whole_summary`; ``grid`` has the origins of the cells."""
     spark = labelled.sparkSession
-    audited = audit.audit_table(coverage.assign_bins(labelled, params.bin_m))
+    audited = materialize(audit.audit_table(coverage.assign_bins(labelled, params.bin_m)), "audited")
     write_audit(audited, f"{folder}/selection_audit")
-    reports.summary(labelled, cells, params).write.json(f"{folder}/summary")
     found = reports.health(labelled, cells, params, angles)
     found.write.json(f"{folder}/health")
-    return spark.read.schema(found.schema).json(f"{folder}/health")
+    found = spark.read.schema(found.schema).json(f"{folder}/health")
+    reports.whole_summary(audited, cells, params, angles, found, params.bin_m, params.bin_m, grid).write.json(f"{folder}/summary")
+    return found

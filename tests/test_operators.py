@@ -307,6 +307,39 @@ def test_matcher_options(spark, tmp_path):
     assert read("cam.json")["v2   1920 1080 brown 0.85"]["c_x"] == 0
 
 
+def _report_holds_all_blocks(spark, run, tmp_path):
+    """What build wrote, read back, and what report makes of the saved audit table alone."""
+    one, again = (spark.read.json(str(p)).first().asDict(recursive=True) for p in (run / "report/summary", tmp_path / "again/summary"))
+    chosen = list(range(0, 40, 3))
+    for got in (one, again):
+        assert got["constants"]["spacing_m"] == 9.0 and got["constants"]["ray_grid"] == [12, 7]
+        assert [(g["from_frame"], g["to_frame"], g["gap_m"]) for g in got["temporal_gaps"]] == [(a, b, 9.0) for a, b in zip(chosen, chosen[1:])]
+        assert got["coverage_gaps"] == [] and got["n_coverage_gaps"] == 0
+        assert got["decisions"]["selection_reason_counts"] == {"keyframe": 14}
+        assert got["health"]["passed"] and got["health"]["n_selected"] == 14 and got["health"]["n_mission"] == got["n_mission"]
+        holes = got["insight"]["coverage_holes"]
+        assert sum(h["size"] for h in holes["largest_holes"]) == holes["n_under_target"] == got["n_mission"] - got["n_at_target"]
+        assert got["insight"]["parallax"]["n_covered"] == got["n_covered"] > 0
+    heads = [h["centroid_e"] for h in one["insight"]["coverage_holes"]["largest_holes"]]
+    assert all(-100 < e < 400 for e in heads)  # on the map, around the flight
+    same = {"n_candidates", "n_selected", "reject_counts", "decisions", "temporal_gaps", "quality_min", "views_histogram"}
+    assert {k: one[k] for k in same} == {k: again[k] for k in same}
+
+
+def _scores_of_another_video(spark, folder, tmp_path, cli):
+    """Scores are stored once, taken from the store, and refused when the video is another."""
+    def build(scored, run, *more):
+        cli.main(["build", str(folder), str(tmp_path / scored), str(tmp_path / "dtm"), str(tmp_path / "out"), "--run", run, "--spacing-m", "9", "--ray-grid", "12", "7", *more])
+        return json.loads((tmp_path / "out" / "flight-a" / "runs" / run / "build.json").read_text())["n_candidates"]
+
+    spark.read.parquet(str(tmp_path / "scored")).where("frame < 30").write.parquet(str(tmp_path / "fewer"))
+    assert build("fewer", "20260101000001") == 40 and build("absent", "20260101000002", "--select-only") == 40
+    assert build("fewer", "20260101000003", "--rescore") == 30
+    next(folder.glob("*.mp4")).write_bytes(b"another video of the flight")
+    with pytest.raises(ValueError, match="no scores of"):
+        build("fewer", "20260101000004", "--select-only")
+
+
 def test_build_prepare_and_report_commands(spark, tmp_path, capsys):
     from framewright import cli
 
@@ -328,8 +361,12 @@ def test_build_prepare_and_report_commands(spark, tmp_path, capsys):
     assert json.loads((run / "odm_input/odm_options.json").read_text())["matcher_neighbors"] == 6
     cli.main(["report", str(run), str(tmp_path / "scored"), str(run / "footprints"), str(tmp_path / "again")])
     assert spark.read.json(str(tmp_path / "again/summary")).first().n_selected == 14
+    _report_holds_all_blocks(spark, run, tmp_path)
+    cli.main(["report", str(run), str(tmp_path / "scored"), str(run / "footprints"), str(tmp_path / "anew"), "--force"])
+    assert spark.read.json(str(tmp_path / "anew/summary")).first().n_selected == 14
     cli.main(["resolve-run", str(run.parent)])
     assert capsys.readouterr().out.strip().endswith("20260101000000")
+    _scores_of_another_video(spark, folder, tmp_path, cli)
 
 
 def test_streams(spark, tmp_path):
