@@ -166,9 +166,10 @@ FINAL |= {
         LEFT JOIN (SELECT flight, string_agg(reject_reason || ':' || n, ',' ORDER BY reject_reason) AS reject_counts FROM (SELECT flight, reject_reason, count(*) AS n FROM labelled WHERE NOT selected GROUP BY ALL) GROUP BY flight) USING (flight) LEFT JOIN metrics USING (flight)
         LEFT JOIN (SELECT flight, string_agg(views || ':' || n, ',' ORDER BY views) AS views_histogram FROM (SELECT flight, views, count(*) AS n FROM views GROUP BY ALL) GROUP BY flight) USING (flight)
         LEFT JOIN (SELECT flight, count(gap_m) AS n_gaps, count(1) FILTER (WHERE gap_m > {WARN_GAP_M}) AS n_coverage_gaps, round(min(q), 4) AS quality_min, round(quantile_cont(q, 0.5), 4) AS quality_median, round(max(q), 4) AS quality_max FROM (SELECT flight, frame, quality_score AS q FROM chosen) LEFT JOIN gaps USING (flight, frame) GROUP BY flight) USING (flight)""",
-    "selection_insight": """SELECT flight, coalesce(n_holes, 0) AS n_holes, coalesce(n_under_target, 0) AS n_under_target, coalesce(hole_area_m2, 0) AS hole_area_m2, n_satisfied, n_multi_view_low, p50 FROM (SELECT DISTINCT flight FROM mission)
-        LEFT JOIN (SELECT flight, count(*) AS n_holes, sum(size)::BIGINT AS n_under_target, round(sum(area_m2), 1) AS hole_area_m2 FROM holes GROUP BY flight) USING (flight)
-        LEFT JOIN (SELECT flight, count(1) FILTER (WHERE views >= 3 AND angle >= 10) AS n_satisfied, count(1) FILTER (WHERE views >= 3 AND angle < 10) AS n_multi_view_low, round(quantile_cont(angle, 0.5) FILTER (WHERE views >= 2), 2) AS p50 FROM flat_conv GROUP BY flight) USING (flight)""",
+    "selection_insight": """SELECT flight, coalesce(n_holes, 0) AS n_holes, coalesce(n_under_target, 0) AS n_under_target, coalesce(hole_area_m2, 0) AS hole_area_m2, coalesce(largest, '') AS largest, c.* EXCLUDE (flight) FROM (SELECT DISTINCT flight FROM mission)
+        LEFT JOIN (SELECT flight, count(*) AS n_holes, sum(size)::BIGINT AS n_under_target, round(sum(area_m2), 1) AS hole_area_m2, string_agg(size::VARCHAR, ',' ORDER BY rank) FILTER (WHERE rank <= 10) AS largest FROM holes GROUP BY flight) USING (flight)
+        LEFT JOIN (SELECT flight, count(*) AS n_covered, count(1) FILTER (WHERE views >= 3 AND angle >= 10) AS n_satisfied, round(count(1) FILTER (WHERE views >= 3 AND angle >= 10) / count(*)::DOUBLE, 6) AS satisfied_share, count(1) FILTER (WHERE views >= 3 AND angle < 10) AS n_multi_view_low,
+                   round(quantile_cont(angle, 0.1) FILTER (WHERE views >= 2), 2) AS p10, round(quantile_cont(angle, 0.5) FILTER (WHERE views >= 2), 2) AS p50, round(quantile_cont(angle, 0.9) FILTER (WHERE views >= 2), 2) AS p90 FROM flat_conv GROUP BY flight) c USING (flight)""",
     "mission_box": "SELECT flight, min(easting) AS min_easting, max(easting) AS max_easting, min(northing) AS min_northing, max(northing) AS max_northing FROM frames GROUP BY flight",
     "cell_ground_heights": "SELECT DISTINCT flight, cx, cy, coalesce(ground_z, first(altamsl) OVER (PARTITION BY flight, cx, cy ORDER BY frame)) AS ground_z FROM cells JOIN (SELECT flight, frame, altamsl FROM chosen) USING (flight, frame) JOIN ground USING (flight, cx, cy)",
     "missing_frames": "SELECT flight, frame FROM frames WHERE event_id % 29 = 0",
@@ -187,13 +188,13 @@ FINAL |= {
 
 
 def _spread(column: str, name: str) -> str:
-    return ", ".join(f"round(quantile_cont({column}, {q}), 6) AS {name}_{n}" for n, q in (("min", 0.0), ("p50", 0.5), ("max", 1.0)))
+    return ", ".join(f"round(quantile_cont({column}, {q}), 6) AS {name}_{n}" for n, q in (("min", 0.0), ("p10", 0.1), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p90", 0.9), ("max", 1.0)))
 
 
 FINAL |= {
     "run_selection_metrics": f"""SELECT run, n_candidates, coalesce(n_selected, 0) AS n_selected, * EXCLUDE (run, n_candidates, n_selected) FROM (SELECT flight AS run, count(*) AS n_candidates FROM labelled GROUP BY flight) LEFT JOIN (
-        SELECT flight AS run, count(*) AS n_selected, min(frame) AS first_frame, max(frame) AS last_frame, {_spread("gap", "frame_gap")}, {_spread("altamsl", "altitude_m")}, {_spread("base", "baseline_m")}, count(1) FILTER (WHERE coalesce(base <= 0.1, false)) AS n_near_repeats, count(1) FILTER (WHERE coalesce(base < 1, false)) AS n_low_baselines
-        FROM (SELECT flight, frame, altamsl, frame - lag(frame) OVER (PARTITION BY flight ORDER BY (frame * 7) % 1000003) AS gap, sqrt(power(easting - lag(easting) OVER f, 2) + power(northing - lag(northing) OVER f, 2)) AS base FROM labelled WHERE selected WINDOW f AS (PARTITION BY flight ORDER BY frame)) GROUP BY flight) USING (run)""",
+        SELECT flight AS run, count(*) AS n_selected, min(frame) AS first_frame, max(frame) AS last_frame, {_spread("gap", "frame_gap")}, {_spread("altamsl", "altitude_m")}, {_spread("base", "baseline_m")}, {_spread("q", "quality")}, count(1) FILTER (WHERE coalesce(base <= 0.1, false)) AS n_near_repeats, count(1) FILTER (WHERE coalesce(base < 1, false)) AS n_low_baselines
+        FROM (SELECT flight, frame, altamsl, quality_score AS q, frame - lag(frame) OVER (PARTITION BY flight ORDER BY (frame * 7) % 1000003) AS gap, sqrt(power(easting - lag(easting) OVER f, 2) + power(northing - lag(northing) OVER f, 2)) AS base FROM labelled WHERE selected WINDOW f AS (PARTITION BY flight ORDER BY frame)) GROUP BY flight) USING (run)""",
     "run_feature_report": f"""SELECT * FROM (SELECT run, count(*) AS n_images FROM rfeatures GROUP BY run) LEFT JOIN (
         SELECT run, {_spread("num", "feature_count")}, count(1) FILTER (WHERE num = 0) AS n_zero_features, count(1) FILTER (WHERE num > 0 AND num < 100) AS n_low_features FROM rinscope GROUP BY run) USING (run)""",
     "run_reconstruction_report": """SELECT r.run, coalesce(n_shots, 0) AS n_shots, n_selected, coalesce(n_gone, 0) AS n_not_reconstructed, round(n_both / n_selected, 6) AS selected_ratio FROM (SELECT run FROM rshots UNION SELECT run FROM rmissing) r

@@ -345,7 +345,8 @@ def selection_summary(s, d):
 def selection_insight(s, d):
     labelled, cells = _stored(s, d)
     found = reports.insight(labelled, cells, P, _flat_angles(labelled, cells), adapter.CELL_E, adapter.CELL_N)
-    return found.select("flight", "n_holes", "n_under_target", "hole_area_m2", "n_satisfied", F.col("n_low").alias("n_multi_view_low"), F.round("p50", 2).alias("p50"))
+    found = found.withColumns({c: F.round(c, 2) for c in ("p10", "p50", "p90")} | {"satisfied_share": F.round("satisfied_share", 6), "largest": F.concat_ws(",", F.col("largest").cast("array<string>"))})
+    return found.withColumnRenamed("n_low", "n_multi_view_low")
 
 
 @query
@@ -542,15 +543,15 @@ def _run_edges(s: SparkSession, d: str) -> DataFrame:
 
 
 def _flat(report: DataFrame) -> DataFrame:
-    """Quantile columns as three plain ones each: the least, the median and the largest."""
+    """Quantile columns as seven plain ones each."""
     arrays = [c for c, t in report.dtypes if t.startswith("array")]
-    return report.select("*", *(F.col(c)[i].alias(f"{c}_{n}") for c in arrays for n, i in (("min", 0), ("p50", 3), ("max", 6)))).drop(*arrays)
+    return report.select("*", *(F.col(c)[i].alias(f"{c}_{n}") for c in arrays for i, n in enumerate(("min", "p10", "p25", "p50", "p75", "p90", "max")))).drop(*arrays)
 
 
 @query
 def run_selection_metrics(s, d):
-    named = _labelled(s, d).select(F.col("flight").alias("run"), F.expr("CAST((frame * 7) % 1000003 AS BIGINT)").alias("at"), F.col("frame").alias("FrameNumber"), "selected", "easting", "northing", "altamsl", F.lit(None).cast("double").alias("quality_score"))
-    return _flat(run_audit.selection_metrics(named).drop("quality"))
+    named = _labelled(s, d).select(F.col("flight").alias("run"), F.expr("CAST((frame * 7) % 1000003 AS BIGINT)").alias("at"), F.col("frame").alias("FrameNumber"), "selected", "easting", "northing", "altamsl", "quality_score")
+    return _flat(run_audit.selection_metrics(named))
 
 
 @query
