@@ -102,6 +102,11 @@ FINAL = {
     "views_histogram": "SELECT flight, views, count(*) AS n_cells FROM views GROUP BY ALL",
     "mission_status": "SELECT flight, cx, cy, status::BIGINT AS status FROM status",
     "coverage_holes": "SELECT * FROM holes",
+    "covered_outline": """SELECT flight, area, n_sides, n_corners FROM (SELECT flight, count(*) AS area FROM views GROUP BY flight)
+        JOIN (SELECT flight, count(*) AS n_sides FROM (SELECT flight, a, x, y FROM (SELECT flight, 0 AS a, cx AS x, cy AS y FROM views UNION ALL SELECT flight, 0, cx, cy + 1 FROM views UNION ALL SELECT flight, 1, cx, cy FROM views UNION ALL SELECT flight, 1, cx + 1, cy FROM views)
+            GROUP BY ALL HAVING count(*) = 1) GROUP BY flight) USING (flight)
+        JOIN (SELECT flight, sum(CASE WHEN q IN (6, 9) THEN 2 WHEN q IN (1, 2, 4, 8, 7, 11, 13, 14) THEN 1 ELSE 0 END)::BIGINT AS n_corners FROM (SELECT flight, x, y, sum(q) AS q
+            FROM (SELECT flight, cx AS x, cy AS y, 1 AS q FROM views UNION ALL SELECT flight, cx + 1, cy, 2 FROM views UNION ALL SELECT flight, cx, cy + 1, 4 FROM views UNION ALL SELECT flight, cx + 1, cy + 1, 8 FROM views) GROUP BY ALL) GROUP BY flight) USING (flight)""",
     "selection_gaps": "SELECT * FROM gaps",
     "worst_gap": "SELECT * FROM worst",
     "coverage_warnings": f"SELECT * FROM gaps WHERE gap_m > {WARN_GAP_M}",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators import audit, coverage, footprints, matching, parallax, reports, run_audit, selection
+from framewright.operators import audit, coverage, footprints, matching, outline, parallax, reports, run_audit, selection
 from framewright.plans import adapter
 from framewright.sources.readers import first_of_key
 from framewright.sources.readers import missing_frames as missing_pose_frames
@@ -173,6 +173,19 @@ def coverage_holes(s, d):
     return coverage.coverage_holes(mission, views, P.target_views, adapter.CELL_E, adapter.CELL_N)
 
 
+@query
+def covered_outline(s, d):
+    rings, _ = outline.outline(_views(s, d))
+    total = lambda c: F.sum(c).alias(c)
+    return rings.groupBy("flight").agg(total("area"), total("n_sides"), total("n_corners"))
+
+
+@query
+def outline_polygons(s, d):
+    _, bends = outline.outline(_views(s, d))
+    return outline.polygons(bends, adapter.CELL_E, adapter.CELL_N)
+
+
 @query
 def hole_totals(s, d):
     found = coverage.hole_totals(coverage_holes(s, d), TOP_HOLES)
