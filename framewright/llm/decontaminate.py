@@ -1,7 +1,9 @@
 """Benchmark questions in documents, also with other numbers, names and units.
 
-1. A template: names (capitalised words inside a sentence), numbers and units behind a number
-   become typed placeholders, everything else is lower-cased words without punctuation.
+1. A template: names (runs of capitalised words inside a sentence), numbers (digits, or runs of number words) and units
+   (words behind a number that are no ``FUNCTION_WORDS``) become one typed placeholder each, whatever their
+   words; everything else is lower-cased words without punctuation.  An item with names is also taken with
+   its names as words, for documents without capitals or all in them.
 2. Windows: the hash of ``WIDTH`` tokens (of all tokens of a shorter item) at every place of an
    item and of a document, so each common stretch of that length has a window on both sides.  They
    are taken of templates, and where an item's window has under ``LEAST_LITERALS`` plain words, of
@@ -41,27 +43,35 @@ LEAST_RUN = 50
 STEP, LEAD, TAIL = 184, 64, WIDTH
 #: Windows of items (and tokens of their parts) that may be broadcast: some 100 bytes each in memory.
 MOST_BROADCAST = 500_000
-NAME, NUMBER, UNIT = "\ue001", "\ue002", "\ue003"
-UNITS = (
-    "mm cm m km inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres "
-    "mg g kg ton tons tonne tonnes gram grams kilogram kilograms ounce ounces pound pounds lb lbs "
-    "ml l liter liters litre litres gallon gallons cup cups "
-    "second seconds minute minutes hour hours day days week weeks month months year years "
-    "cent cents dollar dollars euro euros percent degree degrees kmh mph"
+NAME, NUMBER, UNIT, JOIN = "\ue001", "\ue002", "\ue003", "\ue004"
+#: Words of numbers ("one" only within them), and words behind a number that are no unit.
+NUMBER_WORDS = (
+    "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+FUNCTION_WORDS = (
+    "a an the and or but nor of to in on at by for from with without into onto over under than as that this these those then "
+    "is are was were be been has have had do does did will would can could may might must not if when while who which what how "
+    "he she it they we you i his her its their our your my him them us more less times"
 ).split()
 
 _SLOT = f"[{NAME}{NUMBER}{UNIT}]"
+_UNIT_STEP = (rf"(?i)({NUMBER}[^ ]+ )(?!(?:{'|'.join(FUNCTION_WORDS)})(?![^ ]))(\p{{L}}+(?![^ ]))", f"$1{UNIT}$2")
 
 
 def marked(text: Column) -> Column:
     """The text as lower-case tokens parted by single spaces, slots with their mark in front."""
     steps = (
-        (_SLOT, ""),
+        (f"[{NAME}{NUMBER}{UNIT}{JOIN}]", ""),
         (r"\p{Lu}(?<=[\p{L}\p{Nd},;]\s\p{Lu})\p{Ll}+(?!\p{L})", NAME + "$0"),
+        (rf"\s{NAME}(?<={NAME}\p{{L}}{{1,40}}\s{NAME})", JOIN),
         (r"[.,](?!\p{Nd})", " "),
-        (rf"[^\p{{L}}\p{{Nd}}.,{NAME}]+", " "),
+        (rf"[^\p{{L}}\p{{Nd}}.,{NAME}{JOIN}]+", " "),
+        (rf"(?i)(?<![^ ]){NAME}?({'|'.join(NUMBER_WORDS)})(?![^ ])", NUMBER + "$1"),
+        (rf"(?i)(?<={NUMBER}[a-z]{{3,9}} )one(?![^ ])", NUMBER + "$0"),
+        (rf"(?i) {NUMBER}(?<={NUMBER}[a-z]{{3,9}} {NUMBER})", JOIN),
         (r"\p{Nd}[\p{Nd}.,]*", NUMBER + "$0"),
-        (rf"(?i)({NUMBER}[^ ]+ )((?:{'|'.join(UNITS)})(?![^ ]))", f"$1{UNIT}$2"),
+        _UNIT_STEP,
     )
     return F.trim(F.lower(reduce(lambda t, step: F.regexp_replace(t, *step), steps, F.coalesce(text, F.lit("")))))
 
@@ -77,15 +87,20 @@ def bared(marked_text: Column) -> Column:
 
 
 def item_parts(benchmark: DataFrame) -> DataFrame:
-    """pid, item (a row of the benchmark), item_id, n_tokens of the item, ``lead`` (tokens before those that the
-    part counts), ``own`` (how many it counts), ``item_v`` and ``item_t``: values and template; ``named``
-    is the template with names left as words, for documents without capitals or all in them."""
-    items = benchmark.select("item_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
-    items = items.select(F.monotonically_increasing_id().alias("item"), "item_id", F.split("marked", " ").alias("v"), templated(F.col("marked")).alias("t"), templated(F.regexp_replace("marked", NAME, "")).alias("w"))
+    """pid, item (a row of the benchmark, twice if it has names), item_id, n_tokens of the item, ``lead`` (tokens before those that the
+    part counts), ``own`` (how many it counts), ``item_v`` and ``item_t``: values and template, and ``window_t``, the template that
+    windows are taken of.  The second form of an item has a token for each word of a name, and windows with these as words, for
+    documents without capitals or all in them."""
+    given = benchmark.select("item_id", marked(F.col("text")).alias("marked")).where("marked <> ''")
+    apart = F.regexp_replace("marked", f"(?<={NAME}[^ ]{{1,400}}){JOIN}", f" {NAME}")
+    plain = F.regexp_replace(F.regexp_replace(apart, NAME, ""), *_UNIT_STEP)
+    form = lambda text, windows: F.struct(text.alias("marked"), windows.alias("windows"))
+    given = given.select("item_id", F.explode(F.array_distinct(F.array(form(F.col("marked"), F.col("marked")), form(apart, plain)))).alias("f"))
+    items = given.select(F.monotonically_increasing_id().alias("item"), "item_id", F.split("f.marked", " ").alias("v"), templated(F.col("f.marked")).alias("t"), templated(F.col("f.windows")).alias("w"))
     last = f"greatest(0, size(v) - {TAIL + 1}) DIV {STEP} * {STEP}"
     parts = items.select("item", "item_id", "v", "t", "w", F.explode(F.expr(f"sequence(0, CAST({last} AS INT), {STEP})")).alias("at"))
     parts = parts.withColumns({"lead": F.expr(f"least(at, {LEAD})"), "own": F.expr(f"CAST(IF(at = {last}, size(v) - at, {STEP}) AS INT)")})
-    tokens = [F.expr(f"slice({c}, at - lead + 1, lead + own + {TAIL})").alias(name) for c, name in (("v", "item_v"), ("t", "item_t"), ("w", "named"))]
+    tokens = [F.expr(f"slice({c}, at - lead + 1, lead + own + {TAIL})").alias(name) for c, name in (("v", "item_v"), ("t", "item_t"), ("w", "window_t"))]
     return parts.select(F.monotonically_increasing_id().alias("pid"), "item", "item_id", F.size("v").cast("long").alias("n_tokens"), "lead", "own", *tokens)
 
 
@@ -98,8 +113,7 @@ def item_windows(parts: DataFrame) -> DataFrame:
     """pid, place ``q``, ``kind`` (0: of the template, 1: of the words themselves), ``width`` and hash ``h`` of
     each window of each part, and ``before``, the hash of the same kind one place before."""
     bare = F.transform("item_v", lambda t: F.regexp_replace(t, "^" + _SLOT, "")).alias("bare")
-    both = parts.select("pid", F.col("item_t").alias("t"), bare).union(parts.select("pid", "named", bare))
-    both = both.withColumn("width", F.least(F.size("t"), F.lit(WIDTH)))
+    both = parts.select("pid", F.col("window_t").alias("t"), bare).withColumn("width", F.least(F.size("t"), F.lit(WIDTH)))
     each = both.select("pid", "t", "bare", "width", F.explode(F.expr("sequence(0, size(t) - width)")).alias("q"))
     slot = f"x IN ('{NAME}', '{NUMBER}', '{UNIT}')"
     kind = lambda q: f"IF(size(filter(slice(t, {q} + 1, width), x -> NOT {slot})) >= {LEAST_LITERALS}, 0, 1)"
@@ -165,7 +179,7 @@ def leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slots as in the item) of each text and item that it leaks."""
     parts = materialize(item_parts(benchmark), "item-parts")
     windows = materialize(item_windows(parts), "item-windows")
-    parts = parts.drop("named").join(windows.select("pid").distinct(), "pid", "left_semi")
+    parts = parts.drop("window_t").join(windows.select("pid").distinct(), "pid", "left_semi")
     n_windows, n_tokens = windows.count(), parts.agg(F.sum(F.size("item_v"))).first()[0] or 0
     hits = _hits(docs, windows, n_windows <= MOST_BROADCAST)
     both = hits.join(F.broadcast(parts) if n_tokens <= MOST_BROADCAST else parts, "pid")
