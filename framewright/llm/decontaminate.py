@@ -56,24 +56,31 @@ FUNCTION_WORDS = (
 ).split()
 
 _SLOT = f"[{NAME}{NUMBER}{UNIT}]"
-_UNIT_STEP = (rf"(?i)({NUMBER}[^ ]+ )(?!(?:{'|'.join(FUNCTION_WORDS)})(?![^ ]))(\p{{L}}+(?![^ ]))", f"$1{UNIT}$2")
+#: The words of numbers by their first letters, so that most words are left at theirs.
+_NUMBER_WORD = "|".join(f"{a}(?:{'|'.join(w[1:] for w in NUMBER_WORDS if w[0] == a)})" for a in dict.fromkeys(w[0] for w in NUMBER_WORDS))
+_UNIT_STEP = (rf"({NUMBER}[^ ]+ )(?!(?:{'|'.join(FUNCTION_WORDS)})(?![^ ]))(\p{{L}}+(?![^ ]))", f"$1{UNIT}$2")
 
 
 def marked(text: Column) -> Column:
     """The text as lower-case tokens parted by single spaces, slots with their mark in front."""
-    steps = (
+    named = (
         (f"[{NAME}{NUMBER}{UNIT}{JOIN}]", ""),
         (r"\p{Lu}(?<=[\p{L}\p{Nd},;]\s\p{Lu})\p{Ll}+(?!\p{L})", NAME + "$0"),
         (rf"\s{NAME}(?<={NAME}\p{{L}}{{1,40}}\s{NAME})", JOIN),
         (r"[.,](?!\p{Nd})", " "),
         (rf"[^\p{{L}}\p{{Nd}}.,{NAME}{JOIN}]+", " "),
-        (rf"(?i)(?<![^ ]){NAME}?({'|'.join(NUMBER_WORDS)})(?![^ ])", NUMBER + "$1"),
-        (rf"(?i)(?<={NUMBER}[a-z]{{3,9}} )one(?![^ ])", NUMBER + "$0"),
-        (rf"(?i) {NUMBER}(?<={NUMBER}[a-z]{{3,9}} {NUMBER})", JOIN),
+    )
+    # plain lower-case patterns that begin with a blank or a mark, so that most places are left at their first character
+    valued = (
+        (rf" {NAME}?({_NUMBER_WORD})(?![^ ])", f" {NUMBER}$1"),
+        (rf" one(?![^ ])(?<={NUMBER}[a-z]{{3,9}} one)", f" {NUMBER}one"),
+        (rf" {NUMBER}(?<={NUMBER}[a-z]{{3,9}} {NUMBER})", JOIN),
         (r"\p{Nd}[\p{Nd}.,]*", NUMBER + "$0"),
         _UNIT_STEP,
     )
-    return F.trim(F.lower(reduce(lambda t, step: F.regexp_replace(t, *step), steps, F.coalesce(text, F.lit("")))))
+    replaced = lambda t, steps: reduce(lambda t, step: F.regexp_replace(t, *step), steps, t)
+    words = F.lower(replaced(F.coalesce(text, F.lit("")), named))
+    return F.trim(replaced(F.concat(F.lit(" "), words), valued))
 
 
 def templated(marked_text: Column) -> Column:
