@@ -69,7 +69,7 @@ def build(spark: SparkSession, record_path: str, scored_path: str, terrain_path:
     box = footprints.mission_box(scored).first()
     if box is None:
         raise ValueError(f"{scored_path} has no frame")
-    terrain = readers.read_terrain(terrain_path, (box.min_easting, box.min_northing, box.max_easting, box.max_northing), p.margin_m, p.datum_m)
+    terrain = readers.terrain_around(spark, terrain_path, (box.min_easting, box.min_northing, box.max_easting, box.max_northing), p.margin_m, p.datum_m)
     found = materialize(footprints.footprints(scored, camera, terrain, p.bin_m, p.margin_m, p.ray_grid, p.least_valid_rays), "footprints")
     cells = materialize(footprints.long_cells(found), "cells")
     frames = footprints.with_footprints(footprints.with_agl(scored, terrain), found)

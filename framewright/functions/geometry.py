@@ -7,6 +7,10 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: Heights on a side of a block with one bound.
+BLOCK = 16
+
+
 @dataclass(frozen=True)
 class Camera:
     fx: float
@@ -92,6 +96,16 @@ class Terrain:
         return (float(good.min()) + self.datum, float(good.max()) + self.datum) if good.size else (-np.inf, np.inf)
 
 
+def _refined(height, t0: np.ndarray, h0: np.ndarray, t1: np.ndarray, h1: np.ndarray) -> np.ndarray:
+    """Where between t0 (above the ground by h0) and t1 (below it by -h1) rays meet the ground, by two secants."""
+    at = t0 + (t1 - t0) * h0 / (h0 - h1)
+    mid = height(at)
+    below = mid <= 0
+    t0, h0, t1, h1 = np.where(below, t0, at), np.where(below, h0, mid), np.where(below, at, t1), np.where(below, mid, h1)
+    refined = t0 + (t1 - t0) * h0 / np.where(h0 == h1, 1, h0 - h1)
+    return np.where(np.isfinite(refined), refined, at)
+
+
 def first_hits(terrain: Terrain, origins: np.ndarray, rays: np.ndarray, step: float = 10.0, reach: float = 800.0) -> np.ndarray:
     """Where each ray first meets the ground, in steps anchored at its origin and one
     secant refinement; NaN rows for rays that start below it, leave it or never meet it.
@@ -116,18 +130,77 @@ def first_hits(terrain: Terrain, origins: np.ndarray, rays: np.ndarray, step: fl
         if crossed.any():
             k = live[crossed]
             t0, h0, t1, h1 = t_before[k], before[k], np.full(len(k), t), now[crossed]
-            at = t0 + (t1 - t0) * h0 / (h0 - h1)
-            mid = height(origins[k] + at[:, None] * rays[k])
-            below = mid <= 0
-            t0, h0, t1, h1 = np.where(below, t0, at), np.where(below, h0, mid), np.where(below, at, t1), np.where(below, mid, h1)
-            refined = t0 + (t1 - t0) * h0 / np.where(h0 == h1, 1, h0 - h1)
-            at = np.where(np.isfinite(refined), refined, at)
+            at = _refined(lambda at: height(origins[k] + at[:, None] * rays[k]), t0, h0, t1, h1)
             hits[k] = origins[k] + at[:, None] * rays[k]
         before[live], t_before[live] = now, t
         live = live[~crossed & (point[:, 2] >= low - step)]
     return hits
 
 
+@dataclass(frozen=True)
+class HeightBounds:
+    """Terrain with the lowest and highest ground of each block of ``BLOCK`` by ``BLOCK`` heights, those next to it included."""
+
+    terrain: Terrain
+    lowest: np.ndarray
+    highest: np.ndarray
+
+    @classmethod
+    def of(cls, terrain: Terrain) -> HeightBounds:
+        z = terrain.z.astype(np.float64) + terrain.datum
+        known = (terrain.z != terrain.nodata) & np.isfinite(z)
+        return cls(terrain, -cls._highest(np.where(known, -z, -np.inf)), cls._highest(np.where(known, z, -np.inf)))
+
+    @staticmethod
+    def _highest(z: np.ndarray) -> np.ndarray:
+        z = np.pad(z, [(0, -n % BLOCK + 1) for n in z.shape], constant_values=-np.inf)
+        corners = np.maximum(np.maximum(z[:-1, :-1], z[1:, :-1]), np.maximum(z[:-1, 1:], z[1:, 1:]))
+        rows, cols = (n // BLOCK for n in corners.shape)
+        return corners.reshape(rows, BLOCK, cols, BLOCK).max(axis=(1, 3)) + 1e-6
+
+    def block(self, e: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and column of the blocks of points."""
+        t = self.terrain
+        at = ((t.origin_n - n) / t.cell, (e - t.origin_e) / t.cell)
+        return tuple(np.clip(np.floor(x), 0, max(m - 2, 0)).astype(int) // BLOCK for x, m in zip(at, t.z.shape, strict=True))
+
+
+def block_hits(ground: HeightBounds, origin: np.ndarray, rays: np.ndarray, mine, step: float = 10.0, reach: float = 800.0) -> tuple[np.ndarray, int]:
+    """The first hit of each ray from one origin among the steps whose begin is ``mine``, as rows of ray, way, easting,
+    northing and height, and how many heights were looked up.  Steps are those of :func:`first_hits`; only
+    steps that begin above the lowest ground of their block and end below the highest of theirs are looked at.  One row of ray -1 if the origin is mine and not above the ground."""
+    height = lambda e, n, z: z - ground.terrain.sample(e, n)
+    if mine(*origin[:2]) and height(*origin) <= 0:
+        return np.array([[-1.0, 0, 0, 0, 0]]), 1
+    down, t = np.flatnonzero(rays[:, 2] < 0), np.arange(0, reach + step, step)
+    low, high = ground.lowest.min(initial=np.inf), ground.highest.max(initial=-np.inf)
+    if not len(down) or low > high:
+        return np.zeros((0, 5)), 0
+    # the steps of each ray from the one that may end below all highest ground to the one that begins below all lowest
+    fall = -rays[down, 2] * step
+    begin, end = (np.clip((origin[2] - h) / fall, -1, len(t)).astype(int) for h in (high, low))
+    begin, end = np.maximum(begin - 1, 0), np.minimum(end + 1, len(t) - 2)
+    count = np.maximum(end - begin + 1, 0)
+    ray = np.repeat(np.arange(len(down)), count)
+    k = np.arange(len(ray)) - np.repeat(np.cumsum(count) - count, count) + begin[ray]
+    at = lambda ray, k: [origin[i] + rays[down[ray], i] * t[k] for i in range(3)]
+    own = mine(*at(ray, k)[:2])
+    ray, k = ray[own], k[own]
+    start, stop = at(ray, k), at(ray, k + 1)
+    may = (start[2] > ground.lowest[ground.block(*start[:2])]) & (stop[2] <= ground.highest[ground.block(*stop[:2])])
+    ray, k = ray[may], k[may]
+    now = height(*at(ray, k + 1))
+    sampled, below = len(ray), now <= 0
+    ray, k, now = ray[below], k[below], now[below]
+    before = height(*at(ray, k))
+    sampled, crossed = sampled + len(ray), before > 0
+    ray, first = np.unique(ray[crossed], return_index=True)
+    k, now, before = k[crossed][first], now[crossed][first], before[crossed][first]
+    own = rays[down[ray]]
+    way = _refined(lambda x: height(*(origin + x[:, None] * own).T), t[k], before, t[k + 1], now)
+    return np.column_stack([down[ray], way, origin + way[:, None] * own]), sampled + len(ray)
+
+
 def hull_wkt(points: np.ndarray) -> str:
     """Convex hull to two decimals as WKT, collinear points left out."""
     p = np.unique(np.round(points[:, :2], 2), axis=0)

@@ -1,7 +1,8 @@
 """Ground footprints of frames by ray casting, as Arrow batches of frames.
 
 The camera and the terrain window travel with the function; clip the terrain to the
-mission first (:func:`terrain_window`), so that its size is bounded by the area flown.
+mission first (:func:`terrain_window`), so that its size is bounded by the area flown.  A terrain that is too
+large for that comes as a table of tiles (:class:`tiled_terrain.Raster`) and is joined.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain, first_hits, hull_wkt, rotation
-from framewright.operators import coverage
+from framewright.operators import coverage, tiled_terrain
+from framewright.operators.tiled_terrain import Raster
 
 #: Bytes of terrain that travel with a function.
 MOST_TERRAIN = 256 << 20
@@ -28,8 +30,10 @@ def terrain_window(terrain: Terrain, box: tuple[float, float, float, float], mar
     return Terrain(terrain.z[r0:r1, c0:c1], terrain.origin_e + c0 * terrain.cell, terrain.origin_n - r0 * terrain.cell, terrain.cell, terrain.nodata, terrain.datum)
 
 
-def sample_terrain(points: DataFrame, terrain: Terrain) -> DataFrame:
+def sample_terrain(points: DataFrame, terrain: Terrain | Raster) -> DataFrame:
     """The rows with ``ground_z`` (null outside the terrain)."""
+    if isinstance(terrain, Raster):
+        return tiled_terrain.sample(points, terrain)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -44,12 +48,12 @@ def mission_box(frames: DataFrame) -> DataFrame:
     return frames.groupBy("flight").agg(*(f(c).alias(f"{n}_{c}") for c in ("easting", "northing") for n, f in (("min", F.min), ("max", F.max))))
 
 
-def with_agl(frames: DataFrame, terrain: Terrain) -> DataFrame:
+def with_agl(frames: DataFrame, terrain: Terrain | Raster) -> DataFrame:
     """``agl_m``: the altitude above the terrain under the frame, null outside it."""
     return sample_terrain(frames.drop("agl_m", "ground_z"), terrain).withColumn("agl_m", F.col("altamsl") - F.col("ground_z")).drop("ground_z")
 
 
-def cell_ground(cells: DataFrame, terrain: Terrain) -> DataFrame:
+def cell_ground(cells: DataFrame, terrain: Terrain | Raster) -> DataFrame:
     """flight, cx, cy and ``ground_z`` under the centres ``center_e``, ``center_n`` of cells, null outside the terrain."""
     at = cells.select("flight", "cx", "cy", F.col("center_e").alias("easting"), F.col("center_n").alias("northing"))
     return sample_terrain(at, terrain).select("flight", "cx", "cy", "ground_z")
@@ -68,12 +72,14 @@ def with_footprints(frames: DataFrame, footprints_: DataFrame) -> DataFrame:
     return joined.withColumn("footprint_valid", F.coalesce("footprint_valid", F.lit(False)))
 
 
-def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: float, margin_m: float = 500.0, grid: tuple[int, int] = (48, 27), least_valid: float = 0.25) -> DataFrame:
+def footprints(frames: DataFrame, camera: Camera, terrain: Terrain | Raster, cell_m: float, margin_m: float = 500.0, grid: tuple[int, int] = (48, 27), least_valid: float = 0.25) -> DataFrame:
     """flight, frame, valid, valid_frac, area_m2, centroid, hull, reject_detail and ``cells``, counted from
     the origin of the flight's ground grid (:func:`coverage.ground_grid`)."""
-    if terrain.z.nbytes > MOST_TERRAIN:
+    tiled = isinstance(terrain, Raster)
+    if not tiled and terrain.z.nbytes > MOST_TERRAIN:
         raise ValueError(f"clip the terrain to the mission: {terrain.z.nbytes} bytes go to every task, {MOST_TERRAIN} may")
     rays = camera.rays(camera.sample_grid(*grid))
+    window = None if tiled else terrain  # a table can't travel with a function
     frames = frames.join(coverage.ground_grid(frames, cell_m, margin_m), "flight")
 
     def one(f, hits: np.ndarray) -> tuple:
@@ -85,9 +91,11 @@ def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: floa
         return f.flight, f.frame, detail == "ok", share, len(cells) * cell_m**2, center[0], center[1], hull_wkt(hits), detail, [{"cx": x, "cy": y} for x, y in cells]
 
     def several(frames_: list) -> list[tuple]:
+        if tiled:
+            return [one(f, tiled_terrain.nearest_hits(f.hits, len(rays))) for f in frames_]
         world = np.concatenate([rays @ rotation(f.roll_rad, f.pitch_rad, f.yaw_rad).T for f in frames_])
         origins = np.repeat(np.array([[f.easting, f.northing, f.altamsl] for f in frames_], float), len(rays), axis=0)
-        return list(map(one, frames_, np.split(first_hits(terrain, origins, world), len(frames_))))
+        return list(map(one, frames_, np.split(first_hits(window, origins, world), len(frames_))))
 
     names = ["flight", "frame", "valid", "valid_frac", "area_m2", "centroid_e", "centroid_n", "hull_wkt", "reject_detail", "cells"]
 
@@ -97,6 +105,10 @@ def footprints(frames: DataFrame, camera: Camera, terrain: Terrain, cell_m: floa
             yield pd.DataFrame([r for k in range(0, len(rows), 32) for r in several(rows[k : k + 32])], columns=names)
 
     kinds = ", ".join(f"{c} {frames.schema[c].dataType.simpleString()}" for c in ("flight", "frame")) + ", valid boolean, valid_frac double, area_m2 double, centroid_e double, centroid_n double, hull_wkt string, reject_detail string, cells array<struct<cx:bigint,cy:bigint>>"
+    read = frames.select("flight", "frame", "easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad", "origin_e", "origin_n")
+    if tiled:
+        hits = tiled_terrain.ray_hits(read, terrain, rays).groupBy("flight", "frame").agg(F.collect_list("hits").alias("hits"))
+        return read.select("flight", "frame", "origin_e", "origin_n").join(hits, ["flight", "frame"], "left").mapInPandas(run, kinds)
     # frames are small rows with much work each: spread them whatever the partitions before
     n = 4 * frames.sparkSession.sparkContext.defaultParallelism
-    return frames.select("flight", "frame", "easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad", "origin_e", "origin_n").repartition(n, "flight", "frame").mapInPandas(run, kinds)
+    return read.repartition(n, "flight", "frame").mapInPandas(run, kinds)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from framewright.plans import adapter
-from framewright.plans.queries import AUDIT_BIN_M, BIN_M, CELL_M2, DENSITY_M, LEAST_INLIERS, MARGIN_M, P, PAIR_BUDGET, REACH_M, TOP_HOLES, WARN_GAP_M
+from framewright.plans.queries import AUDIT_BIN_M, BIN_M, CELL_M2, DENSITY_M, HEIGHTS, LEAST_INLIERS, MARGIN_M, P, PAIR_BUDGET, RASTER_CELL, RASTER_COLS, RASTER_E, RASTER_N, REACH_M, TOP_HOLES, WARN_GAP_M
 
 _E, _N = adapter.CELL_E, adapter.CELL_N
 _SHARE = "({c} - min({c}) OVER f) / (max({c}) OVER f - min({c}) OVER f + 1e-9)"
@@ -75,6 +75,9 @@ CHAIN["predicted"] = f"SELECT a, b FROM solid{LEAST_INLIERS} WHERE inliers >= 50
 CHAIN["both58"] = "SELECT a, b FROM solid58 UNION SELECT b, a FROM solid58"
 CHAIN["reach58"] = "SELECT a, b FROM both58 UNION SELECT r.a, e.b FROM reach58 r JOIN both58 e ON r.b = e.a"
 CHAIN["reach55"] = "SELECT a, b FROM solid55 UNION SELECT b, a FROM solid55 UNION SELECT r.a, CASE WHEN e.a = r.b THEN e.b ELSE e.a END FROM reach55 r JOIN solid55 e ON r.b = e.a OR r.b = e.b"
+CHAIN["heights"] = HEIGHTS.format(customer="customer")
+CHAIN["spots"] = f"SELECT flight, frame, easting, northing, (easting - ({RASTER_E})) / {RASTER_CELL} AS c, ({RASTER_N} - northing) / {RASTER_CELL} AS r, (SELECT max(row) FROM heights) AS last FROM frames"
+CHAIN["corners"] = f"SELECT flight, frame, c, r, least(floor(c), {RASTER_COLS} - 2)::BIGINT AS c0, least(floor(r), last - 1)::BIGINT AS r0 FROM spots WHERE c BETWEEN 0 AND {RASTER_COLS} - 1 AND r BETWEEN 0 AND last"
 CHAIN["touch"] = "SELECT flight, cx, cy FROM status WHERE status < 2"
 CHAIN["dense"] = "SELECT flight, frame, n AS population, members FROM (SELECT a.flight, a.frame, count(*) AS n, array_to_string(list(b.frame ORDER BY b.frame)[:10], ',') AS members FROM chosen a JOIN chosen b ON a.flight = b.flight AND (a.easting - b.easting) * (a.easting - b.easting) + (a.northing - b.northing) * (a.northing - b.northing) <= " + str(DENSITY_M**2) + " GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY flight ORDER BY n DESC, frame) = 1"
 CHAIN["flood"] = "SELECT flight, cx, cy, cx AS hx, cy AS hy FROM touch UNION SELECT t.flight, t.cx, t.cy, f.hx, f.hy FROM flood f JOIN touch t ON t.flight = f.flight AND abs(t.cx - f.cx) + abs(t.cy - f.cy) = 1"
@@ -82,6 +85,9 @@ CHAIN["holes"] = f"""SELECT *, round(size * {CELL_M2}::DOUBLE, 1) AS area_m2, ro
     FROM (SELECT flight, cx, cy, min([hx, hy]) AS m, m[1] AS hx, m[2] AS hy FROM flood GROUP BY flight, cx, cy) h GROUP BY ALL)"""
 
 FINAL = {
+    "tiled_terrain_sample": """SELECT flight, frame, easting, northing, round(z, 6) AS ground_z FROM spots LEFT JOIN (
+        SELECT flight, frame, (a.z::DOUBLE * (1 - (c - c0)) + b.z::DOUBLE * (c - c0)) * (1 - (r - r0)) + (e.z::DOUBLE * (1 - (c - c0)) + f.z::DOUBLE * (c - c0)) * (r - r0) AS z FROM corners
+        JOIN heights a ON a.row = r0 AND a.col = c0 JOIN heights b ON b.row = r0 AND b.col = c0 + 1 JOIN heights e ON e.row = r0 + 1 AND e.col = c0 JOIN heights f ON f.row = r0 + 1 AND f.col = c0 + 1) USING (flight, frame)""",
     "frames_adapter": "SELECT * FROM frames",
     "pose_dedup_first": "SELECT flight, frame, event_id, value FROM (SELECT user_id AS flight, event_id % 50 AS frame, event_id, value FROM events) QUALIFY row_number() OVER (PARTITION BY flight, frame ORDER BY event_id) = 1",
     "quality_score": "SELECT flight, frame, round(quality_score, 6) AS quality_score FROM scored",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators import audit, coverage, footprints, matching, outline, parallax, reports, run_audit, selection
+from framewright.operators import audit, coverage, footprints, matching, outline, parallax, reports, run_audit, selection, tiled_terrain
 from framewright.plans import adapter
 from framewright.sources.readers import first_of_key
 from framewright.sources.readers import missing_frames as missing_pose_frames
@@ -526,6 +526,28 @@ def footprint_views(s, d):
     return coverage.view_counts(labelled.where("selected"), footprints.long_cells(found))
 
 
+#: Customers as heights of a raster of so many columns, from these corners; some are unknown.
+RASTER_COLS, RASTER_E, RASTER_N, RASTER_CELL = 100, -50.0, 180.0, 20.0
+HEIGHTS = f"SELECT CAST(floor(c_custkey / {RASTER_COLS}) AS BIGINT) AS row, c_custkey % {RASTER_COLS} AS col, CASE WHEN c_custkey % 211 <> 5 THEN CAST(c_acctbal / 500 AS FLOAT) END AS z FROM {{customer}}"
+
+
+def _raster(s: SparkSession, d: str) -> tiled_terrain.Raster:
+    heights = s.sql(HEIGHTS, customer=table(s, d, "customer"))
+    rows = heights.agg(F.coalesce(F.max("row") + 1, F.lit(0))).first()[0]
+    return tiled_terrain.Raster(materialize(tiled_terrain.tiles_of(heights, 32), "tiles"), rows, RASTER_COLS, RASTER_E, RASTER_N, RASTER_CELL, 32, 3)
+
+
+@query
+def tiled_terrain_sample(s, d):
+    points = adapter.frames(s, d).select("flight", "frame", "easting", "northing")
+    return footprints.sample_terrain(points, _raster(s, d)).withColumn("ground_z", F.round("ground_z", 6))
+
+
+@query
+def tiled_footprints(s, d):
+    return footprints.footprints(adapter.frames(s, d), CAMERA, _raster(s, d), BIN_M, MARGIN_M)
+
+
 def _run_images(s: SparkSession, d: str) -> DataFrame:
     """Orders as images of runs."""
     return table(s, d, "orders").select((F.col("o_custkey") % 20).alias("run"), F.col("o_orderkey").alias("image"))

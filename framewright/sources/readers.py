@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators.footprints import terrain_window
+from framewright.operators.footprints import MOST_TERRAIN, terrain_window
 from framewright.operators.selection import init_candidates
+from framewright.operators.tiled_terrain import Raster
 
 POSE_SCHEMA = "FrameNumber long, TimeUS long, easting double, northing double, altamsl double, utm_zone string, roll_rad double, pitch_rad double, yaw_rad double"
 
@@ -140,6 +143,40 @@ def read_terrain(path: str, box: tuple[float, float, float, float], margin: floa
     return replace(part, z=np.asarray(part.z, "float32"))
 
 
+def read_tiles(spark: SparkSession, path: str, box: tuple[float, float, float, float], margin: float = 500.0, datum: float = 0.0, size: int = 256, step: float = 10.0) -> Raster:
+    """The raster of :func:`read_terrain` as a table of the tiles around the box: each task reads the rows of its own
+    tiles, so ``path`` must be reachable from all.  Halos are wide enough for rays in steps of ``step`` m."""
+    about = json.loads(Path(f"{path}.json").read_text())
+    (rows, cols), cell, nodata = np.load(f"{path}.npy", mmap_mode="r").shape, about["cell"], about.get("nodata", -9999.0)
+    halo = int(np.ceil(step / cell)) + 1
+    width = size + 2 * halo
+    spans = [(int(max(0, low // (size * cell))), int(min((n - 1) // size, high // (size * cell)))) for low, high, n in ((about["origin_n"] - box[3] - margin, about["origin_n"] - box[1] + margin, rows), (box[0] - margin - about["origin_e"], box[2] + margin - about["origin_e"], cols))]
+    (r0, r1), (c0, c1) = spans
+    across = max(0, c1 - c0 + 1)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.load(f"{path}.npy", mmap_mode="r")
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                tr, tc = r0 + k // across, c0 + k % across
+                top, left = tr * size - halo, tc * size - halo
+                part = np.asarray(whole[max(0, top) : top + width, max(0, left) : left + width], "float32")
+                z = np.full((width, width), np.nan, "float32")
+                z[max(0, -top) :, max(0, -left) :][: part.shape[0], : part.shape[1]] = np.where(part == nodata, np.nan, part)
+                yield pa.RecordBatch.from_arrays([pa.array([tr]), pa.array([tc]), pa.array([z.ravel()], pa.list_(pa.float32()))], ["tr", "tc", "z"])
+
+    tiles = spark.range(max(0, r1 - r0 + 1) * across).mapInArrow(read, "tr long, tc long, z array<float>")
+    return Raster(tiles, rows, cols, about["origin_e"], about["origin_n"], cell, size, halo, datum)
+
+
+def terrain_around(spark: SparkSession, path: str, box: tuple[float, float, float, float], margin: float = 500.0, datum: float = 0.0) -> Terrain | Raster:
+    """The raster around the box: a window if it may travel with functions, else tiles."""
+    cell = json.loads(Path(f"{path}.json").read_text())["cell"]
+    if 4 * (box[2] - box[0] + 2 * margin + cell) * (box[3] - box[1] + 2 * margin + cell) / cell**2 > MOST_TERRAIN:
+        return read_tiles(spark, path, box, margin, datum)
+    return read_terrain(path, box, margin, datum)
+
+
 def selected_images(spark: SparkSession, audit_path: str, manifest_path: str) -> DataFrame:
     """``name`` of selected frames by the audit table, or by the manifest if that selects none or is absent."""
     if Path(audit_path).exists() and not (rows := read_selected(spark, audit_path).select("name")).isEmpty():
