@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from framewright.functions.geometry import HeightBounds, Terrain, block_hits, rotation
 
 #: Frames that meet a tile in one group.
-GROUP_FRAMES = 2000
+GROUP_FRAMES = 500
 
 
 @dataclass(frozen=True)
@@ -117,6 +117,9 @@ def ray_hits(frames: DataFrame, raster: Raster, rays: np.ndarray, step: float =
                         out[c].append(v)
         return pa.table({"flight": pa.array(out["flight"], left.schema.field("flight").type), "frame": pa.array(out["frame"], left.schema.field("frame").type), "hits": pa.array(out["hits"], pa.binary()), "sampled": pa.array(out["sampled"], pa.int64())})
 
+    # small rows with much work each: as many tasks whatever their bytes
+    n_tasks = 4 * frames.sparkSession.sparkContext.defaultParallelism
+    pieces, tiles = pieces.repartition(n_tasks, *key), tiles.repartition(n_tasks, *key)
     return pieces.groupBy(*key).cogroup(tiles.groupBy(*key)).applyInArrow(march, f"flight {kinds['flight']}, frame {kinds['frame']}, hits binary, sampled long")
 
 
