@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import words as W
 from framewright.llm.ragged import offsets
-from framewright.llm.token_binary import _CUT, cut, encode, tokenizer_file, word_memory
+from framewright.llm.token_binary import _CUT, encode, tokenizer_file
 from framewright.storage import table
 
 WINDOW = 1024
@@ -106,7 +106,7 @@ def encode_long(text: str, path: str, end_id: int) -> np.ndarray:
     while at < len(text):
         m = _CUT.search(text, min(at + LONG_TEXT, len(text)))
         stop = m.start() if m else len(text)
-        parts.append(word_memory(path).lookup(cut(text[at:stop]))[0])
+        parts.append(encode(pa.array([text[at:stop]], pa.large_string()), path, end_id)[0][:-1])
         at = stop
     return np.concatenate([*parts, [end_id]]).astype("<u4")
 
@@ -221,9 +221,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = WINDOW,
         packer = Packer(TaskContext.get().partitionId() << 33, capacity, pad_id)
         for batch in batches:
             for part in W.blocks(batch, "text"):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                if len(texts) == 1 and len(texts[0]) > LONG_TEXT:
-                    ids = encode_long(texts[0], tokenizer_path, end_id)
+                texts = part.column("text")
+                if len(texts) == 1 and len(text := texts[0].as_py() or "") > LONG_TEXT:
+                    ids = encode_long(text, tokenizer_path, end_id)
                     sizes = np.array([len(ids)])
                 else:
                     ids, sizes = encode(texts, tokenizer_path, end_id)

@@ -13,8 +13,9 @@ Reading: the manifest has one row for each file; running sums over it give the i
 file, and every file is read by itself, block by block.
 
 Words are encoded once per task and remembered (:class:`WordMemory`): the
-tokenizer never joins anything across a space that follows another character than white space,
-so texts are cut there.
+tokenizer never joins anything across white space that follows another character than white space,
+nor across a full stop or comma that follows a letter, so texts are cut there, on the bytes of a whole block.
+The different words of a block are found by Arrow, so only these are looked up.
 
 Null and empty texts hold the end id only.  Rows without a doc_id come first.  Rows of
 one doc_id are ordered by where they were read, then by text, and may lie in different files.
@@ -34,6 +35,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 import zstandard
 from pyspark import TaskContext
@@ -48,26 +50,54 @@ BLOCK = 1 << 16
 MAGIC = b"FWTOKPL1"
 END_ID = 2
 
-_SPACED = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
-_WORDS = re.compile(" ?[^ ]+| ")
-
+#: Bytes of text, and pieces of it, that are encoded together.
+ENCODED_BYTES, ENCODED_PIECES = 1 << 22, 1 << 20
 
-def cut(text: str) -> list[str]:
-    """The text in pieces that are encoded apart: cut before a space after a visible character."""
-    return _CUT.split(text) if _SPACED.search(text) or text[:1] == " " else _WORDS.findall(text)
+_CUT = re.compile(r"(?<=\S)(?= )")
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
+# Last and last but one bytes of all white space beyond ASCII, and of some other characters.
+_WIDE_LAST, _WIDE_BEFORE = np.zeros(256, bool), np.zeros(256, bool)
+_WIDE_LAST[[*range(0x80, 0x8B), 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]] = True
+_WIDE_BEFORE[[0xC2, 0x9A, 0x80, 0x81]] = True
+
+
+def cuts(data: np.ndarray, pattern: bool = True) -> np.ndarray:
+    """Places in UTF-8 bytes before which pieces that are encoded apart may begin: at a space after a visible
+    character; under ``PATTERN`` also at other white space, and at a full stop or comma after a letter."""
+    before, here = data[:-1], data[1:]
+    hit = here == 32
+    if pattern:
+        hit |= here - np.uint8(9) < 5
+    hit &= before > 32
+    if pattern:
+        hit |= ((here == 44) | (here == 46)) & _IS_LETTER[before]
+    at = np.flatnonzero(hit) + 1
+    wide = np.flatnonzero(data[at - 1] >= 128)
+    ends = at[wide]
+    return np.delete(at, wide[_WIDE_LAST[data[ends - 1]] & _WIDE_BEFORE[data[ends - 2]]])
 
 
 # The pre-tokenisation pattern of byte-level BPE, and the bytes that its alphabet shows as themselves.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SHOWN = (*range(33, 127), *range(161, 173), *range(174, 256))
-_PLAIN = re.compile("[\0-\u024f]*")
+# The same on words with white space at their beginning only, one character; without looking ahead it is matched faster.
+PLAIN_PATTERN = PATTERN.replace(r"|\s+(?!\S)", "")
 
 
-def byte_ranks(path: str) -> dict[bytes, int] | None:
-    """Merge ranks of a tokenizer file whose ids are in the order of its merges, else None."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
+def is_plain(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which words (bytes at[k] to at[k+1], none empty) are one ASCII white space and then visible characters below U+0240, without
+    the beginning of a special token.  Such words can be encoded one after the other as one text."""
+    odd = (data > 0xC8) | (data <= 32)
+    first = data[at[:-1]]
+    odd[at[:-1]] = (first != 32) & (first - np.uint8(9) >= 5)
+    this, following = data[:-1], data[1:]
+    odd[:-1] |= (this == 60) & (following == 124) | (this == 0xC2) & ((following == 0x85) | (following == 0xA0))
+    return ~np.logical_or.reduceat(odd, at[:-1]) & (np.diff(at) > 1)
+
+
+def byte_ranks(model: dict) -> dict[bytes, int] | None:
+    """Merge ranks of a tokenizer's model whose ids are in the order of its merges, else None."""
     hidden = [b for b in range(256) if b not in SHOWN]
     byte = {chr(b): b for b in SHOWN} | {chr(256 + i): b for i, b in enumerate(hidden)}
     merged = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -77,45 +107,63 @@ def byte_ranks(path: str) -> dict[bytes, int] | None:
 
 
 @lru_cache(maxsize=2)
-def word_memory(path: str) -> WordMemory:
-    """Ids of words.  New words in Latin letters without a special token are encoded together
-    by a faster library from the same merges; all others by the tokenizer itself."""
+def word_memory(path: str) -> tuple[WordMemory, bool]:
+    """Ids of words in UTF-8, and whether the tokenizer parts texts by ``PATTERN``.  New words in Latin letters
+    without a special token are then encoded together by a faster library from the same merges; all others by the tokenizer itself."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, ranks = Tokenizer.from_file(path), byte_ranks(path)
-    fast = tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    parted = file["pre_tokenizer"] or {}
+    pattern = parted.get("type") == "ByteLevel" and parted.get("use_regex", True) and not parted.get("add_prefix_space", True) and not file.get("normalizer")
+    pattern = pattern and all(re.fullmatch(r"<\|[^\s.,]+", t["content"]) for t in file["added_tokens"])
+    tokenizer, ranks = Tokenizer.from_file(path), byte_ranks(file["model"]) if pattern else None
+    fast = tiktoken.Encoding("merges", pat_str=PLAIN_PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
     # every byte of a text lies in one token, so the tokens of words encoded together part at the words' bytes
     n_bytes = np.zeros(tokenizer.get_vocab_size(), np.int64)
     for token, i in tokenizer.get_vocab().items():
         n_bytes[i] = len(token)
 
-    def joins(word: str) -> bool:
-        return word[0] == " " and not word[-1].isspace() and "<|" not in word and _PLAIN.fullmatch(word) is not None
-
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        together = np.fromiter((fast is not None and joins(w) for w in words), bool, len(words))
-        data = [w.encode() for w in compress(words, together)]
-        ids = np.array(fast.encode_ordinary(b"".join(data).decode()) if data else [], np.uint32)
-        edge = offsets(np.fromiter(map(len, data), np.int64, len(data)))
+    def encode(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        together = is_plain(data, offsets(length)) if fast else np.zeros(len(words), bool)
+        ids = np.array(fast.encode_ordinary(data[np.repeat(together, length)].tobytes().decode()) if together.any() else [], np.uint32)
         sizes = np.zeros(len(words), np.int64)
-        sizes[together] = np.diff(np.searchsorted(offsets(n_bytes[ids]), edge))
-        alone = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(list(compress(words, ~together)), add_special_tokens=False)]
+        sizes[together] = np.diff(np.searchsorted(offsets(n_bytes[ids]), offsets(length[together])))
+        alone = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast([w.decode() for w in compress(words, ~together)], add_special_tokens=False)]
         sizes[~together] = list(map(len, alone))
         out, at = np.zeros(sizes.sum(), np.uint32), np.repeat(together, sizes)
         out[at] = ids
         out[~at] = np.concatenate([np.zeros(0, np.uint32), *alone])
         return out, sizes
 
-    return WordMemory(encode)
-
-
-def encode(texts: list[str], path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts, each with the end id, and the number of each text's ids."""
-    pieces = [cut(t) for t in texts]
-    ids, at = word_memory(path).lookup([p for x in pieces for p in x])
-    ends = at[offsets(np.fromiter(map(len, pieces), np.int64, len(pieces)))[1:]]
-    return np.insert(ids, ends, end_id).astype("<u4"), np.diff(ends, prepend=0) + 1
+    return WordMemory(encode), pattern
+
+
+def encode(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, each with the end id, and the number of each text's ids; null texts are empty."""
+    memory, pattern = word_memory(path)
+    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    _, at, data = texts.buffers()
+    begins = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[begins[0] : begins[-1]]
+    begins = begins - begins[0]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[cuts(data, pattern)] = True
+    edge[begins] = True
+    edge = np.flatnonzero(edge)
+    parts, ends, n = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], 0
+    for k in range(0, len(edge) - 1, ENCODED_PIECES):
+        own = edge[k : k + ENCODED_PIECES + 1]
+        words = pa.Array.from_buffers(pa.large_binary(), len(own) - 1, [None, pa.py_buffer(own), pa.py_buffer(data)]).dictionary_encode()
+        ids, at = memory.lookup_distinct(words.dictionary.to_pylist(), words.indices.to_numpy())
+        parts.append(ids)
+        ends.append(n + at[1:])
+        n += len(ids)
+    ends = np.concatenate(ends)[np.searchsorted(edge, begins[1:])]
+    return np.insert(np.concatenate(parts), ends, end_id).astype("<u4"), np.diff(ends, prepend=0) + 1
 
 
 def split_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -227,11 +275,11 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, n_docs, path = None, 0, ""
         for batch in batches:
-            for part in W.blocks(batch, "text"):
+            for part in W.blocks(batch, "text", ENCODED_BYTES):
                 if writer is None:
                     path = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.tok"
                     writer = PlaneWriter(open_out(path), doc_type, bits)
-                writer.add(part.column("doc_id"), *encode([t or "" for t in part.column("text").to_pylist()], tokenizer_path, end_id))
+                writer.add(part.column("doc_id"), *encode(part.column("text"), tokenizer_path, end_id))
                 n_docs += part.num_rows
         if writer is not None:
             writer.close()
