@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 
 import numpy as np
@@ -69,7 +70,18 @@ def test_each_word_of_a_block_is_looked_up_once(monkeypatch):
     assert sizes.sum() > 10_000 and sum(asked) <= 12
 
 
-def test_a_tokenizer_of_another_pattern_is_cut_at_spaces_only():
+def test_a_tokenizer_of_another_pattern_is_cut_at_spaces_only(tmp_path):
     data = np.frombuffer("one two,\tthree.\nfour".encode(), np.uint8)
     assert T.cuts(data, pattern=False).tolist() == [3]
     assert T.cuts(data).tolist() == [3, 7, 8, 14, 15]
+    with open(PATH, encoding="utf-8") as f:
+        file = json.load(f)
+    digits = {"type": "Split", "pattern": {"Regex": r"[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"}, "behavior": "Isolated", "invert": False}
+    file["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [digits, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file), encoding="utf-8")
+    from tokenizers import Tokenizer
+
+    text = "one two.\nThree, 1234567 (!)\n\n four's\tfive"
+    ids, _ = T.encode(pa.array([text]), str(path), 2)
+    assert ids.tolist() == [*Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids, 2]
