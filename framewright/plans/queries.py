@@ -345,7 +345,9 @@ def audit_table(s, d):
 def selection_decisions(s, d):
     audited = audit.bin_rank(coverage.assign_bins(_labelled(s, d), AUDIT_BIN_M)).withColumn("coverage_gain_cells", F.col("event_id") % 3)
     found = reports.decisions(audited, 3)
-    return found.withColumns({"selection_reason_counts": _text("selection_reason_counts"), "marginal_frames": F.concat_ws(",", F.col("marginal_frames").cast("array<string>"))})
+    # null for a flight without marginal frames, which concat_ws alone would turn into an empty text
+    marginal = F.when(F.col("marginal_frames").isNotNull(), F.concat_ws(",", F.col("marginal_frames").cast("array<string>")))
+    return found.withColumns({"selection_reason_counts": _text("selection_reason_counts"), "marginal_frames": marginal})
 
 
 @query
