@@ -9,6 +9,10 @@ import numpy as np
 
 #: Heights on a side of a block with one bound.
 BLOCK = 16
+#: Metres between the lookups along a ray, and along which it may meet the ground.
+STEP_M, REACH_M = 10.0, 800.0
+#: Heights that are kept in 64 bits for lookups; more stay as they are.
+MOST_WIDENED = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -137,6 +141,150 @@ def first_hits(terrain: Terrain, origins: np.ndarray, rays: np.ndarray, step: fl
     return hits
 
 
+class Ground:
+    """Terrain for many lookups at once: the heights of :meth:`Terrain.sample`, unknown ones marked beforehand, and the
+    highest ground of each block of ``BLOCK`` by ``BLOCK`` heights, those next to it included."""
+
+    def __init__(self, terrain: Terrain) -> None:
+        self.terrain, z = terrain, terrain.z
+        self.rows, self.cols = z.shape
+        self.low, self.high = terrain.bounds()
+        unknown = ~np.isfinite(z) | (z == terrain.nodata)
+        if unknown.any():
+            z = np.where(unknown, np.nan, z).astype(z.dtype if z.dtype.kind == "f" else np.float64)
+        flat = np.ascontiguousarray(z if z.size > MOST_WIDENED else z.astype(np.float64)).ravel()
+        self.corners = [flat[k:] for k in (0, 1, self.cols, self.cols + 1)]
+        self.blocks = np.full([-(-n // BLOCK) for n in z.shape], -np.inf)
+        for k in range(len(self.blocks)):  # a row of blocks at a time, whatever the size of the terrain
+            strip = np.fmax.reduce(z[k * BLOCK : (k + 1) * BLOCK + 1].astype(np.float64), axis=0, initial=-np.inf)
+            inner = np.fmax.reduceat(strip, np.arange(0, self.cols, BLOCK))
+            inner[:-1] = np.fmax(inner[:-1], strip[BLOCK::BLOCK][: len(inner) - 1])
+            self.blocks[k] = inner + terrain.datum + 1e-6
+
+    def within(self, e: tuple[float, float], n: tuple[float, float]) -> bool:
+        """Whether all of a box, of which these are the least and the most, has four heights around it."""
+        t = self.terrain
+        return (e[0] - t.origin_e) / t.cell >= 0 and (e[1] - t.origin_e) / t.cell < self.cols - 1 and (t.origin_n - n[1]) / t.cell >= 0 and (t.origin_n - n[0]) / t.cell < self.rows - 1
+
+    def highest(self, e0: float, e1: float, n0: float, n1: float) -> float:
+        """No ground in the box is higher."""
+        t = self.terrain
+        c0, c1, r0, r1 = (max(int(x // (t.cell * BLOCK)), 0) for x in (e0 - t.origin_e - t.cell, e1 - t.origin_e + t.cell + t.cell * BLOCK, t.origin_n - n1 - t.cell, t.origin_n - n0 + t.cell + t.cell * BLOCK))
+        return self.blocks[r0:r1, c0:c1].max(initial=-np.inf)
+
+    def sample(self, e: np.ndarray, n: np.ndarray, within: bool = False) -> np.ndarray:
+        """Heights, NaN where unknown; ``within`` if all points are known to lie in a box of that name."""
+        t = self.terrain
+        if min(self.rows, self.cols) < 2:
+            return t.sample(e, n) if t.z.size else np.full(np.shape(e), np.nan)
+        c, r = (e - t.origin_e) / t.cell, (t.origin_n - n) / t.cell
+        if within:
+            c0, r0 = np.floor(c), np.floor(r)
+        else:
+            inside = (c >= 0) & (r >= 0) & (c <= self.cols - 1) & (r <= self.rows - 1)
+            c, r = np.where(inside, c, 0), np.where(inside, r, 0)
+            c0, r0 = (np.minimum(np.floor(x), m - 2) for x, m in ((c, self.cols), (r, self.rows)))
+        c -= c0
+        r -= r0
+        r0 *= self.cols
+        r0 += c0
+        at = r0.astype(np.intp)
+        z = [x.take(at, mode="clip").astype(np.float64, copy=False) for x in self.corners]
+        for k, side in ((0, 1 - c), (1, c), (2, 1 - c), (3, c)):
+            z[k] *= side
+        z[0] += z[1]
+        z[2] += z[3]
+        z[0] *= 1 - r
+        z[2] *= r
+        z[0] += z[2]
+        if t.datum:
+            z[0] += t.datum
+        return z[0] if within else np.where(inside, z[0], np.nan)
+
+
+def rotations(roll: np.ndarray, pitch: np.ndarray, yaw: np.ndarray) -> np.ndarray:
+    """:func:`rotation` of many frames: east, north and up of right, down and forward by frame."""
+    nadir = np.pi / 2 + pitch
+    east, north, up = np.sin(yaw) * np.sin(nadir), np.cos(yaw) * np.sin(nadir), -np.cos(nadir)
+    upright = np.hypot(east, north) < 1e-8
+    e, n = np.where(upright, np.cos(yaw), north), np.where(upright, -np.sin(yaw), -east)
+    e, n = e / np.sqrt(e * e + n * n), n / np.sqrt(e * e + n * n)
+    c, s = np.cos(roll), np.sin(roll)
+    right, down, forward = (e, n, np.zeros_like(e)), (-up * n, up * e, east * n - north * e), (east, north, up)
+    return np.array([[c * a + s * b, c * b - s * a, f] for a, b, f in zip(right, down, forward, strict=True)])
+
+
+def outer_rays(rays: np.ndarray) -> np.ndarray:
+    """Rays of a camera between which all others lie: corners of their hull in the image."""
+    points = rays[:, :2] / rays[:, 2:]
+    order = np.lexsort((points[:, 1], points[:, 0]))
+    line = [(*p, i) for p, i in zip(points[order].tolist(), order.tolist(), strict=True)]
+    return rays[sorted({q[2] for q in (*_chain(line), *_chain(line[::-1]))})]
+
+
+def _highest_below(ground: Ground, origins: np.ndarray, outer: np.ndarray, reach: float) -> np.ndarray:
+    """The highest ground that each frame's rays may meet: of the box around where its outer rays (3, rays, frames) are at the heights of
+    the lowest and highest ground, or around all within reach if one of them hardly goes down."""
+    e, n, z = origins
+    boxes = [e - reach, e + reach, n - reach, n + reach]
+    down = outer[2].max(axis=0) < -0.05
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = np.stack([(z - h) / -outer[2] for h in (ground.low, ground.high)])
+    for i, x in enumerate((e, n)):
+        at = x + t * outer[i]
+        boxes[2 * i] = np.where(down, np.maximum(boxes[2 * i], at.min(axis=(0, 1))), boxes[2 * i])
+        boxes[2 * i + 1] = np.where(down, np.minimum(boxes[2 * i + 1], at.max(axis=(0, 1))), boxes[2 * i + 1])
+    return np.array([ground.highest(*box) if np.isfinite(box).all() else -np.inf for box in np.transpose(boxes).tolist()])
+
+
+def frame_hits(ground: Ground, origins: np.ndarray, turned: np.ndarray, rays: np.ndarray, outer: np.ndarray, step: float = STEP_M, reach: float = REACH_M) -> np.ndarray:
+    """:func:`first_hits` (3, rays, frames) of all ``rays`` of frames at ``origins`` (3, frames), ``turned`` by :func:`rotations`;
+    ``outer``: :func:`outer_rays` of them.
+
+    A ray begins with the last step above all ground that its frame may see.  Rays without a hit go on together, each at its
+    own step, to below all ground or the end of their reach."""
+    shape, last = (len(rays), origins.shape[1]), int(np.ceil(reach / step))
+    hits = np.full((3, shape[0] * shape[1]), np.nan)
+    if not np.isfinite(ground.high):  # no height is known
+        return hits.reshape(3, *shape)
+    far = last * step + step
+    with np.errstate(invalid="ignore"):
+        within = ground.within(*((x.min() - far, x.max() + far) for x in origins[:2])) if shape[1] else False
+    open_ = (origins[2] > -np.inf) & ~(ground.sample(*origins[:2]) >= origins[2])
+    high = np.where(open_, _highest_below(ground, origins, np.array([outer @ m for m in turned]), far), -np.inf)
+    o = [np.broadcast_to(x, shape).ravel() for x in origins]
+    d = [(rays @ m).ravel() for m in turned]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        k = np.ceil((np.broadcast_to(origins[2] - high, shape).ravel() - 1e-6) / (d[2] * -step))
+    k = np.maximum(k, 1)
+    live = np.flatnonzero((d[2] < 0) & (k <= last))
+    if len(live) < len(k):
+        o, d, k = [x[live] for x in o], [x[live] for x in d], k[live]
+    before = None
+    while len(live):
+        t = k * step
+        z = t * d[2]
+        z += o[2]
+        now = z - ground.sample(o[0] + t * d[0], o[1] + t * d[1], within)
+        below = np.flatnonzero(now <= 0)
+        if len(below):
+            own, way = [x[below] for x in o], [x[below] for x in d]
+            height = lambda t, own, way: own[2] + t * way[2] - ground.sample(own[0] + t * way[0], own[1] + t * way[1], within)
+            t0 = t[below] - step
+            h0 = height(t0, own, way) if before is None else before[below]
+            if not (crossed := h0 > 0).all():
+                below, t0, h0, own, way = below[crossed], t0[crossed], h0[crossed], [x[crossed] for x in own], [x[crossed] for x in way]
+            at = _refined(lambda t: height(t, own, way), t0, h0, t[below], now[below])  # noqa: B023
+            for i in range(3):
+                hits[i, live[below]] = own[i] + at * way[i]
+        goes_on = z > ground.low
+        goes_on &= k < last
+        goes_on[below] = False
+        left = np.flatnonzero(goes_on)
+        live, o, d, k, before = live[left], [x[left] for x in o], [x[left] for x in d], k[left] + 1, now[left]
+    return hits.reshape(3, *shape)
+
+
 @dataclass(frozen=True)
 class HeightBounds:
     """Terrain with the lowest and highest ground of each block of ``BLOCK`` by ``BLOCK`` heights, those next to it included."""
@@ -203,20 +351,62 @@ def block_hits(ground: HeightBounds, origin: np.ndarray, rays: np.ndarray, mine,
 
 def hull_wkt(points: np.ndarray) -> str:
     """Convex hull to two decimals as WKT, collinear points left out."""
-    p = np.unique(np.round(points[:, :2], 2), axis=0)
-    if not len(p):
-        return "POLYGON EMPTY"
-
-    def chain(seq: np.ndarray) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for q in seq:
-            while len(out) > 1 and (out[-1][0] - out[-2][0]) * (q[1] - out[-2][1]) - (out[-1][1] - out[-2][1]) * (q[0] - out[-2][0]) <= 0:
-                out.pop()
-            out.append(q)
-        return out
-
-    ring = [*chain(p)[:-1], *chain(p[::-1])[:-1]] if len(p) > 2 else list(p)
-    return "POLYGON ((" + ", ".join(f"{x:.2f} {y:.2f}" for x, y in [*ring, ring[0]]) + "))"
+    return hull_texts(points[:, 0], points[:, 1], np.zeros(len(points), np.int64), 1)[0]
+
+
+def hull_texts(e: np.ndarray, n: np.ndarray, which: np.ndarray, sets: int) -> list[str]:
+    """:func:`hull_wkt` of many sets of points, and to which set each point belongs.
+
+    A point beyond the line between its neighbours in order is no corner.  Leaving out all such points of all sets at once
+    until there are none leaves the lower or upper side of each, exactly in whole hundredths; only these few points are walked one by one."""
+    if not len(e):
+        return ["POLYGON EMPTY"] * sets
+    rounded = [np.rint(v * 100) for v in (e, n)]
+    zeros = np.flatnonzero(np.any([(v == 0) & np.signbit(v) for v in rounded], axis=0))  # are written as -0.00
+    x, y = (v.astype(np.int64) for v in rounded)
+    signed = {(int(which[i]), int(x[i]), int(y[i])): (rounded[0][i] / 100, rounded[1][i] / 100) for i in zeros}
+    x0, y0 = int(x.min()), int(y.min())
+    wide, high = int(x.max() - x0).bit_length(), int(y.max() - y0).bit_length()
+    if sets.bit_length() + wide + high < 64:  # one number in order of all three
+        key = np.sort((which.astype(np.int64) << (wide + high)) | ((x - x0) << high) | (y - y0))
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+        x, y, which = ((key >> high) & ((1 << wide) - 1)) + x0, (key & ((1 << high) - 1)) + y0, key >> (wide + high)
+    else:
+        which, x, y = np.unique(np.stack([which, x, y]), axis=1)
+    sides = []
+    for sign in (1, -1):
+        a, b, w = x, y, which
+        while len(a) > 2:
+            da, db = np.diff(a), np.diff(b)
+            kept = np.ones(len(a), bool)
+            kept[1:-1] = (sign * (da[:-1] * db[1:] - db[:-1] * da[1:]) >= 0) | (w[2:] != w[:-2])
+            if kept.all():
+                break
+            a, b, w = a[kept], b[kept], w[kept]
+        points = list(zip((a / 100).tolist(), (b / 100).tolist(), strict=True))
+        if signed:
+            points = [signed.get(p, q) for p, q in zip(zip(w.tolist(), a.tolist(), b.tolist(), strict=True), points, strict=True)]
+        sides.append((points, np.searchsorted(w, np.arange(sets + 1)).tolist()))
+
+    def text(k: int) -> str:
+        low, high = (points[at[k] : at[k + 1]] for points, at in sides)
+        ring = [*_chain(low)[:-1], *_chain(high[::-1])[:-1]] or low
+        return "POLYGON ((" + ", ".join(["%.2f %.2f" % p for p in (*ring, *ring[:1])]) + "))" if ring else "POLYGON EMPTY"
+
+    return list(map(text, range(sets)))
+
+
+def _chain(points: list[tuple]) -> list[tuple]:
+    """One side of a hull, from points in order."""
+    out: list[tuple] = []
+    for q in points:
+        while len(out) > 1:
+            a, b = out[-2], out[-1]
+            if (b[0] - a[0]) * (q[1] - a[1]) - (b[1] - a[1]) * (q[0] - a[0]) > 0:
+                break
+            out.pop()
+        out.append(q)
+    return out
 
 
 def laplacian_variance(gray: np.ndarray) -> float:

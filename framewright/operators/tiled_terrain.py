@@ -8,17 +8,21 @@ lowest and highest heights of blocks of the tile are left out; the first hit of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.functions.geometry import HeightBounds, Terrain, block_hits, rotation
+from framewright.functions.geometry import REACH_M, STEP_M, Ground, HeightBounds, Terrain, block_hits, rotation
 
 #: Frames that meet a tile in one group.
 GROUP_FRAMES = 500
+#: The tile of frames that no tile is within reach of.
+FAR = -(1 << 40)
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,19 @@ class Raster:
         part = z.reshape(self.width, self.width)[up : self.rows - r0, left : self.cols - c0]
         return Terrain(part, self.origin_e + (c0 + left) * self.cell, self.origin_n - (r0 + up) * self.cell, self.cell, np.nan, self.datum)
 
+    def around(self, tiles: pa.Table) -> Terrain:
+        """Several tiles (own_tr, own_tc, z) as one terrain; what lies between them is unknown."""
+        at = [tiles[c].to_numpy() for c in ("own_tr", "own_tc")]
+        first, last = ([f(x) for x in at] for f in (np.min, np.max))
+        r0, c0 = (int(k) * self.size for k in first)
+        r1, c1 = (min((int(k) + 1) * self.size, n) for k, n in zip(last, (self.rows, self.cols), strict=True))
+        z = np.full((max(r1 - r0, 0), max(c1 - c0, 0)), np.nan, np.float32)
+        parts = tiles["z"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, self.width, self.width)
+        for tr, tc, part in zip(*at, parts, strict=True):
+            own = z[tr * self.size - r0 : (tr + 1) * self.size - r0, tc * self.size - c0 : (tc + 1) * self.size - c0]
+            own[:] = part[self.halo :, self.halo :][: own.shape[0], : own.shape[1]]
+        return Terrain(z, self.origin_e + c0 * self.cell, self.origin_n - r0 * self.cell, self.cell, np.nan, self.datum)
+
 
 def tiles_of(heights: DataFrame, size: int = 256, halo: int = 3) -> DataFrame:
     """The tiles of a table of heights (row, col, z).  Absent and null heights are unknown; of several at one
@@ -83,6 +100,37 @@ def sample(points: DataFrame, raster: Raster) -> DataFrame:
     return at.join(tiles, ["_tr", "_tc"], "left").withColumn("ground_z", F.when(~F.isnan(value), value)).drop("_c", "_r", "_c0", "_r0", "_tr", "_tc", "_z")
 
 
+def by_ground(frames: DataFrame, raster: Raster, measured: Callable, kinds: str, step: float = STEP_M, reach: float = REACH_M) -> DataFrame:
+    """What ``measured(ground, frames)`` yields for groups of frames over one tile, with that tile and those within reach of
+    it as one ground; None as ground for frames that no tile is within reach of.
+
+    The tiles go to the frames, so that hits, which are many times larger, stay in their task."""
+    key, side = ["tr", "tc", "part"], raster.size * raster.cell
+    span, out = int(np.ceil((reach + step + raster.cell) / side)), F.lit(FAR)
+    down, right = F.lit(raster.origin_n) - F.col("northing"), F.col("easting") - raster.origin_e
+    known = reduce(Column.__and__, (F.col(c).isNotNull() for c in ("easting", "northing", "altamsl", "roll_rad", "pitch_rad", "yaw_rad")))
+    near = known & reduce(Column.__and__, ((x >= -reach) & (x <= (n - 1) * raster.cell + reach) for x, n in ((down, raster.rows), (right, raster.cols))))
+    over = frames.withColumns({c: F.when(near, F.floor(x / side)).otherwise(out) for c, x in (("tr", down), ("tc", right))})
+    parts = over.groupBy("tr", "tc").agg(F.ceil(F.count("*") / GROUP_FRAMES).alias("parts"))
+    pieces = over.join(parts, ["tr", "tc"]).withColumn("part", F.pmod(F.xxhash64("flight", "frame"), "parts")).drop("parts")
+    around = lambda c: F.explode(F.sequence(F.col(c) - span, F.col(c) + span)).alias(f"own_{c}")
+    # columns of new identity, as both sides of the cogroup come from the same frames
+    needed = parts.where(F.col("tr") != out).select(F.col("tr").alias("tr"), F.col("tc").alias("tc"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    needed = needed.select("*", around("tr")).select("*", around("tc"))
+    tiles = needed.join(raster.tiles.select(F.col("tr").alias("own_tr"), F.col("tc").alias("own_tc"), "z"), ["own_tr", "own_tc"])
+    about = (raster.rows, raster.cols, raster.origin_e, raster.origin_n, raster.cell, raster.size, raster.halo, raster.datum)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        ground = Ground(Raster(None, *about).around(right)) if right.num_rows else None
+        batches = left.combine_chunks().to_batches() or [pa.RecordBatch.from_pylist([], left.schema)]
+        return pa.Table.from_batches(x for b in batches for x in measured(ground, b))
+
+    # small rows with much work each: as many tasks whatever their bytes
+    n_tasks = 4 * frames.sparkSession.sparkContext.defaultParallelism
+    pieces, tiles = pieces.repartition(n_tasks, *key), tiles.repartition(n_tasks, *key)
+    return pieces.groupBy(*key).cogroup(tiles.groupBy(*key)).applyInArrow(run, kinds)
+
+
 def ray_hits(frames: DataFrame, raster: Raster, rays: np.ndarray, step: float = 10.0, reach: float = 800.0) -> DataFrame:
     """flight, frame, ``hits`` and ``sampled`` for each tile in which a frame has hits: rows of ray, way along it, easting,
     northing and height in 64 bits, and the heights that were looked up.  A frame below the ground has a row of ray -1."""
