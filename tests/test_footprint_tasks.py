@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from framewright.functions.geometry import Camera, Terrain
-from framewright.operators import footprints, tiled_terrain
+from framewright.operators import coverage, footprints, tiled_terrain
 from framewright.operators.tiled_terrain import Raster
 
 CAMERA = Camera(1000.0, 1000.0, 960.0, 540.0, 1920, 1080)
@@ -45,3 +47,26 @@ def test_groups_over_a_tile_are_bounded_and_hold_every_frame_once(spark, monkeyp
     assert {r.heights for r in seen if r.frame % 50 not in (7, 9)} == {ROWS * COLS} and {r.heights for r in seen if r.frame % 50 in (7, 9)} == {0}
     plan = footprints.footprints(frames(spark, 30), CAMERA, raster(spark, 32), 5.0, grid=(4, 3))._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+@pytest.mark.parametrize("held", [50, 10_000])
+def test_views_counted_by_flight_equal_those_of_long_cells(spark, monkeypatch, held):
+    monkeypatch.setattr(footprints, "MOST_HELD", held)
+    monkeypatch.setattr(footprints, "RAYS_AT_ONCE", 500)
+    seen = frames(spark, 200)
+    chosen, origins = seen.where("frame % 3 <> 1"), coverage.ground_grid(seen, 5.0, 100.0)
+    want = coverage.view_counts(chosen, footprints.long_cells(footprints.footprints(seen, CAMERA, ground(), 5.0, 100.0, grid=(12, 8))))
+    want = sorted(map(tuple, want.select("flight", "cx", "cy", "views").collect()))
+    assert len(want) > 100 and max(r[3] for r in want) > 10
+    for terrain in (ground(), raster(spark, 32)):
+        got = footprints.view_counts(chosen, origins, CAMERA, terrain, 5.0, grid=(12, 8))
+        assert sorted(map(tuple, got.select("flight", "cx", "cy", "views").collect())) == want
+    assert footprints.view_counts(chosen.where(F.lit(False)), origins, CAMERA, ground(), 5.0, grid=(12, 8)).count() == 0
+
+
+def test_the_query_shuffles_no_cells(spark):
+    """Before, all cells of all footprints were written and those of the selection shuffled by flight and cell."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["footprint_views"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan and "cells" not in plan
