@@ -133,7 +133,10 @@ def nearest_selected(frames: DataFrame) -> DataFrame:
 
     One plan without rounds, over grids of doubling squares from a flight's width divided by its selected positions up to
     its width.  A frame's level is the first at which its square and the eight around it hold a position that counts, so one
-    lies within 2.9 squares, and the nearest one in or around the frame's square two levels further up."""
+    lies within 2.9 squares, and the nearest one in or around the frame's square two levels further up.
+
+    Joins of frames and squares are merged: Spark takes a table for as large as its file or as before its rows were
+    multiplied, and would gather all of it on the driver to broadcast it."""
     frames = materialize(frames.select("flight", "frame", "easting", "northing", "selected"), "frames")
     at = frames.where("easting IS NOT NULL AND northing IS NOT NULL")
     chosen = at.where("selected").select("flight", F.col("easting").alias("e2"), F.col("northing").alias("n2")).distinct()
@@ -146,17 +149,17 @@ def nearest_selected(frames: DataFrame) -> DataFrame:
 
     around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("d")
     levels = F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level")
-    spread = chosen.join(grids, "flight").select("flight", "e2", "n2", "least", levels).select("*", around)
+    spread = chosen.join(grids.hint("merge"), "flight").select("flight", "e2", "n2", "least", levels).select("*", around)
     spread = spread.select("flight", "level", (square("e2") + F.col("d.i")).alias("x"), (square("n2") + F.col("d.j")).alias("y"), "e2", "n2")
     full = spread.groupBy("flight", "level", "x", "y").agg(F.count("*").alias("n"))
-    able = at.join(grids, "flight").where("spots > 1 OR NOT selected")
+    able = at.join(grids.hint("merge"), "flight").where("spots > 1 OR NOT selected")
     looking = able.select("flight", "frame", "easting", "northing", "selected", "least", "top", levels)
-    looking = looking.withColumns({"x": square("easting"), "y": square("northing")}).join(full, ["flight", "level", "x", "y"]).where(F.col("n") > F.col("selected").cast("int"))
+    looking = looking.withColumns({"x": square("easting"), "y": square("northing")}).join(full.hint("merge"), ["flight", "level", "x", "y"]).where(F.col("n") > F.col("selected").cast("int"))
     found = looking.groupBy("flight", "frame", "easting", "northing", "selected").agg(F.min("level").alias("level"), F.first("least").alias("least"), F.first("top").alias("top"))
     found = found.withColumn("level", F.least(F.col("level") + 2, F.col("top"))).withColumns({"x": square("easting"), "y": square("northing")})
     d = F.hypot(F.col("easting") - F.col("e2"), F.col("northing") - F.col("n2"))
-    near = found.join(spread, ["flight", "level", "x", "y"]).withColumn("d", d).where("NOT (selected AND d = 0)").groupBy("flight", "frame").agg(F.min("d").alias("dist_m"))
-    return frames.select("flight", "frame").join(near, ["flight", "frame"], "left").select("flight", "frame", "dist_m")
+    near = found.join(spread.hint("merge"), ["flight", "level", "x", "y"]).withColumn("d", d).where("NOT (selected AND d = 0)").groupBy("flight", "frame").agg(F.min("d").alias("dist_m"))
+    return frames.select("flight", "frame").join(near.hint("merge"), ["flight", "frame"], "left").select("flight", "frame", "dist_m")
 
 
 def audit_table(labelled: DataFrame) -> DataFrame:
