@@ -166,7 +166,7 @@ def audit_table(labelled: DataFrame) -> DataFrame:
     """Labelled frames with cell_x and cell_y, ``bin_rank`` and ``dist_to_nearest_selected_m``."""
     ranked = bin_rank(labelled)
     near = nearest_selected(labelled).withColumnRenamed("dist_m", "dist_to_nearest_selected_m")
-    return ranked.join(near, ["flight", "frame"], "left")
+    return ranked.join(near.hint("merge"), ["flight", "frame"], "left")
 
 
 def quantiles(column: str) -> Column:

@@ -21,7 +21,7 @@ def broadcast(plan: str) -> list[str]:
     return found
 
 
-@pytest.mark.parametrize("made", [audit.nearest_selected])
+@pytest.mark.parametrize("made", [audit.nearest_selected, audit.audit_table])
 def test_no_multiplied_rows_are_broadcast(spark, made):
     """Before, the squares of all selected positions, 9 for each of up to 17 levels, were one broadcast, and so were all frames."""
     rows = [(k % 3, k, float(k % 17), float(k % 23), k % 2 == 0, 0.5, 0, 0) for k in range(200)]
